@@ -52,7 +52,7 @@ def d_normalize(e: str) -> str:
 
 
 def d_words(e: str) -> str:
-    return f"list_filter(string_split({d_normalize(f'coalesce({e}, {chr(39)}{chr(39)})')}, ' '), x -> x <> '')"
+    return f"list_filter(string_split({d_normalize(f'coalesce({e}, {chr(39)}{chr(39)})')}, ' '), lambda x: x <> '')"
 
 
 def d_uniform(seed, key: str, tag: str) -> str:
