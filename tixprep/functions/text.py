@@ -100,13 +100,12 @@ def join_words(a) -> Column:
 
 
 def alpha_candidates(words) -> Column:
-    """0-based positions of alphabetic words longer than 3 characters."""
-    w = col_(words)
-    idx = F.sequence(F.lit(0), F.size(w) - 1)
-    return F.filter(
-        F.when(F.size(w) > 0, idx).otherwise(F.array().cast("array<int>")),
-        lambda i: F.element_at(w, i + 1).rlike(ALPHA_WORD) & (F.length(F.element_at(w, i + 1)) > 3),
-    )
+    """0-based positions of alphabetic words longer than 3 characters.
+
+    The word array is referenced once (an indexed ``transform``), so the cost is linear in the
+    number of words."""
+    marked = F.transform(col_(words), lambda x, i: F.when(x.rlike(ALPHA_WORD) & (F.length(x) > 3), i))
+    return F.filter(marked, lambda v: v.isNotNull())
 
 
 def char_length_nan(c) -> Column:

@@ -161,3 +161,20 @@ def oversample_chain(df: DataFrame, lexicon: DataFrame, text_col: str, key_col:
 def union_augmented(original: DataFrame, augmented: DataFrame) -> DataFrame:
     """UNION ALL of original and augmented rows (by name)."""
     return original.unionByName(augmented, allowMissingColumns=True)
+
+
+# --- rare-class augmentation -------------------------------------------------------------------
+
+def rare_flags(df: DataFrame, targets: Sequence[str] = S.TARGETS, min_count: int = S.MIN_SAMPLES,
+               heavy_below: int = S.HEAVY_THRESHOLD) -> DataFrame:
+    """Adds ``is_rare`` (any target class < min_count) and ``is_heavy`` (a rare class < heavy_below).
+
+    Class totals come from one label-triple aggregate and reach rows through one join."""
+    tri = df.groupBy(*targets).agg(F.count(F.lit(1)).alias("_n"))
+    rare, heavy = F.lit(False), F.lit(False)
+    for i, t in enumerate(targets):
+        tri = tri.withColumn(f"_t{i}", F.sum("_n").over(Window.partitionBy(t)))
+        rare = rare | (F.col(f"_t{i}") < min_count)
+        heavy = heavy | ((F.col(f"_t{i}") < min_count) & (F.col(f"_t{i}") < heavy_below))
+    flags = tri.select(*targets, rare.alias("is_rare"), heavy.alias("is_heavy"))
+    return df.join(flags, on=list(targets), how="left")

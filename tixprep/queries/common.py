@@ -33,4 +33,27 @@ BASE_CTE = f"""base AS (
 
 
 def sql(*ctes: str, body: str) -> str:
-    return "WITH " + ",\n".join([TICKETS_CTE, *ctes]) + "\n" + body
+    """WITH tickets AS (...), <ctes>; a body starting with its own WITH is merged into the list."""
+    b = body.strip()
+    if b[:5].upper() == "WITH ":
+        return "WITH " + ",\n".join([TICKETS_CTE, *ctes]) + ",\n" + b[5:]
+    return "WITH " + ",\n".join([TICKETS_CTE, *ctes]) + "\n" + b
+
+
+def merged(spark: SparkSession, sf: str) -> DataFrame:
+    """Base rows with rare classes (< 50) of each target merged into 'Other'."""
+    from tixprep.operators.classes import merge_rare_classes
+    d = base(spark, sf)
+    for t in ["category", "subcategory", "assignment_group"]:
+        d = merge_rare_classes(d, t)
+    return d
+
+
+MERGED_CTE = """merged AS (
+  SELECT number_fld, short_description, description,
+    CASE WHEN count(*) OVER (PARTITION BY category) < 50 THEN 'Other' ELSE category END AS category,
+    CASE WHEN count(*) OVER (PARTITION BY subcategory) < 50 THEN 'Other' ELSE subcategory END AS subcategory,
+    CASE WHEN count(*) OVER (PARTITION BY assignment_group) < 50 THEN 'Other' ELSE assignment_group END AS assignment_group,
+    priority, contact_type, location, u_department, opened_by_department
+  FROM base
+)"""

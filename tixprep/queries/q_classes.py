@@ -1 +1,251 @@
-"""placeholder"""
+"""§2.3 joins on class tables, §2.4 class aggregates, §2.5 coverage and label encoding."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tixprep import schema as S
+from tixprep.operators import classes as C
+from tixprep.operators import encode as EN
+from tixprep.queries import query
+from tixprep.queries.common import BASE_CTE, MERGED_CTE, base, merged, sql, tk
+
+TG = ["category", "subcategory", "assignment_group"]
+
+
+@query("value_counts", sql(BASE_CTE, body="""
+SELECT assignment_group AS value, count(*) AS n FROM base WHERE assignment_group IS NOT NULL
+GROUP BY assignment_group ORDER BY n DESC, value LIMIT 10"""))
+def q_value_counts(spark, sf):
+    return C.value_counts(base(spark, sf), "assignment_group", k=10)
+
+
+@query("value_counts_with_null", sql(body="""
+SELECT assignment_group AS value, count(*) AS n FROM tickets
+GROUP BY assignment_group ORDER BY n DESC, value NULLS FIRST LIMIT 20"""))
+def q_value_counts_with_null(spark, sf):
+    return C.value_counts(tk(spark, sf), "assignment_group", k=20, keep_null=True)
+
+
+@query("top_k_classes", sql(BASE_CTE, body="""
+SELECT subcategory AS value, count(*) AS n FROM base GROUP BY subcategory ORDER BY n DESC, value LIMIT 5"""))
+def q_top_k_classes(spark, sf):
+    return C.value_counts(base(spark, sf), "subcategory", k=5)
+
+
+@query("class_distribution", sql(BASE_CTE, body="""
+SELECT category AS value, count(*) AS n, count(*) / (SELECT count(*) FROM base) * 100.0 AS percentage,
+       (SELECT count(DISTINCT category) FROM base) AS n_classes
+FROM base WHERE category IS NOT NULL GROUP BY category"""))
+def q_class_distribution(spark, sf):
+    return C.class_distribution(base(spark, sf), "category")
+
+
+@query("imbalance_ratio", sql(BASE_CTE, body="""
+SELECT 'category' AS target, max(n) / min(n) AS imbalance_ratio FROM (SELECT count(*) AS n FROM base GROUP BY category)
+UNION ALL SELECT 'subcategory', max(n) / min(n) FROM (SELECT count(*) AS n FROM base GROUP BY subcategory)
+UNION ALL SELECT 'assignment_group', max(n) / min(n) FROM (SELECT count(*) AS n FROM base GROUP BY assignment_group)"""))
+def q_imbalance_ratio(spark, sf):
+    b = base(spark, sf)
+    out = None
+    for t in TG:
+        part = C.imbalance_ratio(b, t).select(F.lit(t).alias("target"), "imbalance_ratio")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("merge_rare_classes", sql(BASE_CTE, MERGED_CTE, body="""
+SELECT number_fld, category, subcategory, assignment_group FROM merged"""))
+def q_merge_rare_classes(spark, sf):
+    return merged(spark, sf).select("number_fld", *TG)
+
+
+@query("rare_class_set", sql(BASE_CTE, body="""
+SELECT assignment_group, count(*) AS n FROM base GROUP BY assignment_group HAVING count(*) < 50"""))
+def q_rare_class_set(spark, sf):
+    return C.rare_class_set(base(spark, sf), "assignment_group")
+
+
+@query("minority_class_set", sql(BASE_CTE, MERGED_CTE, body="""
+SELECT category, n FROM (SELECT category, count(*) AS n, max(count(*)) OVER () AS mx FROM merged GROUP BY category)
+WHERE n < mx * 0.3 AND category <> 'Other'"""))
+def q_minority_class_set(spark, sf):
+    return C.minority_class_set(merged(spark, sf), "category")
+
+
+@query("heavy_class_flag", sql(BASE_CTE, body="""
+SELECT number_fld,
+  (count(*) OVER (PARTITION BY category) < 50 OR count(*) OVER (PARTITION BY subcategory) < 50
+   OR count(*) OVER (PARTITION BY assignment_group) < 50) AS is_rare,
+  (count(*) OVER (PARTITION BY category) < 25 OR count(*) OVER (PARTITION BY subcategory) < 25
+   OR count(*) OVER (PARTITION BY assignment_group) < 25) AS is_heavy
+FROM base"""))
+def q_heavy_class_flag(spark, sf):
+    from tixprep.operators.augment import rare_flags
+    return rare_flags(base(spark, sf)).select("number_fld", "is_rare", "is_heavy")
+
+
+@query("class_weights_inverse", sql(BASE_CTE, body="""
+WITH c AS (SELECT subcategory AS value, count(*) AS n FROM base GROUP BY subcategory),
+w AS (SELECT value, n, (SELECT count(*) FROM base) / ((SELECT count(*) FROM c) * n) AS w FROM c)
+SELECT value, n, w / (SELECT min(w) FROM w) AS class_weight FROM w"""))
+def q_class_weights_inverse(spark, sf):
+    return C.class_weights_inverse(base(spark, sf), "subcategory")
+
+
+@query("weight_summary", sql(BASE_CTE, body="""
+WITH c AS (SELECT assignment_group AS value, count(*) AS n FROM base GROUP BY assignment_group),
+w AS (SELECT (SELECT count(*) FROM base) / ((SELECT count(*) FROM c) * n) AS w FROM c),
+x AS (SELECT w / (SELECT min(w) FROM w) AS cw FROM w)
+SELECT round(min(cw), 9) AS min_weight, round(max(cw), 9) AS max_weight, round(avg(cw), 9) AS mean_weight FROM x"""))
+def q_weight_summary(spark, sf):
+    s = C.weight_summary(base(spark, sf), "assignment_group")
+    return s.select(*[F.round(c, 9).alias(c) for c in s.columns])
+
+
+@query("rare_and_dominant", sql(BASE_CTE, body="""
+SELECT assignment_group AS value, count(*) AS n,
+  round_even(count(*) / (SELECT count(*) FROM base) * 100, 2)::DOUBLE AS percentage,
+  round_even(count(*) / (SELECT count(*) FROM base) * 100, 2) < 0.001 AS is_rare,
+  round_even(count(*) / (SELECT count(*) FROM base) * 100, 2) > 10.0 AS is_dominant
+FROM base GROUP BY assignment_group"""))
+def q_rare_and_dominant(spark, sf):
+    return C.rare_and_dominant(base(spark, sf), "assignment_group")
+
+
+@query("sampling_strategy", sql(BASE_CTE, body="""
+SELECT value, n, floor(least(mx * 0.5, n * 3.0))::BIGINT AS target_n FROM (
+  SELECT assignment_group AS value, count(*) AS n, max(count(*)) OVER () AS mx FROM base GROUP BY assignment_group)
+WHERE n >= 50 AND n < mx * 0.1"""))
+def q_sampling_strategy(spark, sf):
+    return C.sampling_strategy(base(spark, sf), "assignment_group")
+
+
+@query("sampling_warnings", sql(BASE_CTE, body="""
+SELECT subcategory AS value, count(*) AS n FROM base GROUP BY subcategory HAVING count(*) < 50"""))
+def q_sampling_warnings(spark, sf):
+    return C.sampling_warnings(base(spark, sf), "subcategory")
+
+
+@query("cumulative_coverage", sql(BASE_CTE, body="""
+WITH c AS (SELECT assignment_group AS value, count(*) AS n FROM base GROUP BY assignment_group),
+r AS (SELECT value, n, row_number() OVER (ORDER BY n DESC, value) AS class_rank,
+             sum(n) OVER (ORDER BY n DESC, value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS cum_n
+      FROM c)
+SELECT value, n, class_rank, cum_n, cum_n / (SELECT count(*) FROM base) * 100.0 AS cum_pct,
+       (cum_n / (SELECT count(*) FROM base) * 100.0 - n / (SELECT count(*) FROM base) * 100.0) < 80.0 AS needed
+FROM r"""))
+def q_cumulative_coverage(spark, sf):
+    return C.cumulative_coverage(base(spark, sf), "assignment_group")
+
+
+_W_SQL = """
+w AS (SELECT number_fld, category, subcategory, assignment_group,
+        sqrt(1.0 / count(*) OVER (PARTITION BY category)) AS a,
+        sqrt(1.0 / count(*) OVER (PARTITION BY subcategory)) AS b,
+        sqrt(1.0 / count(*) OVER (PARTITION BY assignment_group)) AS c
+      FROM merged),
+v AS (SELECT number_fld, category, subcategory, assignment_group,
+        (a / min(a) OVER ()) AS w0, (b / min(b) OVER ()) AS w1, (c / min(c) OVER ()) AS w2 FROM w)"""
+
+
+@query("sample_weights", sql(BASE_CTE, MERGED_CTE, _W_SQL.strip(), body="""
+SELECT number_fld, round(least(10.0, greatest(1.0, pow(w0 * w1 * w2, 1.0 / 3.0))), 9) AS sample_weight FROM v"""))
+def q_sample_weights(spark, sf):
+    d = C.sample_weights(merged(spark, sf))
+    return d.select("number_fld", F.round("sample_weight", 9).alias("sample_weight"))
+
+
+@query("hierarchical_weights", sql(BASE_CTE, MERGED_CTE, body="""
+SELECT target, value, n, round(sqrt(1.0 / n) / sqrt(1.0 / max(n) OVER (PARTITION BY target)), 9) AS level_weight FROM (
+  SELECT 'category' AS target, category AS value, count(*) AS n FROM merged GROUP BY category
+  UNION ALL SELECT 'subcategory', subcategory, count(*) FROM merged GROUP BY subcategory
+  UNION ALL SELECT 'assignment_group', assignment_group, count(*) FROM merged GROUP BY assignment_group)"""))
+def q_hierarchical_weights(spark, sf):
+    _, levels = C.hierarchical_weights(merged(spark, sf))
+    return levels.withColumn("level_weight", F.round("level_weight", 9))
+
+
+@query("weight_lookup", sql(BASE_CTE, MERGED_CTE, body="""
+WITH c AS (SELECT category AS value, count(*) AS n FROM merged GROUP BY category),
+w AS (SELECT value, (SELECT count(*) FROM merged) / ((SELECT count(*) FROM c) * n) AS w FROM c),
+cw AS (SELECT value, w / (SELECT min(w) FROM w) AS class_weight FROM w)
+SELECT b.number_fld, b.assignment_group, round(coalesce(cw.class_weight, 1.0), 9) AS weight
+FROM base b LEFT JOIN cw ON cw.value = b.assignment_group"""))
+def q_weight_lookup(spark, sf):
+    # class weights of the merged table looked up by the un-merged label: merged-away classes are
+    # missing from the weight table and get 1.0
+    m = merged(spark, sf)
+    w = C.class_weights_inverse(m, "category")
+    d = C.weight_lookup(base(spark, sf).select("number_fld", "assignment_group"), w, "assignment_group")
+    return d.select("number_fld", "assignment_group", F.round("weight", 9).alias("weight"))
+
+
+_DICT_SQL = """
+SELECT target, (dense_rank() OVER (PARTITION BY target ORDER BY label) - 1)::INTEGER AS code, label FROM (
+  SELECT DISTINCT 'category' AS target, category AS label FROM merged
+  UNION SELECT DISTINCT 'subcategory', subcategory FROM merged
+  UNION SELECT DISTINCT 'assignment_group', assignment_group FROM merged)"""
+
+
+@query("label_encode", sql(BASE_CTE, MERGED_CTE, body=_DICT_SQL))
+def q_label_encode(spark, sf):
+    return EN.label_dictionary(merged(spark, sf))
+
+
+@query("label_encode4", sql(BASE_CTE, MERGED_CTE, body="""
+SELECT target, (dense_rank() OVER (PARTITION BY target ORDER BY label) - 1)::INTEGER AS code, label FROM (
+  SELECT DISTINCT 'category' AS target, category AS label FROM merged
+  UNION SELECT DISTINCT 'subcategory', subcategory FROM merged
+  UNION SELECT DISTINCT 'assignment_group', assignment_group FROM merged
+  UNION SELECT DISTINCT 'priority', coalesce(priority, '3 - Medium (4 Days)') FROM merged)"""))
+def q_label_encode4(spark, sf):
+    from tixprep.operators.fields import fill_defaults
+    return EN.label_dictionary(fill_defaults(merged(spark, sf), "manual"), TG + ["priority"])
+
+
+@query("label_dictionary", sql(BASE_CTE, MERGED_CTE, body=f"""
+SELECT target, count(*) AS n_classes FROM ({_DICT_SQL}) GROUP BY target"""))
+def q_label_dictionary(spark, sf):
+    return EN.label_sizes(EN.label_dictionary(merged(spark, sf)))
+
+
+@query("label_decode", sql(BASE_CTE, MERGED_CTE, body=f"""
+WITH d AS ({_DICT_SQL})
+SELECT m.number_fld, dc.code AS category_code, dc.label AS category_label, ds.label AS subcategory_label,
+       dg.label AS assignment_group_label
+FROM merged m
+JOIN d dc ON dc.target = 'category' AND dc.label = m.category
+JOIN d ds ON ds.target = 'subcategory' AND ds.label = m.subcategory
+JOIN d dg ON dg.target = 'assignment_group' AND dg.label = m.assignment_group"""))
+def q_label_decode(spark, sf):
+    m = merged(spark, sf)
+    d = EN.label_dictionary(m)
+    enc = EN.encode_labels(m.select("number_fld", *TG), d)
+    dec = EN.label_decode(enc.select("number_fld", *[t + "_code" for t in TG]), d,
+                          {t: t + "_code" for t in TG})
+    return dec.select("number_fld", "category_code", "category_label", "subcategory_label", "assignment_group_label")
+
+
+@query("dual_dictionary_decode", sql(BASE_CTE, MERGED_CTE, body=f"""
+WITH dm AS ({_DICT_SQL}),
+dr AS (SELECT target, (dense_rank() OVER (PARTITION BY target ORDER BY label) - 1)::INTEGER AS code, label FROM (
+  SELECT DISTINCT 'subcategory' AS target, subcategory AS label FROM base)),
+codes AS (SELECT m.number_fld, d.code FROM merged m JOIN dm d ON d.target = 'subcategory' AND d.label = m.subcategory)
+SELECT c.number_fld, c.code, m.label AS main_label, r.label AS rare_label
+FROM codes c
+LEFT JOIN dm m ON m.target = 'subcategory' AND m.code = c.code
+LEFT JOIN dr r ON r.target = 'subcategory' AND r.code = c.code"""))
+def q_dual_dictionary_decode(spark, sf):
+    # codes of the merged subcategory, decoded by the main (merged) and the rare (un-merged) dictionary
+    m = merged(spark, sf)
+    dm = EN.label_dictionary(m)
+    dual = EN.dual_dictionary(dm, EN.label_dictionary(base(spark, sf), ["subcategory"]))
+    codes = EN.encode_labels(m.select("number_fld", "subcategory"), dm, ["subcategory"]) \
+        .select("number_fld", F.col("subcategory_code").alias("code"))
+    main = EN.label_decode(codes, dual, {"subcategory": "code"}, model="main").withColumnRenamed("subcategory_label", "main_label")
+    rare = EN.label_decode(codes, dual, {"subcategory": "code"}, model="rare").select("number_fld", F.col("subcategory_label").alias("rare_label"))
+    return main.join(rare, "number_fld").select("number_fld", "code", "main_label", "rare_label")
+
+
+_ = S
