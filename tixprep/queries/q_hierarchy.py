@@ -1 +1,114 @@
-"""placeholder"""
+"""§2.3/2.4/2.6/2.7 label hierarchy and combination queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tixprep.operators import hierarchy as H
+from tixprep.queries import query
+from tixprep.queries.common import BASE_CTE, base, sql
+
+TG = ["category", "subcategory", "assignment_group"]
+
+
+@query("contingency_table", sql(BASE_CTE, body="""
+SELECT category, subcategory, count(*) AS n FROM base GROUP BY category, subcategory"""))
+def q_contingency_table(spark, sf):
+    return H.contingency_table(base(spark, sf), "category", "subcategory")
+
+
+@query("zero_filled_combos", sql(BASE_CTE, body="""
+WITH c AS (SELECT DISTINCT category FROM base), s AS (SELECT DISTINCT subcategory FROM base),
+g AS (SELECT DISTINCT assignment_group FROM base),
+k AS (SELECT category, subcategory, assignment_group, count(*) AS n FROM base GROUP BY ALL)
+SELECT c.category, s.subcategory, g.assignment_group, coalesce(k.n, 0)::BIGINT AS n
+FROM c CROSS JOIN s CROSS JOIN g
+LEFT JOIN k ON k.category = c.category AND k.subcategory = s.subcategory AND k.assignment_group = g.assignment_group"""))
+def q_zero_filled_combos(spark, sf):
+    return H.zero_filled_combos(base(spark, sf), TG)
+
+
+@query("children_per_parent", sql(BASE_CTE, body="""
+WITH c AS (SELECT subcategory, count(DISTINCT assignment_group) AS n_children FROM base GROUP BY subcategory)
+SELECT 'n_children' AS column_name, count(n_children) AS count, round(avg(n_children), 9) AS mean,
+       round(stddev_samp(n_children), 9) AS std, min(n_children)::DOUBLE AS min,
+       round(quantile_cont(n_children, 0.25), 9) AS p25, round(quantile_cont(n_children, 0.5), 9) AS p50,
+       round(quantile_cont(n_children, 0.75), 9) AS p75, max(n_children)::DOUBLE AS max FROM c"""))
+def q_children_per_parent(spark, sf):
+    d = H.children_per_parent_describe(base(spark, sf), "subcategory", "assignment_group")
+    return d.select(*[F.round(c, 9).alias(c) if c in ("mean", "std", "p25", "p50", "p75") else F.col(c) for c in d.columns])
+
+
+@query("conditional_stats", sql(BASE_CTE, body="""
+SELECT count(DISTINCT category) AS n_parents, count(DISTINCT subcategory) AS n_children,
+  round((SELECT avg(k) FROM (SELECT count(DISTINCT subcategory) AS k FROM base GROUP BY category)), 9) AS mean_children_per_parent
+FROM base"""))
+def q_conditional_stats(spark, sf):
+    d = H.conditional_stats(base(spark, sf), "category", "subcategory")
+    return d.withColumn("mean_children_per_parent", F.round("mean_children_per_parent", 9))
+
+
+@query("top_pairs", sql(BASE_CTE, body="""
+SELECT subcategory, assignment_group, count(*) AS n FROM base GROUP BY ALL
+ORDER BY n DESC, subcategory, assignment_group LIMIT 5"""))
+def q_top_pairs(spark, sf):
+    return H.top_pairs(base(spark, sf), "subcategory", "assignment_group")
+
+
+@query("combo_counts", sql(BASE_CTE, body="""
+SELECT category, subcategory, assignment_group, count(*) AS n,
+       round_even(count(*) / (SELECT count(*) FROM base) * 100, 4)::DOUBLE AS percentage
+FROM base GROUP BY ALL"""))
+def q_combo_counts(spark, sf):
+    return H.combo_counts(base(spark, sf))
+
+
+@query("combo_threshold_report", sql(BASE_CTE, body="""
+WITH c AS (SELECT count(*) AS n, round_even(count(*) / (SELECT count(*) FROM base) * 100, 4)::DOUBLE AS pct
+           FROM base GROUP BY category, subcategory, assignment_group),
+t AS (SELECT * FROM (VALUES ('percentage', 0.01), ('percentage', 0.05), ('percentage', 0.1), ('percentage', 0.5),
+                            ('count', 5.0), ('count', 10.0), ('count', 20.0), ('count', 50.0)) v(kind, threshold))
+SELECT t.kind, t.threshold::DOUBLE AS threshold,
+  count(*) FILTER (WHERE (t.kind = 'percentage' AND c.pct < t.threshold) OR (t.kind = 'count' AND c.n < t.threshold))::BIGINT AS combos_below,
+  count(*) FILTER (WHERE (t.kind = 'percentage' AND c.pct < t.threshold) OR (t.kind = 'count' AND c.n < t.threshold))
+     / (SELECT count(*) FROM c) * 100.0 AS combos_pct,
+  coalesce(sum(c.n) FILTER (WHERE (t.kind = 'percentage' AND c.pct < t.threshold) OR (t.kind = 'count' AND c.n < t.threshold)), 0)::BIGINT AS rows_affected,
+  coalesce(sum(c.n) FILTER (WHERE (t.kind = 'percentage' AND c.pct < t.threshold) OR (t.kind = 'count' AND c.n < t.threshold)), 0)
+     / (SELECT sum(n) FROM c) * 100.0 AS rows_pct
+FROM t CROSS JOIN c GROUP BY t.kind, t.threshold"""))
+def q_combo_threshold_report(spark, sf):
+    return H.combo_threshold_report(base(spark, sf))
+
+
+@query("top_bottom_combos", sql(BASE_CTE, body="""
+WITH c AS (SELECT category, subcategory, assignment_group, count(*) AS n FROM base GROUP BY ALL)
+(SELECT *, 'top' AS "end" FROM c ORDER BY n DESC, category, subcategory, assignment_group LIMIT 10)
+UNION ALL
+(SELECT *, 'bottom' AS "end" FROM c ORDER BY n ASC, category DESC, subcategory DESC, assignment_group DESC LIMIT 10)"""))
+def q_top_bottom_combos(spark, sf):
+    return H.top_bottom_combos(base(spark, sf))
+
+
+@query("filter_rare_combos", sql(BASE_CTE, body="""
+SELECT number_fld, category, subcategory, assignment_group FROM base
+WHERE (category, subcategory, assignment_group) IN (
+  SELECT (category, subcategory, assignment_group) FROM base GROUP BY ALL HAVING count(*) >= 5)"""))
+def q_filter_rare_combos(spark, sf):
+    return H.filter_rare_combos(base(spark, sf)).select("number_fld", *TG)
+
+
+@query("semi_join_combos", sql(BASE_CTE, body="""
+SELECT b.number_fld, b.category, b.subcategory FROM base b
+WHERE EXISTS (SELECT 1 FROM tickets t WHERE t.contact_type IS NOT NULL AND t.category = b.category
+              AND t.subcategory = b.subcategory GROUP BY t.category, t.subcategory HAVING count(*) >= 20)"""))
+def q_semi_join_combos(spark, sf):
+    # valid (category, subcategory) pairs: those with >= 20 tickets that name a contact type
+    from tixprep.queries.common import tk
+    t = tk(spark, sf).filter(F.col("contact_type").isNotNull())
+    valid = t.groupBy("category", "subcategory").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= 20)
+    return H.semi_join_combos(base(spark, sf), valid, ["category", "subcategory"]).select("number_fld", "category", "subcategory")
+
+
+@query("distinct_labels", sql(BASE_CTE, body="SELECT DISTINCT category, subcategory, assignment_group FROM base"))
+def q_distinct_labels(spark, sf):
+    return H.distinct_labels(base(spark, sf))
