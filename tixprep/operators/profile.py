@@ -16,7 +16,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tixprep.functions.math import clip
 from tixprep.functions.text import char_length_nan, tokenize_words
+from tixprep.session import cut_lineage
 
 QUANTILE_BUCKETS = 4096
 
@@ -100,49 +102,56 @@ def text_exploration(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 # --- exact quantiles and describe ----------------------------------------------------------
 
-def quantiles(df: DataFrame, col: str, qs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """(q, value): exact linear-interpolation quantiles of the non-null values of ``col``.
+def quantile_row(df: DataFrame, col: str, qs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """One row with one column per quantile (``q0``, ``q1``, …): exact linear-interpolation
+    quantiles of the non-null values of ``col``.
 
     Runs on the (value, count) table: range buckets of the value give a small table of bucket
-    sizes and offsets, a window partitioned by bucket gives running counts, and each wanted rank
-    is located by a range condition. Nothing is gathered into one task."""
+    sizes and offsets, a window partitioned by bucket gives each value's first rank, and one
+    conditional aggregate picks the values at the wanted ranks. Nothing is gathered into one task."""
     v = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
     vc = v.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    stats = vc.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("c").alias("n"))
-    lo, hi, n = [stats.select(x).scalar() for x in ("lo", "hi", "n")]
+    st = vc.select(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("c").alias("n")).alias("s")).scalar()
+    lo, hi, n = st["lo"], st["hi"], st["n"]
     width = F.when(hi > lo, hi - lo).otherwise(F.lit(1.0))
-    b = F.least(F.lit(QUANTILE_BUCKETS - 1), F.floor((F.col("v") - lo) / width * QUANTILE_BUCKETS)).cast("int")
-    vb = vc.withColumn("b", b)
+    vb = vc.withColumn("b", F.least(F.lit(QUANTILE_BUCKETS - 1), F.floor((F.col("v") - lo) / width * QUANTILE_BUCKETS)).cast("int"))
     sizes = vb.groupBy("b").agg(F.sum("c").alias("bc"))
-    offs = sizes.withColumn("off", F.coalesce(F.sum("bc").over(
-        Window.partitionBy(F.lit(0)).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("b", "off")
+    offs = sizes.select("b", F.coalesce(F.sum("bc").over(
+        Window.partitionBy(F.lit(0)).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("off"))
     run = F.coalesce(F.sum("c").over(Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = vb.withColumn("before", run).join(offs, "b").withColumn("start", F.col("before") + F.col("off"))
-    wanted = ranked.select("v", "start", "c")
-    out = None
-    for q in qs:
+    ranked = vb.withColumn("before", run).join(offs, "b").select("v", "c", (F.col("before") + F.col("off")).alias("start"))
+    aggs = []
+    for i, q in enumerate(qs):
         pos = (n - 1) * float(q)
         rlo, rhi = F.floor(pos), F.ceil(pos)
-        vlo = wanted.filter((F.col("start") <= rlo) & (rlo < F.col("start") + F.col("c"))).select(F.col("v").alias("vlo"))
-        vhi = wanted.filter((F.col("start") <= rhi) & (rhi < F.col("start") + F.col("c"))).select(F.col("v").alias("vhi"))
-        frac = pos - rlo
-        one = vlo.select(F.lit(float(q)).alias("q"), (F.col("vlo") + (vhi.select("vhi").scalar() - F.col("vlo")) * frac).alias("value"))
-        out = one if out is None else out.unionByName(one)
-    return out
+        at = lambda r: (F.col("start") <= r) & (r < F.col("start") + F.col("c"))
+        vlo, vhi = F.max(F.when(at(rlo), F.col("v"))), F.max(F.when(at(rhi), F.col("v")))
+        aggs.append((vlo + (vhi - vlo) * (pos - rlo)).alias(f"q{i}"))
+    return ranked.agg(*aggs)
+
+
+def quantiles(df: DataFrame, col: str, qs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """(q, value) rows of ``quantile_row``."""
+    row = quantile_row(df, col, qs)
+    structs = [F.struct(F.lit(float(q)).alias("q"), F.col(f"q{i}").alias("value")) for i, q in enumerate(qs)]
+    return row.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
 
 
 def describe_column(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
     """count, mean, std (ddof 1), min, 25/50/75 %, max of one column, one row."""
     base = df.agg(F.count(col).alias("count"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"),
                   F.min(col).cast("double").alias("min"), F.max(col).cast("double").alias("max"))
-    qs = quantiles(df, col)
-    q = {p: qs.filter(F.col("q") == p).select("value").scalar() for p in (0.25, 0.5, 0.75)}
+    qr = quantile_row(df, col).select(F.struct("q0", "q1", "q2").alias("s")).scalar()
     return base.select(F.lit(name or col).alias("column_name"), "count", "mean", "std", "min",
-                       q[0.25].alias("p25"), q[0.5].alias("p50"), q[0.75].alias("p75"), "max")
+                       qr["q0"].alias("p25"), qr["q1"].alias("p50"), qr["q2"].alias("p75"), "max")
 
 
-def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, snapshot: bool = True) -> DataFrame:
+    """describe of every numeric column. The (narrow) numeric projection is written once so the
+    per-column aggregates and quantile subqueries do not re-run an expensive upstream plan."""
     cols = list(cols) if cols is not None else [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    if snapshot:
+        df = cut_lineage(df.select(*cols))
     out = None
     for c in cols:
         d = describe_column(df, c)
@@ -154,9 +163,10 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> DataFr
 
 def text_length_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """describe of ``astype(str).str.len()`` (a missing value is 'nan', 3 characters)."""
+    lens = cut_lineage(df.select(*[char_length_nan(c).alias(f"_l{i}") for i, c in enumerate(cols)]))
     out = None
-    for c in cols:
-        d = describe_column(df.select(char_length_nan(c).alias("len")), "len", c)
+    for i, c in enumerate(cols):
+        d = describe_column(lens.select(F.col(f"_l{i}").alias("len")), "len", c)
         out = d if out is None else out.unionByName(d)
     return out
 
@@ -170,7 +180,7 @@ def processed_length_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def token_length_stats(df: DataFrame, col: str) -> DataFrame:
     """Mean, max and 95th percentile of word counts (an empty text has 0 words)."""
     w = df.select(F.size(tokenize_words(col)).alias("n_words"))
-    p95 = quantiles(w, "n_words", [0.95]).select("value").scalar()
+    p95 = quantile_row(w, "n_words", [0.95]).select("q0").scalar()
     return w.agg(F.avg("n_words").alias("mean_tokens"), F.max("n_words").alias("max_tokens")) \
         .select(F.lit(col).alias("column_name"), "mean_tokens", "max_tokens", p95.alias("p95_tokens"))
 
@@ -218,9 +228,7 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def histogram(df: DataFrame, col: str, bins: int = 50, lo: float | None = None, hi: float | None = None) -> DataFrame:
     """(bin, lower, upper, n) equal-width bins over [min, max] (or a clip range), last bin closed,
     empty bins included."""
-    v = F.col(col).cast("double")
-    if lo is not None or hi is not None:
-        v = F.least(F.lit(float(hi)), F.greatest(F.lit(float(lo)), v)) if lo is not None and hi is not None else v
+    v = clip(F.col(col).cast("double"), lo, hi)
     vals = df.select(v.alias("v")).filter(F.col("v").isNotNull())
     rng = vals.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     rng = rng.select(F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
@@ -244,8 +252,10 @@ def density_curve(df: DataFrame, col: str, gridsize: int = 200, cut: float = 3.0
     h = st.select(F.col("sd") * F.pow(F.col("n"), F.lit(-0.2))).scalar()
     n, lo, hi = st.select("n").scalar(), st.select("lo").scalar(), st.select("hi").scalar()
     g0, g1 = lo - cut * h, hi + cut * h
-    pts = F.transform(F.sequence(F.lit(0), F.lit(gridsize - 1)), lambda i: g0 + (g1 - g0) * i / (gridsize - 1))
-    ex = vc.select("v", "c", F.posexplode(pts).alias("point", "x"))
+    grid = df.sparkSession.range(gridsize).select(F.col("id").alias("point"), (g0 + (g1 - g0) * F.col("id") / (gridsize - 1)).alias("x"))
+    # the grid (``gridsize`` points, a fixed bound) is one sorted array each distinct value explodes
+    pts = grid.select(F.array_sort(F.collect_list(F.struct("point", "x")))).scalar()
+    ex = vc.select("v", "c", F.explode(pts).alias("g")).select("v", "c", "g.point", "g.x")
     k = F.col("c") * F.exp(-F.pow((F.col("x") - F.col("v")) / h, 2) / 2.0)
     dens = ex.groupBy("point", "x").agg(F.sum(k).alias("s"))
     return dens.select("point", "x", (F.col("s") / (n * h * math.sqrt(2 * math.pi))).alias("density"))

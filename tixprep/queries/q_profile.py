@@ -1 +1,225 @@
-"""placeholder"""
+"""§2.4 profile aggregates and §2.6 head/tail."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tixprep.functions.text import char_length_nan, clean_profile
+from tixprep.oracle import d_clean_profile, d_words
+from tixprep.operators import profile as P
+from tixprep.queries import query
+from tixprep.queries.common import sql, tk
+from tixprep.sources.tables import read_table
+
+ALL = ["number_fld", "short_description", "description", "category", "subcategory", "assignment_group", "priority",
+       "contact_type", "location", "u_department", "opened_by_department", "date_opened", "total_price", "value"]
+TYPES = {"number_fld": "bigint", "total_price": "double", "value": "double"}
+
+
+def _r(df, cols, d=9):
+    return df.select(*[F.round(c, d).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+@query("shape", sql(body="SELECT count(*) AS n_rows, 14 AS n_columns FROM tickets"))
+def q_shape(spark, sf):
+    return P.shape(tk(spark, sf))
+
+
+_SCHEMA_ROWS = " UNION ALL ".join(
+    f"SELECT {i} AS position, '{c}' AS column_name, '{TYPES.get(c, 'string')}' AS data_type, count({c}) AS non_null FROM tickets"
+    for i, c in enumerate(ALL))
+
+
+@query("schema_info", sql(body=_SCHEMA_ROWS))
+def q_schema_info(spark, sf):
+    return P.schema_info(tk(spark, sf))
+
+
+_BYTES = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, " + (f"coalesce(sum(strlen({c})), 0)::BIGINT" if TYPES.get(c, "string") == "string"
+                                        else f"(count({c}) * 8)::BIGINT") + " AS bytes FROM tickets" for c in ALL)
+
+
+@query("column_bytes", sql(body=f"""
+WITH b AS ({_BYTES}) SELECT column_name, bytes, sum(bytes) OVER () / (1024.0 * 1024.0) AS total_mb FROM b"""))
+def q_column_bytes(spark, sf):
+    return P.column_bytes(tk(spark, sf))
+
+
+_MISS = " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) - count({c}) AS missing, "
+                           f"(count(*) - count({c})) / count(*) * 100.0 AS percent FROM tickets" for c in ALL)
+
+
+@query("missing_summary", sql(body=f"SELECT * FROM ({_MISS}) ORDER BY missing DESC, column_name"))
+def q_missing_summary(spark, sf):
+    return P.missing_summary(tk(spark, sf))
+
+
+_CAT = ["category", "subcategory", "assignment_group", "priority", "location", "opened_by_department", "u_department"]
+
+
+@query("unique_count", sql(body=" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_unique FROM tickets" for c in _CAT)))
+def q_unique_count(spark, sf):
+    return P.unique_count(tk(spark, sf), _CAT)
+
+
+@query("unique_count_with_null", sql(body=" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, (count(DISTINCT {c}) + max(({c} IS NULL)::INTEGER))::BIGINT AS n_unique FROM tickets"
+    for c in _CAT)))
+def q_unique_count_with_null(spark, sf):
+    return P.unique_count_with_null(tk(spark, sf), _CAT)
+
+
+@query("text_exploration", sql(body=" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) - count({c}) AS n_null, count(DISTINCT {c}) AS n_unique FROM tickets"
+    for c in ["description", "short_description"])))
+def q_text_exploration(spark, sf):
+    return P.text_exploration(tk(spark, sf), ["description", "short_description"])
+
+
+def _describe_sql(expr: str, name: str, src: str) -> str:
+    return (f"SELECT '{name}' AS column_name, count(x) AS count, round(avg(x), 9) AS mean, round(stddev_samp(x), 9) AS std, "
+            f"min(x)::DOUBLE AS min, round(quantile_cont(x, 0.25), 9) AS p25, round(quantile_cont(x, 0.5), 9) AS p50, "
+            f"round(quantile_cont(x, 0.75), 9) AS p75, max(x)::DOUBLE AS max FROM (SELECT {expr} AS x FROM {src})")
+
+
+_DESC_COLS = ["mean", "std", "p25", "p50", "p75"]
+
+
+@query("describe_numeric", sql(body=" UNION ALL ".join(_describe_sql(c, c, "tickets") for c in ["number_fld", "total_price", "value"])))
+def q_describe_numeric(spark, sf):
+    d = P.describe_numeric(tk(spark, sf))
+    return _r(d, _DESC_COLS + ["min", "max"])
+
+
+@query("text_length_stats", sql(body=" UNION ALL ".join(
+    _describe_sql(f"length(coalesce({c}, 'nan'))", c, "tickets") for c in ["short_description", "description"])))
+def q_text_length_stats(spark, sf):
+    return _r(P.text_length_stats(tk(spark, sf), ["short_description", "description"]), _DESC_COLS)
+
+
+_PROC = f"""proc AS (SELECT number_fld, {d_clean_profile('short_description')} AS processed_short_description,
+  {d_clean_profile('description')} AS processed_description FROM tickets)"""
+
+
+def _proc(spark, sf):
+    return tk(spark, sf).select("number_fld", clean_profile("short_description").alias("processed_short_description"),
+                                clean_profile("description").alias("processed_description"))
+
+
+@query("processed_length_stats", sql(_PROC, body=" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, round(avg(length({c})), 9) AS mean_chars, max(length({c}))::INTEGER AS max_chars FROM proc"
+    for c in ["processed_short_description", "processed_description"])))
+def q_processed_length_stats(spark, sf):
+    d = P.processed_length_stats(_proc(spark, sf), ["processed_short_description", "processed_description"])
+    return d.select("column_name", F.round("mean_chars", 9).alias("mean_chars"), "max_chars")
+
+
+@query("token_length_stats", sql(_PROC, body=f"""
+SELECT 'processed_description' AS column_name, round(avg(n), 9) AS mean_tokens, max(n)::INTEGER AS max_tokens,
+       round(quantile_cont(n, 0.95), 9) AS p95_tokens
+FROM (SELECT len({d_words('processed_description')})::INTEGER AS n FROM proc)"""))
+def q_token_length_stats(spark, sf):
+    d = P.token_length_stats(_proc(spark, sf), "processed_description")
+    return _r(d, ["mean_tokens", "p95_tokens"])
+
+
+@query("word_frequency", sql(_PROC, body=f"""
+SELECT word, count(*) AS n FROM (SELECT unnest({d_words('processed_description')}) AS word FROM proc)
+GROUP BY word ORDER BY n DESC, word LIMIT 10"""))
+def q_word_frequency(spark, sf):
+    return P.word_frequency(_proc(spark, sf), "processed_description")
+
+
+@query("duplicate_rows", """
+SELECT 'documents' AS table_name, (count(*) - (SELECT count(*) FROM (SELECT DISTINCT text, lang FROM documents)))::BIGINT
+       AS duplicate_rows FROM documents
+UNION ALL
+SELECT 'conversations', (count(*) - (SELECT count(*) FROM (SELECT DISTINCT role, text FROM conversations)))::BIGINT
+FROM conversations""")
+def q_duplicate_rows(spark, sf):
+    a = P.duplicate_rows(read_table(spark, sf, "documents").select("text", "lang")).select(F.lit("documents").alias("table_name"), "duplicate_rows")
+    b = P.duplicate_rows(read_table(spark, sf, "conversations").select("role", "text")).select(F.lit("conversations").alias("table_name"), "duplicate_rows")
+    return a.unionByName(b)
+
+
+_NUMS = ["total_price", "value", "short_description_length", "description_length"]
+_LEN_CTE = """lens AS (SELECT total_price, value, length(coalesce(short_description, 'nan')) AS short_description_length,
+  length(coalesce(description, 'nan')) AS description_length FROM tickets)"""
+
+
+def _lens(spark, sf):
+    return tk(spark, sf).select("total_price", "value", char_length_nan("short_description").alias("short_description_length"),
+                                char_length_nan("description").alias("description_length"))
+
+
+def _corr_sql(a, b):
+    x = f"CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN {a}::DOUBLE END"
+    y = f"CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN {b}::DOUBLE END"
+    den = f"(stddev_samp({x}) * stddev_samp({y}))"
+    return (f"SELECT '{a}' AS column_a, '{b}' AS column_b, round(CASE WHEN {den} = 0 THEN NULL "
+            f"ELSE covar_samp({x}, {y}) / {den} END, 9) AS r FROM lens")
+
+
+@query("correlation_matrix", sql(_LEN_CTE, body=" UNION ALL ".join(_corr_sql(a, b) for a in _NUMS for b in _NUMS)))
+def q_correlation_matrix(spark, sf):
+    return P.correlation_matrix(_lens(spark, sf), _NUMS).withColumn("r", F.round("r", 9))
+
+
+@query("histogram", sql(body="""
+WITH v AS (SELECT greatest(0, least(1000, length(description)))::DOUBLE AS v FROM tickets WHERE description IS NOT NULL),
+r AS (SELECT CASE WHEN min(v) = max(v) THEN min(v) - 0.5 ELSE min(v) END AS lo,
+             CASE WHEN min(v) = max(v) THEN max(v) + 0.5 ELSE max(v) END AS hi FROM v),
+b AS (SELECT least(49, floor((v - lo) / (hi - lo) * 50))::INTEGER AS bin, count(*) AS n FROM v, r GROUP BY 1),
+g AS (SELECT unnest(range(0, 50))::INTEGER AS bin)
+SELECT g.bin, round(lo + (hi - lo) / 50 * g.bin, 9) AS lower, round(lo + (hi - lo) / 50 * (g.bin + 1), 9) AS upper,
+       coalesce(b.n, 0)::BIGINT AS n
+FROM g CROSS JOIN r LEFT JOIN b ON b.bin = g.bin"""))
+def q_histogram(spark, sf):
+    d = tk(spark, sf).select(F.length("description").alias("description_length"))
+    h = P.histogram(d, "description_length", 50, 0, 1000)
+    return h.select("bin", F.round("lower", 9).alias("lower"), F.round("upper", 9).alias("upper"), "n")
+
+
+@query("density_curve", """
+WITH v AS (SELECT o_totalprice AS v FROM orders),
+s AS (SELECT count(*) AS n, stddev_samp(v) * pow(count(*), -0.2) AS h, min(v) AS lo, max(v) AS hi FROM v),
+g AS (SELECT unnest(range(0, 200)) AS point),
+x AS (SELECT g.point, (s.lo - 3 * s.h) + ((s.hi + 3 * s.h) - (s.lo - 3 * s.h)) * g.point / 199 AS x FROM g, s),
+vc AS (SELECT v, count(*) AS c FROM v GROUP BY v)
+SELECT x.point::INTEGER AS point, round(sum(vc.c * exp(-pow((x.x - vc.v) / s.h, 2) / 2.0)) / (s.n * s.h * sqrt(2 * pi())) * 1e6, 6) AS density_e6
+FROM x, vc, s GROUP BY x.point, s.n, s.h""")
+def q_density_curve(spark, sf):
+    d = P.density_curve(read_table(spark, sf, "orders"), "o_totalprice")
+    return d.select(F.col("point").cast("int").alias("point"), F.round(F.col("density") * 1e6, 6).alias("density_e6"))
+
+
+@query("head", sql(body="SELECT number_fld, category, priority FROM tickets ORDER BY number_fld LIMIT 10"))
+def q_head(spark, sf):
+    return P.head(tk(spark, sf).select("number_fld", "category", "priority"), "number_fld")
+
+
+@query("tail", sql(body="SELECT number_fld, category, priority FROM tickets ORDER BY number_fld DESC LIMIT 10"))
+def q_tail(spark, sf):
+    return P.tail(tk(spark, sf).select("number_fld", "category", "priority"), "number_fld")
+
+
+@query("summary_statistics", sql(_PROC, body="""
+SELECT count(*) AS n_rows,
+  (SELECT count(DISTINCT category) + max((category IS NULL)::INTEGER) FROM tickets)::BIGINT AS n_categories,
+  (SELECT count(DISTINCT subcategory) + max((subcategory IS NULL)::INTEGER) FROM tickets)::BIGINT AS n_subcategories,
+  (SELECT count(DISTINCT assignment_group) + max((assignment_group IS NULL)::INTEGER) FROM tickets)::BIGINT AS n_assignment_groups,
+  round(avg(length(processed_description)), 9) AS mean_description_length,
+  round(avg(length(processed_short_description)), 9) AS mean_short_description_length
+FROM proc"""))
+def q_summary_statistics(spark, sf):
+    t = tk(spark, sf)
+    u = P.unique_count_with_null(t, ["category", "subcategory", "assignment_group"])
+    n = {c: u.filter(F.col("column_name") == c).select("n_unique").scalar() for c in ["category", "subcategory", "assignment_group"]}
+    p = _proc(spark, sf)
+    return p.agg(F.count(F.lit(1)).alias("n_rows"),
+                 F.round(F.avg(F.length("processed_description")), 9).alias("mean_description_length"),
+                 F.round(F.avg(F.length("processed_short_description")), 9).alias("mean_short_description_length")) \
+        .select("n_rows", n["category"].alias("n_categories"), n["subcategory"].alias("n_subcategories"),
+                n["assignment_group"].alias("n_assignment_groups"), "mean_description_length", "mean_short_description_length")
