@@ -69,8 +69,8 @@ def synonym_replace(df: DataFrame, lexicon: DataFrame, text_col: str, key: Colum
     idx = F.floor(uniform(seed, F.col(key_col), "pos") * n).cast("int")
     on = (n > 0) if apply is None else (apply & (n > 0))
     d = d.withColumn("_i", F.when(on, idx))
-    d = _lookup(d, lexicon, F.element_at("_w", F.col("_i") + 1), key_col)
-    pick = F.element_at("_syns", (F.floor(uniform(seed, F.col(key_col), "syn") * F.size("_syns")) + 1).cast("int"))
+    d = _lookup(d, lexicon, F.try_element_at("_w", F.col("_i") + 1), key_col)
+    pick = F.try_element_at("_syns", (F.floor(uniform(seed, F.col(key_col), "syn") * F.size("_syns")) + 1).cast("int"))
     edited = F.array_join(
         F.transform("_w", lambda w, i: F.when((i == F.col("_i")) & F.col("_syns").isNotNull(), pick).otherwise(w)), " ")
     return d.withColumn(text_col, F.when(F.col("_i").isNotNull(), edited).otherwise(F.col(text_col))) \
@@ -85,7 +85,7 @@ def synonym_replace_fields(df: DataFrame, lexicon: DataFrame, text_col: str, key
     parts = split_fields(F.col(text_col))
     ok = F.size(parts) >= 7 if apply is None else (apply & (F.size(parts) >= 7))
     d = df.withColumn("_parts", parts).withColumn("_ok", ok)
-    d = d.withColumn("_f0", F.element_at("_parts", 1)).withColumn("_f1", F.element_at("_parts", 2))
+    d = d.withColumn("_f0", F.try_element_at("_parts", F.lit(1))).withColumn("_f1", F.try_element_at("_parts", F.lit(2)))
     d = synonym_replace(d, lexicon, "_f0", key, tag + ":f0", F.col("_ok"), seed)
     d = synonym_replace(d, lexicon, "_f1", key, tag + ":f1", F.col("_ok"), seed)
     rebuilt = F.array_join(F.concat(F.array("_f0", "_f1"), F.slice("_parts", 3, 1 << 30)), S.SEP)
@@ -178,3 +178,148 @@ def rare_flags(df: DataFrame, targets: Sequence[str] = S.TARGETS, min_count: int
         heavy = heavy | ((F.col(f"_t{i}") < min_count) & (F.col(f"_t{i}") < heavy_below))
     flags = tri.select(*targets, rare.alias("is_rare"), heavy.alias("is_heavy"))
     return df.join(flags, on=list(targets), how="left")
+
+
+def _ekey(key: Column, tag: str) -> Column:
+    return F.concat_ws("|", key.cast("string"), F.lit(tag))
+
+
+def synonym_replace_ratio(df: DataFrame, lexicon: DataFrame, text_col: str, key: Column, tag: str,
+                          ratio: float = 0.15, apply: Column | None = None, seed: int = SEED,
+                          row_id: str = "_row") -> DataFrame:
+    """Replace max(1, int(len * ratio)) distinct candidate words (alphabetic, > 3 characters) by
+    a synonym. Unchanged text when there is no word or no candidate.
+
+    Only the selected positions are exploded and looked up; edits regroup per row (bounded by the
+    row's own word count)."""
+    d = df.withColumn(row_id, _ekey(key, tag)).withColumn("_w", tokenize_words(F.col(text_col)))
+    n = F.size("_w")
+    cand = F.filter(F.transform("_w", lambda x, i: F.when(x.rlike(ALPHA_WORD) & (F.length(x) > 3), i)), lambda v: v.isNotNull())
+    k = F.least(F.greatest(F.lit(1), F.floor(n * ratio).cast("int")), F.size(cand))
+    order = F.array_sort(F.transform(cand, lambda i: F.struct(uniform(seed, F.col(row_id), F.concat(F.lit("c"), i.cast("string"))).alias("u"), i.alias("i"))))
+    sel = F.transform(F.slice(order, 1, k), lambda s: s["i"])
+    on = (n > 0) & (F.size(cand) > 0)
+    if apply is not None:
+        on = on & apply
+    d = d.withColumn("_sel", F.when(on, sel))
+    picks = d.select(row_id, "_w", F.explode("_sel").alias("_p")).select(row_id, "_p", F.try_element_at("_w", F.col("_p") + 1).alias("word"))
+    lx = lexicon.select("word", "synonyms")
+    chosen = picks.join(lx, "word").select(
+        row_id, "_p", F.try_element_at("synonyms", (F.floor(uniform(seed, F.col(row_id), F.concat(F.lit("s"), F.col("_p").cast("string")))
+                                                        * F.size("synonyms")) + 1).cast("int")).alias("_syn"))
+    edits = chosen.groupBy(row_id).agg(F.map_from_entries(F.collect_list(F.struct("_p", "_syn"))).alias("_m"))
+    d = d.join(edits, row_id, "left")
+    edited = F.array_join(F.transform("_w", lambda w, i: F.coalesce(F.try_element_at(F.col("_m"), i), w)), " ")
+    # the map lookup above is keyed by position: element_at(map, key)
+    return d.withColumn(text_col, F.when(F.col("_sel").isNotNull(), edited).otherwise(F.col(text_col))) \
+        .drop("_w", "_sel", "_m", row_id)
+
+
+def random_insertion(df: DataFrame, lexicon: DataFrame, text_col: str, key: Column, tag: str,
+                     apply: Column | None = None, seed: int = SEED, key_col: str = "_ekey") -> DataFrame:
+    """A synonym of a random word is inserted at a random position (0..len); no-op without one."""
+    d = df.withColumn(key_col, _ekey(key, tag)).withColumn("_w", tokenize_words(F.col(text_col)))
+    n = F.size("_w")
+    on = (n > 0) if apply is None else (apply & (n > 0))
+    d = d.withColumn("_i", F.when(on, F.floor(uniform(seed, F.col(key_col), "pos") * n).cast("int")))
+    d = _lookup(d, lexicon, F.try_element_at("_w", F.col("_i") + 1), key_col)
+    syn = F.try_element_at("_syns", (F.floor(uniform(seed, F.col(key_col), "syn") * F.size("_syns")) + 1).cast("int"))
+    at = (F.floor(uniform(seed, F.col(key_col), "at") * (n + 1)) + 1).cast("int")
+    ins = F.array_join(F.array_insert("_w", at, syn), " ")
+    out = F.when(F.col("_i").isNull(), F.col(text_col)).when(F.col("_syns").isNull(), F.array_join("_w", " ")).otherwise(ins)
+    return d.withColumn(text_col, out).drop("_w", "_i", "_syns", key_col)
+
+
+def random_deletion(df: DataFrame, text_col: str, key: Column, tag: str, p: float = 0.1,
+                    apply: Column | None = None, seed: int = SEED) -> DataFrame:
+    """Each word is dropped with probability p; texts under 4 words are unchanged; if every word
+    goes, one random word is kept."""
+    k = _ekey(key, tag)
+    w = tokenize_words(F.col(text_col))
+    d = df.withColumn("_k", k).withColumn("_w", w)
+    kept = F.filter("_w", lambda x, i: uniform(seed, F.col("_k"), F.concat(F.lit("d"), i.cast("string"))) > p)
+    d = d.withColumn("_kept", kept)
+    one = F.array(F.try_element_at("_w", (F.floor(uniform(seed, F.col("_k"), "keep") * F.size("_w")) + 1).cast("int")))
+    res = F.array_join(F.when(F.size("_kept") > 0, F.col("_kept")).otherwise(one), " ")
+    on = F.size("_w") >= 4 if apply is None else (apply & (F.size("_w") >= 4))
+    return d.withColumn(text_col, F.when(on, res).otherwise(F.col(text_col))).drop("_k", "_w", "_kept")
+
+
+def random_swap_segments(df: DataFrame, text_col: str, key: Column, tag: str, segments: int = 3,
+                         apply: Column | None = None, seed: int = SEED) -> DataFrame:
+    """Cut into runs of len // segments words (a remainder makes an extra run), shuffle the runs;
+    texts shorter than ``segments`` words are unchanged."""
+    d = df.withColumn("_k", _ekey(key, tag)).withColumn("_w", tokenize_words(F.col(text_col)))
+    n = F.size("_w")
+    size = F.greatest(F.lit(1), (n / segments).cast("int"))
+    d = d.withColumn("_sz", size)
+    n_runs = F.ceil(n / F.col("_sz")).cast("int")
+    runs = F.transform(F.sequence(F.lit(0), F.greatest(n_runs - 1, F.lit(0))), lambda j: F.struct(
+        uniform(seed, F.col("_k"), F.concat(F.lit("r"), j.cast("string"))).alias("u"), j.alias("j"),
+        F.slice("_w", j * F.col("_sz") + 1, F.col("_sz")).alias("run")))
+    shuffled = F.array_join(F.flatten(F.transform(F.array_sort(runs), lambda s: s["run"])), " ")
+    on = n >= segments if apply is None else (apply & (n >= segments))
+    return d.withColumn(text_col, F.when(on, shuffled).otherwise(F.col(text_col))).drop("_k", "_w", "_sz")
+
+
+def fast_augment(df: DataFrame, lexicon: DataFrame, text_col: str, key: Column, heavy: Column,
+                 seed: int = SEED) -> DataFrame:
+    """Synonym replacement (ratio 0.20 heavy / 0.10), then insertion (heavy) or deletion, then a
+    segment shuffle with probability 0.5 — each step on the previous step's text."""
+    d = df.withColumn("_heavy", heavy)
+    d = synonym_replace_ratio(d, lexicon, text_col, key, "fa1h", 0.20, F.col("_heavy"), seed)
+    d = synonym_replace_ratio(d, lexicon, text_col, key, "fa1l", 0.10, ~F.col("_heavy"), seed)
+    d = random_insertion(d, lexicon, text_col, key, "fa2i", F.col("_heavy"), seed)
+    d = random_deletion(d, text_col, key, "fa2d", 0.1, ~F.col("_heavy"), seed)
+    coin = uniform(seed, _ekey(key, "fa3"), "coin") < 0.5
+    d = random_swap_segments(d, text_col, key, "fa3s", 3, coin, seed)
+    return d.drop("_heavy")
+
+
+def rare_subset(df: DataFrame, targets: Sequence[str] = S.TARGETS, min_count: int = S.MIN_SAMPLES) -> DataFrame:
+    """Rows with a rare class (< min_count) in any target (class counts over ``df``)."""
+    return rare_flags(df, targets, min_count).filter(F.col("is_rare")).drop("is_rare", "is_heavy")
+
+
+def augment_rare_rows(rare_rows: DataFrame, lexicon: DataFrame, text_col: str, key_col: str,
+                      rare_sets_from: DataFrame | None = None, targets: Sequence[str] = S.TARGETS,
+                      seed: int = SEED) -> DataFrame:
+    """Copies of the rare rows: 5 per row, 10 when heavy (a rare class under 25 rows in the rare
+    subset), each passed through ``fast_augment``. Returns only the new rows with ``aug_no`` >= 1.
+
+    Rare sets come from ``rare_sets_from`` (the full table) and the heavy test from the subset's own
+    counts, as in the reference flow."""
+    full = rare_sets_from if rare_sets_from is not None else rare_rows
+    tri_full = full.groupBy(*targets).agg(F.count(F.lit(1)).alias("_n"))
+    tri_sub = rare_rows.groupBy(*targets).agg(F.count(F.lit(1)).alias("_s"))
+    for i, tg in enumerate(targets):
+        tri_full = tri_full.withColumn(f"_f{i}", F.sum("_n").over(Window.partitionBy(tg)))  # totals in the full table
+        tri_sub = tri_sub.withColumn(f"_r{i}", F.sum("_s").over(Window.partitionBy(tg)))  # totals in the subset
+    t = tri_sub.join(tri_full, list(targets), "left")
+    heavy = F.lit(False)
+    for i in range(len(targets)):
+        heavy = heavy | ((F.col(f"_f{i}") < S.MIN_SAMPLES) & (F.col(f"_r{i}") < S.HEAVY_THRESHOLD))
+    flags = t.select(*targets, heavy.alias("is_heavy"))
+    d = rare_rows.join(flags, list(targets), "left")
+    copies = F.when(F.col("is_heavy"), S.RARE_MULTIPLIER * S.HEAVY_BONUS_MULTIPLIER).otherwise(S.RARE_MULTIPLIER)
+    d = d.withColumn("aug_no", F.explode(F.sequence(F.lit(1), copies)))
+    key = F.concat_ws(":", F.col(key_col).cast("string"), F.col("aug_no").cast("string"))
+    return fast_augment(d, lexicon, text_col, key, F.col("is_heavy"), seed)
+
+
+def select_for_transform(df: DataFrame, key_col: str, share: float = S.TRANSLATE_SHARE, seed: int = SEED) -> DataFrame:
+    """The seeded ``share`` of augmented rows that goes to the external text transform."""
+    k = F.concat_ws(":", F.col(key_col).cast("string"), F.col("aug_no").cast("string"))
+    return df.filter(uniform(seed, k, "transform") < share)
+
+
+def batch_transform(df: DataFrame, fn, text_col: str, key_cols: list[str], chunk: int = S.TRANSLATE_CHUNK) -> DataFrame:
+    """Run a caller's list->list text function over chunks of ``chunk`` texts (Arrow batches)."""
+    from tixprep.operators.udf import map_batch
+    return map_batch(df, fn, text_col, key_cols, chunk, out="new_text")
+
+
+def writeback_by_id(df: DataFrame, new: DataFrame, text_col: str, key_cols: list[str]) -> DataFrame:
+    """Replace ``text_col`` on the rows present in ``new`` (key_cols, new_text)."""
+    j = df.join(new.select(*key_cols, "new_text"), key_cols, "left")
+    return j.withColumn(text_col, F.coalesce("new_text", F.col(text_col))).drop("new_text")

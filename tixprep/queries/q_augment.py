@@ -1 +1,223 @@
-"""placeholder"""
+"""§2.3 lexicon/write-back, §2.7 union, §2.9 balancing and augmentation, §2.12 table function."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tixprep import schema as S
+from tixprep.oracle import d_uniform, d_words
+from tixprep.operators import augment as A
+from tixprep.queries import query
+from tixprep.queries.common import BASE_CTE, MERGED_CTE, base, merged, sql
+from tixprep.sources.tables import read_table
+
+TG = S.TARGETS
+
+
+def lexicon(spark, sf):
+    """Synonym lexicon derived from the vocabulary of the ``benchmark`` passages."""
+    return A.synonym_lexicon(A.vocabulary_synsets(read_table(spark, sf, "benchmark"), "text"))
+
+
+def _h32(seed, key, tag):
+    return f"('0x' || substr(md5(concat_ws('|', '{seed}', CAST({key} AS VARCHAR), '{tag}')), 1, 8))::BIGINT"
+
+
+LEX_CTES = [
+    f"""bw AS (SELECT DISTINCT w AS lemma FROM (SELECT unnest({d_words('lower(text)')}) AS w FROM benchmark)
+       WHERE regexp_full_match(w, '\\p{{L}}+') AND length(w) > 3)""",
+    "ns AS (SELECT greatest(1, floor(count(*) / 3))::BIGINT AS k FROM bw)",
+    f"pairs AS (SELECT {_h32(7, 'lemma', 'synset')} % k AS synset, lemma FROM bw, ns)",
+    "mem AS (SELECT synset, list(DISTINCT lower(replace(lemma, '_', ' '))) AS members FROM pairs GROUP BY synset)",
+    "keyed AS (SELECT DISTINCT synset, lower(lemma) AS word FROM pairs)",
+    """lex0 AS (SELECT word, list_sort(list_distinct(flatten(list(members)))) AS syns FROM keyed JOIN mem USING (synset) GROUP BY word)""",
+    "lex AS (SELECT word, list_filter(syns, lambda x: x <> word) AS synonyms FROM lex0 WHERE len(list_filter(syns, lambda x: x <> word)) > 0)",
+]
+
+
+@query("synonym_lexicon", "WITH " + ",\n".join(LEX_CTES) + """
+SELECT word, len(synonyms)::INTEGER AS n_synonyms, array_to_string(synonyms, '|') AS synonyms_joined FROM lex""")
+def q_synonym_lexicon(spark, sf):
+    lx = lexicon(spark, sf)
+    return lx.select("word", F.size("synonyms").cast("int").alias("n_synonyms"), F.array_join("synonyms", "|").alias("synonyms_joined"))
+
+
+_SR_KEY = "(CAST(number_fld AS VARCHAR) || '|sr')"
+
+
+@query("synonym_replace", sql(BASE_CTE, *LEX_CTES, body=f"""
+WITH r AS (SELECT number_fld, description, {d_words('description')} AS words FROM base),
+r2 AS (SELECT *, len(words) AS n, floor({d_uniform(7, _SR_KEY, 'pos')} * len(words))::INTEGER AS idx,
+              {d_uniform(7, _SR_KEY, 'syn')} AS us FROM r),
+j AS (SELECT r2.*, lex.synonyms FROM r2 LEFT JOIN lex ON lex.word = r2.words[r2.idx + 1])
+SELECT number_fld, CASE WHEN n = 0 THEN description ELSE array_to_string(list_transform(words, lambda x, i:
+   CASE WHEN i - 1 = idx AND synonyms IS NOT NULL THEN synonyms[floor(us * len(synonyms))::INTEGER + 1] ELSE x END), ' ') END
+   AS description
+FROM j"""))
+def q_synonym_replace(spark, sf):
+    d = base(spark, sf).select("number_fld", "description")
+    return A.synonym_replace(d, lexicon(spark, sf), "description", F.col("number_fld"), "sr")
+
+
+_RD_KEY = "(CAST(number_fld AS VARCHAR) || '|rd')"
+
+
+@query("random_deletion", sql(BASE_CTE, body=f"""
+WITH r AS (SELECT number_fld, description, {d_words('description')} AS words FROM base),
+k AS (SELECT *, list_filter(words, lambda x, i: ('0x' || substr(md5(concat_ws('|', '7', {_RD_KEY}, 'd' || CAST(i - 1 AS VARCHAR))), 1, 8))::BIGINT
+                 / 4294967296.0::DOUBLE > 0.1) AS kept FROM r)
+SELECT number_fld, CASE WHEN len(words) < 4 THEN description
+  WHEN len(kept) > 0 THEN array_to_string(kept, ' ')
+  ELSE words[floor({d_uniform(7, _RD_KEY, 'keep')} * len(words))::INTEGER + 1] END AS description
+FROM k"""))
+def q_random_deletion(spark, sf):
+    d = base(spark, sf).select("number_fld", "description")
+    return A.random_deletion(d, "description", F.col("number_fld"), "rd")
+
+
+_SW_KEY = "(CAST(number_fld AS VARCHAR) || '|sw')"
+
+
+@query("random_swap_segments", sql(BASE_CTE, body=f"""
+WITH r AS (SELECT number_fld, description, {d_words('description')} AS words FROM base),
+s AS (SELECT *, len(words) AS n, greatest(1, len(words) // 3) AS sz FROM r),
+t AS (SELECT *, list_transform(range(0, greatest(ceil(n / sz)::BIGINT - 1, 0) + 1), lambda j:
+        {{'u': ('0x' || substr(md5(concat_ws('|', '7', {_SW_KEY}, 'r' || CAST(j AS VARCHAR))), 1, 8))::BIGINT / 4294967296.0::DOUBLE,
+         'j': j, 'run': words[j * sz + 1 : j * sz + sz]}}) AS runs FROM s)
+SELECT number_fld, CASE WHEN n < 3 THEN description
+  ELSE array_to_string(flatten(list_transform(list_sort(runs), lambda x: x.run)), ' ') END AS description
+FROM t"""))
+def q_random_swap_segments(spark, sf):
+    d = base(spark, sf).select("number_fld", "description")
+    return A.random_swap_segments(d, "description", F.col("number_fld"), "sw")
+
+
+@query("synonym_replace_ratio")
+def q_synonym_replace_ratio(spark, sf):
+    d = base(spark, sf).select("number_fld", "description")
+    return A.synonym_replace_ratio(d, lexicon(spark, sf), "description", F.col("number_fld"), "rr", 0.15)
+
+
+@query("random_insertion")
+def q_random_insertion(spark, sf):
+    d = base(spark, sf).select("number_fld", "description")
+    return A.random_insertion(d, lexicon(spark, sf), "description", F.col("number_fld"), "ri")
+
+
+@query("synonym_replace_fields")
+def q_synonym_replace_fields(spark, sf):
+    from tixprep.operators.fields import combine_text7, fill_defaults
+    d = combine_text7(fill_defaults(base(spark, sf), "main")).select("number_fld", "short_description", "description", "combined_text")
+    return A.synonym_replace_fields(d, lexicon(spark, sf), "combined_text", F.col("number_fld"), "sf")
+
+
+@query("fast_augment")
+def q_fast_augment(spark, sf):
+    d = A.rare_flags(base(spark, sf)).select("number_fld", "description", "is_heavy")
+    return A.fast_augment(d, lexicon(spark, sf), "description", F.col("number_fld"), F.col("is_heavy"))
+
+
+@query("oversample_minority", sql(BASE_CTE, MERGED_CTE, body="""
+WITH c AS (SELECT category, count(*) AS n FROM merged GROUP BY category),
+f AS (SELECT category, n < max(n) OVER () * 0.3 AND category <> 'Other' AS minor FROM c)
+SELECT m.number_fld, m.category, unnest(range(0, CASE WHEN f.minor THEN 3 ELSE 1 END))::INTEGER AS copy_no
+FROM merged m JOIN f USING (category)"""))
+def q_oversample_minority(spark, sf):
+    d = merged(spark, sf)
+    out = A.oversample_minority(d, lexicon(spark, sf), "category", "description", "number_fld")
+    return out.select("number_fld", "category", F.col("copy_no").cast("int").alias("copy_no"))
+
+
+CHAIN_CTE = """chain AS (
+  WITH t0 AS (SELECT category, subcategory, assignment_group, count(*) AS n FROM merged GROUP BY ALL),
+  t1 AS (SELECT *, CASE WHEN sum(n) OVER (PARTITION BY category) < max(tot) OVER () * 0.3 AND category <> 'Other' THEN 3 ELSE 1 END AS f1
+         FROM (SELECT *, sum(n) OVER (PARTITION BY category) AS tot FROM t0)),
+  t2 AS (SELECT *, CASE WHEN tot2 < max(tot2) OVER () * 0.3 AND subcategory <> 'Other' THEN 3 ELSE 1 END AS f2
+         FROM (SELECT *, sum(n * f1) OVER (PARTITION BY subcategory) AS tot2 FROM t1)),
+  t3 AS (SELECT *, CASE WHEN tot3 < max(tot3) OVER () * 0.3 AND assignment_group <> 'Other' THEN 3 ELSE 1 END AS f3
+         FROM (SELECT *, sum(n * f1 * f2) OVER (PARTITION BY assignment_group) AS tot3 FROM t2))
+  SELECT category, subcategory, assignment_group, n, f1, f2, f3 FROM t3
+)"""
+
+
+@query("oversample_chain", sql(BASE_CTE, MERGED_CTE, CHAIN_CTE, body="""
+SELECT src_id, (i1 * 10000 + i2 * 100 + i3)::INTEGER AS aug_no, category, subcategory, assignment_group FROM (
+  SELECT m.number_fld AS src_id, m.category, m.subcategory, m.assignment_group,
+         unnest(range(0, c.f1)) AS i1, c.f2, c.f3 FROM merged m JOIN chain c USING (category, subcategory, assignment_group))
+  , LATERAL (SELECT unnest(range(0, f2)) AS i2), LATERAL (SELECT unnest(range(0, f3)) AS i3)"""))
+def q_oversample_chain(spark, sf):
+    from tixprep.operators.fields import combine_text7, fill_defaults
+    d = combine_text7(fill_defaults(merged(spark, sf), "main"))
+    out = A.oversample_chain(d, lexicon(spark, sf), "combined_text", "number_fld")
+    return out.select(F.col("number_fld").alias("src_id"), "aug_no", *TG)
+
+
+_RARE_CTE = """rare AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY category) AS nc, count(*) OVER (PARTITION BY subcategory) AS ns,
+    count(*) OVER (PARTITION BY assignment_group) AS ng FROM base) WHERE nc < 50 OR ns < 50 OR ng < 50)"""
+
+
+@query("rare_subset", sql(BASE_CTE, _RARE_CTE, body="SELECT number_fld, category, subcategory, assignment_group FROM rare"))
+def q_rare_subset(spark, sf):
+    return A.rare_subset(base(spark, sf)).select("number_fld", *TG)
+
+
+_AUG_CTE = """aug AS (SELECT number_fld AS src_id, category, subcategory, assignment_group,
+    unnest(range(1, CASE WHEN heavy THEN 10 ELSE 5 END + 1))::INTEGER AS aug_no FROM (
+      SELECT *, (nc < 50 AND count(*) OVER (PARTITION BY category) < 25) OR (ns < 50 AND count(*) OVER (PARTITION BY subcategory) < 25)
+             OR (ng < 50 AND count(*) OVER (PARTITION BY assignment_group) < 25) AS heavy FROM rare))"""
+
+
+def _aug(spark, sf):
+    b = base(spark, sf)
+    from tixprep.operators.fields import combine_text2
+    rare = combine_text2(A.rare_subset(b))
+    return A.augment_rare_rows(rare, lexicon(spark, sf), "combined_text", "number_fld", rare_sets_from=b), rare
+
+
+@query("augment_rare_rows", sql(BASE_CTE, _RARE_CTE, _AUG_CTE, body="SELECT src_id, aug_no, category, subcategory, assignment_group FROM aug"))
+def q_augment_rare_rows(spark, sf):
+    aug, _ = _aug(spark, sf)
+    return aug.select(F.col("number_fld").alias("src_id"), F.col("aug_no").cast("int").alias("aug_no"), *TG)
+
+
+@query("union_augmented", sql(BASE_CTE, _RARE_CTE, _AUG_CTE, body="""
+SELECT number_fld AS src_id, 0 AS aug_no, category FROM rare UNION ALL SELECT src_id, aug_no, category FROM aug"""))
+def q_union_augmented(spark, sf):
+    aug, rare = _aug(spark, sf)
+    u = A.union_augmented(rare.withColumn("aug_no", F.lit(0)), aug)
+    return u.select(F.col("number_fld").alias("src_id"), F.col("aug_no").cast("int").alias("aug_no"), "category")
+
+
+@query("select_for_transform", sql(BASE_CTE, _RARE_CTE, _AUG_CTE, body=f"""
+SELECT src_id, aug_no FROM aug WHERE {d_uniform(7, "(CAST(src_id AS VARCHAR) || ':' || CAST(aug_no AS VARCHAR))", 'transform')} < 0.5"""))
+def q_select_for_transform(spark, sf):
+    aug, _ = _aug(spark, sf)
+    sel = A.select_for_transform(aug, "number_fld")
+    return sel.select(F.col("number_fld").alias("src_id"), F.col("aug_no").cast("int").alias("aug_no"))
+
+
+def _upper_words(texts: list[str]) -> list[str]:
+    """Stand-in for an external text model (list -> list of the same length)."""
+    return [t.upper() if t is not None else None for t in texts]
+
+
+@query("batch_transform")
+def q_batch_transform(spark, sf):
+    aug, _ = _aug(spark, sf)
+    sel = A.select_for_transform(aug, "number_fld")
+    return A.batch_transform(sel, _upper_words, "combined_text", ["number_fld", "aug_no"])
+
+
+@query("writeback_by_id")
+def q_writeback_by_id(spark, sf):
+    aug, _ = _aug(spark, sf)
+    new = A.batch_transform(A.select_for_transform(aug, "number_fld"), _upper_words, "combined_text", ["number_fld", "aug_no"])
+    return A.writeback_by_id(aug, new, "combined_text", ["number_fld", "aug_no"]).select("number_fld", "aug_no", "combined_text")
+
+
+@query("per_key_copies", sql(BASE_CTE, body="""
+SELECT number_fld, unnest(range(0, length(category)))::INTEGER AS copy_no FROM base"""))
+def q_per_key_copies(spark, sf):
+    from tixprep.operators.udf import per_key_copies
+    d = base(spark, sf).select("number_fld", F.length("category").alias("k"))
+    return per_key_copies(d, "k").select("number_fld", F.col("copy_no").cast("int").alias("copy_no"))
