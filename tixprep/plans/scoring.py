@@ -1,0 +1,13 @@
+"""Table scoring: clean all seven fields, join them, score with the three-head model, decode."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from tixprep.operators.fields import combine_text7_clean
+from tixprep.operators.score import score_multi_head
+
+
+def score_tickets(tickets: DataFrame, model, dictionary: DataFrame, key: str = "number_fld") -> DataFrame:
+    t = combine_text7_clean(tickets).withColumnRenamed("combined_text", "text")
+    return score_multi_head(model, t, dictionary, keep=[key])

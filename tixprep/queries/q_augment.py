@@ -221,3 +221,11 @@ def q_per_key_copies(spark, sf):
     from tixprep.operators.udf import per_key_copies
     d = base(spark, sf).select("number_fld", F.length("category").alias("k"))
     return per_key_copies(d, "k").select("number_fld", F.col("copy_no").cast("int").alias("copy_no"))
+
+
+@query("prepare_rare_set")
+def q_prepare_rare_set(spark, sf):
+    from tixprep.plans.rare import prepare_rare_set
+    from tixprep.queries.common import tk
+    samples, _ = prepare_rare_set(tk(spark, sf), lexicon(spark, sf))
+    return samples

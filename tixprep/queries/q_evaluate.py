@@ -1 +1,202 @@
-"""placeholder"""
+"""§2.10 label, feature, scoring and evaluation tables; §2.1 bundle and report I/O; the
+training-set flagship; §2.12 UDF surface."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tixprep import schema as S
+from tixprep.operators import encode as EN
+from tixprep.operators import evaluate as EV
+from tixprep.queries import query
+from tixprep.queries.common import BASE_CTE, MERGED_CTE, base, merged, sql, tk
+from tixprep.sources import io as IO
+from tixprep.sources.tables import read_table
+
+_LOGITS = """lg AS (SELECT vec_id AS id, embedding[1:4] AS cat_logits, (label % 4)::INTEGER AS cat_label,
+  embedding[5:10] AS sub_logits, (label % 6)::INTEGER AS sub_label, embedding[11:20] AS grp_logits,
+  (label % 10)::INTEGER AS grp_label, 1.0 + label / 10.0 AS weight FROM embeddings)"""
+
+
+def _ce(lg, lb):
+    m = f"list_max({lg})"
+    return (f"({m} + ln(list_sum(list_transform({lg}, lambda x: exp(x - {m})))) - {lg}[{lb} + 1])")
+
+
+_LOSS = f"""ls AS (SELECT id, {_ce('cat_logits', 'cat_label')} * weight AS l0, {_ce('sub_logits', 'sub_label')} * weight AS l1,
+  {_ce('grp_logits', 'grp_label')} * weight AS l2,
+  list_position(cat_logits, list_max(cat_logits)) - 1 AS p0, list_position(sub_logits, list_max(sub_logits)) - 1 AS p1,
+  list_position(grp_logits, list_max(grp_logits)) - 1 AS p2, cat_label, sub_label, grp_label FROM lg)"""
+
+
+def _logits(spark, sf):
+    return EV.logits_from_vectors(read_table(spark, sf, "embeddings"), "embedding", "label", "vec_id")
+
+
+@query("weighted_cross_entropy", f"""WITH {_LOGITS}, {_LOSS}
+SELECT round(avg(l0), 9) AS cat_loss, round(avg(l1), 9) AS sub_loss, round(avg(l2), 9) AS grp_loss,
+       round((avg(l0) + avg(l1) + avg(l2)) / 3.0, 9) AS total_loss FROM ls""")
+def q_weighted_cross_entropy(spark, sf):
+    d = EV.weighted_cross_entropy(_logits(spark, sf))
+    return d.select(*[F.round(c, 9).alias(c) for c in d.columns])
+
+
+@query("head_accuracy", f"""WITH {_LOGITS}, {_LOSS}
+SELECT round(avg((p0 = cat_label)::DOUBLE), 9) AS cat_acc, round(avg((p1 = sub_label)::DOUBLE), 9) AS sub_acc,
+       round(avg((p2 = grp_label)::DOUBLE), 9) AS grp_acc FROM ls""")
+def q_head_accuracy(spark, sf):
+    d = EV.head_accuracy(_logits(spark, sf))
+    return d.select(*[F.round(c, 9).alias(c) for c in d.columns])
+
+
+@query("batch_mean_loss", f"""WITH {_LOGITS}, {_LOSS},
+b AS (SELECT (row_number() OVER (ORDER BY id) - 1) // 128 AS batch, (l0 + l1 + l2) / 3.0 AS loss FROM ls),
+bb AS (SELECT batch, avg(loss) AS bl FROM b GROUP BY batch)
+SELECT round(avg(bl), 9) AS val_loss, count(*) AS n_batches FROM bb""")
+def q_batch_mean_loss(spark, sf):
+    d = EV.batch_mean_loss(_logits(spark, sf))
+    return d.select(F.round("val_loss", 9).alias("val_loss"), "n_batches")
+
+
+def _epochs(spark, sf):
+    return EV.epoch_metrics(read_table(spark, sf, "embeddings"), "embedding", "label", "vec_id")
+
+
+@query("epoch_metrics")
+def q_epoch_metrics(spark, sf):
+    m = _epochs(spark, sf)
+    path = IO.scratch_path(spark, "metrics")
+    m.write.mode("append").parquet(path)  # the append-only metrics log
+    return spark.read.parquet(path)
+
+
+@query("early_stop_trace")
+def q_early_stop_trace(spark, sf):
+    return EV.early_stop_trace(_epochs(spark, sf))
+
+
+@query("truncation_rate", f"""SELECT round(avg((len({__import__('tixprep.oracle', fromlist=['d_words']).d_words('text')}) > 512)::DOUBLE), 9)
+  AS truncation_rate, count(*) AS n_texts FROM documents""")
+def q_truncation_rate(spark, sf):
+    d = EN.truncation_rate(read_table(spark, sf, "documents"), "text")
+    return d.select(F.round("truncation_rate", 9).alias("truncation_rate"), "n_texts")
+
+
+@query("encode_fixed_length")
+def q_encode_fixed_length(spark, sf):
+    b = base(spark, sf).select("number_fld", "description")
+    vocab = EN.vocabulary(b, "description")
+    out = EN.encode_fixed_length(b, "description", vocab, "number_fld")
+    return out.select("number_fld", F.size("input_ids").alias("n_ids"), F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_tokens"),
+                      F.slice("input_ids", 1, 8).alias("first_ids"))
+
+
+def _samples(spark, sf, oversample=True):
+    from tixprep.plans.prepare import prepare_training_set
+    from tixprep.queries.q_augment import lexicon
+    return prepare_training_set(tk(spark, sf), lexicon(spark, sf), oversample=oversample)
+
+
+@query("prepare_training_set")
+def q_prepare_training_set(spark, sf):
+    return _samples(spark, sf)
+
+
+@query("sink_bundle")
+def q_sink_bundle(spark, sf):
+    from tixprep.operators.sampling import stratified_split
+    s = stratified_split(_samples(spark, sf).withColumn("_k", F.concat_ws(":", "src_id", "aug_no")), "category", "_k").drop("_k")
+    d = EN.label_dictionary(s)
+    path = IO.sink_bundle(s, d, None, IO.scratch_path(spark, "bundle"))
+    samples, _ = IO.scan_bundle(spark, path)
+    return samples.select("src_id", "aug_no", "split", "category_code", "subcategory_code", "assignment_group_code", "sample_weight")
+
+
+@query("sink_bundle_wide")
+def q_sink_bundle_wide(spark, sf):
+    from tixprep.plans.prepare import prepare_training_set
+    from tixprep.queries.q_augment import lexicon
+    s = prepare_training_set(tk(spark, sf), lexicon(spark, sf), field_aware=True)
+    path = IO.sink_bundle(s, EN.label_dictionary(s), None, IO.scratch_path(spark, "bundle-wide"))
+    samples, _ = IO.scan_bundle(spark, path)
+    return samples
+
+
+@query("scan_bundle")
+def q_scan_bundle(spark, sf):
+    s = _samples(spark, sf, oversample=False)
+    d = EN.label_dictionary(s)
+    path = IO.sink_bundle(s, d, None, IO.scratch_path(spark, "bundle"))
+    _, dic = IO.scan_bundle(spark, path)
+    return EN.label_sizes(dic)
+
+
+@query("bundle_to_rows", sql(BASE_CTE, MERGED_CTE, body="""
+SELECT number_fld AS src_id, category, subcategory, assignment_group FROM merged"""))
+def q_bundle_to_rows(spark, sf):
+    s = _samples(spark, sf, oversample=False)
+    d = EN.label_dictionary(s)
+    codes = s.select("src_id", *[t + "_code" for t in S.TARGETS])
+    dec = EN.label_decode(codes, d, {t: t + "_code" for t in S.TARGETS})
+    return dec.select("src_id", *[F.col(f"{t}_label").alias(t) for t in S.TARGETS])
+
+
+@query("sink_report")
+def q_sink_report(spark, sf):
+    from tixprep.plans.report import profile_report
+    rep = profile_report(tk(spark, sf))
+    path = IO.sink_report(rep, IO.scratch_path(spark, "report"))
+    return spark.read.parquet(f"{path}/table")
+
+
+@query("table_profile")
+def q_table_profile(spark, sf):
+    from tixprep.plans.report import table_profile
+    return table_profile(tk(spark, sf))
+
+
+@query("association_matrix")
+def q_association_matrix(spark, sf):
+    from tixprep.operators.profile import association_matrix
+    d = tk(spark, sf)
+    return association_matrix(d, ["total_price", "value"], ["category", "subcategory", "priority"])
+
+
+@query("train_three_heads")
+def q_train_three_heads(spark, sf):
+    from tixprep.operators.sampling import stratified_split
+    from tixprep.operators.score import score_multi_head, train_three_heads
+    s = stratified_split(_samples(spark, sf).withColumn("_k", F.concat_ws(":", "src_id", "aug_no")), "category", "_k")
+    model = train_three_heads(s.filter(F.col("split") == "train"))
+    val = s.filter(F.col("split") == "val")
+    return score_multi_head(model, val, EN.label_dictionary(s), keep=["src_id", "aug_no", "category"])
+
+
+@query("score_multi_head")
+def q_score_multi_head(spark, sf):
+    from tixprep.operators.fields import combine_text7_clean
+    from tixprep.operators.score import score_multi_head, train_three_heads
+    s = _samples(spark, sf, oversample=False)
+    model = train_three_heads(s)
+    t = combine_text7_clean(tk(spark, sf)).withColumnRenamed("combined_text", "text")
+    return score_multi_head(model, t, EN.label_dictionary(s), keep=["number_fld"])
+
+
+@query("map_text")
+def q_map_text(spark, sf):
+    from tixprep.operators.udf import map_text
+    return map_text(read_table(spark, sf, "documents").select("doc_id", "text"), "text", lambda s: s.str.len().astype(str), "n_chars_text")
+
+
+@query("map_row")
+def q_map_row(spark, sf):
+    from tixprep.operators.udf import map_row
+    d = read_table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    return map_row(d, lambda b: b.assign(o_totalprice=b.o_totalprice.round(0)), d.schema)
+
+
+@query("map_batch")
+def q_map_batch(spark, sf):
+    from tixprep.operators.udf import map_batch
+    d = read_table(spark, sf, "documents").select("doc_id", "text")
+    return map_batch(d, lambda ts: [t[::-1] for t in ts], "text", ["doc_id"], 100)
