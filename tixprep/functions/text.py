@@ -86,8 +86,12 @@ CLEANERS = {"basic": clean_basic, "profile": clean_profile, "strict": clean_stri
 
 
 def tokenize_words(c) -> Column:
-    """Whitespace split with no empty words (``s.split()``)."""
-    return F.filter(F.split(normalize_space(nz(c)), " "), lambda x: x != "")
+    """Whitespace split with no empty words (``s.split()``).
+
+    After normalisation words are separated by exactly one space with none at the ends, so a
+    plain ``split`` is exact; only the empty text needs care. No lambda: stays in codegen."""
+    t = normalize_space(nz(c))
+    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, " "))
 
 
 def split_fields(c, sep: str = SEP) -> Column:

@@ -61,18 +61,18 @@ def synonym_replace(df: DataFrame, lexicon: DataFrame, text_col: str, key: Colum
     """One word at a seeded random position becomes a seeded random synonym (no-op without one).
 
     As in ``' '.join(words)``, an edited text is whitespace-normalised even when nothing was
-    replaced; an empty text is returned unchanged."""
-    words = tokenize_words(F.col(text_col))
+    replaced; an empty text is returned unchanged. Rows outside ``apply`` are not tokenized at all,
+    and the replacement is ``slice``/``concat`` (no per-word lambda)."""
     d = df.withColumn(key_col, F.concat_ws("|", key.cast("string"), F.lit(tag)))
-    d = d.withColumn("_w", words)
+    words = tokenize_words(F.col(text_col))
+    d = d.withColumn("_w", words if apply is None else F.when(apply, words))
     n = F.size("_w")
     idx = F.floor(uniform(seed, F.col(key_col), "pos") * n).cast("int")
-    on = (n > 0) if apply is None else (apply & (n > 0))
-    d = d.withColumn("_i", F.when(on, idx))
+    d = d.withColumn("_i", F.when(F.col("_w").isNotNull() & (n > 0), idx))
     d = _lookup(d, lexicon, F.try_element_at("_w", F.col("_i") + 1), key_col)
     pick = F.try_element_at("_syns", (F.floor(uniform(seed, F.col(key_col), "syn") * F.size("_syns")) + 1).cast("int"))
-    edited = F.array_join(
-        F.transform("_w", lambda w, i: F.when((i == F.col("_i")) & F.col("_syns").isNotNull(), pick).otherwise(w)), " ")
+    replaced = F.concat(F.slice("_w", 1, F.col("_i")), F.array(pick), F.slice("_w", F.col("_i") + 2, n))
+    edited = F.array_join(F.when(F.col("_syns").isNotNull(), replaced).otherwise(F.col("_w")), " ")
     return d.withColumn(text_col, F.when(F.col("_i").isNotNull(), edited).otherwise(F.col(text_col))) \
         .drop("_w", "_i", "_syns", key_col)
 

@@ -71,7 +71,12 @@ def prepare_training_set(tickets: DataFrame, lexicon: DataFrame | None, oversamp
                          field_aware: bool = False, seed: int = A.SEED) -> DataFrame:
     """Samples table: (src_id, aug_no, text, three labels, three codes, sample_weight)."""
     rows = base_rows(tickets)
-    plan = triple_plan(rows, T, oversample=oversample)
+    # Both small tables are written once: the planner then knows their real size and broadcasts
+    # them (spark.sql.autoBroadcastJoinThreshold is the size check; beyond it, a sort-merge join),
+    # so the long-text rows are never shuffled for these joins.
+    plan = cut_lineage(triple_plan(rows, T, oversample=oversample))
+    if lexicon is not None:
+        lexicon = cut_lineage(lexicon)
     d = rows.join(plan, on=list(T), how="left")
     d = d.select(*[c for c in d.columns if c not in T and not c.startswith("m_") and c not in ("n", "n_final")],
                  *[F.col("m_" + t).alias(t) for t in T])
