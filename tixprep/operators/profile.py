@@ -137,8 +137,11 @@ def quantiles(df: DataFrame, col: str, qs: Sequence[float] = (0.25, 0.5, 0.75))
     return row.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
 
 
-def describe_column(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
-    """count, mean, std (ddof 1), min, 25/50/75 %, max of one column, one row."""
+def describe_column(df: DataFrame, col: str, name: str | None = None, snapshot: bool = True) -> DataFrame:
+    """count, mean, std (ddof 1), min, 25/50/75 %, max of one column, one row. The single column
+    is written once first (``snapshot``) so the quantile subqueries do not re-run the upstream plan."""
+    if snapshot:
+        df = cut_lineage(df.select(col))
     base = df.agg(F.count(col).alias("count"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"),
                   F.min(col).cast("double").alias("min"), F.max(col).cast("double").alias("max"))
     qr = quantile_row(df, col).select(F.struct("q0", "q1", "q2").alias("s")).scalar()
@@ -154,7 +157,7 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, snapshot:
         df = cut_lineage(df.select(*cols))
     out = None
     for c in cols:
-        d = describe_column(df, c)
+        d = describe_column(df, c, snapshot=False)
         out = d if out is None else out.unionByName(d)
     return out
 
@@ -166,7 +169,7 @@ def text_length_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     lens = cut_lineage(df.select(*[char_length_nan(c).alias(f"_l{i}") for i, c in enumerate(cols)]))
     out = None
     for i, c in enumerate(cols):
-        d = describe_column(lens.select(F.col(f"_l{i}").alias("len")), "len", c)
+        d = describe_column(lens.select(F.col(f"_l{i}").alias("len")), "len", c, snapshot=False)
         out = d if out is None else out.unionByName(d)
     return out
 

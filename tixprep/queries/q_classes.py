@@ -249,3 +249,24 @@ def q_dual_dictionary_decode(spark, sf):
 
 
 _ = S
+
+
+@query("filter_any_rare", sql(BASE_CTE, body="""
+SELECT number_fld, category, subcategory, assignment_group FROM (
+  SELECT *, count(*) OVER (PARTITION BY category) AS nc, count(*) OVER (PARTITION BY subcategory) AS ns,
+         count(*) OVER (PARTITION BY assignment_group) AS ng FROM base)
+WHERE nc < 50 OR ns < 50 OR ng < 50"""))
+def q_filter_any_rare(spark, sf):
+    from tixprep.operators.augment import rare_flags
+    return rare_flags(base(spark, sf)).filter("is_rare").select("number_fld", *TG)
+
+
+@query("sample_weight_describe", sql(BASE_CTE, MERGED_CTE, _W_SQL.strip(), body="""
+SELECT 'sample_weight' AS column_name, count(x) AS count, round(avg(x), 9) AS mean, round(stddev_samp(x), 9) AS std,
+       round(min(x), 9) AS min, round(quantile_cont(x, 0.25), 9) AS p25, round(quantile_cont(x, 0.5), 9) AS p50,
+       round(quantile_cont(x, 0.75), 9) AS p75, round(max(x), 9) AS max
+FROM (SELECT least(10.0, greatest(1.0, pow(w0 * w1 * w2, 1.0 / 3.0))) AS x FROM v)"""))
+def q_sample_weight_describe(spark, sf):
+    from tixprep.operators.profile import describe_column
+    d = describe_column(C.sample_weights(merged(spark, sf)), "sample_weight")
+    return d.select("column_name", "count", *[F.round(c, 9).alias(c) for c in ["mean", "std", "min", "p25", "p50", "p75", "max"]])
