@@ -88,7 +88,7 @@ def prepare_training_set(tickets: DataFrame, lexicon: DataFrame | None, oversamp
     else:
         d = d.withColumn("aug_no", F.lit(0)).drop("f1", "f2", "f3")
     cols = [F.col(S.NUMBER).alias("src_id"), "aug_no", F.col("combined_text").alias("text"), *T,
-            *[t + "_code" for t in T], "sample_weight"]
+            *[t + "_code" for t in T], F.round("sample_weight", 12).alias("sample_weight")]
     if field_aware:
         cols += [S.SHORT, S.DESC, *S.META_FIELDS]
     return d.select(*cols)
