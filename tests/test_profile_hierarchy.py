@@ -40,3 +40,12 @@ def test_zero_filled_and_threshold_report(spark):
     assert z.count() == 8 and z.agg(F.sum("n")).collect()[0][0] == 3
     rep = {(r.kind, r.threshold): r.combos_below for r in H.combo_threshold_report(d).collect()}
     assert rep[("count", 5.0)] == 2 and rep[("percentage", 0.5)] == 0
+
+
+def test_quantiles_with_outliers_negatives_zeros(spark):
+    vals = [0.0] * 5 + [-3.5, -1e9, 1e12, 7.0, 7.0, 2.0 ** 10, 2.0 ** 10 - 1e-9, 1e-300, -0.0] + [float(i) / 7 for i in range(50)]
+    d = spark.createDataFrame([(v,) for v in vals], "x double")
+    qs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
+    got = {r.q: r.value for r in P.quantiles(d, "x", qs).collect()}
+    for q in qs:
+        assert abs(got[q] - np.quantile(np.array(vals), q)) <= 1e-9 * max(1.0, abs(np.quantile(np.array(vals), q)))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tixprep import schema as S
 from tixprep.functions.text import tokenize_words
+from tixprep.operators.ranking import global_rank
 
 
 def label_dictionary(df: DataFrame, targets: Sequence[str] = S.TARGETS) -> DataFrame:
@@ -60,8 +61,11 @@ def vocabulary(df: DataFrame, text_col: str, reserved: int = 2) -> DataFrame:
     """(word, token_id): ids by descending frequency then word; 0 = padding, 1 = unknown."""
     words = df.select(F.explode(tokenize_words(F.col(text_col))).alias("word"))
     cnt = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.orderBy(F.desc("n"), F.asc("word"))
-    return cnt.select("word", (F.row_number().over(w) - 1 + reserved).cast("int").alias("token_id"))
+    # exact dense numbering in (n desc, word) order without a single-partition window: buckets
+    # (-n, first two characters) are a prefix of that order
+    cnt = cnt.withColumn("_neg", -F.col("n")).withColumn("_pfx", F.substring("word", 1, 2))
+    r = global_rank(cnt, ["_neg", "_pfx"], [F.col("word")], out="_r")
+    return r.select("word", (F.col("_r") - 1 + reserved).cast("int").alias("token_id"))
 
 
 def encode_fixed_length(df: DataFrame, text_col: str, vocab: DataFrame, id_col: str,

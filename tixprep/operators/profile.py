@@ -20,7 +20,20 @@ from tixprep.functions.math import clip
 from tixprep.functions.text import char_length_nan, tokenize_words
 from tixprep.session import cut_lineage
 
-QUANTILE_BUCKETS = 4096
+MANTISSA_BITS = 12
+
+
+def log_linear_bucket(v: Column) -> Column:
+    """Order-preserving bucket of a double: binary exponent and the top 12 mantissa bits.
+
+    Non-decreasing in ``v`` (at an exponent boundary a rounded log2 only moves the value to the
+    neighbouring bucket), and adaptive to magnitude, so an outlier does not squeeze the bulk of
+    the values into one bucket the way equal-width range buckets would."""
+    a = F.abs(v)
+    e = F.floor(F.log2(a))
+    k = e * (1 << MANTISSA_BITS) + F.floor((a / F.pow(F.lit(2.0), e) - 1.0) * (1 << MANTISSA_BITS))
+    off = F.lit(5_000_000)  # keys of positive values stay positive
+    return F.when(v > 0, k + off).when(v < 0, -(k + off)).otherwise(F.lit(0)).cast("bigint")
 
 
 def _unpivot(df: DataFrame, names: Sequence[str], fields: dict[str, str], name_col: str = "column_name") -> DataFrame:
@@ -106,15 +119,13 @@ def quantile_row(df: DataFrame, col: str, qs: Sequence[float] = (0.25, 0.5, 0.75
     """One row with one column per quantile (``q0``, ``q1``, …): exact linear-interpolation
     quantiles of the non-null values of ``col``.
 
-    Runs on the (value, count) table: range buckets of the value give a small table of bucket
-    sizes and offsets, a window partitioned by bucket gives each value's first rank, and one
+    Runs on the (value, count) table: order-preserving log-linear buckets of the value give a small
+    table of bucket sizes and offsets, a window partitioned by bucket gives each value's first rank, and one
     conditional aggregate picks the values at the wanted ranks. Nothing is gathered into one task."""
     v = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
     vc = v.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    st = vc.select(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("c").alias("n")).alias("s")).scalar()
-    lo, hi, n = st["lo"], st["hi"], st["n"]
-    width = F.when(hi > lo, hi - lo).otherwise(F.lit(1.0))
-    vb = vc.withColumn("b", F.least(F.lit(QUANTILE_BUCKETS - 1), F.floor((F.col("v") - lo) / width * QUANTILE_BUCKETS)).cast("int"))
+    n = vc.select(F.sum("c")).scalar()
+    vb = vc.withColumn("b", log_linear_bucket(F.col("v")))
     sizes = vb.groupBy("b").agg(F.sum("c").alias("bc"))
     offs = sizes.select("b", F.coalesce(F.sum("bc").over(
         Window.partitionBy(F.lit(0)).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("off"))

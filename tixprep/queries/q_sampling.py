@@ -52,7 +52,7 @@ WITH w AS (SELECT number_fld,
         sqrt(1.0 / count(*) OVER (PARTITION BY assignment_group)) AS c FROM merged),
 v AS (SELECT number_fld, least(10.0, greatest(1.0, pow((a / min(a) OVER ()) * (b / min(b) OVER ()) * (c / min(c) OVER ()), 1.0 / 3.0))) AS sw FROM w),
 iw AS (SELECT number_fld AS key, round(sw * 1e6)::BIGINT AS w,
-        (('0x' || substr(md5(concat_ws('|', '42', CAST(number_fld AS VARCHAR), 'bucket')), 1, 8))::BIGINT % 64) AS bk FROM v),
+        (('0x' || substr(md5(concat_ws('|', '42', CAST(number_fld AS VARCHAR), 'bucket')), 1, 8))::BIGINT % 65536) AS bk FROM v),
 iv AS (SELECT key, sum(w) OVER (ORDER BY bk, key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS lo0, w FROM iw),
 iv2 AS (SELECT key, coalesce(lo0, 0) AS lo, coalesce(lo0, 0) + w AS hi FROM iv),
 tot AS (SELECT sum(w) AS ww FROM iw),
