@@ -17,6 +17,7 @@ from tixprep import schema as S
 from tixprep.functions.hashing import hash32, uniform
 from tixprep.functions.text import ALPHA_WORD, split_fields, tokenize_words
 from tixprep.operators.classes import over_all
+from tixprep.session import dimension
 
 SEED = 7  # default augmentation seed
 
@@ -123,7 +124,7 @@ def oversample_minority(df: DataFrame, lexicon: DataFrame, target: str, text_col
     """One pass: each row of a minority class gets ``multiplier`` edited copies (``copy_no`` > 0)."""
     cc = df.filter(F.col(target).isNotNull()).groupBy(target).agg(F.count(F.lit(1)).alias("_tot"))
     mx = cc.select(F.max("_tot")).scalar()
-    flag = cc.select(target, ((F.col("_tot") < mx * factor) & (F.col(target) != exclude)).alias("_minor"))
+    flag = dimension(cc.select(target, ((F.col("_tot") < mx * factor) & (F.col(target) != exclude)).alias("_minor")))
     d = df.join(flag, on=target, how="left")
     reps = F.when(F.col("_minor"), F.lit(multiplier)).otherwise(F.lit(0))
     d = d.withColumn("copy_no", F.explode(F.sequence(F.lit(0), reps))).drop("_minor")
@@ -144,8 +145,8 @@ def oversample_chain(df: DataFrame, lexicon: DataFrame, text_col: str, key_col:
     if isinstance(factors, str) and factors == "attached":
         d = df  # the caller already joined f1..f3 onto the rows
     else:
-        fac = factors if factors is not None else oversample_factors(
-            df.groupBy(*targets).agg(F.count(F.lit(1)).alias("n")), targets)
+        fac = dimension(factors if factors is not None else oversample_factors(
+            df.groupBy(*targets).agg(F.count(F.lit(1)).alias("n")), targets))
         d = df.join(fac.select(*targets, *fcols), on=list(targets), how="left")
     edit = synonym_replace_fields if field_aware else synonym_replace
     path = [F.col(key_col).cast("string")]
@@ -176,7 +177,7 @@ def rare_flags(df: DataFrame, targets: Sequence[str] = S.TARGETS, min_count: int
         tri = tri.withColumn(f"_t{i}", F.sum("_n").over(Window.partitionBy(t)))
         rare = rare | (F.col(f"_t{i}") < min_count)
         heavy = heavy | ((F.col(f"_t{i}") < min_count) & (F.col(f"_t{i}") < heavy_below))
-    flags = tri.select(*targets, rare.alias("is_rare"), heavy.alias("is_heavy"))
+    flags = dimension(tri.select(*targets, rare.alias("is_rare"), heavy.alias("is_heavy")))
     return df.join(flags, on=list(targets), how="left")
 
 
@@ -299,7 +300,7 @@ def augment_rare_rows(rare_rows: DataFrame, lexicon: DataFrame, text_col: str, k
     heavy = F.lit(False)
     for i in range(len(targets)):
         heavy = heavy | ((F.col(f"_f{i}") < S.MIN_SAMPLES) & (F.col(f"_r{i}") < S.HEAVY_THRESHOLD))
-    flags = t.select(*targets, heavy.alias("is_heavy"))
+    flags = dimension(t.select(*targets, heavy.alias("is_heavy")))
     d = rare_rows.join(flags, list(targets), "left")
     copies = F.when(F.col("is_heavy"), S.RARE_MULTIPLIER * S.HEAVY_BONUS_MULTIPLIER).otherwise(S.RARE_MULTIPLIER)
     d = d.withColumn("aug_no", F.explode(F.sequence(F.lit(1), copies)))

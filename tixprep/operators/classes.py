@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tixprep import schema as S
 from tixprep.functions.math import percent_round
+from tixprep.session import dimension
 
 
 def class_counts(df: DataFrame, col: str, keep_null: bool = False) -> DataFrame:
@@ -63,7 +64,7 @@ def imbalance_ratio(df: DataFrame, col: str) -> DataFrame:
 
 def merge_rare_classes(df: DataFrame, col: str, min_count: int = S.MIN_SAMPLES, merged: str = S.OTHER) -> DataFrame:
     """Classes with fewer than ``min_count`` rows become ``merged`` (an existing one absorbs them)."""
-    rare = class_counts(df, col).filter(F.col("n") < min_count).select(col, F.lit(True).alias("_rare"))
+    rare = dimension(class_counts(df, col).filter(F.col("n") < min_count).select(col, F.lit(True).alias("_rare")))
     return (
         df.join(rare, on=col, how="left")
         .withColumn(col, F.when(F.col("_rare"), F.lit(merged)).otherwise(F.col(col)))
@@ -185,7 +186,7 @@ def triple_weights(triples: DataFrame, targets: Sequence[str] = S.TARGETS, max_w
 def sample_weights(df: DataFrame, targets: Sequence[str] = S.TARGETS, max_weight: float = S.MAX_WEIGHT,
                    out: str = "sample_weight") -> DataFrame:
     """Per-row weight from the three class frequencies (one join on the label triple)."""
-    tw = triple_weights(triple_counts(df, targets), targets, max_weight).withColumnRenamed("sample_weight", out)
+    tw = dimension(triple_weights(triple_counts(df, targets), targets, max_weight).withColumnRenamed("sample_weight", out))
     return df.join(tw, on=list(targets), how="left").select(*df.columns, out)
 
 
@@ -203,7 +204,7 @@ def hierarchical_weights(df: DataFrame, targets: Sequence[str] = S.TARGETS, max_
 def weight_lookup(df: DataFrame, weights: DataFrame, col: str, value_col: str = "value",
                   weight_col: str = "class_weight", default: float | None = 1.0, out: str = "weight") -> DataFrame:
     """Row -> class weight; a class missing from the table gets ``default``."""
-    w = weights.select(F.col(value_col).alias(col), F.col(weight_col).alias("_w"))
+    w = dimension(weights.select(F.col(value_col).alias(col), F.col(weight_col).alias("_w")))
     j = df.join(w, on=col, how="left")
     val = F.col("_w") if default is None else F.coalesce(F.col("_w"), F.lit(default))
     return j.withColumn(out, val).drop("_w")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tixprep import schema as S
 from tixprep.functions.text import tokenize_words
 from tixprep.operators.ranking import global_rank
+from tixprep.session import dimension
 
 
 def label_dictionary(df: DataFrame, targets: Sequence[str] = S.TARGETS) -> DataFrame:
@@ -34,6 +35,7 @@ def encode_labels(df: DataFrame, dictionary: DataFrame, targets: Sequence[str] =
                   suffix: str = "_code") -> DataFrame:
     """Attach the code of each target label (one join per target with its dictionary slice)."""
     out = df
+    dictionary = dimension(dictionary)
     for t in targets:
         d = dictionary.filter(F.col("target") == t).select(F.col("label").alias(t), F.col("code").alias(t + suffix))
         out = out.join(d, on=t, how="left")
@@ -43,6 +45,7 @@ def encode_labels(df: DataFrame, dictionary: DataFrame, targets: Sequence[str] =
 def label_decode(df: DataFrame, dictionary: DataFrame, code_cols: dict[str, str], model: str | None = None) -> DataFrame:
     """code -> label for each ``{target: code column}``; optional ``model`` selects a dictionary."""
     out = df
+    dictionary = dimension(dictionary)
     for t, c in code_cols.items():
         d = dictionary.filter(F.col("target") == t)
         if model is not None:

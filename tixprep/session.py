@@ -79,3 +79,12 @@ def apply_conf(spark: SparkSession) -> None:
 
 def env_cpus(default: int = 8) -> int:
     return int(os.environ.get("BENCH_CPUS", default))
+
+
+def dimension(df: DataFrame) -> DataFrame:
+    """A small derived table (class table, dictionary, per-triple plan) that will be joined to rows.
+
+    Written once so the planner knows its real size: below ``spark.sql.autoBroadcastJoinThreshold``
+    it is broadcast and the (large, text-carrying) row side is never shuffled for the join; above
+    it the join stays a sort-merge join with AQE skew handling."""
+    return cut_lineage(df)
