@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tixprep import schema as S
 from tixprep.functions.hashing import hash32, uniform
-from tixprep.functions.text import ALPHA_WORD, split_fields, tokenize_words
+from tixprep.functions.text import ALPHA_WORD, normalize_space, split_fields, tokenize_words
 from tixprep.operators.classes import over_all
 from tixprep.session import dimension
 
@@ -58,14 +58,20 @@ def _lookup(df: DataFrame, lexicon: DataFrame, word: Column, key_col: str) -> Da
 
 
 def synonym_replace(df: DataFrame, lexicon: DataFrame, text_col: str, key: Column, tag: str,
-                    apply: Column | None = None, seed: int = SEED, key_col: str = "_ekey") -> DataFrame:
+                    apply: Column | None = None, seed: int = SEED, key_col: str = "_ekey",
+                    norm_col: str | None = None) -> DataFrame:
     """One word at a seeded random position becomes a seeded random synonym (no-op without one).
 
     As in ``' '.join(words)``, an edited text is whitespace-normalised even when nothing was
     replaced; an empty text is returned unchanged. Rows outside ``apply`` are not tokenized at all,
-    and the replacement is ``slice``/``concat`` (no per-word lambda)."""
+    and the replacement is ``slice``/``concat`` (no per-word lambda). ``norm_col``, when given, holds
+    the whitespace-normalised text (kept up to date here), so repeated edits split it directly
+    instead of re-running the whitespace regex."""
     d = df.withColumn(key_col, F.concat_ws("|", key.cast("string"), F.lit(tag)))
-    words = tokenize_words(F.col(text_col))
+    if norm_col is None:
+        words = tokenize_words(F.col(text_col))
+    else:
+        words = F.when(F.col(norm_col) == "", F.array().cast("array<string>")).otherwise(F.split(F.col(norm_col), " "))
     d = d.withColumn("_w", words if apply is None else F.when(apply, words))
     n = F.size("_w")
     idx = F.floor(uniform(seed, F.col(key_col), "pos") * n).cast("int")
@@ -74,8 +80,11 @@ def synonym_replace(df: DataFrame, lexicon: DataFrame, text_col: str, key: Colum
     pick = F.try_element_at("_syns", (F.floor(uniform(seed, F.col(key_col), "syn") * F.size("_syns")) + 1).cast("int"))
     replaced = F.concat(F.slice("_w", 1, F.col("_i")), F.array(pick), F.slice("_w", F.col("_i") + 2, n))
     edited = F.array_join(F.when(F.col("_syns").isNotNull(), replaced).otherwise(F.col("_w")), " ")
-    return d.withColumn(text_col, F.when(F.col("_i").isNotNull(), edited).otherwise(F.col(text_col))) \
-        .drop("_w", "_i", "_syns", key_col)
+    d = d.withColumn("_ed", F.when(F.col("_i").isNotNull(), edited))
+    d = d.withColumn(text_col, F.coalesce(F.col("_ed"), F.col(text_col)))
+    if norm_col is not None:
+        d = d.withColumn(norm_col, F.coalesce(F.col("_ed"), F.col(norm_col)))
+    return d.drop("_w", "_i", "_syns", "_ed", key_col)
 
 
 def synonym_replace_fields(df: DataFrame, lexicon: DataFrame, text_col: str, key: Column, tag: str,
@@ -148,13 +157,19 @@ def oversample_chain(df: DataFrame, lexicon: DataFrame, text_col: str, key_col:
         fac = dimension(factors if factors is not None else oversample_factors(
             df.groupBy(*targets).agg(F.count(F.lit(1)).alias("n")), targets))
         d = df.join(fac.select(*targets, *fcols), on=list(targets), how="left")
-    edit = synonym_replace_fields if field_aware else synonym_replace
     path = [F.col(key_col).cast("string")]
+    if not field_aware:
+        # normalised once per source row; every later edit splits it directly
+        d = d.withColumn("_norm", normalize_space(F.coalesce(F.col(text_col), F.lit(""))))
     for k, f in enumerate(fcols):
         i = f"_i{k + 1}"
         d = d.withColumn(i, F.explode(F.sequence(F.lit(0), F.col(f) - 1)))
         path.append(F.col(i).cast("string"))
-        d = edit(d, lexicon, text_col, F.concat_ws(".", *path), f"p{k + 1}", F.col(i) > 0, seed)
+        if field_aware:
+            d = synonym_replace_fields(d, lexicon, text_col, F.concat_ws(".", *path), f"p{k + 1}", F.col(i) > 0, seed)
+        else:
+            d = synonym_replace(d, lexicon, text_col, F.concat_ws(".", *path), f"p{k + 1}", F.col(i) > 0, seed, norm_col="_norm")
+    d = d.drop("_norm") if not field_aware else d
     aug_no = F.col("_i1") * 10000 + F.col("_i2") * 100 + F.col("_i3")
     return d.withColumn("aug_no", aug_no.cast("int")).drop(*fcols, "_i1", "_i2", "_i3")
 

@@ -16,7 +16,8 @@ TG = S.TARGETS
 
 def lexicon(spark, sf):
     """Synonym lexicon derived from the vocabulary of the ``benchmark`` passages."""
-    return A.synonym_lexicon(A.vocabulary_synsets(read_table(spark, sf, "benchmark"), "text"))
+    from tixprep.session import dimension
+    return dimension(A.synonym_lexicon(A.vocabulary_synsets(read_table(spark, sf, "benchmark"), "text")))
 
 
 def _h32(seed, key, tag):
