@@ -17,7 +17,7 @@ from tixprep import schema as S
 from tixprep.functions.hashing import hash32, uniform
 from tixprep.functions.text import ALPHA_WORD, normalize_space, split_fields, tokenize_words
 from tixprep.operators.classes import over_all
-from tixprep.session import dimension
+from tixprep.session import cut_lineage, dimension
 
 SEED = 7  # default augmentation seed
 
@@ -201,7 +201,7 @@ def _ekey(key: Column, tag: str) -> Column:
 
 
 def synonym_replace_ratio(df: DataFrame, lexicon: DataFrame, text_col: str, key: Column, tag: str,
-                          ratio: float = 0.15, apply: Column | None = None, seed: int = SEED,
+                          ratio: float | Column = 0.15, apply: Column | None = None, seed: int = SEED,
                           row_id: str = "_row") -> DataFrame:
     """Replace max(1, int(len * ratio)) distinct candidate words (alphabetic, > 3 characters) by
     a synonym. Unchanged text when there is no word or no candidate.
@@ -210,19 +210,26 @@ def synonym_replace_ratio(df: DataFrame, lexicon: DataFrame, text_col: str, key:
     row's own word count)."""
     d = df.withColumn(row_id, _ekey(key, tag)).withColumn("_w", tokenize_words(F.col(text_col)))
     n = F.size("_w")
-    cand = F.filter(F.transform("_w", lambda x, i: F.when(x.rlike(ALPHA_WORD) & (F.length(x) > 3), i)), lambda v: v.isNotNull())
-    k = F.least(F.greatest(F.lit(1), F.floor(n * ratio).cast("int")), F.size(cand))
-    order = F.array_sort(F.transform(cand, lambda i: F.struct(uniform(seed, F.col(row_id), F.concat(F.lit("c"), i.cast("string"))).alias("u"), i.alias("i"))))
-    sel = F.transform(F.slice(order, 1, k), lambda s: s["i"])
-    on = (n > 0) & (F.size(cand) > 0)
+    d = d.withColumn("_cand", F.filter(F.transform("_w", lambda x, i: F.when(x.rlike(ALPHA_WORD) & (F.length(x) > 3), i)),
+                                       lambda v: v.isNotNull()))
+    r = ratio if isinstance(ratio, Column) else F.lit(ratio)
+    k = F.least(F.greatest(F.lit(1), F.floor(n * r).cast("int")), F.size("_cand"))
+    # per-position randomness here is the native 64-bit xxhash of (row key, position): one cheap
+    # call per candidate instead of an md5 string round trip
+    order = F.array_sort(F.transform("_cand", lambda i: F.struct(F.xxhash64(F.col(row_id), i).alias("h"), i.alias("i"))))
+    sel = F.transform(F.slice(order, 1, k), lambda s_: s_["i"])
+    on = (n > 0) & (F.size("_cand") > 0)
     if apply is not None:
         on = on & apply
-    d = d.withColumn("_sel", F.when(on, sel))
+    # selected positions are written once with the rows: both branches below read them instead of
+    # re-running the per-word candidate test and the ordering
+    d = cut_lineage(d.withColumn("_sel", F.when(on, sel)).drop("_cand", "_w"))
+    d = d.withColumn("_w", tokenize_words(F.col(text_col)))
     picks = d.select(row_id, "_w", F.explode("_sel").alias("_p")).select(row_id, "_p", F.try_element_at("_w", F.col("_p") + 1).alias("word"))
     lx = lexicon.select("word", "synonyms")
+    u = (F.pmod(F.xxhash64(F.col(row_id), F.col("_p"), F.lit("syn")), F.lit(1 << 30)) / float(1 << 30))
     chosen = picks.join(lx, "word").select(
-        row_id, "_p", F.try_element_at("synonyms", (F.floor(uniform(seed, F.col(row_id), F.concat(F.lit("s"), F.col("_p").cast("string")))
-                                                        * F.size("synonyms")) + 1).cast("int")).alias("_syn"))
+        row_id, "_p", F.try_element_at("synonyms", (F.floor(u * F.size("synonyms")) + 1).cast("int")).alias("_syn"))
     edits = chosen.groupBy(row_id).agg(F.map_from_entries(F.collect_list(F.struct("_p", "_syn"))).alias("_m"))
     d = d.join(edits, row_id, "left")
     edited = F.array_join(F.transform("_w", lambda w, i: F.coalesce(F.try_element_at(F.col("_m"), i), w)), " ")
@@ -282,14 +289,14 @@ def fast_augment(df: DataFrame, lexicon: DataFrame, text_col: str, key: Column,
                  seed: int = SEED) -> DataFrame:
     """Synonym replacement (ratio 0.20 heavy / 0.10), then insertion (heavy) or deletion, then a
     segment shuffle with probability 0.5 — each step on the previous step's text."""
-    d = df.withColumn("_heavy", heavy)
-    d = synonym_replace_ratio(d, lexicon, text_col, key, "fa1h", 0.20, F.col("_heavy"), seed)
-    d = synonym_replace_ratio(d, lexicon, text_col, key, "fa1l", 0.10, ~F.col("_heavy"), seed)
+    d = df.withColumn("_heavy", heavy).withColumn("_fakey", key.cast("string"))
+    key = F.col("_fakey")
+    d = synonym_replace_ratio(d, lexicon, text_col, key, "fa1", F.when(F.col("_heavy"), 0.20).otherwise(0.10), None, seed)
     d = random_insertion(d, lexicon, text_col, key, "fa2i", F.col("_heavy"), seed)
     d = random_deletion(d, text_col, key, "fa2d", 0.1, ~F.col("_heavy"), seed)
     coin = uniform(seed, _ekey(key, "fa3"), "coin") < 0.5
     d = random_swap_segments(d, text_col, key, "fa3s", 3, coin, seed)
-    return d.drop("_heavy")
+    return d.drop("_heavy", "_fakey")
 
 
 def rare_subset(df: DataFrame, targets: Sequence[str] = S.TARGETS, min_count: int = S.MIN_SAMPLES) -> DataFrame:
@@ -299,7 +306,7 @@ def rare_subset(df: DataFrame, targets: Sequence[str] = S.TARGETS, min_count: in
 
 def augment_rare_rows(rare_rows: DataFrame, lexicon: DataFrame, text_col: str, key_col: str,
                       rare_sets_from: DataFrame | None = None, targets: Sequence[str] = S.TARGETS,
-                      seed: int = SEED) -> DataFrame:
+                      seed: int = SEED, edit_text: bool = True) -> DataFrame:
     """Copies of the rare rows: 5 per row, 10 when heavy (a rare class under 25 rows in the rare
     subset), each passed through ``fast_augment``. Returns only the new rows with ``aug_no`` >= 1.
 
@@ -319,6 +326,8 @@ def augment_rare_rows(rare_rows: DataFrame, lexicon: DataFrame, text_col: str, k
     d = rare_rows.join(flags, list(targets), "left")
     copies = F.when(F.col("is_heavy"), S.RARE_MULTIPLIER * S.HEAVY_BONUS_MULTIPLIER).otherwise(S.RARE_MULTIPLIER)
     d = d.withColumn("aug_no", F.explode(F.sequence(F.lit(1), copies)))
+    if not edit_text:  # the copies only (counts, keys, labels)
+        return d
     key = F.concat_ws(":", F.col(key_col).cast("string"), F.col("aug_no").cast("string"))
     return fast_augment(d, lexicon, text_col, key, F.col("is_heavy"), seed)
 

@@ -168,11 +168,14 @@ _AUG_CTE = """aug AS (SELECT number_fld AS src_id, category, subcategory, assign
              OR (ng < 50 AND count(*) OVER (PARTITION BY assignment_group) < 25) AS heavy FROM rare))"""
 
 
-def _aug(spark, sf):
+def _aug(spark, sf, edit_text=False):
+    """Rare-row copies; the key/count queries skip the text edits (fast_augment and the rare-set
+    flow exercise them)."""
     b = base(spark, sf)
     from tixprep.operators.fields import combine_text2
     rare = combine_text2(A.rare_subset(b))
-    return A.augment_rare_rows(rare, lexicon(spark, sf), "combined_text", "number_fld", rare_sets_from=b), rare
+    return A.augment_rare_rows(rare, lexicon(spark, sf), "combined_text", "number_fld", rare_sets_from=b,
+                               edit_text=edit_text), rare
 
 
 @query("augment_rare_rows", sql(BASE_CTE, _RARE_CTE, _AUG_CTE, body="SELECT src_id, aug_no, category, subcategory, assignment_group FROM aug"))
@@ -204,14 +207,14 @@ def _upper_words(texts: list[str]) -> list[str]:
 
 @query("batch_transform")
 def q_batch_transform(spark, sf):
-    aug, _ = _aug(spark, sf)
+    aug, _ = _aug(spark, sf, edit_text=True)
     sel = A.select_for_transform(aug, "number_fld")
     return A.batch_transform(sel, _upper_words, "combined_text", ["number_fld", "aug_no"])
 
 
 @query("writeback_by_id")
 def q_writeback_by_id(spark, sf):
-    aug, _ = _aug(spark, sf)
+    aug, _ = _aug(spark, sf, edit_text=True)
     new = A.batch_transform(A.select_for_transform(aug, "number_fld"), _upper_words, "combined_text", ["number_fld", "aug_no"])
     return A.writeback_by_id(aug, new, "combined_text", ["number_fld", "aug_no"]).select("number_fld", "aug_no", "combined_text")
 
