@@ -62,17 +62,54 @@ def _epochs(spark, sf):
     return EV.epoch_metrics(read_table(spark, sf, "embeddings"), "embedding", "label", "vec_id")
 
 
-@query("epoch_metrics")
+_EPOCH_COLS = ["train_loss", "val_loss", "cat_acc", "subcat_acc", "assign_acc"]
+
+
+def _epoch_sql() -> str:
+    from tixprep.oracle import d_uniform
+    v = "list_transform(embedding, lambda x: x::DOUBLE)"
+    lg = f"""elg AS (SELECT vec_id AS id, epoch, {v}[epoch : epoch + 3] AS cat_logits, (label % 4)::INTEGER AS cat_label,
+      {v}[epoch + 4 : epoch + 9] AS sub_logits, (label % 6)::INTEGER AS sub_label,
+      {v}[epoch + 10 : epoch + 19] AS grp_logits, (label % 10)::INTEGER AS grp_label, 1.0 + label / 10.0 AS weight
+      FROM embeddings, (SELECT unnest(range(1, 11)) AS epoch))"""
+    ls = f"""els AS (SELECT id, epoch, ({_ce('cat_logits', 'cat_label')} * weight + {_ce('sub_logits', 'sub_label')} * weight
+      + {_ce('grp_logits', 'grp_label')} * weight) / 3.0 AS loss,
+      (list_position(cat_logits, list_max(cat_logits)) - 1 = cat_label)::DOUBLE AS c0,
+      (list_position(sub_logits, list_max(sub_logits)) - 1 = sub_label)::DOUBLE AS c1,
+      (list_position(grp_logits, list_max(grp_logits)) - 1 = grp_label)::DOUBLE AS c2,
+      {d_uniform(42, 'id', 'val')} < 0.1 AS is_val FROM elg)"""
+    rest = """vb AS (SELECT epoch, (row_number() OVER (PARTITION BY epoch ORDER BY id) - 1) // 128 AS batch, loss FROM els WHERE is_val),
+    vl AS (SELECT epoch, avg(bl) AS val_loss FROM (SELECT epoch, batch, avg(loss) AS bl FROM vb GROUP BY epoch, batch) GROUP BY epoch),
+    em AS (SELECT epoch, avg(loss) FILTER (WHERE NOT is_val) AS train_loss, avg(c0) FILTER (WHERE is_val) AS cat_acc,
+           avg(c1) FILTER (WHERE is_val) AS subcat_acc, avg(c2) FILTER (WHERE is_val) AS assign_acc FROM els GROUP BY epoch),
+    ep AS (SELECT em.epoch::INTEGER AS epoch, round(train_loss, 9) AS train_loss, round(val_loss, 9) AS val_loss,
+           round(cat_acc, 9) AS cat_acc, round(subcat_acc, 9) AS subcat_acc, round(assign_acc, 9) AS assign_acc
+           FROM em JOIN vl USING (epoch))"""
+    return "WITH " + lg + ",\n" + ls + ",\n" + rest
+
+
+@query("epoch_metrics", _epoch_sql() + "\nSELECT * FROM ep")
 def q_epoch_metrics(spark, sf):
     m = _epochs(spark, sf)
+    m = m.select(F.col("epoch").cast("int").alias("epoch"), *[F.round(c, 9).alias(c) for c in _EPOCH_COLS])
     path = IO.scratch_path(spark, "metrics")
     m.write.mode("append").parquet(path)  # the append-only metrics log
     return spark.read.parquet(path)
 
 
-@query("early_stop_trace")
+@query("early_stop_trace", _epoch_sql() + """,
+t AS (SELECT *, min(val_loss) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best_before FROM ep),
+t2 AS (SELECT *, best_before IS NULL OR val_loss < best_before AS improved FROM t),
+t3 AS (SELECT *, (epoch - max(CASE WHEN improved THEN epoch END) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::INTEGER
+         AS patience_counter FROM t2),
+t4 AS (SELECT *, min(CASE WHEN patience_counter >= 3 THEN epoch END) OVER () AS stop_epoch FROM t3)
+SELECT epoch, train_loss, val_loss, cat_acc, subcat_acc, assign_acc, best_before, improved, patience_counter, stop_epoch,
+       stop_epoch IS NULL OR epoch <= stop_epoch AS reached, least(coalesce(best_before, val_loss), val_loss) AS best_so_far
+FROM t4""")
 def q_early_stop_trace(spark, sf):
-    return EV.early_stop_trace(_epochs(spark, sf))
+    m = _epochs(spark, sf)
+    m = m.select(F.col("epoch").cast("int").alias("epoch"), *[F.round(c, 9).alias(c) for c in _EPOCH_COLS])
+    return EV.early_stop_trace(m)
 
 
 @query("truncation_rate", f"""SELECT round(avg((len({__import__('tixprep.oracle', fromlist=['d_words']).d_words('text')}) > 512)::DOUBLE), 9)
