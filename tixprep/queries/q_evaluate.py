@@ -119,13 +119,27 @@ def q_truncation_rate(spark, sf):
     return d.select(F.round("truncation_rate", 9).alias("truncation_rate"), "n_texts")
 
 
-@query("encode_fixed_length")
+def _encode_sql() -> str:
+    from tixprep.oracle import d_words
+    return sql(BASE_CTE, f"w AS (SELECT number_fld, {d_words('description')} AS words FROM base)",
+               """voc AS (SELECT word, (row_number() OVER (ORDER BY n DESC, word) - 1 + 2)::INTEGER AS token_id
+                  FROM (SELECT word, count(*) AS n FROM (SELECT unnest(words) AS word FROM w) GROUP BY word))""",
+               """p AS (SELECT number_fld, unnest(words[1:512]) AS word, unnest(range(1, len(words[1:512]) + 1)) AS pos FROM w)""",
+               """ids AS (SELECT p.number_fld, list(coalesce(voc.token_id, 1) ORDER BY p.pos) AS ids
+                  FROM p LEFT JOIN voc USING (word) GROUP BY p.number_fld)""",
+               body="""SELECT w.number_fld, 512 AS n_ids, least(512, len(w.words))::INTEGER AS n_tokens,
+  array_to_string((coalesce(ids.ids, []::INTEGER[]) || [0, 0, 0, 0, 0, 0, 0, 0])[1:8], ',') AS first_ids
+FROM w LEFT JOIN ids USING (number_fld)""")
+
+
+@query("encode_fixed_length", _encode_sql())
 def q_encode_fixed_length(spark, sf):
     b = base(spark, sf).select("number_fld", "description")
     vocab = EN.vocabulary(b, "description")
     out = EN.encode_fixed_length(b, "description", vocab, "number_fld")
-    return out.select("number_fld", F.size("input_ids").alias("n_ids"), F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_tokens"),
-                      F.slice("input_ids", 1, 8).alias("first_ids"))
+    return out.select("number_fld", F.size("input_ids").alias("n_ids"),
+                      F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_tokens"),
+                      F.array_join(F.slice("input_ids", 1, 8).cast("array<string>"), ",").alias("first_ids"))
 
 
 def _samples(spark, sf, oversample=True):
