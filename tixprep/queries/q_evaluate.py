@@ -217,7 +217,10 @@ def q_sink_bundle_wide(spark, sf):
     return samples
 
 
-@query("scan_bundle")
+@query("scan_bundle", sql(BASE_CTE, MERGED_CTE, body="""
+SELECT 'category' AS target, count(DISTINCT category) AS n_classes FROM merged
+UNION ALL SELECT 'subcategory', count(DISTINCT subcategory) FROM merged
+UNION ALL SELECT 'assignment_group', count(DISTINCT assignment_group) FROM merged"""))
 def q_scan_bundle(spark, sf):
     s = _samples(spark, sf, oversample=False)
     d = EN.label_dictionary(s)
@@ -277,7 +280,7 @@ def q_score_multi_head(spark, sf):
     return score_multi_head(model, t, EN.label_dictionary(s), keep=["number_fld"])
 
 
-@query("map_text")
+@query("map_text", "SELECT doc_id, text, CAST(length(text) AS VARCHAR) AS n_chars_text FROM documents")
 def q_map_text(spark, sf):
     from tixprep.operators.udf import map_text
     return map_text(read_table(spark, sf, "documents").select("doc_id", "text"), "text", lambda s: s.str.len().astype(str), "n_chars_text")
