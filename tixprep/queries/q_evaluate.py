@@ -164,7 +164,7 @@ def _edit_ctes(k: int, src: str, tin: str, tout: str, key: str, apply: str) -> l
     ]
 
 
-def _prepare_sql() -> str:
+def _prepare_sql(as_cte: bool = False):
     from tixprep.queries.q_augment import CHAIN_CTE, LEX_CTES
     from tixprep.queries.q_text import _COMB
     ctes = [BASE_CTE, MERGED_CTE, CHAIN_CTE, *LEX_CTES,
@@ -189,6 +189,8 @@ def _prepare_sql() -> str:
     body = """SELECT z3.src AS src_id, (i1 * 10000 + i2 * 100 + i3)::INTEGER AS aug_no, t3 AS text, category, subcategory, assignment_group,
        category_code, subcategory_code, assignment_group_code, sample_weight
 FROM z3 JOIN pl USING (category, subcategory, assignment_group)"""
+    if as_cte:
+        return ctes + [f"samples AS ({body})"]
     return sql(*ctes, body=body)
 
 
@@ -197,7 +199,26 @@ def q_prepare_training_set(spark, sf):
     return _samples(spark, sf)
 
 
-@query("sink_bundle")
+def _bundle_sql() -> str:
+    from tixprep.oracle import d_uniform
+    key = "(CAST(src_id AS VARCHAR) || ':' || CAST(aug_no AS VARCHAR))"
+    ctes = _prepare_sql(as_cte=True) + [
+        "c AS (SELECT category, count(*) AS n FROM samples GROUP BY category)",
+        "t AS (SELECT *, sum(n) OVER () AS nn, ceil(sum(n) OVER () * 0.1)::BIGINT AS nv FROM c)",
+        "a AS (SELECT *, (nn - nv) * n // nn AS fl, ((nn - nv) * n) % nn AS rem FROM t)",
+        "b AS (SELECT *, fl + CASE WHEN row_number() OVER (ORDER BY rem DESC, category) <= (nn - nv) - sum(fl) OVER () THEN 1 ELSE 0 END AS n_train FROM a)",
+        "l AS (SELECT category, n, nv, n - n_train AS lft, sum(n - n_train) OVER () AS tl FROM b)",
+        "m AS (SELECT *, nv * lft // tl AS fl2, (nv * lft) % tl AS rem2 FROM l)",
+        "q AS (SELECT category, fl2 + CASE WHEN row_number() OVER (ORDER BY rem2 DESC, category) <= nv - sum(fl2) OVER () THEN 1 ELSE 0 END AS n_val FROM m)",
+        f"r AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY {d_uniform(42, key, 'split')}, {key}) AS rk FROM samples)",
+    ]
+    body = """SELECT r.src_id, r.aug_no, CASE WHEN r.rk <= q.n_val THEN 'val' ELSE 'train' END AS split,
+       r.category_code, r.subcategory_code, r.assignment_group_code, r.sample_weight
+FROM r JOIN q USING (category)"""
+    return sql(*ctes, body=body)
+
+
+@query("sink_bundle", _bundle_sql())
 def q_sink_bundle(spark, sf):
     from tixprep.operators.sampling import stratified_split
     s = stratified_split(_samples(spark, sf).withColumn("_k", F.concat_ws(":", "src_id", "aug_no")), "category", "_k").drop("_k")
