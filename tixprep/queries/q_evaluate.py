@@ -268,10 +268,26 @@ def q_sink_report(spark, sf):
     return spark.read.parquet(f"{path}/table")
 
 
-@query("table_profile")
+def _table_profile_sql() -> str:
+    from tixprep.queries.q_profile import ALL, TYPES
+    parts = []
+    for c in ALL:
+        t = TYPES.get(c, "string")
+        num = t != "string"
+        top = f"(SELECT {c} AS v, count(*) AS n FROM tickets WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY n DESC, v LIMIT 1)"
+        parts.append(
+            f"SELECT '{c}' AS column_name, '{t}' AS data_type, count(*) - count({c}) AS missing, count(DISTINCT {c}) AS n_unique, "
+            f"(SELECT CAST(v AS VARCHAR) FROM {top}) AS top_value, (SELECT n FROM {top}) AS top_count, "
+            + (f"round(avg({c}), 6) AS mean, min({c})::DOUBLE AS min, max({c})::DOUBLE AS max" if num
+               else "NULL::DOUBLE AS mean, NULL::DOUBLE AS min, NULL::DOUBLE AS max")
+            + " FROM tickets")
+    return sql(body=" UNION ALL ".join(parts))
+
+
+@query("table_profile", _table_profile_sql())
 def q_table_profile(spark, sf):
     from tixprep.plans.report import table_profile
-    return table_profile(tk(spark, sf))
+    return table_profile(tk(spark, sf)).withColumn("mean", F.round("mean", 6))
 
 
 @query("association_matrix")
