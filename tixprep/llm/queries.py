@@ -32,3 +32,19 @@ def op7_simhash_dedup(spark, sf_dir):
     """Fingerprint and group of every document."""
     from tixprep.llm.simhash import near_duplicates
     return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_pack(spark, sf_dir):
+    """All documents in sequences of at most 2048 tokens."""
+    import public_tokenizers
+
+    from tixprep.llm.packing import pack
+    return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op8_pii(spark, sf_dir):
+    """Personal data in every document."""
+    from tixprep.llm.pii import pii_report
+    return pii_report(_table(spark, sf_dir, "documents"))
