@@ -48,3 +48,10 @@ def op8_pii(spark, sf_dir):
     """Personal data in every document."""
     from tixprep.llm.pii import pii_report
     return pii_report(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_quality(spark, sf_dir):
+    """Quality of every document, learnt from the labels that are not held out."""
+    from tixprep.llm.quality import quality_scores
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
