@@ -55,3 +55,10 @@ def op5_quality(spark, sf_dir):
     """Quality of every document, learnt from the labels that are not held out."""
     from tixprep.llm.quality import quality_scores
     return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@query
+def op4_licenses(spark, sf_dir):
+    """License notices in every document."""
+    from tixprep.llm.licenses import find_licenses
+    return find_licenses(_table(spark, sf_dir, "documents"))
