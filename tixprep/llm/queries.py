@@ -62,3 +62,10 @@ def op4_licenses(spark, sf_dir):
     """License notices in every document."""
     from tixprep.llm.licenses import find_licenses
     return find_licenses(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_cover_tree(spark, sf_dir):
+    """Links and groups of all embeddings at cosine 0.9."""
+    from tixprep.llm.cover_tree import near_duplicate_vectors
+    return near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
