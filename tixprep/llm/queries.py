@@ -69,3 +69,10 @@ def op10_cover_tree(spark, sf_dir):
     """Links and groups of all embeddings at cosine 0.9."""
     from tixprep.llm.cover_tree import near_duplicate_vectors
     return near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op6_main_text(spark, sf_dir):
+    """Main text of every page."""
+    from tixprep.llm.html_extract import main_text
+    return main_text(_table(spark, sf_dir, "pages"))
