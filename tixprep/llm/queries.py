@@ -76,3 +76,10 @@ def op6_main_text(spark, sf_dir):
     """Main text of every page."""
     from tixprep.llm.html_extract import main_text
     return main_text(_table(spark, sf_dir, "pages"))
+
+
+@query
+def op9_repeats(spark, sf_dir):
+    """Repeated strings of 100 bytes removed from every document."""
+    from tixprep.llm.repeats import without_repeats
+    return without_repeats(_table(spark, sf_dir, "documents"))
