@@ -83,3 +83,10 @@ def op9_repeats(spark, sf_dir):
     """Repeated strings of 100 bytes removed from every document."""
     from tixprep.llm.repeats import without_repeats
     return without_repeats(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_lm_score(spark, sf_dir):
+    """All documents scored by a suffix tree learnt from those that are not held out."""
+    from tixprep.llm.suffix_lm import lm_scores
+    return lm_scores(_table(spark, sf_dir, "documents"))
