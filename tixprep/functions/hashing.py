@@ -28,6 +28,7 @@ def uniform(seed, key, tag="") -> Column:
     return hash32(seed, key, tag) / F.lit(TWO32)
 
 
-def uniform_lambda(seed, key, tag, i: Column) -> Column:
-    """Seeded uniform for the i-th element inside a higher-order function."""
-    return hash32(seed, key, tag, i) / F.lit(TWO32)
+def hash60(*parts) -> Column:
+    """60-bit integer from md5(concat_ws('|', parts)): fine enough to reach any row of any table."""
+    h = F.md5(F.concat_ws("|", *[_c(p).cast("string") for p in parts]))
+    return F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tixprep import schema as S
-from tixprep.functions.hashing import hash32, uniform
+from tixprep.functions.hashing import TWO32, hash32, uniform
 from tixprep.functions.text import ALPHA_WORD, normalize_space, split_fields, tokenize_words
 from tixprep.operators.classes import over_all
 from tixprep.session import cut_lineage, dimension
@@ -59,45 +59,47 @@ def _lookup(df: DataFrame, lexicon: DataFrame, word: Column, key_col: str) -> Da
 
 def synonym_replace(df: DataFrame, lexicon: DataFrame, text_col: str, key: Column, tag: str,
                     apply: Column | None = None, seed: int = SEED, key_col: str = "_ekey",
-                    norm_col: str | None = None) -> DataFrame:
-    """One word at a seeded random position becomes a seeded random synonym (no-op without one).
+                    norm_col: str | None = None, replace_count: int = 1) -> DataFrame:
+    """``replace_count`` times, one word at a seeded random position becomes a seeded random synonym
+    (no-op without one); a position may come up again.
 
     As in ``' '.join(words)``, an edited text is whitespace-normalised even when nothing was
     replaced; an empty text is returned unchanged. Rows outside ``apply`` are not tokenized at all,
     and the replacement is ``slice``/``concat`` (no per-word lambda). ``norm_col``, when given, holds
     the whitespace-normalised text (kept up to date here), so repeated edits split it directly
     instead of re-running the whitespace regex."""
-    d = df.withColumn(key_col, F.concat_ws("|", key.cast("string"), F.lit(tag)))
     if norm_col is None:
         words = tokenize_words(F.col(text_col))
     else:
         words = F.when(F.col(norm_col) == "", F.array().cast("array<string>")).otherwise(F.split(F.col(norm_col), " "))
-    d = d.withColumn("_w", words if apply is None else F.when(apply, words))
-    n = F.size("_w")
-    idx = F.floor(uniform(seed, F.col(key_col), "pos") * n).cast("int")
-    d = d.withColumn("_i", F.when(F.col("_w").isNotNull() & (n > 0), idx))
-    d = _lookup(d, lexicon, F.try_element_at("_w", F.col("_i") + 1), key_col)
-    pick = F.try_element_at("_syns", (F.floor(uniform(seed, F.col(key_col), "syn") * F.size("_syns")) + 1).cast("int"))
-    replaced = F.concat(F.slice("_w", 1, F.col("_i")), F.array(pick), F.slice("_w", F.col("_i") + 2, n))
-    edited = F.array_join(F.when(F.col("_syns").isNotNull(), replaced).otherwise(F.col("_w")), " ")
-    d = d.withColumn("_ed", F.when(F.col("_i").isNotNull(), edited))
+    d = df.withColumn("_w", words if apply is None else F.when(apply, words))
+    for r in range(replace_count):
+        d = d.withColumn(key_col, F.concat_ws("|", key.cast("string"), F.lit(tag if r == 0 else f"{tag}#{r}")))
+        n = F.size("_w")
+        idx = F.floor(uniform(seed, F.col(key_col), "pos") * n).cast("int")
+        d = d.withColumn("_i", F.when(F.col("_w").isNotNull() & (n > 0), idx))
+        d = _lookup(d, lexicon, F.try_element_at("_w", F.col("_i") + 1), key_col)
+        pick = F.try_element_at("_syns", (F.floor(uniform(seed, F.col(key_col), "syn") * F.size("_syns")) + 1).cast("int"))
+        replaced = F.concat(F.slice("_w", 1, F.col("_i")), F.array(pick), F.slice("_w", F.col("_i") + 2, n))
+        d = d.withColumn("_w", F.when(F.col("_syns").isNotNull(), replaced).otherwise(F.col("_w"))).drop("_syns", key_col)
+    d = d.withColumn("_ed", F.when(F.col("_i").isNotNull(), F.array_join("_w", " ")))
     d = d.withColumn(text_col, F.coalesce(F.col("_ed"), F.col(text_col)))
     if norm_col is not None:
         d = d.withColumn(norm_col, F.coalesce(F.col("_ed"), F.col(norm_col)))
-    return d.drop("_w", "_i", "_syns", "_ed", key_col)
+    return d.drop("_w", "_i", "_ed")
 
 
 def synonym_replace_fields(df: DataFrame, lexicon: DataFrame, text_col: str, key: Column, tag: str,
                            apply: Column | None = None, seed: int = SEED,
-                           field_cols: Sequence[str] = (S.SHORT, S.DESC)) -> DataFrame:
+                           field_cols: Sequence[str] = (S.SHORT, S.DESC), replace_count: int = 1) -> DataFrame:
     """Field-aware variant: with >= 7 fields only fields 0 and 1 are edited, the text is rebuilt
     and both source columns are updated; otherwise the copy is unchanged."""
     parts = split_fields(F.col(text_col))
     ok = F.size(parts) >= 7 if apply is None else (apply & (F.size(parts) >= 7))
     d = df.withColumn("_parts", parts).withColumn("_ok", ok)
     d = d.withColumn("_f0", F.try_element_at("_parts", F.lit(1))).withColumn("_f1", F.try_element_at("_parts", F.lit(2)))
-    d = synonym_replace(d, lexicon, "_f0", key, tag + ":f0", F.col("_ok"), seed)
-    d = synonym_replace(d, lexicon, "_f1", key, tag + ":f1", F.col("_ok"), seed)
+    d = synonym_replace(d, lexicon, "_f0", key, tag + ":f0", F.col("_ok"), seed, replace_count=replace_count)
+    d = synonym_replace(d, lexicon, "_f1", key, tag + ":f1", F.col("_ok"), seed, replace_count=replace_count)
     rebuilt = F.array_join(F.concat(F.array("_f0", "_f1"), F.slice("_parts", 3, 1 << 30)), S.SEP)
     d = d.withColumn(text_col, F.when(F.col("_ok"), rebuilt).otherwise(F.col(text_col)))
     d = d.withColumn(field_cols[0], F.when(F.col("_ok"), F.col("_f0")).otherwise(F.col(field_cols[0])))
@@ -120,7 +122,8 @@ def oversample_factors(triples: DataFrame, targets: Sequence[str] = S.TARGETS,
         cur, nxt, f = f"_n{k}", f"_n{k + 1}", f"f{k + 1}"
         # windows over the triple table keep the three passes one linear plan (no self-joins)
         t = t.withColumn("_tot", F.sum(cur).over(Window.partitionBy(tg)))
-        minor = (F.col("_tot") < over_all(F.max("_tot")) * factor) & (F.col(tg) != exclude)
+        named = F.max(F.when(F.col(tg).isNotNull(), F.col("_tot")))
+        minor = (F.col("_tot") < over_all(named) * factor) & (F.col(tg) != exclude)  # null for a null label: no copies
         t = (t.withColumn(f, F.when(minor, F.lit(multiplier + 1)).otherwise(F.lit(1)))
              .withColumn(nxt, F.col(cur) * F.col(f)).drop("_tot"))
     last = f"_n{len(targets)}"
@@ -141,6 +144,15 @@ def oversample_minority(df: DataFrame, lexicon: DataFrame, target: str, text_col
     return synonym_replace(d, lexicon, text_col, key, tag, F.col("copy_no") > 0, seed).select(*df.columns, "copy_no")
 
 
+def _null_safe_join(df: DataFrame, small: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Left join of a small table on keys that may be null."""
+    right = small.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *values)
+    on = F.lit(True)
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return df.join(right, on, "left").drop(*[f"_k{i}" for i in range(len(keys))])
+
+
 def oversample_chain(df: DataFrame, lexicon: DataFrame, text_col: str, key_col: str,
                      targets: Sequence[str] = S.TARGETS, factors: DataFrame | None = None,
                      field_aware: bool = False, seed: int = SEED) -> DataFrame:
@@ -149,29 +161,31 @@ def oversample_chain(df: DataFrame, lexicon: DataFrame, text_col: str, key_col:
     Labels never change inside a copy, so each row's multiplicity depends only on its triple: the
     factors come from the triple table, one join attaches them, and three narrow explodes make
     the copies. Copy (i1, i2, i3) carries one synonym edit per non-zero index, applied in pass
-    order with the randomness of its ancestor copy, exactly as repeated passes would."""
+    order with the randomness of its ancestor copy, exactly as repeated passes would. ``aug_no`` is
+    the path "i1.i2.i3", a key beside the row's own for any number of copies. A row with a null
+    label is copied by its other labels only."""
     fcols = [f"f{k + 1}" for k in range(len(targets))]
     if isinstance(factors, str) and factors == "attached":
         d = df  # the caller already joined f1..f3 onto the rows
     else:
         fac = dimension(factors if factors is not None else oversample_factors(
             df.groupBy(*targets).agg(F.count(F.lit(1)).alias("n")), targets))
-        d = df.join(fac.select(*targets, *fcols), on=list(targets), how="left")
+        d = _null_safe_join(df, fac, targets, fcols)
     path = [F.col(key_col).cast("string")]
     if not field_aware:
         # normalised once per source row; every later edit splits it directly
         d = d.withColumn("_norm", normalize_space(F.coalesce(F.col(text_col), F.lit(""))))
     for k, f in enumerate(fcols):
         i = f"_i{k + 1}"
-        d = d.withColumn(i, F.explode(F.sequence(F.lit(0), F.col(f) - 1)))
+        d = d.withColumn(i, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(f), F.lit(1)) - 1)))
         path.append(F.col(i).cast("string"))
         if field_aware:
             d = synonym_replace_fields(d, lexicon, text_col, F.concat_ws(".", *path), f"p{k + 1}", F.col(i) > 0, seed)
         else:
             d = synonym_replace(d, lexicon, text_col, F.concat_ws(".", *path), f"p{k + 1}", F.col(i) > 0, seed, norm_col="_norm")
     d = d.drop("_norm") if not field_aware else d
-    aug_no = F.col("_i1") * 10000 + F.col("_i2") * 100 + F.col("_i3")
-    return d.withColumn("aug_no", aug_no.cast("int")).drop(*fcols, "_i1", "_i2", "_i3")
+    marks = [f"_i{k + 1}" for k in range(len(fcols))]
+    return d.withColumn("aug_no", F.concat_ws(".", *[F.col(i).cast("string") for i in marks])).drop(*fcols, *marks)
 
 
 def union_augmented(original: DataFrame, augmented: DataFrame) -> DataFrame:
@@ -189,11 +203,11 @@ def rare_flags(df: DataFrame, targets: Sequence[str] = S.TARGETS, min_count: int
     tri = df.groupBy(*targets).agg(F.count(F.lit(1)).alias("_n"))
     rare, heavy = F.lit(False), F.lit(False)
     for i, t in enumerate(targets):
-        tri = tri.withColumn(f"_t{i}", F.sum("_n").over(Window.partitionBy(t)))
+        tri = tri.withColumn(f"_t{i}", F.when(F.col(t).isNotNull(), F.sum("_n").over(Window.partitionBy(t))).otherwise(min_count))
         rare = rare | (F.col(f"_t{i}") < min_count)
         heavy = heavy | ((F.col(f"_t{i}") < min_count) & (F.col(f"_t{i}") < heavy_below))
     flags = dimension(tri.select(*targets, rare.alias("is_rare"), heavy.alias("is_heavy")))
-    return df.join(flags, on=list(targets), how="left")
+    return _null_safe_join(df, flags, targets, ["is_rare", "is_heavy"])
 
 
 def _ekey(key: Column, tag: str) -> Column:
@@ -214,9 +228,7 @@ def synonym_replace_ratio(df: DataFrame, lexicon: DataFrame, text_col: str, key:
                                        lambda v: v.isNotNull()))
     r = ratio if isinstance(ratio, Column) else F.lit(ratio)
     k = F.least(F.greatest(F.lit(1), F.floor(n * r).cast("int")), F.size("_cand"))
-    # per-position randomness here is the native 64-bit xxhash of (row key, position): one cheap
-    # call per candidate instead of an md5 string round trip
-    order = F.array_sort(F.transform("_cand", lambda i: F.struct(F.xxhash64(F.col(row_id), i).alias("h"), i.alias("i"))))
+    order = F.array_sort(F.transform("_cand", lambda i: F.struct(hash32(seed, F.col(row_id), i).alias("h"), i.alias("i"))))
     sel = F.transform(F.slice(order, 1, k), lambda s_: s_["i"])
     on = (n > 0) & (F.size("_cand") > 0)
     if apply is not None:
@@ -227,7 +239,7 @@ def synonym_replace_ratio(df: DataFrame, lexicon: DataFrame, text_col: str, key:
     d = d.withColumn("_w", tokenize_words(F.col(text_col)))
     picks = d.select(row_id, "_w", F.explode("_sel").alias("_p")).select(row_id, "_p", F.try_element_at("_w", F.col("_p") + 1).alias("word"))
     lx = lexicon.select("word", "synonyms")
-    u = (F.pmod(F.xxhash64(F.col(row_id), F.col("_p"), F.lit("syn")), F.lit(1 << 30)) / float(1 << 30))
+    u = hash32(seed, F.col(row_id), F.col("_p"), "syn") / F.lit(TWO32)
     chosen = picks.join(lx, "word").select(
         row_id, "_p", F.try_element_at("synonyms", (F.floor(u * F.size("synonyms")) + 1).cast("int")).alias("_syn"))
     edits = chosen.groupBy(row_id).agg(F.map_from_entries(F.collect_list(F.struct("_p", "_syn"))).alias("_m"))
@@ -239,18 +251,21 @@ def synonym_replace_ratio(df: DataFrame, lexicon: DataFrame, text_col: str, key:
 
 
 def random_insertion(df: DataFrame, lexicon: DataFrame, text_col: str, key: Column, tag: str,
-                     apply: Column | None = None, seed: int = SEED, key_col: str = "_ekey") -> DataFrame:
-    """A synonym of a random word is inserted at a random position (0..len); no-op without one."""
-    d = df.withColumn(key_col, _ekey(key, tag)).withColumn("_w", tokenize_words(F.col(text_col)))
-    n = F.size("_w")
-    on = (n > 0) if apply is None else (apply & (n > 0))
-    d = d.withColumn("_i", F.when(on, F.floor(uniform(seed, F.col(key_col), "pos") * n).cast("int")))
-    d = _lookup(d, lexicon, F.try_element_at("_w", F.col("_i") + 1), key_col)
-    syn = F.try_element_at("_syns", (F.floor(uniform(seed, F.col(key_col), "syn") * F.size("_syns")) + 1).cast("int"))
-    at = (F.floor(uniform(seed, F.col(key_col), "at") * (n + 1)) + 1).cast("int")
-    ins = F.array_join(F.array_insert("_w", at, syn), " ")
-    out = F.when(F.col("_i").isNull(), F.col(text_col)).when(F.col("_syns").isNull(), F.array_join("_w", " ")).otherwise(ins)
-    return d.withColumn(text_col, out).drop("_w", "_i", "_syns", key_col)
+                     apply: Column | None = None, seed: int = SEED, key_col: str = "_ekey", n: int = 1) -> DataFrame:
+    """``n`` times, a synonym of a random word is inserted at a random position (0..len); no-op
+    without one."""
+    d = df.withColumn("_w", tokenize_words(F.col(text_col)))
+    on = (F.size("_w") > 0) if apply is None else (apply & (F.size("_w") > 0))
+    d = d.withColumn("_on", F.coalesce(on, F.lit(False)))
+    for r in range(n):
+        d = d.withColumn(key_col, _ekey(key, tag if r == 0 else f"{tag}#{r}"))
+        size = F.size("_w")
+        d = d.withColumn("_i", F.when(F.col("_on"), F.floor(uniform(seed, F.col(key_col), "pos") * size).cast("int")))
+        d = _lookup(d, lexicon, F.try_element_at("_w", F.col("_i") + 1), key_col)
+        syn = F.try_element_at("_syns", (F.floor(uniform(seed, F.col(key_col), "syn") * F.size("_syns")) + 1).cast("int"))
+        at = (F.floor(uniform(seed, F.col(key_col), "at") * (size + 1)) + 1).cast("int")
+        d = d.withColumn("_w", F.when(F.col("_syns").isNotNull(), F.array_insert("_w", at, syn)).otherwise(F.col("_w"))).drop("_i", "_syns", key_col)
+    return d.withColumn(text_col, F.when(F.col("_on"), F.array_join("_w", " ")).otherwise(F.col(text_col))).drop("_w", "_on")
 
 
 def random_deletion(df: DataFrame, text_col: str, key: Column, tag: str, p: float = 0.1,
@@ -259,7 +274,7 @@ def random_deletion(df: DataFrame, text_col: str, key: Column, tag: str, p: floa
     goes, one random word is kept."""
     k = _ekey(key, tag)
     w = tokenize_words(F.col(text_col))
-    d = df.withColumn("_k", k).withColumn("_w", w)
+    d = df.withColumn("_k", k).withColumn("_w", w if apply is None else F.when(apply, w))
     kept = F.filter("_w", lambda x, i: uniform(seed, F.col("_k"), F.concat(F.lit("d"), i.cast("string"))) > p)
     d = d.withColumn("_kept", kept)
     one = F.array(F.try_element_at("_w", (F.floor(uniform(seed, F.col("_k"), "keep") * F.size("_w")) + 1).cast("int")))
@@ -306,7 +321,7 @@ def rare_subset(df: DataFrame, targets: Sequence[str] = S.TARGETS, min_count: in
 
 def augment_rare_rows(rare_rows: DataFrame, lexicon: DataFrame, text_col: str, key_col: str,
                       rare_sets_from: DataFrame | None = None, targets: Sequence[str] = S.TARGETS,
-                      seed: int = SEED, edit_text: bool = True) -> DataFrame:
+                      seed: int = SEED) -> DataFrame:
     """Copies of the rare rows: 5 per row, 10 when heavy (a rare class under 25 rows in the rare
     subset), each passed through ``fast_augment``. Returns only the new rows with ``aug_no`` >= 1.
 
@@ -318,16 +333,14 @@ def augment_rare_rows(rare_rows: DataFrame, lexicon: DataFrame, text_col: str, k
     for i, tg in enumerate(targets):
         tri_full = tri_full.withColumn(f"_f{i}", F.sum("_n").over(Window.partitionBy(tg)))  # totals in the full table
         tri_sub = tri_sub.withColumn(f"_r{i}", F.sum("_s").over(Window.partitionBy(tg)))  # totals in the subset
-    t = tri_sub.join(tri_full, list(targets), "left")
+    t = _null_safe_join(tri_sub, tri_full, targets, [f"_f{i}" for i in range(len(targets))])
     heavy = F.lit(False)
     for i in range(len(targets)):
-        heavy = heavy | ((F.col(f"_f{i}") < S.MIN_SAMPLES) & (F.col(f"_r{i}") < S.HEAVY_THRESHOLD))
+        heavy = heavy | F.coalesce(F.col(targets[i]).isNotNull() & (F.col(f"_f{i}") < S.MIN_SAMPLES) & (F.col(f"_r{i}") < S.HEAVY_THRESHOLD), F.lit(False))
     flags = dimension(t.select(*targets, heavy.alias("is_heavy")))
-    d = rare_rows.join(flags, list(targets), "left")
+    d = _null_safe_join(rare_rows, flags, targets, ["is_heavy"])
     copies = F.when(F.col("is_heavy"), S.RARE_MULTIPLIER * S.HEAVY_BONUS_MULTIPLIER).otherwise(S.RARE_MULTIPLIER)
     d = d.withColumn("aug_no", F.explode(F.sequence(F.lit(1), copies)))
-    if not edit_text:  # the copies only (counts, keys, labels)
-        return d
     key = F.concat_ws(":", F.col(key_col).cast("string"), F.col("aug_no").cast("string"))
     return fast_augment(d, lexicon, text_col, key, F.col("is_heavy"), seed)
 

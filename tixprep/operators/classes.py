@@ -73,6 +73,35 @@ def merge_rare_classes(df: DataFrame, col: str, min_count: int = S.MIN_SAMPLES,
     )
 
 
+def merge_map(triples: DataFrame, targets: Sequence[str] = S.TARGETS, min_count: int = S.MIN_SAMPLES,
+              merged: str = S.OTHER) -> DataFrame:
+    """(targets..., m_targets...): each target's class merged to ``merged`` when its total < min. A
+    null label stays null."""
+    out = triples
+    for t in targets:
+        tot = F.sum("n").over(Window.partitionBy(t))
+        out = out.withColumn("m_" + t, F.when(F.col(t).isNotNull() & (tot < min_count), F.lit(merged)).otherwise(F.col(t)))
+    return out
+
+
+def merge_rare_targets(df: DataFrame, targets: Sequence[str] = S.TARGETS, min_count: int = S.MIN_SAMPLES,
+                       merged: str = S.OTHER) -> DataFrame:
+    """Rare classes of all targets merged at once: one label-only aggregate, one null-safe join of the
+    small combination table. Same result as ``merge_rare_classes`` target by target."""
+    combos = merge_map(triple_counts(df, targets), targets, min_count, merged)
+    changed = F.lit(False)
+    for t in targets:
+        changed = changed | ~F.col("m_" + t).eqNullSafe(F.col(t))
+    names = [F.col(t).alias(f"_t{i}") for i, t in enumerate(targets)] + [F.col("m_" + t).alias(f"_m{i}") for i, t in enumerate(targets)]
+    m = dimension(combos.filter(changed).select(*names, F.lit(True).alias("_hit")))
+    on = F.lit(True)
+    for i, t in enumerate(targets):
+        on = on & F.col(t).eqNullSafe(F.col(f"_t{i}"))
+    j = df.join(m, on, "left")
+    new = {t: F.when(F.col("_hit"), F.col(f"_m{i}")).otherwise(F.col(t)).alias(t) for i, t in enumerate(targets)}
+    return j.select(*[new.get(c, F.col(c)) for c in df.columns])
+
+
 def rare_class_set(df: DataFrame, col: str, min_count: int = S.MIN_SAMPLES) -> DataFrame:
     return class_counts(df, col).filter(F.col("n") < min_count)
 

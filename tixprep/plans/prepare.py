@@ -28,16 +28,6 @@ def base_rows(tickets: DataFrame, variant: str = "basic") -> DataFrame:
     return FL.drop_missing_targets(d)
 
 
-def merge_map(triples: DataFrame, targets: Sequence[str] = T, min_count: int = S.MIN_SAMPLES,
-              merged: str = S.OTHER) -> DataFrame:
-    """(targets..., m_targets...): each target's class merged to ``merged`` when its total < min."""
-    out = triples
-    for t in targets:
-        tot = F.sum("n").over(Window.partitionBy(t))
-        out = out.withColumn("m_" + t, F.when(tot < min_count, F.lit(merged)).otherwise(F.col(t)))
-    return out
-
-
 def triple_plan(rows: DataFrame, targets: Sequence[str] = T, min_count: int = S.MIN_SAMPLES,
                 oversample: bool = True) -> DataFrame:
     """Per original triple: merged labels, copy factors, sample weight and label codes.
@@ -47,7 +37,7 @@ def triple_plan(rows: DataFrame, targets: Sequence[str] = T, min_count: int = S.
     chain of window aggregates over that small table (class totals partitioned by label), so the
     row-side scan never runs again for the plan."""
     tri = cut_lineage(C.triple_counts(rows, targets))
-    mm = merge_map(tri, targets, min_count)
+    mm = C.merge_map(tri, targets, min_count)
     mcols = ["m_" + t for t in targets]
     merged = mm.groupBy(*mcols).agg(F.sum("n").alias("n"))
     merged = merged.select(*[F.col("m_" + t).alias(t) for t in targets], "n")
@@ -86,9 +76,9 @@ def prepare_training_set(tickets: DataFrame, lexicon: DataFrame | None, oversamp
         d = A.oversample_chain(d, lexicon, "combined_text", S.NUMBER, T, factors="attached",
                                field_aware=field_aware, seed=seed)
     else:
-        d = d.withColumn("aug_no", F.lit(0)).drop("f1", "f2", "f3")
+        d = d.withColumn("aug_no", F.lit("0.0.0")).drop("f1", "f2", "f3")
     cols = [F.col(S.NUMBER).alias("src_id"), "aug_no", F.col("combined_text").alias("text"), *T,
-            *[t + "_code" for t in T], F.round("sample_weight", 12).alias("sample_weight")]
+            *[t + "_code" for t in T], "sample_weight"]
     if field_aware:
         cols += [S.SHORT, S.DESC, *S.META_FIELDS]
     return d.select(*cols)

@@ -42,11 +42,8 @@ def sql(*ctes: str, body: str) -> str:
 
 def merged(spark: SparkSession, sf: str) -> DataFrame:
     """Base rows with rare classes (< 50) of each target merged into 'Other'."""
-    from tixprep.operators.classes import merge_rare_classes
-    d = base(spark, sf)
-    for t in ["category", "subcategory", "assignment_group"]:
-        d = merge_rare_classes(d, t)
-    return d
+    from tixprep.operators.classes import merge_rare_targets
+    return merge_rare_targets(base(spark, sf))
 
 
 MERGED_CTE = """merged AS (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tixprep import schema as S
-from tixprep.oracle import d_uniform, d_words
+from tixprep.oracle import d_edit, d_fast_augment, d_insert, d_ratio, d_uniform, d_words
 from tixprep.operators import augment as A
 from tixprep.queries import query
 from tixprep.queries.common import BASE_CTE, MERGED_CTE, base, merged, sql
@@ -15,9 +15,10 @@ TG = S.TARGETS
 
 
 def lexicon(spark, sf):
-    """Synonym lexicon derived from the vocabulary of the ``benchmark`` passages."""
+    """Synonym lexicon derived from the vocabulary of the ``documents`` and ``benchmark`` texts."""
     from tixprep.session import dimension
-    return dimension(A.synonym_lexicon(A.vocabulary_synsets(read_table(spark, sf, "benchmark"), "text")))
+    texts = read_table(spark, sf, "benchmark").select("text").unionAll(read_table(spark, sf, "documents").select("text"))
+    return dimension(A.synonym_lexicon(A.vocabulary_synsets(texts, "text")))
 
 
 def _h32(seed, key, tag):
@@ -25,7 +26,7 @@ def _h32(seed, key, tag):
 
 
 LEX_CTES = [
-    f"""bw AS (SELECT DISTINCT w AS lemma FROM (SELECT unnest({d_words('lower(text)')}) AS w FROM benchmark)
+    f"""bw AS (SELECT DISTINCT w AS lemma FROM (SELECT unnest({d_words('lower(text)')}) AS w FROM (SELECT text FROM benchmark UNION ALL SELECT text FROM documents))
        WHERE regexp_full_match(w, '\\p{{L}}+') AND length(w) > 3)""",
     "ns AS (SELECT greatest(1, floor(count(*) / 3))::BIGINT AS k FROM bw)",
     f"pairs AS (SELECT {_h32(7, 'lemma', 'synset')} % k AS synset, lemma FROM bw, ns)",
@@ -93,40 +94,65 @@ def q_random_swap_segments(spark, sf):
     return A.random_swap_segments(d, "description", F.col("number_fld"), "sw")
 
 
-@query("synonym_replace_ratio")
+_ROWS = "rows_in AS (SELECT number_fld, CAST(number_fld AS VARCHAR) AS rk, description AS txt FROM base)"
+
+
+@query("synonym_replace_ratio", sql(BASE_CTE, *LEX_CTES, _ROWS, *d_ratio("rr", "rows_in", "rr", "0.15"), body="SELECT number_fld, txt AS description FROM rr"))
 def q_synonym_replace_ratio(spark, sf):
     d = base(spark, sf).select("number_fld", "description")
     return A.synonym_replace_ratio(d, lexicon(spark, sf), "description", F.col("number_fld"), "rr", 0.15)
 
 
-@query("random_insertion")
+@query("random_insertion", sql(BASE_CTE, *LEX_CTES, _ROWS, *d_insert("ri", "rows_in", "ri"), body="SELECT number_fld, txt AS description FROM ri"))
 def q_random_insertion(spark, sf):
     d = base(spark, sf).select("number_fld", "description")
     return A.random_insertion(d, lexicon(spark, sf), "description", F.col("number_fld"), "ri")
 
 
-@query("synonym_replace_fields")
+def _fields_sql() -> str:
+    from tixprep.queries.q_text import _COMB
+    first = f"ft AS (SELECT number_fld, CAST(number_fld AS VARCHAR) AS rk, {_COMB} AS combined_text FROM base)"
+    parts = "fp AS (SELECT *, string_split(combined_text, ' [SEP] ') AS parts FROM ft)"
+    ok = "len(parts) >= 7"
+    ctes = [first, parts, "f0 AS (SELECT *, parts[1] AS txt FROM fp)", *d_edit("f0e", "f0", "sf:f0", ok),
+            "f1 AS (SELECT * EXCLUDE (txt), txt AS new0, parts[2] AS txt FROM f0e)", *d_edit("f1e", "f1", "sf:f1", ok)]
+    body = f"""SELECT b.number_fld, CASE WHEN {ok} THEN new0 ELSE b.short_description END AS short_description,
+       CASE WHEN {ok} THEN txt ELSE b.description END AS description,
+       CASE WHEN {ok} THEN array_to_string([new0, txt] || parts[3:], ' [SEP] ') ELSE combined_text END AS combined_text
+FROM f1e JOIN base b USING (number_fld)"""
+    return sql(BASE_CTE, *LEX_CTES, *ctes, body=body)
+
+
+@query("synonym_replace_fields", _fields_sql())
 def q_synonym_replace_fields(spark, sf):
     from tixprep.operators.fields import combine_text7, fill_defaults
     d = combine_text7(fill_defaults(base(spark, sf), "main")).select("number_fld", "short_description", "description", "combined_text")
     return A.synonym_replace_fields(d, lexicon(spark, sf), "combined_text", F.col("number_fld"), "sf")
 
 
-@query("fast_augment")
+_HEAVY = """hv AS (SELECT number_fld, CAST(number_fld AS VARCHAR) AS rk, description AS txt,
+    count(*) OVER (PARTITION BY category) < 25 OR count(*) OVER (PARTITION BY subcategory) < 25 OR count(*) OVER (PARTITION BY assignment_group) < 25 AS heavy
+    FROM base)"""
+
+
+@query("fast_augment", sql(BASE_CTE, *LEX_CTES, _HEAVY, *d_fast_augment("fa", "hv"), body="SELECT number_fld, txt AS description FROM fa"))
 def q_fast_augment(spark, sf):
     d = A.rare_flags(base(spark, sf)).select("number_fld", "description", "is_heavy")
-    return A.fast_augment(d, lexicon(spark, sf), "description", F.col("number_fld"), F.col("is_heavy"))
+    return A.fast_augment(d, lexicon(spark, sf), "description", F.col("number_fld"), F.col("is_heavy")).select("number_fld", "description")
+
+
+_MINOR_CTES = ["mc AS (SELECT category, count(*) AS n FROM merged GROUP BY category)",
+               "mf AS (SELECT category, n < max(n) OVER () * 0.3 AND category <> 'Other' AS minor FROM mc)",
+               "mr AS (SELECT m.number_fld, m.category, m.description AS txt, unnest(range(0, CASE WHEN mf.minor THEN 3 ELSE 1 END))::INTEGER AS copy_no "
+               "FROM merged m JOIN mf USING (category))",
+               "mk AS (SELECT *, CAST(number_fld AS VARCHAR) || ':' || CAST(copy_no AS VARCHAR) AS rk FROM mr)"]
 
 
-@query("oversample_minority", sql(BASE_CTE, MERGED_CTE, body="""
-WITH c AS (SELECT category, count(*) AS n FROM merged GROUP BY category),
-f AS (SELECT category, n < max(n) OVER () * 0.3 AND category <> 'Other' AS minor FROM c)
-SELECT m.number_fld, m.category, unnest(range(0, CASE WHEN f.minor THEN 3 ELSE 1 END))::INTEGER AS copy_no
-FROM merged m JOIN f USING (category)"""))
+@query("oversample_minority", sql(BASE_CTE, MERGED_CTE, *LEX_CTES, *_MINOR_CTES, *d_edit("me", "mk", "os", "copy_no > 0"),
+                                  body="SELECT number_fld, category, copy_no, txt AS description FROM me"))
 def q_oversample_minority(spark, sf):
-    d = merged(spark, sf)
-    out = A.oversample_minority(d, lexicon(spark, sf), "category", "description", "number_fld")
-    return out.select("number_fld", "category", F.col("copy_no").cast("int").alias("copy_no"))
+    out = A.oversample_minority(merged(spark, sf), lexicon(spark, sf), "category", "description", "number_fld")
+    return out.select("number_fld", "category", F.col("copy_no").cast("int").alias("copy_no"), "description")
 
 
 CHAIN_CTE = """chain AS (
@@ -141,16 +167,31 @@ CHAIN_CTE = """chain AS (
 )"""
 
 
-@query("oversample_chain", sql(BASE_CTE, MERGED_CTE, CHAIN_CTE, body="""
-SELECT src_id, (i1 * 10000 + i2 * 100 + i3)::INTEGER AS aug_no, category, subcategory, assignment_group FROM (
-  SELECT m.number_fld AS src_id, m.category, m.subcategory, m.assignment_group,
-         unnest(range(0, c.f1)) AS i1, c.f2, c.f3 FROM merged m JOIN chain c USING (category, subcategory, assignment_group))
-  , LATERAL (SELECT unnest(range(0, f2)) AS i2), LATERAL (SELECT unnest(range(0, f3)) AS i3)"""))
+def chain_text_ctes() -> list[str]:
+    """Copies of every merged row with the edits of their path: (src, i1, i2, i3, t3, labels)."""
+    from tixprep.queries.q_text import _COMB
+    out = [f"""r0 AS (SELECT m.number_fld AS src, m.category, m.subcategory, m.assignment_group, {_COMB} AS txt, c.f1, c.f2, c.f3
+             FROM merged m JOIN chain c USING (category, subcategory, assignment_group))"""]
+    src, path = "r0", "CAST(src AS VARCHAR)"
+    for k in (1, 2, 3):
+        path += f" || '.' || CAST(i{k} AS VARCHAR)"
+        keep = "" if k == 1 else " EXCLUDE (rk)"
+        out += [f"u{k} AS (SELECT *{keep}, unnest(range(0, f{k})) AS i{k} FROM {src})", f"e{k} AS (SELECT *, {path} AS rk FROM u{k})"]
+        out += d_edit(f"z{k}", f"e{k}", f"p{k}", f"i{k} > 0")
+        src = f"z{k}"
+    return out
+
+
+PATH = "CAST(i1 AS VARCHAR) || '.' || CAST(i2 AS VARCHAR) || '.' || CAST(i3 AS VARCHAR)"
+
+
+@query("oversample_chain", sql(BASE_CTE, MERGED_CTE, CHAIN_CTE, *LEX_CTES, *chain_text_ctes(), body=f"""
+SELECT src AS src_id, {PATH} AS aug_no, category, subcategory, assignment_group, txt AS combined_text FROM z3"""))
 def q_oversample_chain(spark, sf):
     from tixprep.operators.fields import combine_text7, fill_defaults
     d = combine_text7(fill_defaults(merged(spark, sf), "main"))
     out = A.oversample_chain(d, lexicon(spark, sf), "combined_text", "number_fld")
-    return out.select(F.col("number_fld").alias("src_id"), "aug_no", *TG)
+    return out.select(F.col("number_fld").alias("src_id"), "aug_no", *TG, "combined_text")
 
 
 _RARE_CTE = """rare AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY category) AS nc, count(*) OVER (PARTITION BY subcategory) AS ns,
@@ -162,42 +203,43 @@ def q_rare_subset(spark, sf):
     return A.rare_subset(base(spark, sf)).select("number_fld", *TG)
 
 
-_AUG_CTE = """aug AS (SELECT number_fld AS src_id, category, subcategory, assignment_group,
+_COPIES = """copies AS (SELECT *, CAST(src_id AS VARCHAR) || ':' || CAST(aug_no AS VARCHAR) AS rk FROM (
+    SELECT number_fld AS src_id, category, subcategory, assignment_group, concat_ws(' [SEP] ', short_description, description) AS txt, heavy,
     unnest(range(1, CASE WHEN heavy THEN 10 ELSE 5 END + 1))::INTEGER AS aug_no FROM (
       SELECT *, (nc < 50 AND count(*) OVER (PARTITION BY category) < 25) OR (ns < 50 AND count(*) OVER (PARTITION BY subcategory) < 25)
-             OR (ng < 50 AND count(*) OVER (PARTITION BY assignment_group) < 25) AS heavy FROM rare))"""
+             OR (ng < 50 AND count(*) OVER (PARTITION BY assignment_group) < 25) AS heavy FROM rare)))"""
+AUG_CTES = [BASE_CTE, _RARE_CTE, *LEX_CTES, _COPIES, *d_fast_augment("aug", "copies")]
+_CHOSEN = f"{d_uniform(7, 'rk', 'transform')} < 0.5"
 
 
-def _aug(spark, sf, edit_text=False):
-    """Rare-row copies; the key/count queries skip the text edits (fast_augment and the rare-set
-    flow exercise them)."""
-    b = base(spark, sf)
+def _aug(spark, sf):
+    """(augmented copies, rare rows)."""
     from tixprep.operators.fields import combine_text2
+    b = base(spark, sf)
     rare = combine_text2(A.rare_subset(b))
-    return A.augment_rare_rows(rare, lexicon(spark, sf), "combined_text", "number_fld", rare_sets_from=b,
-                               edit_text=edit_text), rare
+    return A.augment_rare_rows(rare, lexicon(spark, sf), "combined_text", "number_fld", rare_sets_from=b), rare
+
 
+def _copy_cols(*more):
+    return [F.col("number_fld").alias("src_id"), F.col("aug_no").cast("int").alias("aug_no"), *more]
 
-@query("augment_rare_rows", sql(BASE_CTE, _RARE_CTE, _AUG_CTE, body="SELECT src_id, aug_no, category, subcategory, assignment_group FROM aug"))
+
+@query("augment_rare_rows", sql(*AUG_CTES, body="SELECT src_id, aug_no, category, subcategory, assignment_group, txt AS combined_text FROM aug"))
 def q_augment_rare_rows(spark, sf):
-    aug, _ = _aug(spark, sf)
-    return aug.select(F.col("number_fld").alias("src_id"), F.col("aug_no").cast("int").alias("aug_no"), *TG)
+    return _aug(spark, sf)[0].select(*_copy_cols(*TG, "combined_text"))
 
 
-@query("union_augmented", sql(BASE_CTE, _RARE_CTE, _AUG_CTE, body="""
-SELECT number_fld AS src_id, 0 AS aug_no, category FROM rare UNION ALL SELECT src_id, aug_no, category FROM aug"""))
+@query("union_augmented", sql(*AUG_CTES, body="""
+SELECT number_fld AS src_id, 0 AS aug_no, category, concat_ws(' [SEP] ', short_description, description) AS combined_text FROM rare
+UNION ALL SELECT src_id, aug_no, category, txt FROM aug"""))
 def q_union_augmented(spark, sf):
     aug, rare = _aug(spark, sf)
-    u = A.union_augmented(rare.withColumn("aug_no", F.lit(0)), aug)
-    return u.select(F.col("number_fld").alias("src_id"), F.col("aug_no").cast("int").alias("aug_no"), "category")
+    return A.union_augmented(rare.withColumn("aug_no", F.lit(0)), aug).select(*_copy_cols("category", "combined_text"))
 
 
-@query("select_for_transform", sql(BASE_CTE, _RARE_CTE, _AUG_CTE, body=f"""
-SELECT src_id, aug_no FROM aug WHERE {d_uniform(7, "(CAST(src_id AS VARCHAR) || ':' || CAST(aug_no AS VARCHAR))", 'transform')} < 0.5"""))
+@query("select_for_transform", sql(*AUG_CTES, body=f"SELECT src_id, aug_no, txt AS combined_text FROM aug WHERE {_CHOSEN}"))
 def q_select_for_transform(spark, sf):
-    aug, _ = _aug(spark, sf)
-    sel = A.select_for_transform(aug, "number_fld")
-    return sel.select(F.col("number_fld").alias("src_id"), F.col("aug_no").cast("int").alias("aug_no"))
+    return A.select_for_transform(_aug(spark, sf)[0], "number_fld").select(*_copy_cols("combined_text"))
 
 
 def _upper_words(texts: list[str]) -> list[str]:
@@ -205,18 +247,21 @@ def _upper_words(texts: list[str]) -> list[str]:
     return [t.upper() if t is not None else None for t in texts]
 
 
-@query("batch_transform")
+_UPPER = "replace(upper(txt), 'ß', 'SS')"  # Python's upper case of the one letter on which the two differ here
+
+
+@query("batch_transform", sql(*AUG_CTES, body=f"SELECT src_id, aug_no, {_UPPER} AS new_text FROM aug WHERE {_CHOSEN}"))
 def q_batch_transform(spark, sf):
-    aug, _ = _aug(spark, sf, edit_text=True)
-    sel = A.select_for_transform(aug, "number_fld")
-    return A.batch_transform(sel, _upper_words, "combined_text", ["number_fld", "aug_no"])
+    sel = A.select_for_transform(_aug(spark, sf)[0], "number_fld")
+    return A.batch_transform(sel, _upper_words, "combined_text", ["number_fld", "aug_no"]).select(*_copy_cols("new_text"))
 
 
-@query("writeback_by_id")
+@query("writeback_by_id", sql(*AUG_CTES, body=f"SELECT src_id, aug_no, CASE WHEN {_CHOSEN} THEN {_UPPER} ELSE txt END AS combined_text FROM aug"))
 def q_writeback_by_id(spark, sf):
-    aug, _ = _aug(spark, sf, edit_text=True)
+    from tixprep.session import cut_lineage
+    aug = cut_lineage(_aug(spark, sf)[0].select("number_fld", "aug_no", "combined_text"))  # read twice below
     new = A.batch_transform(A.select_for_transform(aug, "number_fld"), _upper_words, "combined_text", ["number_fld", "aug_no"])
-    return A.writeback_by_id(aug, new, "combined_text", ["number_fld", "aug_no"]).select("number_fld", "aug_no", "combined_text")
+    return A.writeback_by_id(aug, new, "combined_text", ["number_fld", "aug_no"]).select(*_copy_cols("combined_text"))
 
 
 @query("per_key_copies", sql(BASE_CTE, body="""
@@ -227,9 +272,21 @@ def q_per_key_copies(spark, sf):
     return per_key_copies(d, "k").select("number_fld", F.col("copy_no").cast("int").alias("copy_no"))
 
 
-@query("prepare_rare_set")
+def _rare_set_sql() -> str:
+    ctes = [*AUG_CTES, f"""rs AS (SELECT number_fld AS src_id, 0 AS aug_no, concat_ws(' [SEP] ', short_description, description) AS text,
+        category, subcategory, assignment_group FROM rare
+      UNION ALL SELECT src_id, aug_no, CASE WHEN {_CHOSEN} THEN {_UPPER} ELSE txt END, category, subcategory, assignment_group FROM aug)""",
+            """rw AS (SELECT *, sqrt(1.0 / count(*) OVER (PARTITION BY category)) AS a, sqrt(1.0 / count(*) OVER (PARTITION BY subcategory)) AS b,
+        sqrt(1.0 / count(*) OVER (PARTITION BY assignment_group)) AS c FROM rs)"""]
+    return sql(*ctes, body="""SELECT src_id, aug_no, text, category, subcategory, assignment_group,
+       (dense_rank() OVER (ORDER BY category) - 1)::INTEGER AS category_code, (dense_rank() OVER (ORDER BY subcategory) - 1)::INTEGER AS subcategory_code,
+       (dense_rank() OVER (ORDER BY assignment_group) - 1)::INTEGER AS assignment_group_code,
+       round(least(10.0, greatest(1.0, pow((a / min(a) OVER ()) * (b / min(b) OVER ()) * (c / min(c) OVER ()), 1.0 / 3.0))), 9) AS sample_weight FROM rw""")
+
+
+@query("prepare_rare_set", _rare_set_sql())
 def q_prepare_rare_set(spark, sf):
     from tixprep.plans.rare import prepare_rare_set
     from tixprep.queries.common import tk
-    samples, _ = prepare_rare_set(tk(spark, sf), lexicon(spark, sf))
-    return samples
+    samples, _ = prepare_rare_set(tk(spark, sf), lexicon(spark, sf), transform=_upper_words)
+    return samples.withColumn("sample_weight", F.round("sample_weight", 9))

@@ -167,18 +167,22 @@ def q_hierarchical_weights(spark, sf):
 
 
 @query("weight_lookup", sql(BASE_CTE, MERGED_CTE, body="""
-WITH c AS (SELECT category AS value, count(*) AS n FROM merged GROUP BY category),
+WITH c AS (SELECT assignment_group AS value, count(*) AS n FROM merged GROUP BY assignment_group),
 w AS (SELECT value, (SELECT count(*) FROM merged) / ((SELECT count(*) FROM c) * n) AS w FROM c),
 cw AS (SELECT value, w / (SELECT min(w) FROM w) AS class_weight FROM w)
-SELECT b.number_fld, b.assignment_group, round(coalesce(cw.class_weight, 1.0), 9) AS weight
-FROM base b LEFT JOIN cw ON cw.value = b.assignment_group"""))
+SELECT b.number_fld, b.assignment_group, m.assignment_group AS merged_group, round(coalesce(ca.class_weight, 1.0), 9) AS weight,
+       round(cm.class_weight, 9) AS merged_weight
+FROM base b JOIN merged m USING (number_fld) LEFT JOIN cw ca ON ca.value = b.assignment_group LEFT JOIN cw cm ON cm.value = m.assignment_group"""))
 def q_weight_lookup(spark, sf):
-    # class weights of the merged table looked up by the un-merged label: merged-away classes are
-    # missing from the weight table and get 1.0
+    # weights of the merged groups, looked up by the merged label (all found) and by the label as it
+    # was: groups merged away are missing from the table and get 1.0
     m = merged(spark, sf)
-    w = C.class_weights_inverse(m, "category")
-    d = C.weight_lookup(base(spark, sf).select("number_fld", "assignment_group"), w, "assignment_group")
-    return d.select("number_fld", "assignment_group", F.round("weight", 9).alias("weight"))
+    w = C.class_weights_inverse(m, "assignment_group")
+    d = base(spark, sf).select("number_fld", "assignment_group")
+    d = C.weight_lookup(d, w, "assignment_group")
+    mm = C.weight_lookup(m.select("number_fld", F.col("assignment_group").alias("merged_group")), w, "merged_group", out="merged_weight", default=None)
+    return d.join(mm, "number_fld").select("number_fld", "assignment_group", "merged_group", F.round("weight", 9).alias("weight"),
+                                           F.round("merged_weight", 9).alias("merged_weight"))
 
 
 _DICT_SQL = """

@@ -148,45 +148,19 @@ def _samples(spark, sf, oversample=True):
     return prepare_training_set(tk(spark, sf), lexicon(spark, sf), oversample=oversample)
 
 
-def _edit_ctes(k: int, src: str, tin: str, tout: str, key: str, apply: str) -> list[str]:
-    """SQL twin of one seeded single-word synonym edit (pass ``k``)."""
-    from tixprep.oracle import d_uniform, d_words
-    kk = f"({key} || '|p{k}')"
-    return [
-        f"w{k} AS (SELECT *, CASE WHEN {apply} THEN {d_words(tin)} END AS _w FROM {src})",
-        f"x{k} AS (SELECT *, CASE WHEN _w IS NOT NULL AND len(_w) > 0 THEN floor({d_uniform(7, kk, 'pos')} * len(_w))::INTEGER END AS _i, "
-        f"{d_uniform(7, kk, 'syn')} AS _us FROM w{k})",
-        f"y{k} AS (SELECT x{k}.*, lex.synonyms AS _syns FROM x{k} LEFT JOIN lex ON lex.word = x{k}._w[x{k}._i + 1])",
-        f"""z{k} AS (SELECT * EXCLUDE (_w, _i, _us, _syns), CASE WHEN _i IS NULL THEN {tin}
-              WHEN _syns IS NULL THEN array_to_string(_w, ' ')
-              ELSE array_to_string(list_transform(_w, lambda x, j: CASE WHEN j - 1 = _i THEN _syns[floor(_us * len(_syns))::INTEGER + 1]
-                   ELSE x END), ' ') END AS {tout} FROM y{k})""",
-    ]
-
-
 def _prepare_sql(as_cte: bool = False):
-    from tixprep.queries.q_augment import CHAIN_CTE, LEX_CTES
-    from tixprep.queries.q_text import _COMB
-    ctes = [BASE_CTE, MERGED_CTE, CHAIN_CTE, *LEX_CTES,
-            f"""r0 AS (SELECT m.number_fld AS src, m.category, m.subcategory, m.assignment_group,
-                  {_COMB} AS t0,
-                  c.f1, c.f2, c.f3 FROM merged m JOIN chain c USING (category, subcategory, assignment_group))""",
-            "e1 AS (SELECT *, unnest(range(0, f1)) AS i1 FROM r0)"]
-    ctes += _edit_ctes(1, "e1", "t0", "t1", "(CAST(src AS VARCHAR) || '.' || CAST(i1 AS VARCHAR))", "i1 > 0")
-    ctes += ["e2 AS (SELECT *, unnest(range(0, f2)) AS i2 FROM z1)"]
-    ctes += _edit_ctes(2, "e2", "t1", "t2", "(CAST(src AS VARCHAR) || '.' || CAST(i1 AS VARCHAR) || '.' || CAST(i2 AS VARCHAR))", "i2 > 0")
-    ctes += ["e3 AS (SELECT *, unnest(range(0, f3)) AS i3 FROM z2)"]
-    ctes += _edit_ctes(3, "e3", "t2", "t3", "(CAST(src AS VARCHAR) || '.' || CAST(i1 AS VARCHAR) || '.' || CAST(i2 AS VARCHAR) || '.' || CAST(i3 AS VARCHAR))", "i3 > 0")
+    from tixprep.queries.q_augment import CHAIN_CTE, LEX_CTES, PATH, chain_text_ctes
+    ctes = [BASE_CTE, MERGED_CTE, CHAIN_CTE, *LEX_CTES, *chain_text_ctes()]
     ctes += ["""fin AS (SELECT category, subcategory, assignment_group, n * f1 * f2 * f3 AS nf FROM chain)""",
              """wt AS (SELECT category, subcategory, assignment_group,
                   sqrt(1.0 / sum(nf) OVER (PARTITION BY category)) AS a, sqrt(1.0 / sum(nf) OVER (PARTITION BY subcategory)) AS b,
                   sqrt(1.0 / sum(nf) OVER (PARTITION BY assignment_group)) AS c FROM fin)""",
              """pl AS (SELECT category, subcategory, assignment_group,
-                  round(least(10.0, greatest(1.0, pow((a / min(a) OVER ()) * (b / min(b) OVER ()) * (c / min(c) OVER ()), 1.0 / 3.0))), 12) AS sample_weight,
+                  round(least(10.0, greatest(1.0, pow((a / min(a) OVER ()) * (b / min(b) OVER ()) * (c / min(c) OVER ()), 1.0 / 3.0))), 9) AS sample_weight,
                   (dense_rank() OVER (ORDER BY category) - 1)::INTEGER AS category_code,
                   (dense_rank() OVER (ORDER BY subcategory) - 1)::INTEGER AS subcategory_code,
                   (dense_rank() OVER (ORDER BY assignment_group) - 1)::INTEGER AS assignment_group_code FROM wt)"""]
-    body = """SELECT z3.src AS src_id, (i1 * 10000 + i2 * 100 + i3)::INTEGER AS aug_no, t3 AS text, category, subcategory, assignment_group,
+    body = f"""SELECT z3.src AS src_id, {PATH} AS aug_no, txt AS text, category, subcategory, assignment_group,
        category_code, subcategory_code, assignment_group_code, sample_weight
 FROM z3 JOIN pl USING (category, subcategory, assignment_group)"""
     if as_cte:
@@ -196,7 +170,7 @@ FROM z3 JOIN pl USING (category, subcategory, assignment_group)"""
 
 @query("prepare_training_set", _prepare_sql())
 def q_prepare_training_set(spark, sf):
-    return _samples(spark, sf)
+    return _samples(spark, sf).withColumn("sample_weight", F.round("sample_weight", 9))
 
 
 def _bundle_sql() -> str:

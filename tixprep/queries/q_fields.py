@@ -18,7 +18,9 @@ ALL = ("number_fld, short_description, description, category, subcategory, assig
 
 @query("scan_tickets", sql(body=f"SELECT {ALL} FROM tickets"))
 def q_scan_tickets(spark, sf):
-    return tk(spark, sf)
+    path = IO.scratch_path(spark, "tickets")
+    tk(spark, sf).write.parquet(path)
+    return IO.scan_tickets(spark, path)
 
 
 @query("scan_typed", sql(body=f"SELECT {ALL} FROM tickets"))

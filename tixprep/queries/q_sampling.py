@@ -12,17 +12,19 @@ from tixprep.queries.common import BASE_CTE, MERGED_CTE, merged, sql, tk
 U_SPLIT = d_uniform(42, "number_fld", "split")
 
 
-@query("stratified_split", sql(BASE_CTE, MERGED_CTE, body=f"""
-WITH c AS (SELECT category, count(*) AS n FROM merged GROUP BY category),
-t AS (SELECT *, sum(n) OVER () AS nn, ceil(sum(n) OVER () * 0.1)::BIGINT AS nv FROM c),
-a AS (SELECT *, (nn - nv) * n // nn AS fl, ((nn - nv) * n) % nn AS rem FROM t),
-b AS (SELECT *, fl + CASE WHEN row_number() OVER (ORDER BY rem DESC, category) <= (nn - nv) - sum(fl) OVER () THEN 1 ELSE 0 END AS n_train FROM a),
-l AS (SELECT category, n, nv, n - n_train AS lft, sum(n - n_train) OVER () AS tl FROM b),
-m AS (SELECT *, nv * lft // tl AS fl2, (nv * lft) % tl AS rem2 FROM l),
-q AS (SELECT category, fl2 + CASE WHEN row_number() OVER (ORDER BY rem2 DESC, category) <= nv - sum(fl2) OVER () THEN 1 ELSE 0 END AS n_val FROM m),
-r AS (SELECT number_fld, category, row_number() OVER (PARTITION BY category ORDER BY {U_SPLIT}, number_fld) AS rk FROM merged)
-SELECT r.number_fld, r.category, CASE WHEN r.rk <= q.n_val THEN 'val' ELSE 'train' END AS split
-FROM r JOIN q USING (category)"""))
+_SPLIT_SQL = f"""splits AS (WITH c AS (SELECT category, count(*) AS n FROM merged GROUP BY category),
+  t AS (SELECT *, sum(n) OVER () AS nn, ceil(sum(n) OVER () * 0.1)::BIGINT AS nv FROM c),
+  a AS (SELECT *, (nn - nv) * n // nn AS fl, ((nn - nv) * n) % nn AS rem FROM t),
+  b AS (SELECT *, fl + CASE WHEN row_number() OVER (ORDER BY rem DESC, category) <= (nn - nv) - sum(fl) OVER () THEN 1 ELSE 0 END AS n_train FROM a),
+  l AS (SELECT category, n, nv, n - n_train AS lft, sum(n - n_train) OVER () AS tl FROM b),
+  m AS (SELECT *, nv * lft // tl AS fl2, (nv * lft) % tl AS rem2 FROM l),
+  q AS (SELECT category, fl2 + CASE WHEN row_number() OVER (ORDER BY rem2 DESC, category) <= nv - sum(fl2) OVER () THEN 1 ELSE 0 END AS n_val FROM m),
+  r AS (SELECT number_fld, category, row_number() OVER (PARTITION BY category ORDER BY {U_SPLIT}, number_fld) AS rk FROM merged)
+  SELECT r.number_fld, r.category, CASE WHEN r.rk <= q.n_val THEN 'val' ELSE 'train' END AS split
+  FROM r JOIN q USING (category))"""
+
+
+@query("stratified_split", sql(BASE_CTE, MERGED_CTE, _SPLIT_SQL, body="SELECT number_fld, category, split FROM splits"))
 def q_stratified_split(spark, sf):
     return SM.stratified_split(merged(spark, sf).select("number_fld", "category"), "category", "number_fld")
 
@@ -46,19 +48,22 @@ def q_batch_index(spark, sf):
     return SM.batch_index(base(spark, sf).select("number_fld"), "number_fld")
 
 
-@query("weighted_sample_replace", sql(BASE_CTE, MERGED_CTE, body=f"""
+@query("weighted_sample_replace", sql(BASE_CTE, MERGED_CTE, _SPLIT_SQL, body=f"""
 WITH w AS (SELECT number_fld,
         sqrt(1.0 / count(*) OVER (PARTITION BY category)) AS a, sqrt(1.0 / count(*) OVER (PARTITION BY subcategory)) AS b,
         sqrt(1.0 / count(*) OVER (PARTITION BY assignment_group)) AS c FROM merged),
 v AS (SELECT number_fld, least(10.0, greatest(1.0, pow((a / min(a) OVER ()) * (b / min(b) OVER ()) * (c / min(c) OVER ()), 1.0 / 3.0))) AS sw FROM w),
-iw AS (SELECT number_fld AS key, round(sw * 1e6)::BIGINT AS w,
-        (('0x' || substr(md5(concat_ws('|', '42', CAST(number_fld AS VARCHAR), 'bucket')), 1, 8))::BIGINT % 65536) AS bk FROM v),
+tv AS (SELECT v.* FROM v JOIN splits USING (number_fld) WHERE split = 'train'),
+iw AS (SELECT number_fld AS key, round(sw / (SELECT min(sw) FROM tv) * 1e6)::BIGINT AS w,
+        (('0x' || substr(md5(concat_ws('|', '42', CAST(number_fld AS VARCHAR), 'bucket')), 1, 8))::BIGINT % 65536) AS bk FROM tv),
 iv AS (SELECT key, sum(w) OVER (ORDER BY bk, key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS lo0, w FROM iw),
 iv2 AS (SELECT key, coalesce(lo0, 0) AS lo, coalesce(lo0, 0) + w AS hi FROM iv),
-tot AS (SELECT sum(w) AS ww FROM iw),
-dr AS (SELECT number_fld AS draw, floor({d_uniform(42, 'number_fld', 'draw')} * ww)::BIGINT AS x FROM merged, tot)
+tot AS (SELECT sum(w)::HUGEINT AS ww FROM iw),
+dr AS (SELECT number_fld AS draw, ((('0x' || substr(md5(concat_ws('|', '42', CAST(number_fld AS VARCHAR), 'draw')), 1, 15))::BIGINT::HUGEINT * ww)
+        // 1152921504606846976::HUGEINT)::BIGINT AS x FROM tv, tot)
 SELECT dr.draw, iv2.key AS number_fld FROM dr JOIN iv2 ON iv2.lo <= dr.x AND dr.x < iv2.hi"""))
 def q_weighted_sample_replace(spark, sf):
+    # weights of the whole set, draws over the training part of its split
     from tixprep.operators.classes import sample_weights
-    w = sample_weights(merged(spark, sf))
+    w = SM.stratified_split(sample_weights(merged(spark, sf)), "category", "number_fld").filter("split = 'train'")
     return SM.weighted_sample_replace(w, "sample_weight", "number_fld")

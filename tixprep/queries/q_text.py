@@ -105,22 +105,18 @@ FROM c, m""")
 def q_math_weight(spark, sf):
     from tixprep.operators.classes import class_counts, over_all
     c = class_counts(docs(spark, sf), "lang")
-    lw = F.sqrt(F.lit(1.0) / F.col("n")) / F.sqrt(F.lit(1.0) / over_all(F.max("n")))
-    return c.withColumn("level_weight", lw).withColumn(
-        "clipped_root", F.least(F.lit(10.0), F.greatest(F.lit(1.0), F.pow("level_weight", F.lit(1.0 / 3.0)))))
+    c = c.withColumn("level_weight", M.level_weight("n", over_all(F.min(M.level_weight("n")))))
+    return c.withColumn("clipped_root", M.geometric_clip("level_weight", F.lit(1.0), F.lit(1.0)))
 
 
 @query("percent_round", """
-SELECT lang, count(*) AS n, round(count(*) * 100.0 / (SELECT count(*) FROM documents), 6) AS percentage
-FROM documents GROUP BY lang""")
+SELECT source, count(*) AS n, round_even(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM documents), 2) AS percentage
+FROM documents GROUP BY source""")
 def q_percent_round(spark, sf):
-    # bround(…, 2) is the reported value; the oracle compares the unrounded share (DuckDB has no
-    # half-even rounding), so both sides round to 6 places for the check.
     from tixprep.operators.classes import class_counts
     d = docs(spark, sf)
-    c = class_counts(d, "lang")
     total = d.select(F.count(F.lit(1))).scalar()
-    return c.select("lang", "n", F.round(F.col("n") * 100.0 / total, 6).alias("percentage"))
+    return class_counts(d, "source").select("source", "n", M.percent_round("n", total).alias("percentage"))
 
 
 @query("arg_max", """

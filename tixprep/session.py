@@ -38,12 +38,16 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.split("[")[0] == "local"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared (distributed) folder and is used as is. Only when it
-    is unset — local tests — a private folder is created and registered.
-    """
+    On a cluster the setting must name a folder that driver and executors share; without it this
+    raises, as tables in a machine-local folder could not be read back. Only in local mode (tests)
+    is a private folder created, and removed when the JVM ends."""
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     current = sc.getCheckpointDir()
@@ -53,34 +57,54 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir() or configured
     if current:
         return current
+    if not is_local(spark):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="tixprep-ckpt-")
+    _remove_at_end(spark, path)
     sc.setCheckpointDir(path)
     return path
 
 
+def _remove_at_end(spark: SparkSession, path: str) -> None:
+    """The file system removes ``path`` when the driver's JVM ends."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+
+
+def table_folder(spark: SparkSession, kind: str = "tixprep-tables") -> str:
+    """This application's folder for intermediate tables: one owner, removed when the driver ends."""
+    sc = spark.sparkContext
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}/{sc.applicationId}"
+    if path not in _owned:
+        jvm = sc._jvm
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(sc._jsc.hadoopConfiguration()).mkdirs(target)
+        _remove_at_end(spark, path)
+        _owned.add(path)
+    return path
+
+
+_owned: set[str] = set()
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     The plan is computed exactly once (``checkpoint()`` would compute it twice without a cache),
     the written files survive executor loss, and downstream plans start from a plain scan."""
-    spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/tixprep-tables/{uuid.uuid4().hex}"
+    path = f"{table_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def apply_conf(spark: SparkSession) -> None:
-    """Apply the library's runtime SQL settings to an existing session."""
+    """Apply the library's runtime SQL settings where the caller's session names none."""
+    given = dict(spark.sparkContext.getConf().getAll())
     for k, v in SPARK_CONF.items():
-        if k.startswith("spark.sql."):
+        if k.startswith("spark.sql.") and k not in given:
             spark.conf.set(k, v)
 
 
-def env_cpus(default: int = 8) -> int:
-    return int(os.environ.get("BENCH_CPUS", default))
-
-
 def dimension(df: DataFrame) -> DataFrame:
     """A small derived table (class table, dictionary, per-triple plan) that will be joined to rows.
 

@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tixprep import schema as S
-from tixprep.session import ensure_checkpoint_dir
+from tixprep.session import table_folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tixprep-out/{name}-{uuid.uuid4().hex}"
+    return f"{table_folder(spark, 'tixprep-out')}/{name}-{uuid.uuid4().hex}"
 
 
 def scan_tickets(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -35,10 +35,13 @@ def scan_typed(df: DataFrame, schema: T.StructType = S.TICKET_SCHEMA) -> DataFra
 
 
 def scan_guarded(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Missing or unreadable input -> an empty table (callers gate on ``isEmpty()``)."""
+    """A missing path -> an empty table (callers gate on ``isEmpty()``). Any other fault, such as a
+    schema that does not fit or a missing permission, is raised."""
     try:
         return spark.read.parquet(path) if schema is None else spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema or S.TICKET_SCHEMA)
 
 
@@ -67,9 +70,12 @@ def sink_bundle(samples: DataFrame, dictionary: DataFrame, level_weights: DataFr
     return path
 
 
-def scan_bundle(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(samples, label_dict) of a bundle."""
-    return spark.read.parquet(f"{path}/samples"), spark.read.parquet(f"{path}/label_dict")
+def scan_bundle(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(samples, label_dict, level_weights) of a bundle; level_weights is empty if none were written."""
+    levels = scan_guarded(spark, f"{path}/level_weights", T.StructType([
+        T.StructField("target", T.StringType()), T.StructField("value", T.StringType()),
+        T.StructField("n", T.LongType()), T.StructField("level_weight", T.DoubleType())]))
+    return spark.read.parquet(f"{path}/samples"), spark.read.parquet(f"{path}/label_dict"), levels
 
 
 def sink_report(report: DataFrame, path: str) -> str:
