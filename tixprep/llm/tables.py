@@ -1,4 +1,5 @@
-"""Intermediate tables in the shared checkpoint folder, and removal of those no longer needed."""
+"""Intermediate tables in this application's part of the shared checkpoint folder (removed when the
+driver ends), and early removal of those that no later plan reads."""
 
 from __future__ import annotations
 
@@ -6,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from tixprep.session import ensure_checkpoint_dir
+from tixprep.session import table_folder
 
 
 class Steps:
@@ -14,21 +15,17 @@ class Steps:
 
     def __init__(self, df: DataFrame):
         self.spark = df.sparkSession
-        self.root = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/tixprep-tables/{uuid.uuid4().hex}"
-        self.paths: dict[int, str] = {}
+        self.root = f"{table_folder(self.spark)}/{uuid.uuid4().hex}"
+        self.written: list[tuple[DataFrame, str]] = []
 
     def write(self, df: DataFrame) -> DataFrame:
-        path = f"{self.root}/{len(self.paths)}"
+        path = f"{self.root}/{len(self.written)}"
         df.write.mode("overwrite").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = path
-        self._last = out
-        self._kept = [*getattr(self, "_kept", []), out]
+        self.written.append((out, path))
         return out
 
     def drop(self, df: DataFrame) -> None:
-        path = self.paths.get(id(df))
-        if path:
-            jvm = self.spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        path = next(path for out, path in self.written if out is df)
+        target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
