@@ -12,22 +12,30 @@ the same rows again. Sequence ids hold the partition in their upper bits."""
 from __future__ import annotations
 
 import heapq
+import json
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
+from tokenizers import Tokenizer, pre_tokenizers
 
-from tixprep.llm.batches import column, ranges, steps, utf8
+from tixprep.llm.batches import column, ranges, steps, utf8, word_hashes, word_spans
 
 CAPACITY = 2048
 PIECE_LIMIT = 512
 # Tokens of remainders that are partitioned together (about 200 windows).
 BUCKET_TOKENS = 400 * 1024
-# Words whose ids a worker remembers; the memory starts anew when it is full.
-REMEMBERED_WORDS = 200_000
+# Words and parts whose ids a worker remembers; each memory starts anew when it is full.
+REMEMBERED_WORDS = 2_000_000
+REMEMBERED_PARTS = 500_000
+
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
 def differencing(sizes: np.ndarray, windows: int) -> np.ndarray:
@@ -78,62 +86,119 @@ def windows_of(sizes: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
         count += max(1, int(over // capacity))
 
 
-class WordEncoder:
-    """Token ids of whole texts, word by word: the tokenizer drops white space and never joins over
-    it, so the ids of a text are those of its words in turn. Seen words are looked up."""
+# What a tokenizer file must say for texts to be looked up word by word.
+_WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_WORD_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+# Letters and signs (up to Latin Extended-A) on which NFC and lower case leave no doubt, and the word
+# pattern written out for them; other words go to the tokenizer whole.
+_ODD = re.compile("[^!-~\u00a1-\u012f\u0131-\u017f]")
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ſ]+|[0-9²³¹¼½¾]|[^\na-zªµºß-öø-ſ0-9²³¹¼½¾]+")
+
+
+class Encoder:
+    """Token ids of whole texts. For a tokenizer that drops white space and marks word ends, the ids
+    of a text are those of its words in turn, and those of a word the ids of its parts: seen words and
+    parts are looked up, new parts are encoded together. Words are known by their 64-bit fingerprints
+    (two of a million words share one with odds of 1 to 37 million). Any other tokenizer gets the
+    texts whole."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self._forget()
+        normalizers = [x["type"] for x in (spec.get("normalizer") or {}).get("normalizers", [])]
+        splits = [x for x in (spec.get("pre_tokenizer") or {}).get("pretokenizers", []) if x["type"] == "Split"]
+        suffix = spec["model"].get("end_of_word_suffix")
+        self.by_words = bool(suffix) and normalizers == _WORD_NORMALIZERS and [x["pattern"].get("Regex") for x in splits] == [_WORD_PATTERN]
+        if self.by_words:
+            self.parts_only = Tokenizer(self.tokenizer.model)
+            self.parts_only.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+            self.ends[[i for w, i in self.tokenizer.get_vocab().items() if w.endswith(suffix)]] = True
+            self.parts: dict[str, bytes] = {}
+            self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.first, self.length, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
-
-    def _learn(self, words: list[bytes]) -> None:
-        if len(self.known) + len(words) > REMEMBERED_WORDS and self.known:
-            self._forget()
-        found = [e.ids for e in self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
-        length = np.array([len(x) for x in found], np.int64)
-        at = len(self.ids)
-        self.ids = np.concatenate([self.ids, np.array([i for x in found for i in x], np.uint32)])
-        self.first = np.concatenate([self.first, at + np.cumsum(length) - length])
-        self.length = np.concatenate([self.length, length])
-        n = len(self.known)
-        self.known.update((w, n + k) for k, w in enumerate(words))
-
-    def encode(self, data: bytes, offsets: np.ndarray, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all rows in turn (each followed by ``end_id``), and the number per row."""
-        rows = [data[a:b].split() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-        words = [w for r in rows for w in r]
-        keys = list(map(self.known.get, words))
-        new = list({w: None for w, k in zip(words, keys, strict=True) if k is None})
+        self.hashes, self.first, self.length = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def _learn_parts(self, parts: list[str]) -> None:
+        ids = np.array(self.parts_only.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(parts):
+            raise ValueError("the tokenizer's parts do not end with its end mark")
+        data = ids.tobytes()
+        at = 0
+        for part, end in zip(parts, ends.tolist(), strict=True):
+            self.parts[part] = data[4 * at:4 * end]
+            at = end
+
+    def _ids_of(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word, as bytes."""
+        texts = b"\n".join(words).decode("utf-8", "replace").split("\n")  # words hold no white space
+        odd = [k for k, t in enumerate(texts) if _ODD.search(t)]
+        split = list(map(_PARTS.findall, "\n".join(texts).lower().split("\n")))
+        for k in odd:
+            split[k] = ()
+        new = list({p: None for p in chain.from_iterable(split) if p not in self.parts})
         if new:
-            kept = len(self.known) + len(new) <= REMEMBERED_WORDS
-            self._learn(new if kept else list(dict.fromkeys(words)))
-            keys = list(map(self.known.__getitem__, words))
-        key = np.array(keys, np.int64)
-        n_words = np.array([len(r) for r in rows], np.int64)
-        length = self.length[key]
-        at, _ = ranges(self.first[key], self.first[key] + length)
-        ids = self.ids[at]
-        total = np.concatenate([[0], np.cumsum(length)])
-        last = np.cumsum(n_words)
-        per = total[last] - total[last - n_words]
+            if len(self.parts) + len(new) > REMEMBERED_PARTS:
+                self.parts = {}
+                new = list(dict.fromkeys(chain.from_iterable(split)))
+            self._learn_parts(new)
+        get = self.parts.__getitem__
+        data = [get(x[0]) if len(x) == 1 else b"".join(map(get, x)) for x in split]
+        for k, e in zip(odd, self.tokenizer.encode_batch([texts[k] for k in odd], add_special_tokens=False), strict=True):
+            data[k] = np.array(e.ids, np.uint32).tobytes()
+        return data
+
+    def encode(self, raw: np.ndarray, offsets: np.ndarray, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows in turn (each followed by ``end_id``), and the number per row."""
+        if self.by_words:
+            ids, per = self._encode_words(raw, offsets)
+        else:
+            data = raw.tobytes()
+            texts = [data[a:b].decode("utf-8", "replace") for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+            ids, per = np.concatenate([np.zeros(0, np.uint32), *found]), np.array([len(x) for x in found], np.int64)
         if end_id is not None:
             ids = np.insert(ids, np.cumsum(per), np.uint32(end_id))
             per = per + 1
         return ids, per
 
+    def _encode_words(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        starts, ends, n_words = word_spans(~_SPACE[raw], offsets)
+        seen, at, which = np.unique(word_hashes(raw, starts, ends), return_index=True, return_inverse=True)
+        place = np.searchsorted(self.hashes, seen)
+        new = np.ones(len(seen), bool)
+        inner = place < len(self.hashes)
+        new[inner] = self.hashes[place[inner]] != seen[inner]
+        if new.any():
+            if len(self.hashes) and len(self.hashes) + new.sum() > REMEMBERED_WORDS:
+                self._forget()
+                place, new = np.zeros(len(seen), np.int64), np.ones(len(seen), bool)
+            data = raw.tobytes()
+            found = self._ids_of([data[a:b] for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist(), strict=True)])
+            length = np.array([len(x) >> 2 for x in found], np.int64)
+            self.hashes = np.insert(self.hashes, place[new], seen[new])
+            self.first = np.insert(self.first, place[new], len(self.ids) + np.cumsum(length) - length)
+            self.length = np.insert(self.length, place[new], length)
+            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(found), np.uint32)])
+            place = np.searchsorted(self.hashes, seen)
+        length = self.length[place][which]
+        first = self.first[place][which]
+        total = np.concatenate([[0], np.cumsum(length)])
+        last = np.cumsum(n_words)
+        return self.ids[ranges(first, first + length)[0]], total[last] - total[last - n_words]
+
 
-_encoders: dict[str, WordEncoder] = {}
+_encoders: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str) -> Encoder:
     if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
+        _encoders[path] = Encoder(path)
     return _encoders[path]
 
 
@@ -206,7 +271,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
             id_type = ids_col.type
             raw, offsets = utf8(column(batch, "text"))
             for i, j in steps(offsets):
-                ids, per = encoder(tokenizer_path).encode(raw[offsets[i]:offsets[j]].tobytes(), offsets[i:j + 1] - offsets[i], end_id)
+                ids, per = encoder(tokenizer_path).encode(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], end_id)
                 last = np.cumsum(per)
                 for doc, a, b in zip(ids_col.slice(i, j - i).to_pylist(), last - per, last, strict=True):
                     out.extend(bucket.add(doc, ids[a:b]))
