@@ -36,7 +36,10 @@ def test_histogram_matches_numpy(spark):
 def test_zero_filled_and_threshold_report(spark):
     rows = [("a", "x", "p"), ("a", "x", "p"), ("b", "y", "q")]
     d = spark.createDataFrame(rows, "category string, subcategory string, assignment_group string")
-    z = H.zero_filled_combos(d, ["category", "subcategory", "assignment_group"])
+    cols = ["category", "subcategory", "assignment_group"]
+    seen = H.zero_filled_combos(d, cols)
+    assert seen.count() == 2 and seen.agg(F.sum("n")).collect()[0][0] == 3
+    z = H.zero_filled_combos(d, cols, {"category": ["a", "b"], "subcategory": ["x", "y"], "assignment_group": ["p", "q"]})
     assert z.count() == 8 and z.agg(F.sum("n")).collect()[0][0] == 3
     rep = {(r.kind, r.threshold): r.combos_below for r in H.combo_threshold_report(d).collect()}
     assert rep[("count", 5.0)] == 2 and rep[("percentage", 0.5)] == 0

@@ -39,3 +39,25 @@ def test_batch_index_and_shuffle(spark):
     assert b[0] == 0 and b[127] == 0 and b[128] == 1 and b[299] == 2
     p = sorted(r.position for r in SM.shuffle_rows(d, "id").collect())
     assert p == list(range(1, 301))
+
+
+def test_tiny_weights_can_be_drawn_and_heavy_rows_spread(spark):
+    d = spark.createDataFrame([(1, 1e-9), (2, 2e-9), (3, 0.0)], "id long, w double")
+    ids = [r.id for r in SM.weighted_sample_replace(d, "w", "id", n_draws=3000).collect()]
+    assert len(ids) == 3000 and 3 not in ids and abs(ids.count(1) / 3000 - 1 / 3) < 0.04
+    heavy = spark.range(5000).select("id", F.when(F.col("id") == 7, 1e5).otherwise(1.0).alias("w"))
+    ids = [r.id for r in SM.weighted_sample_replace(heavy, "w", "id", n_draws=2000).collect()]
+    assert len(ids) == 2000 and ids.count(7) > 1800
+
+
+def test_draws_are_finer_than_32_bits(spark):
+    from tixprep.functions.hashing import hash60
+    h = [r.h for r in spark.range(2000).select(hash60(1, F.col("id")).alias("h")).collect()]
+    assert max(h) < 1 << 60 and max(h) > 1 << 58 and len({x & 0xFFFFFFF for x in h}) > 1990
+
+
+def test_range_rank_on_hash_like_keys(spark):
+    from tixprep.operators.ranking import range_rank
+    d = spark.range(3000).select(F.xxhash64("id").alias("k"))
+    got = [(r.k, r.r) for r in range_rank(d, [F.col("k")], "r").collect()]
+    assert [r for _, r in sorted(got)] == list(range(1, 3001))

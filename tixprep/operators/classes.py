@@ -219,15 +219,19 @@ def sample_weights(df: DataFrame, targets: Sequence[str] = S.TARGETS, max_weight
     return df.join(tw, on=list(targets), how="left").select(*df.columns, out)
 
 
-def hierarchical_weights(df: DataFrame, targets: Sequence[str] = S.TARGETS, max_weight: float = S.MAX_WEIGHT):
-    """(rows with sample_weight, long level-weight table (target, value, n, level_weight))."""
-    tri = triple_counts(df, targets)
-    lv = level_weight_tables(tri, targets)
+def level_weights(df: DataFrame, targets: Sequence[str] = S.TARGETS) -> DataFrame:
+    """(target, value, n, level_weight): the weight of every class of every target, long form."""
+    lv = level_weight_tables(triple_counts(df, targets), targets)
     levels = None
     for t in targets:
         part = lv[t].select(F.lit(t).alias("target"), F.col(t).alias("value"), "n", "level_weight")
         levels = part if levels is None else levels.unionByName(part)
-    return sample_weights(df, targets, max_weight), levels
+    return levels
+
+
+def hierarchical_weights(df: DataFrame, targets: Sequence[str] = S.TARGETS, max_weight: float = S.MAX_WEIGHT):
+    """(rows with sample_weight, long level-weight table (target, value, n, level_weight))."""
+    return sample_weights(df, targets, max_weight), level_weights(df, targets)
 
 
 def weight_lookup(df: DataFrame, weights: DataFrame, col: str, value_col: str = "value",

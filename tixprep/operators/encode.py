@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tixprep import schema as S
 from tixprep.functions.text import tokenize_words
-from tixprep.operators.ranking import global_rank
+from tixprep.operators.ranking import range_rank
 from tixprep.session import dimension
 
 
@@ -42,8 +42,10 @@ def encode_labels(df: DataFrame, dictionary: DataFrame, targets: Sequence[str] =
     return out
 
 
-def label_decode(df: DataFrame, dictionary: DataFrame, code_cols: dict[str, str], model: str | None = None) -> DataFrame:
-    """code -> label for each ``{target: code column}``; optional ``model`` selects a dictionary."""
+def label_decode(df: DataFrame, dictionary: DataFrame, code_cols: dict[str, str], model: str | None = None,
+                 strict: bool = False) -> DataFrame:
+    """code -> label for each ``{target: code column}``; optional ``model`` selects a dictionary. A
+    code that the dictionary lacks gives a null label, or an error if ``strict``."""
     out = df
     dictionary = dimension(dictionary)
     for t, c in code_cols.items():
@@ -52,6 +54,9 @@ def label_decode(df: DataFrame, dictionary: DataFrame, code_cols: dict[str, str]
             d = d.filter(F.col("model") == model)
         d = d.select(F.col("code").alias(c), F.col("label").alias(f"{t}_label"))
         out = out.join(d, on=c, how="left")
+        if strict:
+            missing = F.raise_error(F.concat(F.lit(f"no {t} label for code "), F.col(c).cast("string"))).cast("string")
+            out = out.withColumn(f"{t}_label", F.when(F.col(c).isNotNull() & F.col(f"{t}_label").isNull(), missing).otherwise(F.col(f"{t}_label")))
     return out
 
 
@@ -64,10 +69,8 @@ def vocabulary(df: DataFrame, text_col: str, reserved: int = 2) -> DataFrame:
     """(word, token_id): ids by descending frequency then word; 0 = padding, 1 = unknown."""
     words = df.select(F.explode(tokenize_words(F.col(text_col))).alias("word"))
     cnt = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    # exact dense numbering in (n desc, word) order without a single-partition window: buckets
-    # (-n, first two characters) are a prefix of that order
-    cnt = cnt.withColumn("_neg", -F.col("n")).withColumn("_pfx", F.substring("word", 1, 2))
-    r = global_rank(cnt, ["_neg", "_pfx"], [F.col("word")], out="_r")
+    # exact dense numbering in (n desc, word) order: range partitions, no single-partition window
+    r = range_rank(cnt, [F.col("n").desc(), F.col("word")], out="_r")
     return r.select("word", (F.col("_r") - 1 + reserved).cast("int").alias("token_id"))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tixprep import schema as S
 from tixprep.functions.math import percent_round
 from tixprep.operators.profile import describe_column
+from tixprep.session import dimension
 
 
 def _nn(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -24,25 +25,17 @@ def contingency_table(df: DataFrame, parent: str, child: str) -> DataFrame:
     return _nn(df, [parent, child]).groupBy(parent, child).agg(F.count(F.lit(1)).alias("n"))
 
 
-def contingency_wide(df: DataFrame, parent: str, child: str, max_children: int = 200) -> DataFrame:
-    """Display form: one column per child value, 0 when absent (only for a bounded child set)."""
-    values = [r[0] for r in _nn(df, [child]).select(child).distinct().orderBy(child).limit(max_children + 1).collect()]
-    if len(values) > max_children:
-        raise ValueError(f"{child} has more than {max_children} values; use the long contingency_table")
-    return _nn(df, [parent, child]).groupBy(parent).pivot(child, values).count().na.fill(0)
-
-
-def zero_filled_combos(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Every combination of the observed values of ``cols`` with its row count (0 when unseen).
-
-    Built without a cartesian join: the distinct values of each later column are one sorted array
-    (a scalar subquery over a label-bounded set) that the combinations explode."""
+def zero_filled_combos(df: DataFrame, cols: Sequence[str], levels: dict[str, Sequence[str]] | None = None) -> DataFrame:
+    """Combinations of ``cols`` with their row counts: the observed ones, or, given the ``levels`` of
+    every column, each combination of these levels (0 when unseen). The full product is only made
+    of the caller's own lists, never of what the data holds."""
     cols = list(cols)
-    combos = df.select(cols[0]).filter(F.col(cols[0]).isNotNull()).distinct()
-    for c in cols[1:]:
-        values = df.select(F.array_sort(F.collect_set(c))).scalar()
-        combos = combos.withColumn(c, F.explode(values))
     counts = _nn(df, cols).groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
+    if levels is None:
+        return counts
+    combos = df.sparkSession.range(1).select()
+    for c in cols:
+        combos = combos.withColumn(c, F.explode(F.array(*[F.lit(v) for v in levels[c]])))
     return combos.join(counts, on=cols, how="left").withColumn("n", F.coalesce("n", F.lit(0)).cast("bigint"))
 
 
@@ -116,7 +109,9 @@ def filter_rare_combos(df: DataFrame, cols: Sequence[str] = S.TARGETS, min_rows:
 
 
 def semi_join_combos(df: DataFrame, valid: DataFrame, cols: Sequence[str] = S.TARGETS) -> DataFrame:
-    return df.join(valid.select(*cols), on=list(cols), how="left_semi")
+    """Rows whose combination is listed. The list is written first: its real size decides whether it is
+    broadcast, and then no row moves."""
+    return df.join(dimension(valid.select(*cols)), on=list(cols), how="left_semi")
 
 
 def distinct_labels(df: DataFrame, cols: Sequence[str] = S.TARGETS) -> DataFrame:

@@ -2,9 +2,10 @@
 frequencies, duplicates, correlations, histograms, densities and associations.
 
 Per-column scalars are fused into one aggregate per pass and unpivoted into a long table.
-Quantiles are exact without collecting a column into one task: values are first reduced to a
-(value, count) table by a partial aggregate (a hot value collapses to one row), then running counts
-are computed per value-range bucket and offset by a small bucket table.
+Quantiles are exact without collecting a column into one task, for all columns at once: values are
+reduced to (column, value, count) by a partial aggregate (a hot value collapses to one row), range
+partitioned (a sample's bounds only steer the balance), and running counts per partition are offset
+by a table with one row per column and partition.
 """
 
 from __future__ import annotations
@@ -20,22 +21,6 @@ from tixprep.functions.math import clip
 from tixprep.functions.text import char_length_nan, tokenize_words
 from tixprep.session import cut_lineage
 
-MANTISSA_BITS = 12
-
-
-def log_linear_bucket(v: Column) -> Column:
-    """Order-preserving bucket of a double: binary exponent and the top 12 mantissa bits.
-
-    Non-decreasing in ``v`` (at an exponent boundary a rounded log2 only moves the value to the
-    neighbouring bucket), and adaptive to magnitude, so an outlier does not squeeze the bulk of
-    the values into one bucket the way equal-width range buckets would."""
-    a = F.abs(v)
-    e = F.floor(F.log2(a))
-    k = e * (1 << MANTISSA_BITS) + F.floor((a / F.pow(F.lit(2.0), e) - 1.0) * (1 << MANTISSA_BITS))
-    off = F.lit(5_000_000)  # keys of positive values stay positive
-    return F.when(v > 0, k + off).when(v < 0, -(k + off)).otherwise(F.lit(0)).cast("bigint")
-
-
 def _unpivot(df: DataFrame, names: Sequence[str], fields: dict[str, str], name_col: str = "column_name") -> DataFrame:
     """One-row wide aggregate -> one row per column name; ``fields`` maps output field -> prefix."""
     structs = [F.struct(F.lit(n).alias(name_col), *[F.col(f"{p}{i}").alias(f) for f, p in fields.items()])
@@ -92,85 +77,97 @@ def missing_summary(df: DataFrame, only_missing: bool = False) -> DataFrame:
     return out.orderBy(F.desc("missing"), "column_name")
 
 
+def _digest(c: str) -> Column:
+    """A value as 16 bytes: what distinct counts shuffle instead of whole texts."""
+    return F.unhex(F.md5(F.col(c).cast("string")))
+
+
+def distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column number, digest, n) of every distinct non-null value: one narrow aggregate for all columns."""
+    pairs = [F.when(F.col(c).isNotNull(), F.struct(F.lit(i).alias("i"), _digest(c).alias("d"))) for i, c in enumerate(cols)]
+    long = df.select(F.explode(F.array_compact(F.array(*pairs))).alias("p")).select("p.i", "p.d")
+    return long.groupBy("i", "d").agg(F.count(F.lit(1)).alias("n"))
+
+
 def unique_count(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
     """Distinct non-null values per column (exact; ``approx`` uses HyperLogLog++)."""
-    fn = (lambda c: F.approx_count_distinct(c)) if approx else (lambda c: F.count_distinct(c))
-    agg = df.agg(*[fn(F.col(c)).alias(f"u{i}") for i, c in enumerate(cols)])
-    return _unpivot(agg, cols, {"n_unique": "u"})
+    if approx:
+        return _unpivot(df.agg(*[F.approx_count_distinct(F.col(c)).alias(f"u{i}") for i, c in enumerate(cols)]), cols, {"n_unique": "u"})
+    found = distinct_values(df, cols).groupBy("i").agg(F.count(F.lit(1)).alias("n_unique"))
+    names = df.sparkSession.createDataFrame([(i, c) for i, c in enumerate(cols)], "i int, column_name string")
+    return names.join(found, "i", "left").select("column_name", F.coalesce("n_unique", F.lit(0)).alias("n_unique"))
 
 
 def unique_count_with_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Distinct values per column where null counts as one value."""
-    agg = df.agg(*[(F.count_distinct(F.col(c)) + F.max(F.col(c).isNull().cast("int"))).alias(f"u{i}")
-                   for i, c in enumerate(cols)])
-    return _unpivot(agg, cols, {"n_unique": "u"})
+    nulls = _unpivot(df.agg(*[F.max(F.col(c).isNull().cast("int")).alias(f"z{i}") for i, c in enumerate(cols)]), cols, {"has_null": "z"})
+    return unique_count(df, cols).join(nulls, "column_name").select("column_name", (F.col("n_unique") + F.coalesce("has_null", F.lit(0))).alias("n_unique"))
 
 
 def text_exploration(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     cols = [c for c in cols if c in df.columns]
-    agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"z{i}") for i, c in enumerate(cols)],
-                 *[F.count_distinct(F.col(c)).alias(f"u{i}") for i, c in enumerate(cols)])
-    return _unpivot(agg, cols, {"n_null": "z", "n_unique": "u"})
+    nulls = _unpivot(df.agg(*[F.count_if(F.col(c).isNull()).alias(f"z{i}") for i, c in enumerate(cols)]), cols, {"n_null": "z"})
+    return nulls.join(unique_count(df, cols), "column_name")
 
 
 # --- exact quantiles and describe ----------------------------------------------------------
 
-def quantile_row(df: DataFrame, col: str, qs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """One row with one column per quantile (``q0``, ``q1``, …): exact linear-interpolation
-    quantiles of the non-null values of ``col``.
-
-    Runs on the (value, count) table: order-preserving log-linear buckets of the value give a small
-    table of bucket sizes and offsets, a window partitioned by bucket gives each value's first rank, and one
-    conditional aggregate picks the values at the wanted ranks. Nothing is gathered into one task."""
-    v = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    vc = v.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    n = vc.select(F.sum("c")).scalar()
-    vb = vc.withColumn("b", log_linear_bucket(F.col("v")))
-    sizes = vb.groupBy("b").agg(F.sum("c").alias("bc"))
-    offs = sizes.select("b", F.coalesce(F.sum("bc").over(
-        Window.partitionBy(F.lit(0)).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("off"))
-    run = F.coalesce(F.sum("c").over(Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = vb.withColumn("before", run).join(offs, "b").select("v", "c", (F.col("before") + F.col("off")).alias("start"))
-    aggs = []
+def _long_values(df: DataFrame, cols: Sequence[str], names: Sequence[str] | None = None) -> DataFrame:
+    """(column_name, v): every non-null number of ``cols``."""
+    names = names or cols
+    cells = [F.when(F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")), F.struct(F.lit(n).alias("column_name"), F.col(c).cast("double").alias("v")))
+             for c, n in zip(cols, names, strict=True)]
+    return df.select(F.explode(F.array_compact(F.array(*cells))).alias("p")).select("p.*")
+
+
+def quantile_table(long: DataFrame, qs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """(column_name, q0, q1, ...): exact linear-interpolation quantiles of the values of every column."""
+    vc = long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("c"))
+    n_parts = max(2, int(long.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = cut_lineage(vc.repartitionByRange(n_parts, "column_name", "v").withColumn("b", F.spark_partition_id()))
+    sizes = dealt.groupBy("column_name", "b").agg(F.sum("c").alias("bc"))  # one row per column and partition
+    w = Window.partitionBy("column_name")
+    offs = sizes.select("column_name", "b", F.sum("bc").over(w).alias("n"), F.coalesce(F.sum("bc").over(
+        w.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("off"))
+    run = F.coalesce(F.sum("c").over(Window.partitionBy("column_name", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = dealt.withColumn("before", run).join(offs, ["column_name", "b"]).withColumn("start", F.col("before") + F.col("off"))
+    aggs, out = [], []
     for i, q in enumerate(qs):
-        pos = (n - 1) * float(q)
-        rlo, rhi = F.floor(pos), F.ceil(pos)
-        at = lambda r: (F.col("start") <= r) & (r < F.col("start") + F.col("c"))
-        vlo, vhi = F.max(F.when(at(rlo), F.col("v"))), F.max(F.when(at(rhi), F.col("v")))
-        aggs.append((vlo + (vhi - vlo) * (pos - rlo)).alias(f"q{i}"))
-    return ranked.agg(*aggs)
+        pos = (F.col("n") - 1) * float(q)
+        for side, r in (("l", F.floor(pos)), ("h", F.ceil(pos))):
+            aggs.append(F.max(F.when((F.col("start") <= r) & (r < F.col("start") + F.col("c")), F.col("v"))).alias(f"{side}{i}"))
+        out.append((F.col(f"l{i}") + (F.col(f"h{i}") - F.col(f"l{i}")) * (pos - F.floor(pos))).alias(f"q{i}"))
+    return ranked.groupBy("column_name").agg(F.max("n").alias("n"), *aggs).select("column_name", *out)
 
 
 def quantiles(df: DataFrame, col: str, qs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """(q, value) rows of ``quantile_row``."""
-    row = quantile_row(df, col, qs)
+    """(q, value) rows of one column."""
+    row = quantile_table(_long_values(df, [col]), qs)
     structs = [F.struct(F.lit(float(q)).alias("q"), F.col(f"q{i}").alias("value")) for i, q in enumerate(qs)]
     return row.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
 
 
-def describe_column(df: DataFrame, col: str, name: str | None = None, snapshot: bool = True) -> DataFrame:
-    """count, mean, std (ddof 1), min, 25/50/75 %, max of one column, one row. The single column
-    is written once first (``snapshot``) so the quantile subqueries do not re-run the upstream plan."""
-    if snapshot:
-        df = cut_lineage(df.select(col))
-    base = df.agg(F.count(col).alias("count"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"),
-                  F.min(col).cast("double").alias("min"), F.max(col).cast("double").alias("max"))
-    qr = quantile_row(df, col).select(F.struct("q0", "q1", "q2").alias("s")).scalar()
-    return base.select(F.lit(name or col).alias("column_name"), "count", "mean", "std", "min",
-                       qr["q0"].alias("p25"), qr["q1"].alias("p50"), qr["q2"].alias("p75"), "max")
+def _describe(df: DataFrame, cols: Sequence[str], names: Sequence[str] | None = None) -> DataFrame:
+    """describe of ``cols`` of a table that is cheap to read twice: one aggregate and one quantile table."""
+    names = list(names or cols)
+    fns = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    agg = df.agg(*[(f(c).cast("double") if k in ("min", "max") else f(c)).alias(f"{k}{i}") for k, f in fns.items() for i, c in enumerate(cols)])
+    base = _unpivot(agg, names, {k: k for k in fns})
+    q = quantile_table(_long_values(df, cols, names))
+    return base.join(q, "column_name", "left").select("column_name", "count", "mean", "std", "min", F.col("q0").alias("p25"),
+                                                      F.col("q1").alias("p50"), F.col("q2").alias("p75"), "max")
+
+
+def describe_column(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
+    """count, mean, std (ddof 1), min, 25/50/75 %, max of one column, one row."""
+    return _describe(cut_lineage(df.select(col)), [col], [name or col])
 
 
 def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, snapshot: bool = True) -> DataFrame:
-    """describe of every numeric column. The (narrow) numeric projection is written once so the
-    per-column aggregates and quantile subqueries do not re-run an expensive upstream plan."""
+    """describe of every numeric column. The (narrow) numeric projection is written once so that the
+    aggregate and the quantile table do not re-run an expensive upstream plan."""
     cols = list(cols) if cols is not None else [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
-    if snapshot:
-        df = cut_lineage(df.select(*cols))
-    out = None
-    for c in cols:
-        d = describe_column(df, c, snapshot=False)
-        out = d if out is None else out.unionByName(d)
-    return out
+    return _describe(cut_lineage(df.select(*cols)) if snapshot else df, cols)
 
 
 # --- text lengths and words -------------------------------------------------------------------
@@ -178,11 +175,7 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, snapshot:
 def text_length_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """describe of ``astype(str).str.len()`` (a missing value is 'nan', 3 characters)."""
     lens = cut_lineage(df.select(*[char_length_nan(c).alias(f"_l{i}") for i, c in enumerate(cols)]))
-    out = None
-    for i, c in enumerate(cols):
-        d = describe_column(lens.select(F.col(f"_l{i}").alias("len")), "len", c, snapshot=False)
-        out = d if out is None else out.unionByName(d)
-    return out
+    return _describe(lens, lens.columns, cols)
 
 
 def processed_length_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -191,18 +184,24 @@ def processed_length_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return _unpivot(agg, cols, {"mean_chars": "a", "max_chars": "x"})
 
 
-def token_length_stats(df: DataFrame, col: str) -> DataFrame:
-    """Mean, max and 95th percentile of word counts (an empty text has 0 words)."""
-    w = df.select(F.size(tokenize_words(col)).alias("n_words"))
-    p95 = quantile_row(w, "n_words", [0.95]).select("q0").scalar()
-    return w.agg(F.avg("n_words").alias("mean_tokens"), F.max("n_words").alias("max_tokens")) \
-        .select(F.lit(col).alias("column_name"), "mean_tokens", "max_tokens", p95.alias("p95_tokens"))
+def token_length_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Mean, max and 95th percentile of word counts of each column (an empty text has 0 words)."""
+    w = cut_lineage(df.select(*[F.size(tokenize_words(c)).alias(f"_n{i}") for i, c in enumerate(cols)]))
+    agg = w.agg(*[F.avg(x).alias(f"a{i}") for i, x in enumerate(w.columns)], *[F.max(x).alias(f"x{i}") for i, x in enumerate(w.columns)])
+    base = _unpivot(agg, cols, {"mean_tokens": "a", "max_tokens": "x"})
+    p95 = quantile_table(_long_values(w, w.columns, list(cols)), [0.95])
+    return base.join(p95, "column_name").select("column_name", "mean_tokens", "max_tokens", F.col("q0").alias("p95_tokens"))
 
 
-def word_frequency(df: DataFrame, col: str, k: int = 10) -> DataFrame:
-    """Top ``k`` words (ties by word); map-side partial counts keep a frequent word cheap."""
-    words = df.select(F.explode(tokenize_words(col)).alias("word"))
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(k)
+def word_frequency(df: DataFrame, cols: Sequence[str], k: int = 10) -> DataFrame:
+    """Top ``k`` words of each column (ties by word); map-side partial counts keep a frequent word
+    cheap, and only each task's best ``k`` reach the final ranking."""
+    out = None
+    for c in cols:
+        words = df.select(F.explode(tokenize_words(c)).alias("word"))
+        top = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(k).select(F.lit(c).alias("column_name"), "word", "n")
+        out = top if out is None else out.unionByName(top)
+    return out
 
 
 # --- duplicates ------------------------------------------------------------------------------
@@ -225,18 +224,16 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson r for every ordered pair over rows where both are present; a constant column gives
-    null (``try_divide``; ANSI ``corr`` would raise)."""
-    aggs, names = [], []
+    null (``try_divide``; ANSI ``corr`` would raise). Each unordered pair is computed once."""
+    aggs, seen = [], {}
     for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
+        for b in cols[i:]:
             both = F.col(a).isNotNull() & F.col(b).isNotNull()
             x, y = F.when(both, F.col(a).cast("double")), F.when(both, F.col(b).cast("double"))
-            aggs.append(F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y)).alias(f"r{len(names)}"))
-            names.append((a, b))
-    wide = df.agg(*aggs)
-    structs = [F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"r{k}").alias("r"))
-               for k, (a, b) in enumerate(names)]
-    return wide.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
+            seen[a, b] = seen[b, a] = f"r{len(aggs)}"
+            aggs.append(F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y)).alias(f"r{len(aggs)}"))
+    structs = [F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(seen[a, b]).alias("r")) for a in cols for b in cols]
+    return df.agg(*aggs).select(F.explode(F.array(*structs)).alias("s")).select("s.*")
 
 
 def histogram(df: DataFrame, col: str, bins: int = 50, lo: float | None = None, hi: float | None = None) -> DataFrame:
@@ -262,46 +259,54 @@ def density_curve(df: DataFrame, col: str, gridsize: int = 200, cut: float = 3.0
     count) table: each distinct value contributes count * kernel at every grid point."""
     vals = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
     vc = vals.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    st = vals.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("v").alias("sd"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-    h = st.select(F.col("sd") * F.pow(F.col("n"), F.lit(-0.2))).scalar()
-    n, lo, hi = st.select("n").scalar(), st.select("lo").scalar(), st.select("hi").scalar()
-    g0, g1 = lo - cut * h, hi + cut * h
-    grid = df.sparkSession.range(gridsize).select(F.col("id").alias("point"), (g0 + (g1 - g0) * F.col("id") / (gridsize - 1)).alias("x"))
-    # the grid (``gridsize`` points, a fixed bound) is one sorted array each distinct value explodes
-    pts = grid.select(F.array_sort(F.collect_list(F.struct("point", "x")))).scalar()
-    ex = vc.select("v", "c", F.explode(pts).alias("g")).select("v", "c", "g.point", "g.x")
-    k = F.col("c") * F.exp(-F.pow((F.col("x") - F.col("v")) / h, 2) / 2.0)
-    dens = ex.groupBy("point", "x").agg(F.sum(k).alias("s"))
-    return dens.select("point", "x", (F.col("s") / (n * h * math.sqrt(2 * math.pi))).alias("density"))
+    st = vals.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("v").alias("sd"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    if not st["n"] or not st["sd"]:  # no spread, no bandwidth
+        return df.sparkSession.createDataFrame([], "point bigint, x double, density double")
+    h = st["sd"] * st["n"] ** -0.2
+    g0, g1 = st["lo"] - cut * h, st["hi"] + cut * h
+    xs = [g0 + (g1 - g0) * i / (gridsize - 1) for i in range(gridsize)]
+    # one aggregate with a sum per grid point (``gridsize`` of them), combined before the shuffle
+    sums = [F.sum(F.col("c") * F.exp(F.pow((F.lit(x) - F.col("v")) / h, 2) / -2.0)).alias(f"s{i}") for i, x in enumerate(xs)]
+    points = [F.struct(F.lit(i).cast("bigint").alias("point"), F.lit(x).alias("x"), F.col(f"s{i}").alias("s")) for i, x in enumerate(xs)]
+    dens = vc.agg(*sums).select(F.explode(F.array(*points)).alias("p")).select("p.*")
+    return dens.select("point", "x", (F.col("s") / (st["n"] * h * math.sqrt(2 * math.pi))).alias("density"))
 
 
 def association_matrix(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
     """(column_a, column_b, kind, value): Pearson r (numeric-numeric), correlation ratio eta
-    (categorical -> numeric) and the uncertainty coefficient U(a|b) (categorical-categorical)."""
-    parts = [correlation_matrix(df, numeric).select("column_a", "column_b", F.lit("pearson").alias("kind"), F.col("r").alias("value"))]
-    for c in categorical:
-        for x in numeric:
-            d = df.select(F.col(c).alias("g"), F.col(x).cast("double").alias("x")).filter(F.col("g").isNotNull() & F.col("x").isNotNull())
-            mean = d.select(F.avg("x")).scalar()
-            grp = d.groupBy("g").agg(F.count(F.lit(1)).alias("ng"), F.avg("x").alias("mg"))
-            between = grp.select(F.sum(F.col("ng") * F.pow(F.col("mg") - mean, 2))).scalar()
-            total = d.agg(F.sum(F.pow(F.col("x") - mean, 2)).alias("t"))
-            parts.append(total.select(F.lit(c).alias("column_a"), F.lit(x).alias("column_b"), F.lit("eta").alias("kind"),
-                                      F.sqrt(F.try_divide(between, F.col("t"))).alias("value")))
-    for a in categorical:
-        for b in categorical:
-            if a == b:
-                continue
-            d = df.select(F.col(a).alias("a"), F.col(b).alias("b")).filter(F.col("a").isNotNull() & F.col("b").isNotNull())
-            ab = d.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
-            n = ab.select(F.sum("n")).scalar()
-            na = ab.groupBy("a").agg(F.sum("n").alias("n"))
-            nb = ab.groupBy("b").agg(F.sum("n").alias("nb"))
-            h_a = na.select(-F.sum(F.col("n") / n * F.log(F.col("n") / n))).scalar()
-            # H(a|b) = -sum p(a,b) log(p(a,b)/p(b))
-            h_ab = ab.join(nb, "b").select(-F.sum(F.col("n") / n * F.log(F.col("n") / F.col("nb")))).scalar()
-            parts.append(ab.agg(F.count(F.lit(1)).alias("_k")).select(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.lit("uncertainty").alias("kind"),
-                                            F.try_divide(h_a - h_ab, h_a).alias("value")))
+    (categorical -> numeric) and the uncertainty coefficient U(a|b) (categorical-categorical).
+
+    The needed columns are written once; then one aggregate for all pairs of numbers, one grouped
+    aggregate for all (class, number) pairs and one for all pairs of classes."""
+    snap = cut_lineage(df.select(*numeric, *categorical))
+    parts = [correlation_matrix(snap, numeric).select("column_a", "column_b", F.lit("pearson").alias("kind"), F.col("r").alias("value"))]
+    if numeric and categorical:
+        cells = [F.when(F.col(c).isNotNull() & F.col(x).isNotNull(), F.struct(
+            F.lit(c).alias("column_a"), F.lit(x).alias("column_b"), F.col(c).cast("string").alias("g"), F.col(x).cast("double").alias("x"))) for c in categorical for x in numeric]
+        per = snap.select(F.explode(F.array_compact(F.array(*cells))).alias("p")).select("p.*").groupBy("column_a", "column_b", "g").agg(
+            F.count(F.lit(1)).alias("n"), F.avg("x").alias("m"), F.var_pop("x").alias("v"))
+        mean = F.sum(F.col("n") * F.col("m")) / F.sum("n")
+        both = per.groupBy("column_a", "column_b").agg(mean.alias("mean"), F.sum(F.col("n") * F.col("v")).alias("within"))
+        between = per.join(both, ["column_a", "column_b"]).groupBy("column_a", "column_b", "within").agg(
+            F.sum(F.col("n") * F.pow(F.col("m") - F.col("mean"), 2)).alias("between"))
+        parts.append(between.select("column_a", "column_b", F.lit("eta").alias("kind"),
+                                    F.sqrt(F.try_divide(F.col("between"), F.col("between") + F.col("within"))).alias("value")))
+    if len(categorical) > 1:
+        cells = [F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), F.struct(
+            F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(a).cast("string").alias("a"), F.col(b).cast("string").alias("b")))
+            for i, a in enumerate(categorical) for b in categorical[i + 1:]]
+        ab = snap.select(F.explode(F.array_compact(F.array(*cells))).alias("p")).select("p.*").groupBy("column_a", "column_b", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+        ab = cut_lineage(ab)
+        turned = ab.select(F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"), F.col("b").alias("a"), F.col("a").alias("b"), "n")
+        ab = ab.unionByName(turned)
+        pair = ["column_a", "column_b"]
+        total = ab.groupBy(*pair).agg(F.sum("n").alias("t"))
+        h_a = (ab.groupBy(*pair, "a").agg(F.sum("n").alias("n")).join(total, pair)
+               .groupBy(*pair).agg((-F.sum(F.col("n") / F.col("t") * F.log(F.col("n") / F.col("t")))).alias("h_a")))
+        of_b = ab.groupBy(*pair, "b").agg(F.sum("n").alias("nb"))
+        h_ab = (ab.join(of_b, [*pair, "b"]).join(total, pair)  # H(a|b) = -sum p(a,b) log(p(a,b)/p(b))
+                .groupBy(*pair).agg((-F.sum(F.col("n") / F.col("t") * F.log(F.col("n") / F.col("nb")))).alias("h_ab")))
+        parts.append(h_a.join(h_ab, pair).select(*pair, F.lit("uncertainty").alias("kind"), F.try_divide(F.col("h_a") - F.col("h_ab"), F.col("h_a")).alias("value")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tixprep.session import cut_lineage
+
 
 def global_rank(df: DataFrame, bucket_cols: Sequence[str], order_cols: Sequence[Column],
                 partition_cols: Sequence[str] = (), out: str = "_rank") -> DataFrame:
@@ -30,3 +32,14 @@ def global_rank(df: DataFrame, bucket_cols: Sequence[str], order_cols: Sequence[
     ranked = df.withColumn("_local", local)
     return ranked.join(offsets, on=keys, how="left").withColumn(out, F.col("_off") + F.col("_local")) \
         .drop("_off", "_local")
+
+
+def range_rank(df: DataFrame, order_cols: Sequence[Column], out: str = "_rank") -> DataFrame:
+    """1-based row number in a total order of any keys, narrow, wide or hash-like.
+
+    Rows are range-partitioned (bounds from Spark's sample only steer the balance), written once
+    with their partition number, numbered inside it, and offset by the sizes of the partitions
+    before: one row per partition, however large the table."""
+    n = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = cut_lineage(df.repartitionByRange(n, *order_cols).withColumn("_range", F.spark_partition_id()))
+    return global_rank(dealt, ["_range"], order_cols, out=out).drop("_range")

@@ -247,7 +247,7 @@ def _upper_words(texts: list[str]) -> list[str]:
     return [t.upper() if t is not None else None for t in texts]
 
 
-_UPPER = "replace(upper(txt), 'ß', 'SS')"  # Python's upper case of the one letter on which the two differ here
+_UPPER = "replace(upper(txt), 'ẞ', 'SS')"  # as Python: the one letter here on which the two differ
 
 
 @query("batch_transform", sql(*AUG_CTES, body=f"SELECT src_id, aug_no, {_UPPER} AS new_text FROM aug WHERE {_CHOSEN}"))

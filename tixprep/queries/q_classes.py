@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tixprep import schema as S
 from tixprep.operators import classes as C
 from tixprep.operators import encode as EN
 from tixprep.queries import query
@@ -113,12 +112,18 @@ def q_rare_and_dominant(spark, sf):
     return C.rare_and_dominant(base(spark, sf), "assignment_group")
 
 
-@query("sampling_strategy", sql(BASE_CTE, body="""
+_BAND = "CASE WHEN l_quantity <= 1 THEN 'one' WHEN l_quantity <= 3 THEN 'few' ELSE 'many' END"
+
+
+@query("sampling_strategy", f"""
 SELECT value, n, floor(least(mx * 0.5, n * 3.0))::BIGINT AS target_n FROM (
-  SELECT assignment_group AS value, count(*) AS n, max(count(*)) OVER () AS mx FROM base GROUP BY assignment_group)
-WHERE n >= 50 AND n < mx * 0.1"""))
+  SELECT {_BAND} AS value, count(*) AS n, max(count(*)) OVER () AS mx FROM lineitem GROUP BY ALL)
+WHERE n >= 50 AND n < mx * 0.1""")
 def q_sampling_strategy(spark, sf):
-    return C.sampling_strategy(base(spark, sf), "assignment_group")
+    # quantity bands of line items: no label of the tables has a class of at least 50 rows that is
+    # below a tenth of the largest
+    from tixprep.sources.tables import read_table
+    return C.sampling_strategy(read_table(spark, sf, "lineitem").select(F.expr(_BAND).alias("band")), "band")
 
 
 @query("sampling_warnings", sql(BASE_CTE, body="""
@@ -231,28 +236,26 @@ def q_label_decode(spark, sf):
     return dec.select("number_fld", "category_code", "category_label", "subcategory_label", "assignment_group_label")
 
 
+_RARE_DICT = " UNION ".join(f"SELECT DISTINCT '{t}' AS target, {t} AS label FROM base" for t in TG)
+_DUAL_COLS = ", ".join(f"m_{t}.label AS main_{t}, r_{t}.label AS rare_{t}" for t in TG)
+_DUAL_JOINS = " ".join(
+    f"JOIN dm m_{t} ON m_{t}.target = '{t}' AND m_{t}.label = m.{t} LEFT JOIN dr r_{t} ON r_{t}.target = '{t}' AND r_{t}.code = m_{t}.code" for t in TG)
+
+
 @query("dual_dictionary_decode", sql(BASE_CTE, MERGED_CTE, body=f"""
 WITH dm AS ({_DICT_SQL}),
-dr AS (SELECT target, (dense_rank() OVER (PARTITION BY target ORDER BY label) - 1)::INTEGER AS code, label FROM (
-  SELECT DISTINCT 'subcategory' AS target, subcategory AS label FROM base)),
-codes AS (SELECT m.number_fld, d.code FROM merged m JOIN dm d ON d.target = 'subcategory' AND d.label = m.subcategory)
-SELECT c.number_fld, c.code, m.label AS main_label, r.label AS rare_label
-FROM codes c
-LEFT JOIN dm m ON m.target = 'subcategory' AND m.code = c.code
-LEFT JOIN dr r ON r.target = 'subcategory' AND r.code = c.code"""))
+dr AS (SELECT target, (dense_rank() OVER (PARTITION BY target ORDER BY label) - 1)::INTEGER AS code, label FROM ({_RARE_DICT}))
+SELECT m.number_fld, {_DUAL_COLS} FROM merged m {_DUAL_JOINS}"""))
 def q_dual_dictionary_decode(spark, sf):
-    # codes of the merged subcategory, decoded by the main (merged) and the rare (un-merged) dictionary
+    # codes of the merged labels, decoded by the main (merged) and by the rare (un-merged) dictionary
     m = merged(spark, sf)
     dm = EN.label_dictionary(m)
-    dual = EN.dual_dictionary(dm, EN.label_dictionary(base(spark, sf), ["subcategory"]))
-    codes = EN.encode_labels(m.select("number_fld", "subcategory"), dm, ["subcategory"]) \
-        .select("number_fld", F.col("subcategory_code").alias("code"))
-    main = EN.label_decode(codes, dual, {"subcategory": "code"}, model="main").withColumnRenamed("subcategory_label", "main_label")
-    rare = EN.label_decode(codes, dual, {"subcategory": "code"}, model="rare").select("number_fld", F.col("subcategory_label").alias("rare_label"))
-    return main.join(rare, "number_fld").select("number_fld", "code", "main_label", "rare_label")
-
-
-_ = S
+    dual = EN.dual_dictionary(dm, EN.label_dictionary(base(spark, sf)))
+    codes = EN.encode_labels(m.select("number_fld", *TG), dm).select("number_fld", *[f"{t}_code" for t in TG])
+    cols = {t: f"{t}_code" for t in TG}
+    main = EN.label_decode(codes, dual, cols, model="main", strict=True).select("*", *[F.col(f"{t}_label").alias(f"main_{t}") for t in TG]).drop(*[f"{t}_label" for t in TG])
+    both = EN.label_decode(main, dual, cols, model="rare")
+    return both.select("number_fld", *[f"main_{t}" for t in TG], *[F.col(f"{t}_label").alias(f"rare_{t}") for t in TG])
 
 
 @query("filter_any_rare", sql(BASE_CTE, body="""

@@ -29,8 +29,19 @@ _LOSS = f"""ls AS (SELECT id, {_ce('cat_logits', 'cat_label')} * weight AS l0, {
   list_position(grp_logits, list_max(grp_logits)) - 1 AS p2, cat_label, sub_label, grp_label FROM lg)"""
 
 
+def logits_fixture(df, shift=0, sizes=(4, 6, 10), keep=()):
+    """Three heads of logits cut from the embedding column (stand-in for model outputs), labels from
+    its integer label, and a row weight; ``shift`` moves the slices."""
+    v = F.transform(F.col("embedding"), lambda x: x.cast("double"))
+    start, out, off = F.lit(1) + shift, [], 0
+    for (lg, lb), k in zip(EV.HEADS, sizes, strict=True):
+        out += [F.slice(v, start + off, k).alias(lg), (F.col("label") % k).cast("int").alias(lb)]
+        off += k
+    return df.select(F.col("vec_id").alias("id"), *keep, *out, (1.0 + F.col("label") / 10.0).alias("weight"))
+
+
 def _logits(spark, sf):
-    return EV.logits_from_vectors(read_table(spark, sf, "embeddings"), "embedding", "label", "vec_id")
+    return logits_fixture(read_table(spark, sf, "embeddings"))
 
 
 @query("weighted_cross_entropy", f"""WITH {_LOGITS}, {_LOSS}
@@ -59,7 +70,10 @@ def q_batch_mean_loss(spark, sf):
 
 
 def _epochs(spark, sf):
-    return EV.epoch_metrics(read_table(spark, sf, "embeddings"), "embedding", "label", "vec_id")
+    from tixprep.functions.hashing import uniform
+    rows = read_table(spark, sf, "embeddings").withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(S.NUM_EPOCHS))))
+    scored = logits_fixture(rows, F.col("epoch") - 1, keep=["epoch"])
+    return EV.epoch_metrics(scored.withColumn("is_val", uniform(S.SPLIT_SEED, F.col("id"), "val") < S.VAL_SHARE))
 
 
 _EPOCH_COLS = ["train_loss", "val_loss", "cat_acc", "subcat_acc", "assign_acc"]
@@ -127,8 +141,9 @@ def _encode_sql() -> str:
                """p AS (SELECT number_fld, unnest(words[1:512]) AS word, unnest(range(1, len(words[1:512]) + 1)) AS pos FROM w)""",
                """ids AS (SELECT p.number_fld, list(coalesce(voc.token_id, 1) ORDER BY p.pos) AS ids
                   FROM p LEFT JOIN voc USING (word) GROUP BY p.number_fld)""",
-               body="""SELECT w.number_fld, 512 AS n_ids, least(512, len(w.words))::INTEGER AS n_tokens,
-  array_to_string((coalesce(ids.ids, []::INTEGER[]) || [0, 0, 0, 0, 0, 0, 0, 0])[1:8], ',') AS first_ids
+               body="""SELECT w.number_fld,
+  array_to_string((coalesce(ids.ids, []::INTEGER[]) || list_transform(range(0, 512), lambda x: 0))[1:512], ',') AS input_ids,
+  array_to_string(list_transform(range(0, 512), lambda x: CASE WHEN x < len(w.words) THEN 1 ELSE 0 END), ',') AS attention_mask
 FROM w LEFT JOIN ids USING (number_fld)""")
 
 
@@ -137,9 +152,7 @@ def q_encode_fixed_length(spark, sf):
     b = base(spark, sf).select("number_fld", "description")
     vocab = EN.vocabulary(b, "description")
     out = EN.encode_fixed_length(b, "description", vocab, "number_fld")
-    return out.select("number_fld", F.size("input_ids").alias("n_ids"),
-                      F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_tokens"),
-                      F.array_join(F.slice("input_ids", 1, 8).cast("array<string>"), ",").alias("first_ids"))
+    return out.select("number_fld", *[F.array_join(F.col(c).cast("array<string>"), ",").alias(c) for c in ("input_ids", "attention_mask")])
 
 
 def _samples(spark, sf, oversample=True):
@@ -186,52 +199,91 @@ def _bundle_sql() -> str:
         "q AS (SELECT category, fl2 + CASE WHEN row_number() OVER (ORDER BY rem2 DESC, category) <= nv - sum(fl2) OVER () THEN 1 ELSE 0 END AS n_val FROM m)",
         f"r AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY {d_uniform(42, key, 'split')}, {key}) AS rk FROM samples)",
     ]
-    body = """SELECT r.src_id, r.aug_no, CASE WHEN r.rk <= q.n_val THEN 'val' ELSE 'train' END AS split,
-       r.category_code, r.subcategory_code, r.assignment_group_code, r.sample_weight
+    body = """SELECT r.src_id, r.aug_no, CASE WHEN r.rk <= q.n_val THEN 'val' ELSE 'train' END AS split, r.text,
+       r.category, r.subcategory, r.assignment_group, r.category_code, r.subcategory_code, r.assignment_group_code, r.sample_weight
 FROM r JOIN q USING (category)"""
     return sql(*ctes, body=body)
 
 
+def _bundle(spark, sf):
+    """The written bundle of the whole training set: samples with their split, dictionary, weights."""
+    from tixprep.operators.classes import level_weights
+    from tixprep.operators.sampling import stratified_split
+    from tixprep.session import cut_lineage
+    s = cut_lineage(_samples(spark, sf).withColumn("_k", F.concat_ws(":", "src_id", "aug_no")))
+    s = stratified_split(s, "category", "_k").drop("_k")
+    return IO.sink_bundle(s, EN.label_dictionary(s), level_weights(s), IO.scratch_path(spark, "bundle"))
+
+
+_BUNDLE_COLS = ["src_id", "aug_no", "split", "text", *S.TARGETS, *[t + "_code" for t in S.TARGETS]]
+
+
 @query("sink_bundle", _bundle_sql())
 def q_sink_bundle(spark, sf):
-    from tixprep.operators.sampling import stratified_split
-    s = stratified_split(_samples(spark, sf).withColumn("_k", F.concat_ws(":", "src_id", "aug_no")), "category", "_k").drop("_k")
-    d = EN.label_dictionary(s)
-    path = IO.sink_bundle(s, d, None, IO.scratch_path(spark, "bundle"))
-    samples, _ = IO.scan_bundle(spark, path)
-    return samples.select("src_id", "aug_no", "split", "category_code", "subcategory_code", "assignment_group_code", "sample_weight")
+    samples, _, _ = IO.scan_bundle(spark, _bundle(spark, sf))
+    return samples.select(*_BUNDLE_COLS, F.round("sample_weight", 9).alias("sample_weight"))
 
 
-@query("sink_bundle_wide")
-def q_sink_bundle_wide(spark, sf):
-    from tixprep.plans.prepare import prepare_training_set
-    from tixprep.queries.q_augment import lexicon
-    s = prepare_training_set(tk(spark, sf), lexicon(spark, sf), field_aware=True)
-    path = IO.sink_bundle(s, EN.label_dictionary(s), None, IO.scratch_path(spark, "bundle-wide"))
-    samples, _ = IO.scan_bundle(spark, path)
-    return samples
+_TARGET_ROWS = " UNION ALL ".join(f"SELECT '{t}' AS target, {t} AS label, count(*) AS n FROM samples GROUP BY {t}" for t in S.TARGETS)
 
 
-@query("scan_bundle", sql(BASE_CTE, MERGED_CTE, body="""
-SELECT 'category' AS target, count(DISTINCT category) AS n_classes FROM merged
-UNION ALL SELECT 'subcategory', count(DISTINCT subcategory) FROM merged
-UNION ALL SELECT 'assignment_group', count(DISTINCT assignment_group) FROM merged"""))
+@query("scan_bundle", sql(*_prepare_sql(as_cte=True), f"lb AS ({_TARGET_ROWS})", body="""
+SELECT target, label, (dense_rank() OVER (PARTITION BY target ORDER BY label) - 1)::INTEGER AS code, n,
+       round(sqrt(1.0 / n) / sqrt(1.0 / max(n) OVER (PARTITION BY target)), 9) AS level_weight FROM lb"""))
 def q_scan_bundle(spark, sf):
-    s = _samples(spark, sf, oversample=False)
-    d = EN.label_dictionary(s)
-    path = IO.sink_bundle(s, d, None, IO.scratch_path(spark, "bundle"))
-    _, dic = IO.scan_bundle(spark, path)
-    return EN.label_sizes(dic)
+    _, dic, levels = IO.scan_bundle(spark, _bundle(spark, sf))
+    return dic.join(levels.withColumnRenamed("value", "label"), ["target", "label"]).select(
+        "target", "label", "code", "n", F.round("level_weight", 9).alias("level_weight"))
 
 
-@query("bundle_to_rows", sql(BASE_CTE, MERGED_CTE, body="""
-SELECT number_fld AS src_id, category, subcategory, assignment_group FROM merged"""))
+@query("bundle_to_rows", sql(*_prepare_sql(as_cte=True), body="""
+SELECT src_id, aug_no, text, category, subcategory, assignment_group, sample_weight FROM samples"""))
 def q_bundle_to_rows(spark, sf):
-    s = _samples(spark, sf, oversample=False)
-    d = EN.label_dictionary(s)
-    codes = s.select("src_id", *[t + "_code" for t in S.TARGETS])
-    dec = EN.label_decode(codes, d, {t: t + "_code" for t in S.TARGETS})
-    return dec.select("src_id", *[F.col(f"{t}_label").alias(t) for t in S.TARGETS])
+    samples, dic, _ = IO.scan_bundle(spark, _bundle(spark, sf))
+    codes = samples.select("src_id", "aug_no", "text", "sample_weight", *[t + "_code" for t in S.TARGETS])
+    dec = EN.label_decode(codes, dic, {t: t + "_code" for t in S.TARGETS}, strict=True)
+    return dec.select("src_id", "aug_no", "text", *[F.col(f"{t}_label").alias(t) for t in S.TARGETS], F.round("sample_weight", 9).alias("sample_weight"))
+
+
+def _wide_sql() -> str:
+    """Field-aware copies: in each pass fields 0 and 1 of an edited copy change, and the text with them."""
+    from tixprep.oracle import d_edit
+    from tixprep.queries.q_augment import CHAIN_CTE, LEX_CTES, PATH
+    from tixprep.queries.q_text import _COMB
+    filled = {c: f"coalesce(m.{c}, '{d}') AS {c}" for c, d in
+              (("priority", "UnknownPriority"), ("contact_type", "OtherContact"), ("location", "UnknownLocation"),
+               ("u_department", "UnknownDepartment"), ("opened_by_department", "UnknownDepartment"))}
+    ctes = [BASE_CTE, MERGED_CTE, CHAIN_CTE, *LEX_CTES,
+            f"""r0 AS (SELECT m.number_fld AS src, m.category, m.subcategory, m.assignment_group, m.short_description, m.description,
+                  {', '.join(filled.values())}, {_COMB} AS text, c.f1, c.f2, c.f3
+                FROM merged m JOIN chain c USING (category, subcategory, assignment_group))"""]
+    src, path, ok = "r0", "CAST(src AS VARCHAR)", "_ok"
+    for k in (1, 2, 3):
+        path += f" || '.' || CAST(i{k} AS VARCHAR)"
+        keep = "" if k == 1 else " EXCLUDE (rk)"
+        ctes += [f"u{k} AS (SELECT *{keep}, unnest(range(0, f{k})) AS i{k} FROM {src})",
+                 f"e{k} AS (SELECT *, {path} AS rk, string_split(text, ' [SEP] ') AS parts FROM u{k})",
+                 f"o{k} AS (SELECT *, i{k} > 0 AND len(parts) >= 7 AS _ok, parts[1] AS txt FROM e{k})", *d_edit(f"a{k}", f"o{k}", f"p{k}:f0", ok),
+                 f"b{k} AS (SELECT * EXCLUDE (txt), txt AS _f0, parts[2] AS txt FROM a{k})", *d_edit(f"c{k}", f"b{k}", f"p{k}:f1", ok),
+                 f"""z{k} AS (SELECT * EXCLUDE (txt, _f0, _ok, parts, text, short_description, description),
+                      CASE WHEN _ok THEN array_to_string([_f0, txt] || parts[3:], ' [SEP] ') ELSE text END AS text,
+                      CASE WHEN _ok THEN _f0 ELSE short_description END AS short_description, CASE WHEN _ok THEN txt ELSE description END AS description FROM c{k})"""]
+        src = f"z{k}"
+    plan = [c for c in _prepare_sql(as_cte=True) if c.lstrip().startswith(("fin AS", "wt AS", "pl AS"))]
+    return sql(*ctes, *plan, body=f"""SELECT src AS src_id, {PATH} AS aug_no, text, category, subcategory, assignment_group, category_code, subcategory_code,
+       assignment_group_code, sample_weight, short_description, description, priority, contact_type, location, u_department, opened_by_department
+FROM z3 JOIN pl USING (category, subcategory, assignment_group)""")
+
+
+@query("sink_bundle_wide", _wide_sql())
+def q_sink_bundle_wide(spark, sf):
+    from tixprep.plans.prepare import prepare_training_set
+    from tixprep.queries.q_augment import lexicon
+    from tixprep.session import cut_lineage
+    s = cut_lineage(prepare_training_set(tk(spark, sf), lexicon(spark, sf), field_aware=True))
+    path = IO.sink_bundle(s, EN.label_dictionary(s), None, IO.scratch_path(spark, "bundle-wide"))
+    samples, _, _ = IO.scan_bundle(spark, path)
+    return samples.withColumn("sample_weight", F.round("sample_weight", 9))
 
 
 @query("sink_report")
@@ -264,11 +316,29 @@ def q_table_profile(spark, sf):
     return table_profile(tk(spark, sf)).withColumn("mean", F.round("mean", 6))
 
 
-@query("association_matrix")
+_NUM, _CAT = ["total_price", "value"], ["category", "subcategory", "priority"]
+
+
+def _association_sql() -> str:
+    parts = [f"SELECT '{a}' AS column_a, '{b}' AS column_b, 'pearson' AS kind, corr(x, y) AS value FROM (SELECT {a} AS x, {b} AS y FROM tickets WHERE {a} IS NOT NULL AND {b} IS NOT NULL)"
+             for a in _NUM for b in _NUM]
+    parts += [f"""SELECT '{c}', '{x}', 'eta', sqrt(sum(n * pow(m - mm, 2)) / any_value(t)) FROM (
+      SELECT {c} AS g, count(*) AS n, avg({x}) AS m FROM tickets WHERE {c} IS NOT NULL AND {x} IS NOT NULL GROUP BY {c}),
+      (SELECT avg({x}) AS mm, var_pop({x}) * count(*) AS t FROM tickets WHERE {c} IS NOT NULL AND {x} IS NOT NULL)""" for c in _CAT for x in _NUM]
+    for a in _CAT:
+        for b in _CAT:
+            if a != b:
+                ab = f"(SELECT {a} AS a, {b} AS b, count(*) AS n FROM tickets WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY ALL)"
+                parts.append(f"""SELECT '{a}', '{b}', 'uncertainty', (ha - hab) / ha FROM
+      (SELECT -sum(p * ln(p)) AS ha FROM (SELECT sum(n) / sum(sum(n)) OVER () AS p FROM {ab} GROUP BY a)),
+      (SELECT -sum(n / t * ln(n / nb)) AS hab FROM (SELECT n, sum(n) OVER (PARTITION BY b) AS nb, sum(n) OVER () AS t FROM {ab}))""")
+    return sql(body="SELECT column_a, column_b, kind, round(value, 6) AS value FROM (" + " UNION ALL ".join(parts) + ")")
+
+
+@query("association_matrix", _association_sql())
 def q_association_matrix(spark, sf):
     from tixprep.operators.profile import association_matrix
-    d = tk(spark, sf)
-    return association_matrix(d, ["total_price", "value"], ["category", "subcategory", "priority"])
+    return association_matrix(tk(spark, sf), _NUM, _CAT).withColumn("value", F.round("value", 6))
 
 
 @query("train_three_heads")
@@ -297,7 +367,7 @@ def q_map_text(spark, sf):
     return map_text(read_table(spark, sf, "documents").select("doc_id", "text"), "text", lambda s: s.str.len().astype(str), "n_chars_text")
 
 
-@query("map_row")
+@query("map_row", "SELECT o_orderkey, round_even(o_totalprice, 0) AS o_totalprice FROM orders")
 def q_map_row(spark, sf):
     from tixprep.operators.udf import map_row
     d = read_table(spark, sf, "orders").select("o_orderkey", "o_totalprice")

@@ -17,15 +17,19 @@ def q_contingency_table(spark, sf):
     return H.contingency_table(base(spark, sf), "category", "subcategory")
 
 
-@query("zero_filled_combos", sql(BASE_CTE, body="""
-WITH c AS (SELECT DISTINCT category FROM base), s AS (SELECT DISTINCT subcategory FROM base),
-g AS (SELECT DISTINCT assignment_group FROM base),
+_LEVELS = {"category": ["de", "en", "es", "fr", "it"], "subcategory": ["xs", "s", "m", "l", "xl", "xxl"], "assignment_group": ["der", "the", "un"]}
+
+
+@query("zero_filled_combos", sql(BASE_CTE, body=f"""
+WITH l AS (SELECT * FROM (SELECT unnest({_LEVELS['category']}) AS category), (SELECT unnest({_LEVELS['subcategory']}) AS subcategory),
+                         (SELECT unnest({_LEVELS['assignment_group']}) AS assignment_group)),
 k AS (SELECT category, subcategory, assignment_group, count(*) AS n FROM base GROUP BY ALL)
-SELECT c.category, s.subcategory, g.assignment_group, coalesce(k.n, 0)::BIGINT AS n
-FROM c CROSS JOIN s CROSS JOIN g
-LEFT JOIN k ON k.category = c.category AND k.subcategory = s.subcategory AND k.assignment_group = g.assignment_group"""))
+SELECT category, subcategory, assignment_group, n, 'observed' AS kind FROM k
+UNION ALL SELECT l.category, l.subcategory, l.assignment_group, coalesce(k.n, 0)::BIGINT, 'levels' FROM l LEFT JOIN k USING (category, subcategory, assignment_group)"""))
 def q_zero_filled_combos(spark, sf):
-    return H.zero_filled_combos(base(spark, sf), TG)
+    b = base(spark, sf)
+    return H.zero_filled_combos(b, TG).withColumn("kind", F.lit("observed")).unionByName(
+        H.zero_filled_combos(b, TG, _LEVELS).withColumn("kind", F.lit("levels")))
 
 
 @query("children_per_parent", sql(BASE_CTE, body="""

@@ -116,20 +116,21 @@ def q_processed_length_stats(spark, sf):
     return d.select("column_name", F.round("mean_chars", 9).alias("mean_chars"), "max_chars")
 
 
-@query("token_length_stats", sql(_PROC, body=f"""
-SELECT 'processed_description' AS column_name, round(avg(n), 9) AS mean_tokens, max(n)::INTEGER AS max_tokens,
-       round(quantile_cont(n, 0.95), 9) AS p95_tokens
-FROM (SELECT len({d_words('processed_description')})::INTEGER AS n FROM proc)"""))
+_PROC_COLS = ["processed_short_description", "processed_description"]
+
+
+@query("token_length_stats", sql(_PROC, body=" UNION ALL ".join(f"""
+SELECT '{c}' AS column_name, round(avg(n), 9) AS mean_tokens, max(n)::INTEGER AS max_tokens,
+       round(quantile_cont(n, 0.95), 9) AS p95_tokens FROM (SELECT len({d_words(c)})::INTEGER AS n FROM proc)""" for c in _PROC_COLS)))
 def q_token_length_stats(spark, sf):
-    d = P.token_length_stats(_proc(spark, sf), "processed_description")
-    return _r(d, ["mean_tokens", "p95_tokens"])
+    return _r(P.token_length_stats(_proc(spark, sf), _PROC_COLS), ["mean_tokens", "p95_tokens"])
 
 
-@query("word_frequency", sql(_PROC, body=f"""
-SELECT word, count(*) AS n FROM (SELECT unnest({d_words('processed_description')}) AS word FROM proc)
-GROUP BY word ORDER BY n DESC, word LIMIT 10"""))
+@query("word_frequency", sql(_PROC, body=" UNION ALL ".join(f"""
+(SELECT '{c}' AS column_name, word, count(*) AS n FROM (SELECT unnest({d_words(c)}) AS word FROM proc)
+GROUP BY word ORDER BY n DESC, word LIMIT 10)""" for c in _PROC_COLS)))
 def q_word_frequency(spark, sf):
-    return P.word_frequency(_proc(spark, sf), "processed_description")
+    return P.word_frequency(_proc(spark, sf), _PROC_COLS)
 
 
 @query("duplicate_rows", """
@@ -167,19 +168,26 @@ def q_correlation_matrix(spark, sf):
     return P.correlation_matrix(_lens(spark, sf), _NUMS).withColumn("r", F.round("r", 9))
 
 
-@query("histogram", sql(body="""
-WITH v AS (SELECT greatest(0, least(1000, length(description)))::DOUBLE AS v FROM tickets WHERE description IS NOT NULL),
-r AS (SELECT CASE WHEN min(v) = max(v) THEN min(v) - 0.5 ELSE min(v) END AS lo,
-             CASE WHEN min(v) = max(v) THEN max(v) + 0.5 ELSE max(v) END AS hi FROM v),
-b AS (SELECT least(49, floor((v - lo) / (hi - lo) * 50))::INTEGER AS bin, count(*) AS n FROM v, r GROUP BY 1),
-g AS (SELECT unnest(range(0, 50))::INTEGER AS bin)
-SELECT g.bin, round(lo + (hi - lo) / 50 * g.bin, 9) AS lower, round(lo + (hi - lo) / 50 * (g.bin + 1), 9) AS upper,
+def _histogram_sql(col: str) -> str:
+    return f"""SELECT '{col}' AS column_name, g.bin, round(lo + (hi - lo) / 50 * g.bin, 9) AS lower, round(lo + (hi - lo) / 50 * (g.bin + 1), 9) AS upper,
        coalesce(b.n, 0)::BIGINT AS n
-FROM g CROSS JOIN r LEFT JOIN b ON b.bin = g.bin"""))
+FROM (SELECT unnest(range(0, 50))::INTEGER AS bin) g
+CROSS JOIN (SELECT CASE WHEN min(v) = max(v) THEN min(v) - 0.5 ELSE min(v) END AS lo, CASE WHEN min(v) = max(v) THEN max(v) + 0.5 ELSE max(v) END AS hi
+            FROM (SELECT greatest(0, least(1000, length({col})))::DOUBLE AS v FROM tickets WHERE {col} IS NOT NULL)) r
+LEFT JOIN (SELECT least(49, floor((v - lo) / (hi - lo) * 50))::INTEGER AS bin, count(*) AS n
+           FROM (SELECT greatest(0, least(1000, length({col})))::DOUBLE AS v FROM tickets WHERE {col} IS NOT NULL),
+                (SELECT CASE WHEN min(v) = max(v) THEN min(v) - 0.5 ELSE min(v) END AS lo, CASE WHEN min(v) = max(v) THEN max(v) + 0.5 ELSE max(v) END AS hi
+                 FROM (SELECT greatest(0, least(1000, length({col})))::DOUBLE AS v FROM tickets WHERE {col} IS NOT NULL)) GROUP BY 1) b ON b.bin = g.bin"""
+
+
+@query("histogram", sql(body=" UNION ALL ".join(_histogram_sql(c) for c in ("short_description", "description"))))
 def q_histogram(spark, sf):
-    d = tk(spark, sf).select(F.length("description").alias("description_length"))
-    h = P.histogram(d, "description_length", 50, 0, 1000)
-    return h.select("bin", F.round("lower", 9).alias("lower"), F.round("upper", 9).alias("upper"), "n")
+    out = None
+    for c in ("short_description", "description"):
+        h = P.histogram(tk(spark, sf).select(F.length(c).alias("n_chars")), "n_chars", 50, 0, 1000)
+        h = h.select(F.lit(c).alias("column_name"), "bin", F.round("lower", 9).alias("lower"), F.round("upper", 9).alias("upper"), "n")
+        out = h if out is None else out.unionByName(h)
+    return out
 
 
 @query("density_curve", """
