@@ -37,9 +37,8 @@ def agrees(rows, texts):
 
 
 def test_whole_table_against_brute_force(spark):
-    from tixprep.llm.queries import QUERIES
     t = pq.read_table("/root/testdata/sf0.01/documents.parquet").to_pydict()
-    rows = QUERIES["op4_licenses"](spark, "/root/testdata/sf0.01").collect()
+    rows = find_licenses(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()
     assert len(rows) == len(t["doc_id"]) and sum(r["license"] is not None for r in rows) > 10
     agrees(rows, dict(zip(t["doc_id"], t["text"], strict=True)))
 

@@ -18,19 +18,18 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?+[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
+    "iban": r"(?<![A-Za-z0-9_])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9_])",
+    "ssn": r"(?<![A-Za-z0-9_])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9_])",
 }
 # A row is only searched if this cheaper pattern is found somewhere.
 HINTS = {
     "email": r"@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]", "card": r"[0-9]{2}|[0-9][\x20-][0-9]", "phone": r"\+[0-9]",
     "iban": r"[A-Z]{2}[0-9]{2}", "ssn": r"[0-9]-[0-9]{2}-[0-9]",
 }
-CONTEXT = {
-    "email": r"(?i)\b(?:e-?mail|contact|write|reach)\b", "ip": r"(?i)\b(?:ip|address|host|server|login)\b",
-    "card": r"(?i)\b(?:card|visa|mastercard|credit|debit|payment)\b", "phone": r"(?i)\b(?:phone|tel|call|mobile|fax)\b",
-    "iban": r"(?i)\b(?:iban|bank|account|transfer)\b", "ssn": r"(?i)\b(?:ssn|social|security)\b",
-}
+CONTEXT_WORDS = {
+    "email": "e-?mail|contact|write|reach", "ip": "ip|address|host|server|login", "card": "card|visa|mastercard|credit|debit|payment",
+    "phone": "phone|tel|call|mobile|fax", "iban": "iban|bank|account|transfer", "ssn": "ssn|social|security"}
+CONTEXT = {kind: f"(?i)(?:^|[^A-Za-z0-9])(?:{words})(?:[^A-Za-z0-9]|$)" for kind, words in CONTEXT_WORDS.items()}
 START_SCORE = {"email": 0.9, "ip": 0.7, "card": 0.8, "phone": 0.6, "iban": 0.8, "ssn": 0.3}
 CONTEXT_BONUS = 0.25
 CONTEXT_WIDTH = 40
@@ -127,13 +126,19 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
+def _scored(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda x: F.concat_ws(
+        ":", x["kind"], x["start"].cast("string"), x["end"].cast("string"), F.round(x["score"] * 100).cast("int").cast("string"))), ",")
+
+
 def pii_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: ``doc_id``, counts of the base kinds, ``base_sha256`` of the base spans, ``spans``
-    (all, as kind:start:end) and ``pii`` (with scores). Repeated rows each get a row."""
+    (all, as kind:start:end) and ``scores`` (the same with the score in hundredths). Repeated rows
+    each get a row."""
     found = find_pii(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
     counts = [F.size(_of_kind("pii", k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
     base = F.filter("pii", lambda x: x["kind"].isin(BASE_KINDS))
-    return found.select("doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("pii")).alias("spans"), "pii")
+    return found.select("doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("pii")).alias("spans"), _scored(F.col("pii")).alias("scores"))
 
 
 def mask_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:

@@ -5,7 +5,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tixprep.llm import sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -16,15 +18,23 @@ def query(fn):
     return fn
 
 
+def twin(sql: str):
+    """Registers a query with the SQL that gives the same rows."""
+    def add(fn):
+        ORACLE[fn.__name__] = sql
+        return query(fn)
+    return add
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query
+@twin(sql.decontaminate())
 def op1_decontaminate(spark, sf_dir):
     """Whole documents against all benchmark items."""
     from tixprep.llm.decontaminate import contamination
-    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("matches")
 
 
 @query
@@ -43,7 +53,7 @@ def op3_pack(spark, sf_dir):
     return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-@query
+@twin(sql.pii())
 def op8_pii(spark, sf_dir):
     """Personal data in every document."""
     from tixprep.llm.pii import pii_report
@@ -57,14 +67,15 @@ def op5_quality(spark, sf_dir):
     return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-@query
+@twin(sql.licenses())
 def op4_licenses(spark, sf_dir):
     """License notices in every document."""
     from tixprep.llm.licenses import find_licenses
-    return find_licenses(_table(spark, sf_dir, "documents"))
+    found = F.transform("found", lambda x: F.concat_ws(":", x["license"], x["line"].cast("string"), x["n_lines"].cast("string")))
+    return find_licenses(_table(spark, sf_dir, "documents")).withColumn("found", F.array_join(found, ","))
 
 
-@query
+@twin(sql.cover_tree())
 def op10_cover_tree(spark, sf_dir):
     """Links and groups of all embeddings at cosine 0.9."""
     from tixprep.llm.cover_tree import near_duplicate_vectors
@@ -78,7 +89,7 @@ def op6_main_text(spark, sf_dir):
     return main_text(_table(spark, sf_dir, "pages"))
 
 
-@query
+@twin(sql.repeats())
 def op9_repeats(spark, sf_dir):
     """Repeated strings of 100 bytes removed from every document."""
     from tixprep.llm.repeats import without_repeats
