@@ -1,4 +1,6 @@
-"""Profile report: the nine profiling steps as one long table (section, item, metric, value).
+"""Profile report: the profiling steps as one long table (section, item, metric, value): shape and
+schema, memory, describe, missing values, texts, value counts and class report of each target, text
+lengths, duplicates, correlations, and a seeded sample of rows.
 
 Steps run in the reference order; the length step adds two columns that the duplicate and
 correlation steps then see. Each step is one fused aggregate (or one class table per column).
@@ -14,6 +16,7 @@ from tixprep import schema as S
 from tixprep.functions.text import char_length_nan
 from tixprep.operators import classes as C
 from tixprep.operators import profile as P
+from tixprep.operators.sampling import uniform_sample
 from tixprep.session import cut_lineage
 
 
@@ -38,6 +41,9 @@ def profile_report(tickets: DataFrame) -> DataFrame:
     for t in S.TARGETS:
         vc = C.value_counts(df, t, k=20, keep_null=True)
         parts.append(_long(vc.withColumn("value", F.coalesce(F.col("value"), F.lit("NaN"))), f"value_counts:{t}", "value", ["n"]))
+        report = C.class_distribution(df, t).agg(F.max("n_classes").alias("n_classes"), F.max("n").alias("largest"), F.min("n").alias("smallest"),
+                                                 F.max("percentage").alias("largest_percent"), (F.max("n") / F.min("n")).alias("imbalance_ratio"))
+        parts.append(_long(report, "class_report", F.lit(t), ["n_classes", "largest", "smallest", "largest_percent", "imbalance_ratio"]))
     with_len = df.withColumns({f"{c}_length": char_length_nan(c) for c in [S.SHORT, S.DESC]})
     parts.append(_long(P.text_length_stats(df, [S.SHORT, S.DESC]), "text_length", "column_name",
                        ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]))
@@ -45,6 +51,7 @@ def profile_report(tickets: DataFrame) -> DataFrame:
     nums = [f.name for f in with_len.schema.fields if isinstance(f.dataType, T.NumericType)]
     corr = P.correlation_matrix(with_len, nums).select(F.concat_ws(" ~ ", "column_a", "column_b").alias("pair"), "r")
     parts.append(_long(corr, "correlation", "pair", ["r"]))
+    parts.append(_long(uniform_sample(with_len, S.NUMBER, 5), "sample", S.NUMBER, nums))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -52,8 +59,9 @@ def profile_report(tickets: DataFrame) -> DataFrame:
 
 
 def table_profile(df: DataFrame) -> DataFrame:
-    """One-call column profile: type, missing, distinct, most frequent value and its count, and for
-    numeric columns mean/min/max. One row per column."""
+    """One-call column profile: type, missing, distinct, most frequent value and its count, the five
+    most frequent values (their first 40 characters) with counts, and for numeric columns
+    mean/min/max. One row per column."""
     snap = cut_lineage(df)
     miss = P.missing_summary(snap).select("column_name", "missing")
     uniq = P.unique_count(snap, snap.columns).select("column_name", "n_unique")
@@ -61,8 +69,11 @@ def table_profile(df: DataFrame) -> DataFrame:
     out = info.join(miss, "column_name").join(uniq, "column_name")
     tops = None
     for c in snap.columns:
-        top = C.value_counts(snap, c, k=1).select(F.lit(c).alias("column_name"), F.col("value").cast("string").alias("top_value"),
-                                                  F.col("n").alias("top_count"))
+        five = C.value_counts(snap, c, k=5).select(F.col("value").cast("string").alias("v"), "n", F.struct(-F.col("n"), F.col("value")).alias("o"))
+        top = five.agg(F.min_by("v", "o").alias("top_value"), F.max("n").alias("top_count"),
+                       F.array_sort(F.collect_list(F.struct("o", "v", "n"))).alias("all"))  # five rows
+        top = top.select(F.lit(c).alias("column_name"), "top_value", "top_count", F.array_join(F.transform(
+            "all", lambda x: F.concat(F.left(x["v"], F.lit(40)), F.lit("="), x["n"].cast("string"))), "; ").alias("top_values"))
         tops = top if tops is None else tops.unionByName(top)
     nums = [f.name for f in snap.schema.fields if isinstance(f.dataType, T.NumericType)]
     stats = snap.agg(*[F.avg(c).alias(f"a{i}") for i, c in enumerate(nums)], *[F.min(c).cast("double").alias(f"n{i}") for i, c in enumerate(nums)],

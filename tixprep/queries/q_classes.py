@@ -12,32 +12,45 @@ from tixprep.queries.common import BASE_CTE, MERGED_CTE, base, merged, sql, tk
 TG = ["category", "subcategory", "assignment_group"]
 
 
-@query("value_counts", sql(BASE_CTE, body="""
-SELECT assignment_group AS value, count(*) AS n FROM base WHERE assignment_group IS NOT NULL
-GROUP BY assignment_group ORDER BY n DESC, value LIMIT 10"""))
+def per_target(op, df, *args, **kwargs):
+    """``op`` for each of the three targets, one table with the target's name."""
+    out = None
+    for t in TG:
+        part = op(df, t, *args, **kwargs)
+        part = part.select(F.lit(t).alias("target"), *[F.col(c).alias("value") if c == t else F.col(c) for c in part.columns])
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def per_target_sql(*ctes: str, select: str) -> str:
+    """``select`` (with {t} for the target) for each of the three targets."""
+    return sql(*ctes, body=" UNION ALL ".join(f"(SELECT '{t}' AS target, * FROM ({select.format(t=t)}))" for t in TG))
+
+
+@query("value_counts", per_target_sql(BASE_CTE, select="""
+SELECT {t} AS value, count(*) AS n FROM base WHERE {t} IS NOT NULL GROUP BY {t} ORDER BY n DESC, value LIMIT 10"""))
 def q_value_counts(spark, sf):
-    return C.value_counts(base(spark, sf), "assignment_group", k=10)
+    return per_target(C.value_counts, base(spark, sf), k=10)
 
 
-@query("value_counts_with_null", sql(body="""
-SELECT assignment_group AS value, count(*) AS n FROM tickets
-GROUP BY assignment_group ORDER BY n DESC, value NULLS FIRST LIMIT 20"""))
+@query("value_counts_with_null", per_target_sql(select="""
+SELECT {t} AS value, count(*) AS n FROM tickets GROUP BY {t} ORDER BY n DESC, value NULLS FIRST LIMIT 20"""))
 def q_value_counts_with_null(spark, sf):
-    return C.value_counts(tk(spark, sf), "assignment_group", k=20, keep_null=True)
+    return per_target(C.value_counts, tk(spark, sf), k=20, keep_null=True)
 
 
-@query("top_k_classes", sql(BASE_CTE, body="""
-SELECT subcategory AS value, count(*) AS n FROM base GROUP BY subcategory ORDER BY n DESC, value LIMIT 5"""))
+@query("top_k_classes", per_target_sql(BASE_CTE, select="""
+SELECT {t} AS value, count(*) AS n FROM base GROUP BY {t} ORDER BY n DESC, value LIMIT 5"""))
 def q_top_k_classes(spark, sf):
-    return C.value_counts(base(spark, sf), "subcategory", k=5)
+    return per_target(C.value_counts, base(spark, sf), k=5)
 
 
-@query("class_distribution", sql(BASE_CTE, body="""
-SELECT category AS value, count(*) AS n, count(*) / (SELECT count(*) FROM base) * 100.0 AS percentage,
-       (SELECT count(DISTINCT category) FROM base) AS n_classes
-FROM base WHERE category IS NOT NULL GROUP BY category"""))
+@query("class_distribution", per_target_sql(BASE_CTE, select="""
+SELECT {t} AS value, count(*) AS n, count(*) / (SELECT count(*) FROM base) * 100.0 AS percentage,
+       (SELECT count(DISTINCT {t}) FROM base) AS n_classes
+FROM base WHERE {t} IS NOT NULL GROUP BY {t}"""))
 def q_class_distribution(spark, sf):
-    return C.class_distribution(base(spark, sf), "category")
+    return per_target(C.class_distribution, base(spark, sf))
 
 
 @query("imbalance_ratio", sql(BASE_CTE, body="""
@@ -59,17 +72,16 @@ def q_merge_rare_classes(spark, sf):
     return merged(spark, sf).select("number_fld", *TG)
 
 
-@query("rare_class_set", sql(BASE_CTE, body="""
-SELECT assignment_group, count(*) AS n FROM base GROUP BY assignment_group HAVING count(*) < 50"""))
+@query("rare_class_set", per_target_sql(BASE_CTE, select="SELECT {t} AS value, count(*) AS n FROM base GROUP BY {t} HAVING count(*) < 50"))
 def q_rare_class_set(spark, sf):
-    return C.rare_class_set(base(spark, sf), "assignment_group")
+    return per_target(C.rare_class_set, base(spark, sf))
 
 
-@query("minority_class_set", sql(BASE_CTE, MERGED_CTE, body="""
-SELECT category, n FROM (SELECT category, count(*) AS n, max(count(*)) OVER () AS mx FROM merged GROUP BY category)
-WHERE n < mx * 0.3 AND category <> 'Other'"""))
+@query("minority_class_set", per_target_sql(BASE_CTE, MERGED_CTE, select="""
+SELECT value, n FROM (SELECT {t} AS value, count(*) AS n, max(count(*)) OVER () AS mx FROM merged GROUP BY {t})
+WHERE n < mx * 0.3 AND value <> 'Other'"""))
 def q_minority_class_set(spark, sf):
-    return C.minority_class_set(merged(spark, sf), "category")
+    return per_target(C.minority_class_set, merged(spark, sf))
 
 
 @query("heavy_class_flag", sql(BASE_CTE, body="""
@@ -84,32 +96,30 @@ def q_heavy_class_flag(spark, sf):
     return rare_flags(base(spark, sf)).select("number_fld", "is_rare", "is_heavy")
 
 
-@query("class_weights_inverse", sql(BASE_CTE, body="""
-WITH c AS (SELECT subcategory AS value, count(*) AS n FROM base GROUP BY subcategory),
-w AS (SELECT value, n, (SELECT count(*) FROM base) / ((SELECT count(*) FROM c) * n) AS w FROM c)
-SELECT value, n, w / (SELECT min(w) FROM w) AS class_weight FROM w"""))
+_INVERSE = """SELECT value, n, w / min(w) OVER () AS class_weight FROM (
+  SELECT value, n, (SELECT count(*) FROM base) / (count(*) OVER () * n) AS w FROM (SELECT {t} AS value, count(*) AS n FROM base GROUP BY {t}))"""
+
+
+@query("class_weights_inverse", per_target_sql(BASE_CTE, select=_INVERSE))
 def q_class_weights_inverse(spark, sf):
-    return C.class_weights_inverse(base(spark, sf), "subcategory")
+    return per_target(C.class_weights_inverse, base(spark, sf))
 
 
-@query("weight_summary", sql(BASE_CTE, body="""
-WITH c AS (SELECT assignment_group AS value, count(*) AS n FROM base GROUP BY assignment_group),
-w AS (SELECT (SELECT count(*) FROM base) / ((SELECT count(*) FROM c) * n) AS w FROM c),
-x AS (SELECT w / (SELECT min(w) FROM w) AS cw FROM w)
-SELECT round(min(cw), 9) AS min_weight, round(max(cw), 9) AS max_weight, round(avg(cw), 9) AS mean_weight FROM x"""))
+@query("weight_summary", per_target_sql(BASE_CTE, select=f"""
+SELECT round(min(class_weight), 9) AS min_weight, round(max(class_weight), 9) AS max_weight, round(avg(class_weight), 9) AS mean_weight FROM ({_INVERSE})"""))
 def q_weight_summary(spark, sf):
-    s = C.weight_summary(base(spark, sf), "assignment_group")
-    return s.select(*[F.round(c, 9).alias(c) for c in s.columns])
+    s = per_target(C.weight_summary, base(spark, sf))
+    return s.select("target", *[F.round(c, 9).alias(c) for c in s.columns if c != "target"])
 
 
-@query("rare_and_dominant", sql(BASE_CTE, body="""
-SELECT assignment_group AS value, count(*) AS n,
+@query("rare_and_dominant", per_target_sql(BASE_CTE, select="""
+SELECT {t} AS value, count(*) AS n,
   round_even(count(*) / (SELECT count(*) FROM base) * 100, 2)::DOUBLE AS percentage,
   round_even(count(*) / (SELECT count(*) FROM base) * 100, 2) < 0.001 AS is_rare,
   round_even(count(*) / (SELECT count(*) FROM base) * 100, 2) > 10.0 AS is_dominant
-FROM base GROUP BY assignment_group"""))
+FROM base GROUP BY {t}"""))
 def q_rare_and_dominant(spark, sf):
-    return C.rare_and_dominant(base(spark, sf), "assignment_group")
+    return per_target(C.rare_and_dominant, base(spark, sf))
 
 
 _BAND = "CASE WHEN l_quantity <= 1 THEN 'one' WHEN l_quantity <= 3 THEN 'few' ELSE 'many' END"
@@ -126,10 +136,9 @@ def q_sampling_strategy(spark, sf):
     return C.sampling_strategy(read_table(spark, sf, "lineitem").select(F.expr(_BAND).alias("band")), "band")
 
 
-@query("sampling_warnings", sql(BASE_CTE, body="""
-SELECT subcategory AS value, count(*) AS n FROM base GROUP BY subcategory HAVING count(*) < 50"""))
+@query("sampling_warnings", per_target_sql(BASE_CTE, select="SELECT {t} AS value, count(*) AS n FROM base GROUP BY {t} HAVING count(*) < 50"))
 def q_sampling_warnings(spark, sf):
-    return C.sampling_warnings(base(spark, sf), "subcategory")
+    return per_target(C.sampling_warnings, base(spark, sf))
 
 
 @query("cumulative_coverage", sql(BASE_CTE, body="""

@@ -291,7 +291,9 @@ def q_sink_report(spark, sf):
     from tixprep.plans.report import profile_report
     rep = profile_report(tk(spark, sf))
     path = IO.sink_report(rep, IO.scratch_path(spark, "report"))
-    return spark.read.parquet(f"{path}/table")
+    # the text view, read back: one line per metric, four fields
+    cells = F.split("value", " [|] ")
+    return spark.read.text(f"{path}/text").select(*[cells[i].alias(c) for i, c in enumerate(["section", "item", "metric", "value"])])
 
 
 def _table_profile_sql() -> str:
@@ -304,6 +306,7 @@ def _table_profile_sql() -> str:
         parts.append(
             f"SELECT '{c}' AS column_name, '{t}' AS data_type, count(*) - count({c}) AS missing, count(DISTINCT {c}) AS n_unique, "
             f"(SELECT CAST(v AS VARCHAR) FROM {top}) AS top_value, (SELECT n FROM {top}) AS top_count, "
+            f"(SELECT string_agg(left(CAST(v AS VARCHAR), 40) || '=' || n, '; ' ORDER BY n DESC, v) FROM {top.replace('LIMIT 1', 'LIMIT 5')}) AS top_values, "
             + (f"round(avg({c}), 6) AS mean, min({c})::DOUBLE AS min, max({c})::DOUBLE AS max" if num
                else "NULL::DOUBLE AS mean, NULL::DOUBLE AS min, NULL::DOUBLE AS max")
             + " FROM tickets")
@@ -374,8 +377,41 @@ def q_map_row(spark, sf):
     return map_row(d, lambda b: b.assign(o_totalprice=b.o_totalprice.round(0)), d.schema)
 
 
-@query("map_batch")
+@query("map_batch", "SELECT doc_id, reverse(text) AS transformed FROM documents")
 def q_map_batch(spark, sf):
     from tixprep.operators.udf import map_batch
     d = read_table(spark, sf, "documents").select("doc_id", "text")
     return map_batch(d, lambda ts: [t[::-1] for t in ts], "text", ["doc_id"], 100)
+
+
+def _manual_sql() -> str:
+    from tixprep.oracle import TICKETS_CTE, d_clean_strict
+    d = {c: f"coalesce({c}, '{v}')" for c, v in S.DEFAULTS["manual"].items() if c not in S.TEXT_FIELDS}
+    text = ", ".join([d_clean_strict(c) for c in S.TEXT_FIELDS] + [d.get(c, c) for c in S.COMBINED_FIELDS if c not in S.TEXT_FIELDS])
+    return f"""WITH {TICKETS_CTE},
+mb AS (SELECT number_fld AS src_id, concat_ws(' [SEP] ', {text}) AS text, category, subcategory, assignment_group FROM tickets
+       WHERE category IS NOT NULL AND subcategory IS NOT NULL AND assignment_group IS NOT NULL),
+mv AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY category, subcategory, assignment_group) AS nn FROM mb) WHERE nn >= 5),
+mw AS (SELECT *, sqrt(1.0 / count(*) OVER (PARTITION BY category)) AS a, sqrt(1.0 / count(*) OVER (PARTITION BY subcategory)) AS b,
+       sqrt(1.0 / count(*) OVER (PARTITION BY assignment_group)) AS c FROM mv)
+SELECT src_id, text, category, subcategory, assignment_group,
+       (dense_rank() OVER (ORDER BY category) - 1)::INTEGER AS category_code, (dense_rank() OVER (ORDER BY subcategory) - 1)::INTEGER AS subcategory_code,
+       (dense_rank() OVER (ORDER BY assignment_group) - 1)::INTEGER AS assignment_group_code,
+       round(least(10.0, greatest(1.0, pow((a / min(a) OVER ()) * (b / min(b) OVER ()) * (c / min(c) OVER ()), 1.0 / 3.0))), 9) AS sample_weight FROM mw"""
+
+
+@query("prepare_manual_set", _manual_sql())
+def q_prepare_manual_set(spark, sf):
+    from tixprep.plans.manual import write_manual_bundle
+    samples, dictionary, _ = IO.scan_bundle(spark, write_manual_bundle(tk(spark, sf), IO.scratch_path(spark, "manual")))
+    dec = EN.label_decode(samples.drop(*S.TARGETS), dictionary, {t: t + "_code" for t in S.TARGETS}, strict=True)
+    return dec.select("src_id", "text", *[F.col(f"{t}_label").alias(t) for t in S.TARGETS], *[t + "_code" for t in S.TARGETS],
+                      F.round("sample_weight", 9).alias("sample_weight"))
+
+
+@query("train_and_log")
+def q_train_and_log(spark, sf):
+    from tixprep.operators.sampling import stratified_split
+    from tixprep.plans.train_log import train_and_log
+    s = _samples(spark, sf).withColumn("_k", F.concat_ws(":", "src_id", "aug_no"))
+    return train_and_log(stratified_split(s, "category", "_k"), "_k", iterations=(2, 8))
