@@ -82,7 +82,7 @@ def test_components_on_a_long_path(spark):
 
 
 def test_one_of_each_group_stays(spark, make_docs):
-    docs = make_docs([(3, "a b c d e"), (1, "a b c d e"), (2, "other words are here now"), (2, "other words are here now")]).withColumn("fp", F.lit(1))
+    docs = make_docs([(3, "a b c d e"), (1, "a b c d e"), (2, "other words are here now"), (2, "other words are here now"), (None, "a b c d e")]).withColumn("fp", F.lit(1))
     kept = keep_one_of_each(docs)
     assert kept.columns == docs.columns
-    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2]
+    assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [0, 1, 2]

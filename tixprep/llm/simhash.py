@@ -109,9 +109,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, max_bits: int = 2) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its group; of rows that repeat an id, one
-    stays. All columns are kept. A row without an id cannot be told from others and stays only if
-    no row with an id has its fingerprint."""
+    stays. All columns are kept. A row without an id stays and is never the one that stands for a
+    group. The texts shuffle once, by id, for both steps."""
     found = near_duplicates(docs, id_col, text_col, width, max_bits)
-    keep = found.filter("component_id is null or doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
-    kept = docs.join(keep, docs[id_col].cast("long").eqNullSafe(keep["_kept_id"]), "left_semi")
-    return kept.dropDuplicates([id_col])
+    keep = found.filter("doc_id = component_id").select(F.col("doc_id").cast(docs.schema[id_col].dataType).alias(id_col)).distinct()
+    named = docs.filter(F.col(id_col).isNotNull()).join(keep, id_col, "left_semi").dropDuplicates([id_col])
+    return named.unionByName(docs.filter(F.col(id_col).isNull()))
