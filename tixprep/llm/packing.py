@@ -31,8 +31,10 @@ PIECE_LIMIT = 512
 # Tokens of remainders that are partitioned together (about 200 windows).
 BUCKET_TOKENS = 400 * 1024
 # Words and parts whose ids a worker remembers; each memory starts anew when it is full.
-REMEMBERED_WORDS = 2_000_000
-REMEMBERED_PARTS = 500_000
+REMEMBERED_WORDS = 600_000
+REMEMBERED_PARTS = 150_000
+# New parts encoded in one call.
+PARTS_AT_ONCE = 20_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -124,15 +126,17 @@ class Encoder:
         self.ids = np.zeros(0, np.uint32)
 
     def _learn_parts(self, parts: list[str]) -> None:
-        ids = np.array(self.parts_only.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, np.uint32)
-        ends = np.flatnonzero(self.ends[ids]) + 1
-        if len(ends) != len(parts):
-            raise ValueError("the tokenizer's parts do not end with its end mark")
-        data = ids.tobytes()
-        at = 0
-        for part, end in zip(parts, ends.tolist(), strict=True):
-            self.parts[part] = data[4 * at:4 * end]
-            at = end
+        for k in range(0, len(parts), PARTS_AT_ONCE):
+            some = parts[k:k + PARTS_AT_ONCE]
+            ids = np.array(self.parts_only.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(some):
+                raise ValueError("the tokenizer's parts do not end with its end mark")
+            data = ids.tobytes()
+            at = 0
+            for part, end in zip(some, ends.tolist(), strict=True):
+                self.parts[part] = data[4 * at:4 * end]
+                at = end
 
     def _ids_of(self, words: list[bytes]) -> list[bytes]:
         """The ids of each word, as bytes."""

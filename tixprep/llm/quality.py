@@ -123,7 +123,7 @@ def pooled(col: pa.Array, vectors: np.ndarray) -> np.ndarray:
     apart, and log length, of every text."""
     raw, offsets = utf8(col)
     out = np.zeros((len(col), FEATURES))
-    for i, j in steps(offsets, 1 << 20):
+    for i, j in steps(offsets, 1 << 18):
         bucket, counts = tokens(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
         some = np.flatnonzero(counts)
         if len(some) == 0:
