@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tixprep.oracle import d_uniform
 from tixprep.operators import sampling as SM
 from tixprep.queries import query
