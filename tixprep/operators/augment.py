@@ -339,6 +339,9 @@ def augment_rare_rows(rare_rows: DataFrame, lexicon: DataFrame, text_col: str, k
         heavy = heavy | F.coalesce(F.col(targets[i]).isNotNull() & (F.col(f"_f{i}") < S.MIN_SAMPLES) & (F.col(f"_r{i}") < S.HEAVY_THRESHOLD), F.lit(False))
     flags = dimension(t.select(*targets, heavy.alias("is_heavy")))
     d = _null_safe_join(rare_rows, flags, targets, ["is_heavy"])
+    # the few rare rows are dealt out before they are copied: ten edited copies of a text cost far
+    # more than moving it once, and rare rows may sit in few input files
+    d = d.repartition(int(d.sparkSession.conf.get("spark.sql.shuffle.partitions")), key_col)
     copies = F.when(F.col("is_heavy"), S.RARE_MULTIPLIER * S.HEAVY_BONUS_MULTIPLIER).otherwise(S.RARE_MULTIPLIER)
     d = d.withColumn("aug_no", F.explode(F.sequence(F.lit(1), copies)))
     key = F.concat_ws(":", F.col(key_col).cast("string"), F.col("aug_no").cast("string"))
