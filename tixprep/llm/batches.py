@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 # How many bytes of text one numpy step looks at; longer texts are a step of their own.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 
 
 def arrow_map(df: DataFrame, fn, schema: str) -> DataFrame:

@@ -11,11 +11,8 @@ over the rows, the hits add up in a column. A single item above the bound is a b
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tixprep.llm.batches import arrow_map, column, list_array, lower_ascii, ranges, steps, utf8, word_hashes, word_spans
@@ -309,8 +306,3 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "
         return batch.filter(pa.array(~((n_hit > 0) & (n_hit * 100 >= n_words * percent))))
 
     return arrow_map(out, run, T.StructType(docs.schema.fields))
-
-
-def sha256_of_items(items: list) -> str:
-    """The digest a caller can compute for a set of item ids (used by the tests)."""
-    return hashlib.sha256(",".join(sorted({str(i) for i in items})).encode()).hexdigest()
