@@ -131,6 +131,58 @@ def test_defined_results(spark, make_docs):
     assert R.without_repeats(docs.limit(0)).count() == 0
 
 
+def by_place(rows, length=100):
+    """As brute, but among rows of one id the smallest place is the earliest, as in the SQL twin."""
+    first, out = {}, []
+    texts = [((doc is None, doc or 0), doc, (text or "").encode()) for doc, text in rows]
+    for order, _, data in texts:
+        for p in range(len(data) - length + 1):
+            first[data[p:p + length]] = min(first.get(data[p:p + length], (order, p)), (order, p))
+    for order, doc, data in texts:
+        gone = np.zeros(len(data), bool)
+        for p in range(len(data) - length + 1):
+            if first[data[p:p + length]] != (order, p):
+                gone[p:p + length] = True
+        kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
+        out.append((doc, len(data), int(gone.sum()), int((np.diff(np.append(False, gone).astype(int)) == 1).sum()), hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("crowd", [2000, 3, 1])
+def test_rows_that_share_an_id(spark, make_docs, crowd):
+    """Different texts without an id or under one id: each is cut by its own repeats alone."""
+    rng = random.Random(7)
+    text = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    head, shared, tail = text(180), text(150), text(130)
+    rows = [(1, head + text(40)), (2, shared), (5, text(300) + shared), (5, text(90)), (5, head + tail), (5, head + text(20) + tail), (6, tail),
+            (None, text(400) + shared + text(60)), (None, text(150)), (None, head), (None, head + text(250)), (None, text(10) + tail + head), (None, None), (None, "")]
+    rows += [(None, head[:170] + text(200)) for _ in range(6)] + [(8, tail + text(50)) for _ in range(4)]
+    # one long beginning that many rows without an id share, and a later place of part of it
+    begin = text(220)
+    rows += [(None, begin + text(30)) for _ in range(8)] + [(None, "x" + begin[20:]), (None, begin[:160])]
+    # last in its batch, shorter than another row of its id
+    for part in (1, 4):
+        assert got(R.without_repeats(make_docs(rows).repartition(part), crowd=crowd)) == by_place(rows)
+
+
+def test_a_crowded_beginning_told_in_parts(monkeypatch):
+    """One content that fills all that is held, tied in many rows, and later places of it."""
+    monkeypatch.setattr(R, "HELD_ROWS", 4)
+    rows = [(7, 1, 5, 0, 3, R.COMPARE, r) for r in range(11)] + [(7, 1, 5, 9, 3, R.COMPARE, 2)] + [(7, 1, 6, 0, 3, R.COMPARE, r) for r in range(9)]
+    rows += [(7, 2, 4, 1, 3, R.COMPARE, 0), (8, 3, 1, 0, 3, R.COMPARE, 0), (8, 3, 1, 0, 3, R.COMPARE, 1), (9, 4, 1, 5, 2, R.COMPARE, 0), (9, 5, 1, 0, 2, R.COMPARE, 0)]
+    import pyarrow as pa
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
+    names = ["gram", "content", "key", "place", "count", "kind", "row"]
+    for size in (1, 3, 4, 5, 40):
+        parts = [pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows[k:k + size], strict=True), types, strict=True)], names) for k in range(0, len(rows), size)]
+        out = [tuple(r.values()) for b in R._sorted_stream(iter(parts), 3) for r in b.to_pylist()]
+        repeats = sorted((r[2], r[6], r[3]) for r in out if r[5] == R.REPEAT)
+        assert repeats == sorted([(5, 2, 9)] + [(6, r, 0) for r in range(9)])
+        goes_on = {(r[0], r[1], r[2], r[6], r[3]): r[5] for r in out if r[5] != R.REPEAT}
+        assert set(goes_on) == {(7, 1, 5, r, 0) for r in range(11)} | {(7, 2, 4, 0, 1), (9, 4, 1, 0, 5), (9, 5, 1, 0, 0)}
+        assert all((kind == R.SPREAD) == (k[0] == 7) for k, kind in goes_on.items())
+
+
 def test_whole_table_against_brute_force(spark):
     from tixprep.llm.queries import QUERIES
     t = pq.read_table("/root/testdata/sf0.001/documents.parquet").to_pydict()

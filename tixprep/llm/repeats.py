@@ -79,58 +79,66 @@ def segments(raw: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndar
     return rows[first], first - offsets[rows[first]], stop - first, hashes[at[first]], content
 
 
-def joined_runs(key: np.ndarray, place: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def joined_runs(key: np.ndarray, place: np.ndarray, count: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, ...]:
     """Sorted, with runs that follow one another in a row made one."""
     if len(key) == 0:
-        return key, place, count
-    by = np.lexsort((place, key))
-    key, place, count = key[by], place[by], count[by]
+        return key, place, count, row
+    by = np.lexsort((place, row, key))
+    key, place, count, row = key[by], place[by], count[by], row[by]
     new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (place[1:] != place[:-1] + count[:-1])
+    new[1:] = (key[1:] != key[:-1]) | (row[1:] != row[:-1]) | (place[1:] != place[:-1] + count[:-1])
     last = np.append(np.flatnonzero(new)[1:], len(key)) - 1
-    return key[new], place[new], place[last] + count[last] - place[new]
+    return key[new], place[new], place[last] + count[last] - place[new], row[new]
+
+
+def row_numbers(batch: pa.RecordBatch) -> np.ndarray:
+    """What tells rows with the same key apart (0 where all keys differ)."""
+    return np.asarray(column(batch, "row")) if "row" in batch.schema.names else np.zeros(len(batch), np.int64)
 
 
 REPEAT, COMPARE, SPREAD = 0, 1, 2
-ROWS = "gram long, content long, key long, place int, count int, kind int"
+ROWS = "gram long, content long, key long, place int, count int, kind int, row long"
 
 
-def _rows(gram, content, key, place, count, kind) -> pa.RecordBatch:
+def _rows(gram, content, key, place, count, kind, row) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([
         pa.array(gram.view(np.int64)), pa.array(content.view(np.int64)), pa.array(key), pa.array(place.astype(np.int32)), pa.array(count.astype(np.int32)),
-        pa.array(np.full(len(key), kind, np.int32) if np.isscalar(kind) else kind.astype(np.int32))], ["gram", "content", "key", "place", "count", "kind"])
+        pa.array(np.full(len(key), kind, np.int32) if np.isscalar(kind) else kind.astype(np.int32)), pa.array(row)],
+        ["gram", "content", "key", "place", "count", "kind", "row"])
 
 
-def _repeats(key, place, count) -> pa.RecordBatch:
-    key, place, count = joined_runs(key, place, count)
+def _repeats(key, place, count, row) -> pa.RecordBatch:
+    key, place, count, row = joined_runs(key, place, count, row)
     # dealt by a hash of their own, so that they spread over the tasks
-    return _rows(mix(key.astype(np.uint64) ^ (place.astype(np.uint64) << np.uint64(40))), np.zeros(len(key), np.uint64), key, place, count, REPEAT)
+    return _rows(mix(key.astype(np.uint64) ^ (place.astype(np.uint64) << np.uint64(40))), np.zeros(len(key), np.uint64), key, place, count, REPEAT, row)
 
 
 def _scan(batch: pa.RecordBatch, length: int) -> Iterator[pa.RecordBatch]:
-    """All segments of a batch, each content once with its earliest place; the others are repeats."""
+    """All segments of a batch, each content once with its earliest place (in every row that has it
+    there); the others are repeats."""
     raw, offsets = utf8(column(batch, "text"))
-    keys = np.asarray(column(batch, "key"))
+    keys, numbers = np.asarray(column(batch, "key")), row_numbers(batch)
     parts = []
     for i, j in steps(offsets):
         if offsets[j] - offsets[i] <= STRETCH:
             row, place, count, gram, content = segments(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], length)
-            parts.append((keys[i + row], place, count, gram, content))
+            parts.append((keys[i + row], place, count, gram, content, numbers[i + row]))
             continue
         for start in range(0, int(offsets[j] - offsets[i]), STRETCH):  # one very long text
             part = raw[offsets[i] + start:min(offsets[j], offsets[i] + start + STRETCH + length - 1)]
             row, place, count, gram, content = segments(part, np.array([0, len(part)]), length)
-            parts.append((keys[i + row], place + start, count, gram, content))
-    key, place, count, gram, content = (np.concatenate(x) for x in zip(*parts, strict=True))
-    by = np.lexsort((place, key, content, gram))
-    key, place, count, gram, content = (x[by] for x in (key, place, count, gram, content))
+            parts.append((keys[i + row], place + start, count, gram, content, numbers[i + row]))
+    key, place, count, gram, content, row = (np.concatenate(x) for x in zip(*parts, strict=True))
+    by = np.lexsort((row, place, key, content, gram))
+    key, place, count, gram, content, row = (x[by] for x in (key, place, count, gram, content, row))
     new = np.ones(len(key), bool)
     new[1:] = (gram[1:] != gram[:-1]) | (content[1:] != content[:-1])
     if len(key):
-        yield _rows(gram[new], content[new], key[new], place[new], count[new], COMPARE)
-        later = ~new & _later(key, place, new)
+        later = _later(key, place, new)
+        goes_on = ~later & _differs(new, row)
+        yield _rows(gram[goes_on], content[goes_on], key[goes_on], place[goes_on], count[goes_on], COMPARE, row[goes_on])
         if later.any():
-            yield _repeats(key[later], place[later], count[later])
+            yield _repeats(key[later], place[later], count[later], row[later])
 
 
 def _later(key: np.ndarray, place: np.ndarray, new: np.ndarray) -> np.ndarray:
@@ -139,12 +147,21 @@ def _later(key: np.ndarray, place: np.ndarray, new: np.ndarray) -> np.ndarray:
     return (key != key[first]) | (place != place[first])
 
 
+def _differs(new: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Starts of groups, and rows other than the one before."""
+    out = new.copy()
+    out[1:] |= row[1:] != row[:-1]
+    return out
+
+
 class _Grams:
-    """A stream sorted by gram, content, key, place: drops grams seen once, tells repeats, and passes
-    on the earliest segment of each content where a gram has several."""
+    """A stream sorted by gram, content, key, place, row: drops grams with one content, tells repeats,
+    and passes on the earliest segment of each content (in every row that has it there) where a gram
+    has several."""
 
     def __init__(self, crowd: int):
         self.crowd, self.held, self.n, self.spread = crowd, [], 0, None
+        self.open = None  # the last content of a gram that is told before its end: gram, content, first key and place
 
     def add(self, cols: list) -> Iterator[pa.RecordBatch]:
         self.held.append(cols)
@@ -155,39 +172,50 @@ class _Grams:
     def settle(self, last: bool) -> Iterator[pa.RecordBatch]:
         if not self.n:
             return
-        gram, content, key, place, count, kind = (np.concatenate(x) for x in zip(*self.held, strict=True))
+        gram, content, key, place, count, kind, row = (np.concatenate(x) for x in zip(*self.held, strict=True))
         keep = len(gram)
         if not last:
             keep = int(np.searchsorted(gram, gram[-1]))  # the last gram may go on
-            if keep == 0:  # one gram fills all that is held: its contents are spread, but the last may go on
+            if keep == 0:  # one gram fills all that is held: its contents are spread, and the last may go on
                 self.spread = gram[0]
-                keep = int(np.flatnonzero(content != content[-1])[-1]) + 1 if (content != content[-1]).any() else 0
-        rest = [x[keep:] for x in (gram, content, key, place, count, kind)]
+                keep = len(gram)
+        rest = [x[keep:] for x in (gram, content, key, place, count, kind, row)]
         self.held, self.n = [rest], len(rest[0])
-        gram, content, key, place, count, kind = (x[:keep] for x in (gram, content, key, place, count, kind))
-        if keep == 0:
-            return
+        gram, content, key, place, count, kind, row = (x[:keep] for x in (gram, content, key, place, count, kind, row))
         passed = kind == REPEAT
         if passed.any():
-            yield _rows(gram[passed].view(np.uint64), content[passed].view(np.uint64), key[passed], place[passed], count[passed], REPEAT)
-        gram, content, key, place, count = (x[~passed] for x in (gram, content, key, place, count))
+            yield _rows(gram[passed].view(np.uint64), content[passed].view(np.uint64), key[passed], place[passed], count[passed], REPEAT, row[passed])
+        gram, content, key, place, count, row = (x[~passed] for x in (gram, content, key, place, count, row))
         if len(gram) == 0:
             return
         new = np.ones(len(gram), bool)
         new[1:] = (gram[1:] != gram[:-1]) | (content[1:] != content[:-1])
-        later = ~new & _later(key, place, new)
+        later = _later(key, place, new)
+        if self.open is not None and self.open[:2] == (gram[0], content[0]):
+            group = slice(0, int(np.append(np.flatnonzero(new), len(new))[1]))
+            later[group] = (key[group] != self.open[2]) | (place[group] != self.open[3])
+        else:
+            self.open = None
+        if self.spread is not None and gram[-1] == self.spread:
+            at = int(np.flatnonzero(new)[-1])
+            if at or self.open is None:
+                self.open = gram[at], content[at], key[at], place[at]
         if later.any():
-            yield _repeats(key[later], place[later], count[later])
-        gram, content, key, place, count = (x[new] for x in (gram, content, key, place, count))
+            yield _repeats(key[later], place[later], count[later], row[later])
+        goes_on = ~later & _differs(new, row)
+        # contents are counted where they start; one that is told in two parts belongs to a spread gram
+        gram, content, key, place, count, row, new = (x[goes_on] for x in (gram, content, key, place, count, row, new))
+        if len(gram) == 0:
+            return
         start = np.ones(len(gram), bool)
         start[1:] = gram[1:] != gram[:-1]
-        size = np.diff(np.append(np.flatnonzero(start), len(gram)))[np.cumsum(start) - 1]
-        spread = size > self.crowd
+        group = np.cumsum(start) - 1
+        spread = np.bincount(group)[group] > self.crowd
         if self.spread is not None:
             spread |= gram == self.spread
-        some = (size > 1) | spread
+        some = (np.bincount(group, weights=new)[group] > 1) | spread
         if some.any():
-            yield _rows(gram[some].view(np.uint64), content[some].view(np.uint64), key[some], place[some], count[some], np.where(spread[some], SPREAD, COMPARE))
+            yield _rows(gram[some].view(np.uint64), content[some].view(np.uint64), key[some], place[some], count[some], np.where(spread[some], SPREAD, COMPARE), row[some])
 
 
 def _sorted_stream(batches: Iterator[pa.RecordBatch], crowd: int) -> Iterator[pa.RecordBatch]:
@@ -301,7 +329,7 @@ def common_prefixes(order: np.ndarray, packed: np.ndarray, depth: int) -> np.nda
     return np.minimum(shared, depth)
 
 
-def _compare(key: np.ndarray, place: np.ndarray, count: np.ndarray, data: np.ndarray, sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+def _compare(key: np.ndarray, place: np.ndarray, count: np.ndarray, row: np.ndarray, data: np.ndarray, sizes: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """Strings of the given segments that also start earlier in one of them."""
     ends = np.cumsum(sizes + 1)
     text = np.zeros(int(ends[-1]), np.uint16)
@@ -317,20 +345,20 @@ def _compare(key: np.ndarray, place: np.ndarray, count: np.ndarray, data: np.nda
     many = np.bincount(run)[run] > 1
     order, run = order[many], run[many]
     own = owner[order]
-    key, place = key[own], place[own] + order - (ends - sizes - 1)[own]
+    key, place, row = key[own], place[own] + order - (ends - sizes - 1)[own], row[own]
     by = np.lexsort((place, key, run))
-    key, place, run = key[by], place[by], run[by]
+    key, place, row, run = key[by], place[by], row[by], run[by]
     new = np.ones(len(run), bool)
     new[1:] = run[1:] != run[:-1]
     later = ~new & _later(key, place, new) if len(run) else new
-    return key[later], place[later]
+    return key[later], place[later], row[later]
 
 
 def _segment_texts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """The bytes of the listed segments of each row; spread segments as hashes of single strings."""
     for batch in batches:
         raw, offsets = utf8(column(batch, "text"))
-        keys, lists = np.asarray(column(batch, "key")), column(batch, "segments")
+        keys, numbers, lists = np.asarray(column(batch, "key")), row_numbers(batch), column(batch, "segments")
         flat = lists.flatten()
         place, count, gram, kind = (np.asarray(flat.field(x)) for x in ("place", "count", "gram", "kind"))
         row = np.repeat(np.arange(len(batch)), np.diff(np.asarray(lists.offsets)))
@@ -342,7 +370,7 @@ def _segment_texts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[p
             at, _ = ranges(start[part], start[part] + sizes)
             bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
             texts = pa.BinaryArray.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(raw[at].tobytes())])
-            yield _string_rows(gram[part], np.zeros(len(part), np.int64), keys[row[part]], place[part], count[part], texts)
+            yield _string_rows(gram[part], np.zeros(len(part), np.int64), keys[row[part]], place[part], count[part], texts, numbers[row[part]])
         spread = np.flatnonzero(kind == SPREAD)
         for k in range(0, len(spread), 1 << 12):
             part = spread[k:k + (1 << 12)]
@@ -355,26 +383,27 @@ def _segment_texts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[p
             one = word_hashes(own, shift, shift + length)
             two = word_hashes((own * np.uint8(167)) ^ np.uint8(0x5A), shift, shift + length)
             yield _string_rows(one.view(np.int64), two.view(np.int64), keys[row[part]][which], place[part][which] + first - start[part][which],
-                               np.ones(len(first), np.int32), pa.nulls(len(first), pa.binary()))
+                               np.ones(len(first), np.int32), pa.nulls(len(first), pa.binary()), numbers[row[part]][which])
 
 
-STRINGS = "gram long, second long, key long, place int, count int, data binary"
+STRINGS = "gram long, second long, key long, place int, count int, data binary, row long"
 
 
-def _string_rows(gram, second, key, place, count, data) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(gram), pa.array(second), pa.array(key), pa.array(place.astype(np.int32)), pa.array(count.astype(np.int32)), data],
-                                      ["gram", "second", "key", "place", "count", "data"])
+def _string_rows(gram, second, key, place, count, data, row) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(gram), pa.array(second), pa.array(key), pa.array(place.astype(np.int32)), pa.array(count.astype(np.int32)), data, pa.array(row)],
+                                      ["gram", "second", "key", "place", "count", "data", "row"])
 
 
-FOUND = "key long, place int, count int"
+FOUND = "key long, place int, count int, row long"
 
 
-def _found(key, place) -> pa.RecordBatch:
-    key, place, count = joined_runs(key, place, np.ones(len(key), np.int64))
-    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(place.astype(np.int32)), pa.array(count.astype(np.int32))], ["key", "place", "count"])
+def _found(key, place, row, with_row: bool) -> pa.RecordBatch:
+    key, place, count, row = joined_runs(key, place, np.ones(len(key), np.int64), row)
+    arrays = [pa.array(key), pa.array(place.astype(np.int32)), pa.array(count.astype(np.int32))] + [pa.array(row)] * with_row
+    return pa.RecordBatch.from_arrays(arrays, ["key", "place", "count"] + ["row"] * with_row)
 
 
-def _sort_chunks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+def _sort_chunks(batches: Iterator[pa.RecordBatch], length: int, with_row: bool = False) -> Iterator[pa.RecordBatch]:
     """Suffix arrays over a stream sorted by gram: whole grams, about CHUNK_BYTES at a time."""
     held: list[pa.RecordBatch] = []
     size = 0
@@ -390,7 +419,7 @@ def _sort_chunks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.
         if cut:
             part = table.slice(0, cut).combine_chunks().to_batches()[0]
             data, offsets = utf8(part.column(5))
-            yield _found(*_compare(*(np.asarray(part.column(k)).astype(np.int64) for k in (2, 3, 4)), data, np.diff(offsets), length))
+            yield _found(*_compare(*(np.asarray(part.column(k)).astype(np.int64) for k in (2, 3, 4, 6)), data, np.diff(offsets), length), with_row)
 
     for batch in batches:
         held.append(batch)
@@ -402,30 +431,32 @@ def _sort_chunks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.
 
 
 def repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, crowd: int = CROWD) -> tuple[DataFrame, DataFrame]:
-    """``(rows, found)``: the rows as (key, doc_id, text) and, by key, the runs of string starts
-    (place, count) that also start earlier."""
+    """``(rows, found)``: the rows as (key, row, doc_id, text) and, by key and row, the runs of string
+    starts (place, count) that also start earlier. ``key`` gives the order; ``row`` is a 64-bit hash
+    of the text, which tells rows apart that share a key and is the same in every pass (rows alike
+    in both have the same runs)."""
     if length < GRAM:
         raise ValueError(f"strings of at least {GRAM} bytes")
     tables = Steps(docs)
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"), F.xxhash64(F.col(text_col)).alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def scan(batches):
         for batch in batches:
             if batch.num_rows:
                 yield from _scan(batch, length)
 
-    found = rows.select("key", "text").mapInArrow(scan, ROWS)
-    ordered = found.repartition("gram").sortWithinPartitions("gram", "content", "key", "place")
+    found = rows.select("key", "row", "text").mapInArrow(scan, ROWS)
+    ordered = found.repartition("gram").sortWithinPartitions("gram", "content", "key", "place", "row")
     passed = tables.write(ordered.mapInArrow(lambda batches: _sorted_stream(batches, crowd), ROWS))
-    listed = passed.filter(F.col("kind") != REPEAT).groupBy("key").agg(F.collect_list(F.struct("place", "count", "gram", "kind")).alias("segments"))
-    strings = rows.select("key", "text").join(listed, "key").select("key", "text", "segments").mapInArrow(lambda batches: _segment_texts(batches, length), STRINGS)
+    listed = passed.filter(F.col("kind") != REPEAT).groupBy("key", "row").agg(F.collect_list(F.struct("place", "count", "gram", "kind")).alias("segments"))
+    strings = rows.select("key", "row", "text").join(listed, ["key", "row"]).select("key", "row", "text", "segments").mapInArrow(lambda batches: _segment_texts(batches, length), STRINGS)
     strings = tables.write(strings)
     compared = (strings.filter("data is not null").repartition("gram").sortWithinPartitions("gram")
-                .mapInArrow(lambda batches: _sort_chunks(batches, length), FOUND))
-    single = strings.filter("data is null").select("gram", "second", "key", "place")
+                .mapInArrow(lambda batches: _sort_chunks(batches, length, True), FOUND))
+    single = strings.filter("data is null").select("gram", "second", "key", "place", "row")
     least = single.groupBy("gram", "second").agg(F.min(F.struct("key", "place")).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    spread = single.join(least, ["gram", "second"]).filter(F.struct("key", "place") > F.col("first")).select("key", "place", F.lit(1).alias("count"))
-    whole = passed.filter(F.col("kind") == REPEAT).select("key", "place", "count")
+    spread = single.join(least, ["gram", "second"]).filter(F.struct("key", "place") > F.col("first")).select("key", "place", F.lit(1).alias("count"), "row")
+    whole = passed.filter(F.col("kind") == REPEAT).select("key", "place", "count", "row")
     return rows, whole.unionAll(compared).unionAll(spread)
 
 
@@ -433,9 +464,10 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Per row: ``doc_id, n_bytes, n_removed, n_spans`` (maximal removed runs), ``kept_sha256``, and with
     ``with_bytes`` the ``kept`` bytes and the removed ``spans`` (start, end). A null text has no
     bytes. Rows that repeat an id are one document: a string that starts at the same place of such
-    rows does not start earlier. Rows without an id come after all others, as one document."""
+    rows does not start earlier, but each row is cut by its own text. Rows without an id come after
+    all others, as one document."""
     rows, found = repeated_strings(docs, id_col, text_col, length, crowd)
-    listed = found.groupBy("key").agg(F.collect_list(F.struct("place", "count")).alias("runs"))
+    listed = found.groupBy("key", "row").agg(F.collect_list(F.struct("place", "count")).alias("runs"))
     id_type = dict(rows.dtypes)["doc_id"]
     schema = f"doc_id {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary, spans array<struct<start:long,end:long>>" * with_bytes
 
@@ -444,7 +476,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             if batch.num_rows:
                 yield _cut(batch, length, with_bytes)
 
-    return rows.join(listed, "key", "left").select("key", "text", "doc_id", "runs").mapInArrow(cut, schema)
+    return rows.join(listed, ["key", "row"], "left").select("key", "text", "doc_id", "runs").mapInArrow(cut, schema)
 
 
 def _cut(batch: pa.RecordBatch, length: int, with_bytes: bool) -> pa.RecordBatch:
@@ -457,15 +489,12 @@ def _cut(batch: pa.RecordBatch, length: int, with_bytes: bool) -> pa.RecordBatch
         if run.is_valid and len(run):
             place, count = (np.asarray(run.values.field(x)).astype(np.int64) for x in ("place", "count"))
             by = np.argsort(place, kind="stable")
-            # rows that repeat an id may differ in length
             place = place[by]
-            reach = np.minimum(place + count[by] + length - 1, len(data))
-            place, reach = place[place < len(data)], reach[place < len(data)]
-            far = np.maximum.accumulate(reach)
+            far = np.maximum.accumulate(place + count[by] + length - 1)
             new = np.ones(len(place), bool)
             new[1:] = place[1:] > far[:-1]
             start = place[new]
-            end = far[np.append(np.flatnonzero(new)[1:], len(place)) - 1] if len(place) else start
+            end = far[np.append(np.flatnonzero(new)[1:], len(place)) - 1]
         stays = np.ones(len(data), bool)
         for a, b in zip(start, end, strict=True):
             stays[a:b] = False
