@@ -82,3 +82,26 @@ def test_furniture_inside_the_article():
          "<aside class='related'><p>Other stories</p></aside><p>Second paragraph,<br>on two lines.</p><ul><li>point one</li><li>point two</li></ul>"
          "<form><p>Enter your name</p><button>Go</button></form><section class='comments'><p>Nice article, thank you all for it.</p></section></article><footer>Imprint</footer></body></html>")
     assert extract([parse(t)], p)[0] == "Title here\n\nFirst paragraph of the story, with words.\n\nSecond paragraph, on two lines.\n\npoint one\n\npoint two"
+
+
+def test_pages_without_optional_end_tags():
+    """Every way to leave out the end tags of head, body and html gives the text of the whole page."""
+    p = trained()
+    long = "The river rose through the night, and by morning the lower fields were under water, he said. " * 3
+    article = f"<article><h1>T</h1><p>{long}</p></article>"
+    heads = ["<title>x</title>", "<title>x</title>\n<meta charset=utf-8><link rel=a href=b><script>var a='<p>'</script><style>p {}</style>\n", "<noscript><img src=a></noscript><base href=/>", ""]
+    for head, head_end, body, end in itertools.product(heads, ("", "</head>"), ("", "<body>", "<body class='page'>"), ("", "</body>", "</html>", "</body></html>")):
+        page = f"<!doctype html><html><head>{head}{head_end}{body}{article}{end}"
+        assert extract([parse(page)], p)[0] == "T\n\n" + long.strip(), page
+    for body in (f"{long}", f"<b>{long}</b>", f"<div id='content'><p>{long}</div>"):
+        blocks = parse(f"<html><head><title>x</title>{body}").blocks
+        assert [text for _, text in blocks] == [long.strip()]
+    assert parse("<html><head><noscript>off</noscript><title>x</title> <template><p>off</p></template></head>").blocks == []
+
+
+def test_formulas_stay():
+    p = trained()
+    long = "The river rose through the night, and by morning the lower fields were under water, he said. " * 3
+    page = (f"<html><body><article><h1>T</h1><p>{long}</p><p>The energy is <math><mrow><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></mrow></math> at rest, he said.</p>"
+            f"<p>Rows <math><mtable><mtr><mtd>1</mtd><mtd>2</mtd></mtr></mtable></math> follow, he said.</p><p>{long}</p></article></body></html>")
+    assert extract([parse(page)], p)[0] == f"T\n\n{long.strip()}\n\nThe energy is E=mc2 at rest, he said.\n\nRows 1 2 follow, he said.\n\n{long.strip()}"

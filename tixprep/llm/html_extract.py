@@ -33,9 +33,13 @@ SAMPLE_CHARS = 100_000
 # Fixed values of the HTML standard.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"}
-HIDDEN = RAW | {"head", "noscript", "template", "svg", "math", "object", "canvas", "audio", "video", "select", "datalist", "button", "map"}
+HIDDEN = RAW | {"head", "noscript", "template", "svg", "object", "canvas", "audio", "video", "select", "datalist", "button", "map"}
+# An open head ends at the first other tag or text.
+HEAD_CONTENT = set("base basefont bgsound head html link meta noframes noscript script style template title".split())
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark meter nobr output progress q rp rt ruby "
-             "s samp small span strike strong sub sup time tt u var wbr".split())
+             "s samp small span strike strong sub sup time tt u var wbr "
+             "math annotation annotation-xml maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms "
+             "mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split())
 CLOSES_P = set("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
                "hgroup hr main menu nav ol p pre search section table ul".split())
 # An opening tag of the key ends an open element of the set, within the given bounds.
@@ -124,6 +128,8 @@ def parse(text: str) -> Page:
 
     def add(data):
         nonlocal linked
+        if stack[-1][0] == "head" and data.strip(" \t\n\f\r"):
+            pop_to(len(stack) - 1)
         if data and not stack[-1][3]:
             run.append(data)
             if stack[-1][2]:
@@ -147,6 +153,8 @@ def parse(text: str) -> Page:
             if place is not None:
                 pop_to(place)
             continue
+        if stack[-1][0] == "head" and tag not in HEAD_CONTENT:
+            pop_to(len(stack) - 1)
         if tag in CLOSES_P:
             place = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] not in INLINE), None)
             if place is not None and stack[place][0] == "p":
@@ -161,7 +169,7 @@ def parse(text: str) -> Page:
                     pop_to(outer + 1 if tag in ("tr", "tbody", "thead", "tfoot") else k)
                     break
         _, node, in_link, hidden, main = stack[-1]
-        if tag in ("br", "hr", "wbr", "img", "input"):
+        if tag in ("br", "hr", "wbr", "img", "input", "mtd"):
             if tag == "hr":
                 flush()
             elif tag != "wbr":
