@@ -3,7 +3,7 @@ import re
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
-from tixprep.llm.licenses import TEMPLATES, THRESHOLD, find_licenses, key_words
+from tixprep.llm.licenses import TEMPLATES, THRESHOLD, find_licenses, find_notices, key_words
 
 
 def grams(text):
@@ -61,3 +61,52 @@ def test_key_words_cover_every_template():
         for t in texts:
             free = [g for g in grams(t) if not set(g) & set(key_words())]
             assert len(free) < THRESHOLD / (2 - THRESHOLD) * len(grams(t))
+
+
+def window_brute(text):
+    """Every window of words against every template, without key words; of a license's windows that
+    overlap, the best."""
+    w = re.sub("[^a-z0-9]+", " ", (text or "").lower()).split()
+    places = list(zip(w, w[1:], strict=False))
+    out = []
+    for name, texts in TEMPLATES.items():
+        windows = set()
+        for t in texts:
+            words = re.sub("[^a-z0-9]+", " ", t.lower()).split()
+            b = grams(t)
+            most = int(len(b) * (2 - THRESHOLD) / THRESHOLD + 1e-9) + len(words) - 1 - len(b)
+            for i in range(len(places)):
+                for k in range(1, min(most, len(places) - i) + 1):
+                    a = set(places[i:i + k])
+                    dice = 2 * len(a & b) / (len(a) + len(b))
+                    if dice >= THRESHOLD and places[i] in b and places[i + k - 1] in b:
+                        windows.add((-dice, i, k + 1))
+        kept = []
+        for dice, i, n in sorted(windows):
+            if all(i >= j + m or j >= i + n for _, j, m in kept):
+                kept.append((dice, i, n))
+        out += [(name, round(-d, 9), i, n) for d, i, n in kept]
+    return sorted(out, key=lambda x: (-x[1], x[0], x[2], x[3]))
+
+
+def test_notices_wrapped_and_embedded(spark, make_docs):
+    """Notices over many lines, inside longer lines, twice in a text, changed and cut short."""
+    texts = [None, "", "license", "word " * 300 + "license"]
+    for bodies in TEMPLATES.values():
+        for t in bodies:
+            words = t.split()
+            texts += [t, "\n".join(words), "Before it, some words. " + t + " And more words follow after it, as in any text.",
+                      "\n".join(" * " + " ".join(words[k:k + 4]) for k in range(0, len(words), 4)), " ".join(words[:len(words) * 3 // 4]),
+                      "one\ntwo\n" + " ".join([*words[:len(words) // 2], "really", *words[len(words) // 2:]]) + "\nthree", t + " " + t + "\n\nother words\n" + t, "_" + t.replace(" ", "_") + "_"]
+    texts += [" ".join(t for bodies in TEMPLATES.values() for t in bodies)]
+    rows = find_notices(make_docs(texts)).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        want = window_brute(texts[r["doc_id"]])
+        assert [(f["license"], round(f["dice"], 9), f["word"], f["n_words"]) for f in r["found"] or []] == want, texts[r["doc_id"]]
+        assert r["n_found"] == len(want) and r["license"] == (want[0][0] if want else None)
+    words = TEMPLATES["MIT"][2].split()
+    two = ["\n".join(" ".join(words[k:k + 5]) for k in range(0, len(words), 5)) + "\nmore\nlines", "All of this is free to use. Licensed under the MIT License. See the file for more on that."]
+    found = {r["doc_id"]: r for r in find_notices(make_docs(two)).collect()}
+    assert [(found[k]["license"], found[k]["dice"], found[k]["n_found"]) for k in (0, 1)] == [("MIT", 1.0, 1), ("MIT", 1.0, 1)]
+    assert find_notices(make_docs(texts).limit(0)).count() == 0

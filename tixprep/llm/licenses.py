@@ -115,3 +115,83 @@ def _against(units: str, name: str, template: Column, size: int, low: int, high:
         (F.lit(2.0) * F.size(F.array_intersect(u["grams"], template)) / (F.size(u["grams"]) + size)).alias("dice"),
         u["line"].alias("line"), u["n_lines"].alias("n_lines")))
     return F.filter(scored, lambda x: x["dice"] >= threshold)
+
+
+def _window_bounds(text: str, threshold: float) -> tuple[int, int]:
+    """Fewest and most bigram places of a window that is compared to a template. A template that
+    repeats bigrams has more places than bigrams, and its windows may be longer by as many."""
+    words = _words(text)
+    low, high = bounds(len(_bigrams(words)), threshold)
+    return low, high + len(words) - 1 - len(_bigrams(words))
+
+
+def find_notices(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """Per row: ``doc_id, license, dice, n_found, found``, wherever lines break and whatever surrounds a
+    notice. Compared are windows of words of the whole normalised text, as long as the size bounds of
+    a template allow, that start and end with a bigram of the template (other bigrams at its
+    ends only take a window farther off). Of windows of one license that overlap, the best stays (then the
+    earliest, then the shortest). ``found`` lists (license, dice, first word from 0, number of words),
+    best first, then by name and word. A null or empty text has none; repeated rows each get a row.
+
+    Windows lie within a window's length of a key word, so only these places are looked at."""
+    keys = key_words(threshold)
+    compiled = [(name, _bigrams(_words(t)), *_window_bounds(t, threshold)) for name, texts in TEMPLATES.items() for t in texts]
+    longest = max(high for _, _, _, high in compiled)
+    all_grams = F.array(*[F.lit(g) for g in sorted({g for _, grams, _, _ in compiled for g in grams})])
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    clean = F.trim(F.regexp_replace(F.lower("text"), "[^a-z0-9]+", " "))
+    rows = rows.select("doc_id", F.when(F.col("text").rlike(r"(?i)(?<![a-z0-9])(?:" + "|".join(keys) + r")(?![a-z0-9])"), F.split(clean, " ")).alias("words"))
+    key_array = F.array(*[F.lit(k) for k in keys])
+    hits = F.filter(F.transform("words", lambda w, i: F.when(F.array_contains(key_array, w), i)), lambda i: i.isNotNull())
+    rows = rows.select("doc_id", "words", hits.alias("hits"))
+    # places of bigrams (from 0) within a window of a key word, then those that hold a bigram of any template
+    last = F.size("words") - 2
+    near = F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(F.greatest(h - longest, F.lit(0)), F.least(h + longest, last))))))
+    rows = rows.select("doc_id", "words", F.when((F.size("hits") > 0) & (last >= 0), near).alias("near"))
+    placed = F.transform("near", lambda i: F.struct(i.alias("at"), F.concat_ws(" ", F.get("words", i), F.get("words", i + 1)).alias("gram")))
+    rows = rows.select("doc_id", "words", F.filter(placed, lambda x: F.array_contains(all_grams, x["gram"])).alias("placed"))
+    # a template with fewer of its bigrams than the threshold needs has no window
+    rows = rows.select("doc_id", "words", *[_places(grams).alias(f"at{k}") for k, (_, grams, _, _) in enumerate(compiled)])
+    empty = F.expr("cast(array() as array<struct<far:double,word:int,n_words:int>>)")
+    matched: dict[str, list[Column]] = {}
+    for k, (name, grams, low, high) in enumerate(compiled):
+        windows = F.when(F.size(f"at{k}") >= low, _windows(f"at{k}", grams, low, high, threshold))
+        matched.setdefault(name, []).append(F.coalesce(windows, empty))
+    rows = rows.select("doc_id", *[F.array_sort(F.array_distinct(F.concat(*m))).alias(f"of{k}") for k, m in enumerate(matched.values())])
+    found = [_named(F.aggregate(f"of{k}", empty, _unless_overlapped), name) for k, name in enumerate(matched)]
+    ranked = F.transform(F.array_sort(F.concat(*found)), lambda x: F.struct(x["license"].alias("license"), (-x["far"]).alias("dice"), x["word"].alias("word"), x["n_words"].alias("n_words")))
+    rows = rows.select("doc_id", ranked.alias("found"))
+    return rows.select("doc_id", F.try_element_at("found", F.lit(1))["license"].alias("license"), F.try_element_at("found", F.lit(1))["dice"].alias("dice"),
+                       F.size("found").cast("long").alias("n_found"), "found")
+
+
+def _places(grams: list[str]) -> Column:
+    template = F.array(*[F.lit(g) for g in grams])
+    return F.transform(F.filter("placed", lambda x: F.array_contains(template, x["gram"])), lambda x: x["at"])
+
+
+def _named(windows: Column, name: str) -> Column:
+    return F.transform(windows, lambda w: F.struct(w["far"].alias("far"), F.lit(name).alias("license"), w["word"].alias("word"), w["n_words"].alias("n_words")))
+
+
+def _windows(at: str, grams: list[str], low: int, high: int, threshold: float) -> Column:
+    """Windows between two places of a template's bigrams that reach the threshold, as (minus Dice,
+    first word, number of words), so that the best come first in order."""
+    template = F.array(*[F.lit(g) for g in grams])
+
+    def from_place(a, i):
+        ends = F.filter(F.slice(at, i + low, high), lambda b: b - a < high)
+        return F.transform(ends, lambda b: scored(a, b))
+
+    def scored(a, b):
+        # arrays of one, so that the words are cut and their bigrams made once
+        sets = F.transform(F.array(F.slice("words", a + 1, b - a + 2)), _unit_bigrams)
+        far = F.transform(sets, lambda u: F.lit(-2.0) * F.size(F.array_intersect(u, template)) / (F.size(u) + len(grams)))
+        return F.struct(F.get(far, F.lit(0)).alias("far"), a.alias("word"), (b - a + 2).alias("n_words"))
+
+    return F.filter(F.flatten(F.transform(at, from_place)), lambda w: w["far"] <= -threshold)
+
+
+def _unless_overlapped(kept: Column, w: Column) -> Column:
+    meets = F.exists(kept, lambda x: (x["word"] < w["word"] + w["n_words"]) & (w["word"] < x["word"] + x["n_words"]))
+    return F.when(meets, kept).otherwise(F.concat(kept, F.array(w)))

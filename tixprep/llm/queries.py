@@ -75,6 +75,14 @@ def op4_licenses(spark, sf_dir):
     return find_licenses(_table(spark, sf_dir, "documents")).withColumn("found", F.array_join(found, ","))
 
 
+@query
+def op4_notices(spark, sf_dir):
+    """License notices in every document, wherever lines break and whatever surrounds them."""
+    from tixprep.llm.licenses import find_notices
+    found = F.transform("found", lambda x: F.concat_ws(":", x["license"], x["word"].cast("string"), x["n_words"].cast("string")))
+    return find_notices(_table(spark, sf_dir, "documents")).withColumn("found", F.array_join(found, ","))
+
+
 @twin(sql.cover_tree())
 def op10_cover_tree(spark, sf_dir):
     """Links and groups of all embeddings at cosine 0.9."""
