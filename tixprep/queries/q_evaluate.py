@@ -358,7 +358,7 @@ def q_train_three_heads(spark, sf):
 def q_score_multi_head(spark, sf):
     from tixprep.operators.fields import combine_text7_clean
     from tixprep.operators.score import score_multi_head, train_three_heads
-    s = _samples(spark, sf, oversample=False)
+    s = _samples(spark, sf)
     model = train_three_heads(s)
     t = combine_text7_clean(tk(spark, sf)).withColumnRenamed("combined_text", "text")
     return score_multi_head(model, t, EN.label_dictionary(s), keep=["number_fld"])
@@ -414,4 +414,4 @@ def q_train_and_log(spark, sf):
     from tixprep.operators.sampling import stratified_split
     from tixprep.plans.train_log import train_and_log
     s = _samples(spark, sf).withColumn("_k", F.concat_ws(":", "src_id", "aug_no"))
-    return train_and_log(stratified_split(s, "category", "_k"), "_k", iterations=(2, 8))
+    return train_and_log(stratified_split(s, "category", "_k"), "_k", iterations=(1, 2, 4, 8, 16))  # more epochs than the patience
