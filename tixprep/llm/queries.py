@@ -109,3 +109,12 @@ def op2_lm_score(spark, sf_dir):
     """All documents scored by a suffix tree learnt from those that are not held out."""
     from tixprep.llm.suffix_lm import lm_scores
     return lm_scores(_table(spark, sf_dir, "documents"))
+
+
+@twin(sql.fill_in_middle())
+def op13_fill_middle(spark, sf_dir):
+    """Every document turned for filling in the middle, and restored from what came out."""
+    from tixprep.llm.fill_middle import fill_in_middle, restore
+    back = restore(fill_in_middle(_table(spark, sf_dir, "documents")))
+    return back.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"), F.sha2("text", 256).alias("restored_sha256"))
