@@ -118,3 +118,10 @@ def op13_fill_middle(spark, sf_dir):
     back = restore(fill_in_middle(_table(spark, sf_dir, "documents")))
     return back.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
                        F.sha2("output", 256).alias("output_sha256"), F.sha2("text", 256).alias("restored_sha256"))
+
+
+@twin(sql.divergence())
+def op11_source_divergence(spark, sf_dir):
+    """How far the sources of every language diverge, and in which terms."""
+    from tixprep.llm.divergence import source_divergence
+    return source_divergence(_table(spark, sf_dir, "documents"))

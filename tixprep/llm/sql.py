@@ -124,3 +124,22 @@ SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p)::B
        CASE WHEN form <> 'plain' THEN length(m)::BIGINT END AS middle_chars,
        sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
        sha256(t) AS restored_sha256 FROM s"""
+
+
+def divergence(min_docs: int = 10, top_terms: int = 10) -> str:
+    share = "1 + 1000000000::HUGEINT * (coalesce(n, 0) + 2) // (coalesce(total, 0) + 2 * v)"
+    apart = "(x.p - y.p) * (x.p - y.p) // (x.p + y.p)"
+    return rf"""WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_LOWER.format('text')} AS t FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= {min_docs}),
+vs AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT lang, source, sum(n) AS total FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source) GROUP BY lang, source),
+p AS (SELECT lang, source, term, coalesce(n, 0) AS n, {share} AS p FROM g JOIN vs USING (lang) JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)),
+q AS (SELECT lang, term, {share} AS p FROM (SELECT lang, term, sum(n) AS n FROM c GROUP BY lang, term) JOIN (SELECT lang, sum(total) AS total FROM g GROUP BY lang) USING (lang) JOIN vs USING (lang)),
+pv AS (SELECT x.lang, x.source, y.source AS item, sum({apart}) AS value FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY x.lang, x.source, y.source),
+a AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN pv ON pv.lang = a.lang AND pv.source = a.source AND pv.item = b.source
+      UNION ALL SELECT x.lang, x.source, 'term', x.term, {apart} FROM p x JOIN q y ON x.lang = y.lang AND x.term = y.term WHERE x.n > 0 AND x.p > y.p),
+k AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM a)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM k WHERE part = 'pair' OR rank <= {top_terms}"""
