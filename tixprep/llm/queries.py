@@ -125,3 +125,10 @@ def op11_source_divergence(spark, sf_dir):
     """How far the sources of every language diverge, and in which terms."""
     from tixprep.llm.divergence import source_divergence
     return source_divergence(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_toxicity(spark, sf_dir):
+    """Toxicity of every document, learnt from the labels that are not held out."""
+    from tixprep.llm.toxicity import toxicity_scores
+    return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
