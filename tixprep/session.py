@@ -86,14 +86,25 @@ def table_folder(spark: SparkSession, kind: str = "tixprep-tables") -> str:
 _owned: set[str] = set()
 
 
+def write_table(df: DataFrame) -> tuple[DataFrame, str]:
+    """Write ``df`` as Parquet under the shared checkpoint folder; the table read back, and its path."""
+    path = f"{table_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def delete_table(spark: SparkSession, path: str) -> None:
+    """Remove a table that no later plan reads."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     The plan is computed exactly once (``checkpoint()`` would compute it twice without a cache),
     the written files survive executor loss, and downstream plans start from a plain scan."""
-    path = f"{table_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return write_table(df)[0]
 
 
 def apply_conf(spark: SparkSession) -> None:
