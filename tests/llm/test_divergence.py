@@ -2,8 +2,11 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from tixprep.llm import divergence as D
+from tixprep.llm.batches import utf8
 from tixprep.llm.divergence import share, source_divergence
 
 SCHEMA = "doc_id long, text string, lang string, source string"
@@ -64,12 +67,13 @@ def test_against_plain_counting(spark):
         assert run(df) == brute(rows)
 
 
-def test_spilling_passes_and_blocks_change_nothing(spark):
+def test_spilling_passes_and_blocks_change_nothing(spark, monkeypatch):
     rows = made(3)
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
     want = brute(rows, 3, 2)
     assert run(df, min_docs=3, top_terms=2) == want
-    assert run(df, min_docs=3, top_terms=2, cells_held=7, groups_a_pass=3, sources_a_block=2) == want
+    monkeypatch.setattr(D, "HELD_FROM", 2)
+    assert run(df, min_docs=3, top_terms=2, cells_held=7, step_bytes=200, groups_a_pass=3, sources_a_block=2) == want
 
 
 def test_ties_rank_by_item(spark):
@@ -95,3 +99,15 @@ def test_shares_beyond_64_bits():
     total = rng.integers(1, 9 * 10 ** 15, 500)
     count = (total * rng.random(500)).astype(np.int64)
     assert share(count, total).tolist() == [1 + 10 ** 9 * int(c) // int(t) for c, t in zip(count, total, strict=True)]
+
+
+def test_equal_fingerprints_of_different_words(spark, monkeypatch):
+    """Words that share the first fingerprint are told apart by the second."""
+    keys = D._keys
+    monkeypatch.setattr(D, "_keys", lambda *a: (keys(*a)[0] % np.uint64(3), keys(*a)[1]))
+    texts = ["one two three four", "", "four one", "three three x"]
+    rows = D.stripes_of(*utf8(pa.array(texts)), pa.array(["a", "a", "b", "a"]), pa.array(["s", "t", "s", "s"]))
+    got = {(r["lang"], r["term"].decode(), r["df"], *sorted(zip(r["sources"], r["counts"], strict=True))) for r in rows.to_pylist()}
+    want = {("a", "", 3, ("s", 0), ("t", 0)), ("b", "", 1, ("s", 0)), *(("a", w, 1, ("s", 1)) for w in ("one", "two", "four", "x")), ("a", "three", 2, ("s", 3)),
+            *(("b", w, 1, ("s", 1)) for w in ("one", "four"))}
+    assert got == want

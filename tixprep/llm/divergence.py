@@ -1,8 +1,9 @@
 """How far the sources of a language diverge in their words, from in-mapper stripes.
 
 Every partition folds whole documents into hash stripes: a term of a language leads to its document
-frequency and its count in each source. A task hands its stripes on whenever they fill their
-allowance; Spark sorts them by key and equal keys are merged as they stream past, so that a task
+frequency and its count in each source. Documents are folded some megabytes at a time. Stripes of terms
+that many documents share are held over the whole partition and handed on when they fill their
+allowance; those of rare terms leave at once. Spark sorts them by key and equal keys are merged as they stream past, so that a task
 holds one stripe at a time. The merged stripes with enough documents are written once. They directly
 give the divergences: each task adds up, term by term, what a pair of sources differs by, and keeps
 the ten most telling terms of each source; a last aggregate sums the tasks.
@@ -16,8 +17,7 @@ with more than ``SOURCES_A_BLOCK`` sources, two blocks at a time)."""
 from __future__ import annotations
 
 import heapq
-import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,46 +25,49 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tixprep.llm.batches import column, list_array, utf8
+from tixprep.llm.batches import column, list_array, lower_ascii, mix, ranges, steps, utf8, word_hashes, word_spans
 from tixprep.llm.tables import Steps
 
 MIN_DOCS = 10
 TOP_TERMS = 10
 SCALE = 1_000_000_000
 CELLS_HELD = 300_000        # stripes and source counts that a task holds before it hands them on
+FOLD_BYTES = 8 << 20        # documents that are folded together
+HELD_FROM = 4               # a term of so many documents of a step is held on, others leave with their step
 GROUPS_A_PASS = 1 << 17
 SOURCES_A_BLOCK = 4096
 _CELLS_AT_ONCE = 1 << 20    # of the dense (term, source) table of a step
 _SUMS_HELD = 1 << 22        # sums of pairs that a task holds before it hands them on
 
-_LOWER = bytes(c + 32 if 65 <= c < 91 else c for c in range(256))
-_TERM = re.compile(rb"[a-z\x80-\xff]+")
+_IN_TERM = np.zeros(256, bool)
+_IN_TERM[0x61:0x7B] = _IN_TERM[0x80:] = True
+_OTHER = np.random.default_rng(3).permutation(256).astype(np.uint8)  # other bytes for a second fingerprint
 _STRIPE = "lang string, term binary, df long, sources array<string>, counts array<long>"
 _NAMES = ["lang", "term", "df", "sources", "counts"]
 
 
 class Stripes:
-    """The hash stripes of one task. The stripe of the empty term lists a language's sources."""
+    """The hash stripes that a task holds over all its documents: those of terms that many of them share
+    and of the empty term, which lists a language's sources."""
 
     def __init__(self):
         self.by_lang: dict[str, dict[bytes, list]] = defaultdict(dict)
         self.cells = 0
 
-    def add(self, lang: str, source: str, text: bytes) -> None:
-        stripes = self.by_lang[lang]
-        terms = Counter(_TERM.findall(text.translate(_LOWER)))
-        for term, n in [(b"", 0), *terms.items()]:
-            stripe = stripes.get(term)
+    def add(self, rows: pa.RecordBatch) -> None:
+        """Folds stripes into those held."""
+        counts, sources = column(rows, "counts").to_pylist(), column(rows, "sources").to_pylist()
+        for k, (lang, term, df) in enumerate(zip(*(column(rows, c).to_pylist() for c in ("lang", "term", "df")), strict=True)):
+            stripe = self.by_lang[lang].get(term)
             if stripe is None:
-                stripe = stripes[term] = [0, {}]
+                stripe = self.by_lang[lang][term] = [0, {}]
                 self.cells += 1
-            stripe[0] += 1
+            stripe[0] += df
             by_source = stripe[1]
-            if source in by_source:
-                by_source[source] += n
-            else:
-                by_source[source] = n
-                self.cells += 1
+            self.cells -= len(by_source)
+            for source, n in zip(sources[k], counts[k], strict=True):
+                by_source[source] = by_source.get(source, 0) + n
+            self.cells += len(by_source)
 
     def take(self) -> pa.RecordBatch:
         """All stripes as rows; none are left."""
@@ -77,19 +80,63 @@ class Stripes:
              list_array(lengths, pa.array([c for r in rows for c in r[3].values()], pa.int64()))], _NAMES)
 
 
-def fold(docs: DataFrame, text_col: str, lang_col: str, source_col: str, cells_held: int = CELLS_HELD) -> DataFrame:
-    """The stripes of all partitions, a key once or a few times each."""
+def _keys(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lang: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two fingerprints of (language, word), 128 bits in all."""
+    number = lang.astype(np.uint64)
+    return mix(word_hashes(raw, starts, ends) + number), word_hashes(_OTHER[raw], starts, ends) + number
+
+
+def stripes_of(raw: np.ndarray, offsets: np.ndarray, langs: pa.Array, sources: pa.Array) -> pa.RecordBatch:
+    """The stripes of some documents, the empty terms' among them; equal words are found by sorted fingerprints."""
+    langs, sources = langs.dictionary_encode(), sources.dictionary_encode()
+    lang, source = langs.indices.to_numpy().astype(np.int64), sources.indices.to_numpy().astype(np.int64)
+    many = len(sources.dictionary)
+    low = lower_ascii(raw)
+    starts, ends, n = word_spans(_IN_TERM[low], offsets)
+    doc = np.repeat(np.arange(len(n)), n)
+    # the empty term: a word of no bytes in every document, which counts nothing
+    docs = np.arange(len(n))
+    first, other = _keys(low, np.append(starts, np.zeros(len(n), np.int64)), np.append(ends, np.zeros(len(n), np.int64)), np.append(lang[doc], lang))
+    doc, counted = np.append(doc, docs), np.append(np.ones(len(starts), np.int64), np.zeros(len(n), np.int64))
+    starts, ends = np.append(starts, np.zeros(len(n), np.int64)), np.append(ends, np.zeros(len(n), np.int64))
+    order = np.argsort(first, kind="stable")
+    new = np.append(True, first[order][1:] != first[order][:-1])
+    if (~new[1:] & (other[order][1:] != other[order][:-1])).any():
+        order = np.lexsort((other, first))
+        new = np.append(True, (first[order][1:] != first[order][:-1]) | (other[order][1:] != other[order][:-1]))
+    group = np.cumsum(new) - 1
+    begins = np.flatnonzero(new)
+    doc, counted = doc[order], counted[order]
+    df = np.add.reduceat((new | np.append(True, doc[1:] != doc[:-1])).astype(np.int64), begins)
+    cell = group * many + source[doc]
+    by_cell = np.argsort(cell, kind="stable")
+    cell = cell[by_cell]
+    cells = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+    lengths = np.bincount(cell[cells] // many, minlength=len(begins))
+    one = order[begins]
+    where, _ = ranges(starts[one], ends[one])
+    at = np.append(0, np.cumsum(ends[one] - starts[one])).astype(np.int32)
+    terms = pa.Array.from_buffers(pa.binary(), len(one), [None, pa.py_buffer(at), pa.py_buffer(low[where])])
+    return pa.RecordBatch.from_arrays(
+        [langs.dictionary.take(pa.array(lang[doc[begins]])), terms, pa.array(df),
+         list_array(lengths, sources.dictionary.take(pa.array(cell[cells] % many))), list_array(lengths, pa.array(np.add.reduceat(counted[by_cell], cells)))], _NAMES)
+
+
+def fold(docs: DataFrame, text_col: str, lang_col: str, source_col: str, cells_held: int = CELLS_HELD, step_bytes: int = FOLD_BYTES) -> DataFrame:
+    """The stripes of all partitions, a key once a task and step or less."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stripes = Stripes()
+        held = Stripes()
         for batch in batches:
             raw, offsets = utf8(column(batch, "text"))
-            langs, sources = column(batch, "lang").to_pylist(), column(batch, "source").to_pylist()
-            for k in range(batch.num_rows):
-                stripes.add(langs[k], sources[k], raw[offsets[k]:offsets[k + 1]].tobytes())
-                if stripes.cells >= cells_held:
-                    yield stripes.take()
-        if stripes.cells:
-            yield stripes.take()
+            for i, j in steps(offsets, step_bytes):
+                rows = stripes_of(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], column(batch, "lang").slice(i, j - i), column(batch, "source").slice(i, j - i))
+                shared = pc.or_(pc.greater_equal(column(rows, "df"), HELD_FROM), pc.equal(pc.binary_length(column(rows, "term")), 0))
+                held.add(rows.filter(shared))
+                yield rows.filter(pc.invert(shared))
+                if held.cells >= cells_held:
+                    yield held.take()
+        if held.cells:
+            yield held.take()
 
     filled = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((lang_col, "lang"), (source_col, "source"))]
     return docs.select(F.col(text_col).alias("text"), *filled).mapInArrow(run, _STRIPE)
@@ -145,7 +192,7 @@ def merge(stripes: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
             yield kept(held)
 
     # (lang, term) rows: at most a few a task and key, since every task has folded its own
-    return stripes.repartition("lang", "term").sortWithinPartitions("lang", "term").mapInArrow(run, _STRIPE)
+    return stripes.repartition("lang", "term").sortWithinPartitions("term", "lang").mapInArrow(run, _STRIPE)
 
 
 def share(count: np.ndarray, total: np.ndarray | int) -> np.ndarray:
@@ -286,7 +333,7 @@ def _add_rows(own: _Lang, rows: pa.RecordBatch, top: int) -> None:
 
 
 def source_divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
-                      min_docs: int = MIN_DOCS, top_terms: int = TOP_TERMS, cells_held: int = CELLS_HELD,
+                      min_docs: int = MIN_DOCS, top_terms: int = TOP_TERMS, cells_held: int = CELLS_HELD, step_bytes: int = FOLD_BYTES,
                       groups_a_pass: int = GROUPS_A_PASS, sources_a_block: int = SOURCES_A_BLOCK) -> DataFrame:
     """Per (language, source): ``part`` 'pair', its divergence from every other source of the language,
     and ``part`` 'term', its ``top_terms`` terms most above the language; ``lang, source, part, item,
@@ -297,7 +344,7 @@ def source_divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "
     terms) and no terms; a language of one source has no pairs. Equal values rank by item. Other
     columns are not read. An empty table gives an empty result."""
     tables = Steps(docs)
-    stripes = tables.write(merge(fold(docs, text_col, lang_col, source_col, cells_held), min_docs))
+    stripes = tables.write(merge(fold(docs, text_col, lang_col, source_col, cells_held, step_bytes), min_docs))
     cells = stripes.select("lang", F.explode(F.arrays_zip("sources", "counts")).alias("x"))
     groups = cells.groupBy("lang", F.col("x.sources").alias("source")).agg(F.sum("x.counts").alias("n"))
     of_lang = (cells.groupBy("lang").agg(F.sum("x.counts").alias("n_lang"))
