@@ -319,3 +319,32 @@ def head(df: DataFrame, order_col: str, n: int = 10) -> DataFrame:
 
 def tail(df: DataFrame, order_col: str, n: int = 10) -> DataFrame:
     return df.orderBy(F.desc(order_col)).limit(n)
+
+
+NODES_PER_POINT = 330  # nodes between two points of the curve
+
+
+def density_curve_binned(df: DataFrame, col: str, gridsize: int = 200, cut: float = 3.0, nodes_per_point: int = NODES_PER_POINT) -> DataFrame:
+    """(point, x, density, error_bound): the curve of ``density_curve`` from binned values.
+
+    Every value is split between the two nodes around it in proportion to its distance (linear
+    binning), so the rest of the work is the same however many different values there are: the node
+    weights, at most ``(gridsize - 1) * nodes_per_point + 1``, are convolved with the kernel at the points,
+    which are nodes themselves. For nodes ``d`` apart and the bandwidth ``h`` no point is off by more than
+    ``error_bound`` = d^2 / (8 h^3 sqrt(2 pi)), the error of linear interpolation of the kernel."""
+    vals = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    st = vals.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("v").alias("sd"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    if not st["n"] or not st["sd"]:  # no spread, no bandwidth
+        return df.sparkSession.createDataFrame([], "point bigint, x double, density double, error_bound double")
+    h = st["sd"] * st["n"] ** -0.2
+    g0, g1 = st["lo"] - cut * h, st["hi"] + cut * h
+    d = (g1 - g0) / ((gridsize - 1) * nodes_per_point)
+    at = (F.col("v") - F.lit(g0)) / F.lit(d)
+    left = F.floor(at)
+    sides = F.array(F.struct(left.alias("node"), (1 - (at - left)).alias("w")), F.struct((left + 1).alias("node"), (at - left).alias("w")))
+    nodes = vals.select(F.explode(sides).alias("s")).groupBy("s.node").agg(F.sum("s.w").alias("w"))
+    sums = [F.sum(F.col("w") * F.exp(F.pow((F.col("node") - i * nodes_per_point) * F.lit(d / h), 2) / -2.0)).alias(f"s{i}") for i in range(gridsize)]
+    points = [F.struct(F.lit(i).cast("bigint").alias("point"), F.lit(g0 + (g1 - g0) * i / (gridsize - 1)).alias("x"), F.col(f"s{i}").alias("s")) for i in range(gridsize)]
+    dens = nodes.agg(*sums).select(F.explode(F.array(*points)).alias("p")).select("p.*")
+    bound = d * d / (8 * h ** 3 * math.sqrt(2 * math.pi))
+    return dens.select("point", "x", (F.col("s") / (st["n"] * h * math.sqrt(2 * math.pi))).alias("density"), F.lit(bound).alias("error_bound"))

@@ -44,6 +44,32 @@ def q_synonym_lexicon(spark, sf):
     return lx.select("word", F.size("synonyms").cast("int").alias("n_synonyms"), F.array_join("synonyms", "|").alias("synonyms_joined"))
 
 
+def _inflected_sql() -> str:
+    """Words of ``documents`` looked up in synsets of the ``benchmark`` vocabulary, round by round."""
+    from tixprep.operators.lexicon import DETACHMENT_RULES, MOST_ROUNDS
+    made = ", ".join(f"CASE WHEN ends_with(now, '{old}') AND length(now) > {0 if new else len(old)} THEN left(now, length(now) - {len(old)}) || '{new}' END" for old, new in DETACHMENT_RULES)
+    words = lambda table, least: f"""SELECT DISTINCT w FROM (SELECT unnest({d_words('lower(text)')}) AS w FROM {table}) WHERE regexp_full_match(w, '\\p{{L}}+') AND length(w) > {least}"""
+    ctes = [f"bw AS (SELECT w AS lemma FROM ({words('benchmark', 3)}))", *LEX_CTES[1:5], "entries AS (SELECT DISTINCT word AS form FROM keyed)",
+            f"left0 AS (SELECT w AS word, w AS now FROM ({words('documents', 0)}))"]
+    for k in range(MOST_ROUNDS):
+        own = "SELECT word, now AS form FROM left0 UNION " if k == 0 else ""
+        ctes += [f"made{k} AS ({own}SELECT DISTINCT word, form FROM (SELECT word, unnest([{made}]) AS form FROM left{k}) WHERE form IS NOT NULL)",
+                 f"found{k} AS (SELECT word, form FROM made{k} SEMI JOIN entries USING (form))",
+                 f"left{k + 1} AS (SELECT word, form AS now FROM made{k} WHERE word NOT IN (SELECT word FROM found{k}){' AND form <> word' if k == 0 else ''})"]
+    union = " UNION ".join(f"SELECT word, form FROM found{k}" for k in range(MOST_ROUNDS))
+    ctes += [f"forms AS ({union})", "hit AS (SELECT DISTINCT f.word, k.synset FROM forms f JOIN keyed k ON k.word = f.form)",
+             "syns AS (SELECT word, list_filter(list_sort(list_distinct(flatten(list(members)))), lambda x: x <> word) AS synonyms FROM hit JOIN mem USING (synset) GROUP BY word)"]
+    return "WITH " + ",\n".join(ctes) + "\nSELECT word, len(synonyms)::INTEGER AS n_synonyms, array_to_string(synonyms, '|') AS synonyms_joined FROM syns WHERE len(synonyms) > 0"
+
+
+@query("synonym_lexicon_inflected", _inflected_sql())
+def q_synonym_lexicon_inflected(spark, sf):
+    from tixprep.operators import lexicon as LX
+    pairs = A.vocabulary_synsets(read_table(spark, sf, "benchmark").select("text"), "text")
+    lx = LX.inflected_lexicon(pairs, LX.text_words(read_table(spark, sf, "documents"), "text"))
+    return lx.select("word", F.size("synonyms").cast("int").alias("n_synonyms"), F.array_join("synonyms", "|").alias("synonyms_joined"))
+
+
 _SR_KEY = "(CAST(number_fld AS VARCHAR) || '|sr')"
 
 

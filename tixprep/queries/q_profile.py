@@ -203,6 +203,20 @@ def q_density_curve(spark, sf):
     return d.select(F.col("point").cast("int").alias("point"), F.round(F.col("density") * 1e6, 6).alias("density_e6"))
 
 
+@query("density_curve_binned", f"""
+WITH v AS (SELECT o_totalprice AS v FROM orders),
+s AS (SELECT count(*) AS n, stddev_samp(v) * pow(count(*), -0.2) AS h, min(v) AS lo, max(v) AS hi FROM v),
+k AS (SELECT n, h, lo - 3 * h AS g0, (hi + 3 * h - (lo - 3 * h)) / (199 * {P.NODES_PER_POINT}) AS d FROM s),
+b AS (SELECT floor((v - g0) / d) AS node, (v - g0) / d - floor((v - g0) / d) AS part FROM v, k),
+w AS (SELECT node, sum(w) AS w FROM (SELECT node, 1 - part AS w FROM b UNION ALL SELECT node + 1, part FROM b) GROUP BY node),
+g AS (SELECT unnest(range(0, 200)) AS point)
+SELECT g.point::INTEGER AS point, round(sum(w.w * exp(-pow((w.node - g.point * {P.NODES_PER_POINT}) * d / h, 2) / 2.0)) / (n * h * sqrt(2 * pi())) * 1e6, 6) AS density_e6,
+       round(d * d / (8 * pow(h, 3) * sqrt(2 * pi())) * 1e12, 6) AS bound_e12 FROM g, w, k GROUP BY g.point, n, h, d""")
+def q_density_curve_binned(spark, sf):
+    d = P.density_curve_binned(read_table(spark, sf, "orders"), "o_totalprice")
+    return d.select(F.col("point").cast("int").alias("point"), F.round(F.col("density") * 1e6, 6).alias("density_e6"), F.round(F.col("error_bound") * 1e12, 6).alias("bound_e12"))
+
+
 @query("head", sql(body="SELECT number_fld, category, priority FROM tickets ORDER BY number_fld LIMIT 10"))
 def q_head(spark, sf):
     return P.head(tk(spark, sf).select("number_fld", "category", "priority"), "number_fld")
