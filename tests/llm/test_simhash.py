@@ -86,3 +86,18 @@ def test_one_of_each_group_stays(spark, make_docs):
     kept = keep_one_of_each(docs)
     assert kept.columns == docs.columns
     assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [0, 1, 2]
+
+
+def test_one_id_with_two_texts(spark, make_docs):
+    """Groups that share an id stay apart: no text goes for the sake of another."""
+    a, b = "a b c d e f g h", "some other words that are here now"
+    rows = [(1, a), (1, b), (2, a), (3, b), (4, "a third text of its own"), (None, b), (5, "q r s t u v"), (5, "q r s t u v")]
+    docs = make_docs(rows).withColumn("component", F.lit("own")).withColumn("first", F.lit(0))
+    got = sorted((r["doc_id"] or 0, r["fingerprint"], r["component_id"]) for r in near_duplicates(docs).collect())
+    fps = [brute_fingerprint(t) for _, t in rows]
+    groups = brute_groups(dict(enumerate(fps)))
+    least = {g: min(rows[i][0] for i in groups if groups[i] == g and rows[i][0] is not None) for g in groups.values()}
+    assert got == sorted((rows[i][0] or 0, f"{fps[i]:016x}", least[groups[i]]) for i in range(len(rows)))
+    kept = sorted((r["doc_id"] or 0, r["text"]) for r in keep_one_of_each(docs).collect())
+    assert kept == sorted([(1, a), (1, b), (4, "a third text of its own"), (0, b), (5, "q r s t u v")])
+    assert keep_one_of_each(docs).columns == docs.columns and keep_one_of_each(docs.limit(0)).count() == 0

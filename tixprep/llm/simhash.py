@@ -18,11 +18,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tixprep.llm.batches import arrow_map, column, utf8
 from tixprep.llm.components import connected_components
-from tixprep.llm.tables import Steps
+from tixprep.llm.tables import Steps, free_name
 
 SEED = 42
 # Shingles whose bits are counted at once (64 bytes each), so that a huge text stays small in memory.
@@ -94,24 +94,48 @@ def close_pairs(classes: DataFrame, max_bits: int = 2, blocks: int = 5, block_li
     return pairs.unionAll(meets).distinct()
 
 
+def _groups(fps: DataFrame, max_bits: int, steps: Steps) -> DataFrame:
+    """(fp, component): the smallest fingerprint (as a signed integer) that each fingerprint reaches. Fingerprints
+    themselves are linked, so rows that share an id but no text do not bring their groups together."""
+    classes = steps.write(fps.select("fp", F.col("fp").alias("node")).distinct())
+    groups = connected_components(close_pairs(classes, max_bits))
+    return steps.write(classes.join(groups, "node", "left").select("fp", F.coalesce("component", "node").alias("component")))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, max_bits: int = 2) -> DataFrame:
     """One row per input row: ``doc_id, fingerprint`` (16 hex digits) and ``component_id``, the
-    smallest id reachable over links of at most ``max_bits`` differing bits. Repeated rows each
-    get a row; a null id gets its fingerprint's component; an empty table gives no rows."""
+    smallest id of a row reachable over links of at most ``max_bits`` differing bits. Repeated rows each
+    get a row; rows of one id and different texts each belong to their own text's group, which may then carry the same
+    smallest id; a null id gets its fingerprint's component (null if no row of the group has an id); an empty
+    table gives no rows."""
     steps = Steps(docs)
     fps = steps.write(fingerprints(docs, id_col, text_col, width))
-    classes = steps.write(fps.groupBy("fp").agg(F.min("doc_id").alias("node")).filter("node is not null"))
-    groups = connected_components(close_pairs(classes, max_bits))
-    of = steps.write(classes.join(groups, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id")))
-    return fps.join(of, "fp", "left").select(
+    of = _groups(fps, max_bits, steps)
+    named = fps.groupBy("fp").agg(F.min("doc_id").alias("least")).join(of, "fp")
+    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    whole = steps.write(of.join(least, "component").select("fp", "component_id"))
+    return fps.join(whole, "fp", "left").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, max_bits: int = 2) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its group; of rows that repeat an id, one
-    stays. All columns are kept. A row without an id stays and is never the one that stands for a
-    group. The texts shuffle once, by id, for both steps."""
-    found = near_duplicates(docs, id_col, text_col, width, max_bits)
-    keep = found.filter("doc_id = component_id").select(F.col("doc_id").cast(docs.schema[id_col].dataType).alias(id_col)).distinct()
-    named = docs.filter(F.col(id_col).isNotNull()).join(keep, id_col, "left_semi").dropDuplicates([id_col])
-    return named.unionByName(docs.filter(F.col(id_col).isNull()))
+    """One row of each group of near copies, all columns as they are: that with the smallest id, of
+    several rows of that id in the group that with the smallest fingerprint (as a signed integer), and of those that with the least
+    text (of equal texts any one). A row without an id stays and never stands for a group. Texts are written once
+    with their fingerprints and shuffle once, by id and fingerprint."""
+    steps = Steps(docs)
+    fp, key = free_name(docs, "fp"), id_col
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        raw, offsets = utf8(column(batch, text_col))
+        data = raw.tobytes()
+        found = np.array([fingerprint(data[a:b], width) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], np.uint64)
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.view(np.int64))], [*batch.schema.names, fp])
+    rows = steps.write(arrow_map(docs, run, T.StructType([*docs.schema.fields, T.StructField(fp, T.LongType())])))
+    named = rows.filter(F.col(key).isNotNull())
+    seen = steps.write(named.select(F.col(key).alias("id"), F.col(fp).alias("fp")).distinct())
+    first = seen.join(_groups(seen, max_bits, steps), "fp").groupBy("component").agg(F.min(F.struct("id", "fp")).alias("first"))
+    keep = first.select(F.col("first.id").alias(key), F.col("first.fp").alias(fp))
+    best = (named.join(keep, [key, fp], "left_semi").groupBy(key, fp)
+            .agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.coalesce(text_col, F.lit(""))).alias("row")).select("row.*"))
+    return best.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(rows.filter(F.col(key).isNull()).drop(fp))

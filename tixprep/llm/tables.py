@@ -29,3 +29,11 @@ class Steps:
         path = next(path for out, path in self.written if out is df)
         target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores as it takes to be none of the columns (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
