@@ -14,9 +14,7 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def check(rows, texts, tokenizer, capacity=2048):
@@ -70,3 +68,8 @@ def test_differencing_is_balanced_and_window_count_rises():
     three = windows_of(np.array([1500, 1500, 1000]), 2048)
     assert len(set(three)) == 3
     assert set(windows_of(np.array([2048]), 2048)) == {0}
+
+
+def test_special_token_strings_are_encoded_as_the_tokenizer_does(spark, make_docs, tokenizer):
+    texts = {0: "before <|endoftext|> after", 1: "<|endoftext|>", 2: "a<|endoftext|>b <|startoftext|>x", 3: "<|endoftext|", 4: "END <|endoftext|> <|endoftext|>"}
+    check(pack(make_docs(list(texts.values())), PATH).collect(), texts, tokenizer)

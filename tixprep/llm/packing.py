@@ -108,7 +108,6 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         normalizers = [x["type"] for x in (spec.get("normalizer") or {}).get("normalizers", [])]
         splits = [x for x in (spec.get("pre_tokenizer") or {}).get("pretokenizers", []) if x["type"] == "Split"]
         suffix = spec["model"].get("end_of_word_suffix")
@@ -118,6 +117,9 @@ class Encoder:
             self.parts_only.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
             self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
             self.ends[[i for w, i in self.tokenizer.get_vocab().items() if w.endswith(suffix)]] = True
+            # words with the string of an added token are left to the whole tokenizer, as other odd ones are
+            added = [re.escape(t["content"]) for t in spec.get("added_tokens", [])]
+            self.added = re.compile("|".join(added) if added else "(?!)", re.IGNORECASE)
             self.parts: dict[str, bytes] = {}
             self._forget()
 
@@ -141,7 +143,7 @@ class Encoder:
     def _ids_of(self, words: list[bytes]) -> list[bytes]:
         """The ids of each word, as bytes."""
         texts = b"\n".join(words).decode("utf-8", "replace").split("\n")  # words hold no white space
-        odd = [k for k, t in enumerate(texts) if _ODD.search(t)]
+        odd = [k for k, t in enumerate(texts) if _ODD.search(t) or self.added.search(t)]
         split = list(map(_PARTS.findall, "\n".join(texts).lower().split("\n")))
         for k in odd:
             split[k] = ()
