@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tixprep.llm.batches import arrow_map, column, list_array, lower_ascii, ranges, steps, utf8, word_hashes, word_spans
-from tixprep.llm.tables import Steps
+from tixprep.llm.tables import Steps, free_name
 
 WINDOW = 13
 # Suffixes are sorted up to this many words, beyond the longest window searched.
@@ -290,10 +290,11 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "
     blocks = list(_blocks(benchmark, item_id, item_text, window, block_bytes))
     if len(blocks) > 1:
         # hits of several blocks only count together: mark the rows by position in a written copy
-        marked = tables.write(docs.withColumn("_row", F.monotonically_increasing_id()))
-        bad = contamination(marked, benchmark, percent, id_col="_row", text_col=text_col, item_id=item_id,
-                            item_text=item_text, window=window, block_bytes=block_bytes).filter("contaminated").select(F.col("doc_id").alias("_bad"))
-        return marked.join(bad, F.col("_row") == F.col("_bad"), "left_anti").drop("_row")
+        row, bad_row = free_name(docs, "row"), free_name(docs, "bad")
+        marked = tables.write(docs.withColumn(row, F.monotonically_increasing_id()))
+        bad = contamination(marked, benchmark, percent, id_col=row, text_col=text_col, item_id=item_id,
+                            item_text=item_text, window=window, block_bytes=block_bytes).filter("contaminated").select(F.col("doc_id").alias(bad_row))
+        return marked.join(bad, F.col(row) == F.col(bad_row), "left_anti").drop(row)
     shared = spark.sparkContext.broadcast(blocks[0])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tixprep.llm.tables import free_name
+
 # The base kinds in output order, then the kinds this method adds.
 BASE_KINDS = ["email", "ip", "card", "phone"]
 ADDED_KINDS = ["iban", "ssn"]
@@ -110,7 +112,7 @@ def find_pii(docs: DataFrame, text_col: str = "text", out_col: str = "pii", adde
     start; code points, end exclusive. Spans of the base kinds always stay, spans of added kinds
     need a score of 0.5 or more. A null text has none."""
     kinds = BASE_KINDS + (ADDED_KINDS if added else [])
-    names = {k: f"_{out_col}_{k}" for k in kinds}
+    names = {k: free_name(docs, f"_{out_col}_{k}") for k in kinds}
     text = F.coalesce(F.col(text_col), F.lit(""))
     out = docs.withColumns({names[k]: _proposed(k, text) for k in kinds})
     out = out.withColumns({names[k]: _placed(k, F.col(names[k]), text) for k in kinds})
@@ -144,8 +146,9 @@ def pii_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def mask_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with every span replaced by ``<KIND>``; overlapping spans become one, named after
     the one that starts first (the longest of these). Other columns are as they were."""
-    found = find_pii(docs, text_col, "_pii")
-    ordered = F.array_sort(F.col("_pii"), lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(b["end"] - a["end"]))
+    spans = free_name(docs, "pii")
+    found = find_pii(docs, text_col, spans)
+    ordered = F.array_sort(F.col(spans), lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(b["end"] - a["end"]))
     text = F.col(text_col)
     state = F.aggregate(
         ordered, F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("parts")),
@@ -154,5 +157,5 @@ def mask_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
             F.when(x["start"] < s["at"], s["parts"]).otherwise(F.concat(s["parts"], F.array(
                 F.substr(text, s["at"] + 1, x["start"] - s["at"]), F.concat(F.lit("<"), F.upper(x["kind"]), F.lit(">"))))).alias("parts")),
         lambda s: F.concat(F.array_join(s["parts"], ""), F.substr(text, s["at"] + 1, F.length(text))))
-    masked = found.withColumn(text_col, F.when(F.size("_pii") == 0, text).otherwise(state))
-    return masked.drop("_pii").select(*[F.col(f"`{c}`") for c in docs.columns])
+    masked = found.withColumn(text_col, F.when(F.size(spans) == 0, text).otherwise(state))
+    return masked.drop(spans).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -212,16 +212,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     held-out rows and labels without a document are not used; of repeated labels the least counts."""
     vectors = word_vectors(docs, text_col)
     usable = (labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
-              .groupBy(F.col(id_col).alias("_id")).agg(F.min(label_col).cast("double").alias("_y")))
-    sample = usable.orderBy(F.xxhash64("_id"), "_id").limit(sample_rows)
+              .groupBy(F.col(id_col).alias("sample_id")).agg(F.min(label_col).cast("double").alias("y")))
+    sample = usable.orderBy(F.xxhash64("sample_id"), "sample_id").limit(sample_rows)
+    docs_only = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         x = pooled(column(batch, "text"), shared.value)
         return pa.RecordBatch.from_arrays([column(batch, "id"), column(batch, "y"), pa.array([r.tobytes() for r in x], pa.binary())], ["id", "y", "x"])
 
-    # the sample has at most sample_rows rows of two numbers: a proven bound for the broadcast
-    rows = docs.join(F.broadcast(sample), docs[id_col] == F.col("_id")).select(F.col("_id").cast("string").alias("id"), F.col("_y").alias("y"), F.col(text_col).alias("text"))
+    # the sample has at most sample_rows rows of two numbers: a proven bound for the broadcast. Of an id that
+    # many rows repeat one feature row is learnt from, that of the least text
+    rows = (docs_only.join(F.broadcast(sample), docs_only["doc"] == sample["sample_id"])
+            .groupBy("doc", "y").agg(F.min(F.coalesce("text", F.lit(""))).alias("text")).select(F.col("doc").cast("string").alias("id"), "y", "text"))
     found = sorted((r["id"], r["y"], bytes(r["x"])) for r in arrow_map(rows, run, "id string, y double, x binary").collect())
     x = np.array([np.frombuffer(r[2]) for r in found]).reshape(-1, FEATURES)
     return vectors, train(x, np.array([r[1] for r in found]))
