@@ -1,6 +1,6 @@
-"""Corpus pipeline: quality classifier, SimHash near-dedup, benchmark decontamination, personal data,
-packing. Each stage reads what its predecessor wrote; all but the last return the columns of
-``documents``."""
+"""Five operators in a row over ``documents``: scores of quality, groups of near copies, benchmark passages, personal
+details, fixed-length sequences. A stage reads the Parquet that the stage before it wrote; every stage but the last hands
+on the columns of ``documents``."""
 
 from __future__ import annotations
 
@@ -10,25 +10,25 @@ from tixprep.llm.tables import Steps
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that the quality classifier rejects (score below 0.5)."""
+    """Rows with a quality score of 0.5 or more."""
     from tixprep.llm.quality import keep_good
     return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near copies."""
+    """One row of every group of near copies, that with the smallest id."""
     from tixprep.llm.simhash import keep_one_of_each
     return keep_one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents of whose words at least 5 in 100 lie in benchmark windows."""
+    """Rows of whose words fewer than 5 in 100 lie in windows of benchmark items."""
     from tixprep.llm.decontaminate import remove_contaminated
     return remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces personal data in the texts by the name of its kind; ``n_chars`` follows the text."""
+    """Texts with the kind of a personal detail in its place; ``n_chars`` is counted anew."""
     from pyspark.sql import functions as F
 
     from tixprep.llm.pii import mask_pii
@@ -39,7 +39,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs the remaining texts into sequences of at most 2048 tokens, ids included."""
+    """Pieces of sequences of at most 2048 tokens, with their ids."""
     import public_tokenizers
 
     from tixprep.llm.packing import pack
@@ -51,7 +51,7 @@ STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("decontam
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written as Parquet and read again as the next one's input."""
+    """Applies the stages to ``documents``; a stage's input is removed when the next one has been written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     tables, before = Steps(docs), None
     for _, stage in STAGES:
@@ -62,5 +62,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-# The classifier and the tokenizer have no SQL form; tests compare each stage with a brute-force version.
+# SQL expresses neither the classifier nor the tokenizer; tests hold each stage against a brute-force version.
 ORACLE_SQL = None
