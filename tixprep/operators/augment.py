@@ -42,7 +42,8 @@ def vocabulary_synsets(texts: DataFrame, text_col: str, per_synset: int = 3, see
     longer than 3 characters are hashed into ``V / per_synset`` synsets. Stands in for a lexical
     database (none is available offline); group sizes stay small as the vocabulary grows."""
     words = texts.select(F.explode(tokenize_words(F.lower(F.col(text_col)))).alias("lemma"))
-    vocab = words.filter(F.col("lemma").rlike(ALPHA_WORD) & (F.length("lemma") > 3)).distinct()
+    # written once: the texts are exploded for the words, not again for their number and their groups
+    vocab = cut_lineage(words.filter(F.col("lemma").rlike(ALPHA_WORD) & (F.length("lemma") > 3)).distinct())
     n_sets = vocab.select(F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) / per_synset))).scalar()
     return vocab.select((hash32(seed, F.col("lemma"), "synset") % n_sets).alias("synset"), "lemma")
 
