@@ -17,8 +17,12 @@ SPACE_CLASS = r"\s\x1c-\x1f\x85\p{Z}"
 WORD_CLASS = r"\p{L}\p{N}_"
 SPACES = f"[{SPACE_CLASS}]+"
 NON_SPACE = f"[^{SPACE_CLASS}]"
-EMAIL_LOOSE = f"{NON_SPACE}+@{NON_SPACE}+"
-EMAIL_STRICT = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
+# The same matches as ``\S+@\S+``: a run of non-space characters with an @ that is neither its first nor its last
+# character matches whole, so only starts of runs are tried and nothing is given back.
+EMAIL_LOOSE = f"(?<!{NON_SPACE}){NON_SPACE}[^@{SPACE_CLASS}]*+@{NON_SPACE}++"
+# The same matches as ``[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}``: the part before the @ is a whole run of its
+# class, or what a match before it has left of one.
+EMAIL_STRICT = r"(?:\G|(?<![a-zA-Z0-9._%+-]))[a-zA-Z0-9._%+-]++@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
 URL = f"http{NON_SPACE}+|www[^\\n]{NON_SPACE}+"
 NON_WORD_RUN = f"[^{WORD_CLASS}]+"          # punctuation and whitespace together
 NON_ASCII_ALNUM_RUN = r"[^a-zA-Z0-9]+"
