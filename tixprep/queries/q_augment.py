@@ -316,3 +316,20 @@ def q_prepare_rare_set(spark, sf):
     from tixprep.queries.common import tk
     samples, _ = prepare_rare_set(tk(spark, sf), lexicon(spark, sf), transform=_upper_words)
     return samples.withColumn("sample_weight", F.round("sample_weight", 9))
+
+
+@query("transform_ledger", "SELECT doc_id, reverse(text) AS new_text, 2::BIGINT AS runs FROM documents WHERE text IS NOT NULL")
+def q_transform_ledger(spark, sf):
+    """A text function that fails on some chunks the first time: the second run does only those."""
+    from tixprep.operators.ledger import ChunkLedger
+    from tixprep.sources.io import scratch_path
+    book = ChunkLedger(spark, scratch_path(spark, "ledger"), ["doc_id"])
+    book.start(read_table(spark, sf, "documents").select("doc_id", "text").filter("text IS NOT NULL"))
+
+    def flaky(texts):
+        if len(texts[0]) % 3 == 0:
+            raise RuntimeError("no answer")
+        return [t[::-1] for t in texts]
+    book.run(flaky)
+    runs = book.run(lambda texts: [t[::-1] for t in texts]).agg(F.max("attempts")).first()[0]
+    return book.results().withColumn("runs", F.lit(int(runs)).cast("bigint"))

@@ -105,6 +105,22 @@ def q_parse_dates_mixed(spark, sf):
                                 FL.parse_dates_mixed("date_opened").cast("timestamp_ntz").alias("opened_at"))
 
 
+@query("parse_dates_inferred", sql(body=f"SELECT number_fld, date_opened, {_D_PARSE} AS opened_at FROM tickets"))
+def q_parse_dates_inferred(spark, sf):
+    """The same dates as with the list of formats, found from the values' shapes."""
+    from tixprep.operators.dates import parse_dates_inferred
+    return parse_dates_inferred(tk(spark, sf).select("number_fld", "date_opened"), "date_opened", "opened_at")
+
+
+@query("date_report", sql(body=f"""
+SELECT regexp_replace(regexp_replace(trim(date_opened), '[0-9]', '9', 'g'), '\\p{{L}}+', 'A', 'g') AS shape, count(*) AS n,
+       count(*) FILTER (WHERE {_D_PARSE} IS NOT NULL) AS parsed, round(1 - count(*) FILTER (WHERE {_D_PARSE} IS NOT NULL) / count(*), 9) AS failed_share
+FROM tickets WHERE date_opened IS NOT NULL GROUP BY 1"""))
+def q_date_report(spark, sf):
+    from tixprep.operators.dates import date_report
+    return date_report(tk(spark, sf), "date_opened").withColumn("failed_share", F.round("failed_share", 9))
+
+
 @query("date_to_string", sql(body=f"""
 SELECT number_fld, coalesce(strftime({_D_PARSE}, '%Y-%m-%d %H:%M:%S'), 'NaT') AS opened_text FROM tickets"""))
 def q_date_to_string(spark, sf):

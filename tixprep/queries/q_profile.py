@@ -245,3 +245,45 @@ def q_summary_statistics(spark, sf):
                  F.round(F.avg(F.length("processed_short_description")), 9).alias("mean_short_description_length")) \
         .select("n_rows", n["category"].alias("n_categories"), n["subcategory"].alias("n_subcategories"),
                 n["assignment_group"].alias("n_assignment_groups"), "mean_description_length", "mean_short_description_length")
+
+
+# --- wide correlations, profiles kept up to date ---------------------------------------------------
+
+_EMB = "emb AS (SELECT " + ", ".join(f"embedding[{i + 1}]::DOUBLE AS e{i}" for i in range(64)) + " FROM embeddings)"
+
+
+@query("wide_correlation", f"""WITH {_EMB}, u AS (UNPIVOT (SELECT row_number() OVER () AS r, * FROM emb) ON COLUMNS('e[0-9]+') INTO NAME c VALUE v)
+SELECT a.c AS column_a, b.c AS column_b, round(corr(a.v, b.v), 6) AS r FROM u a JOIN u b ON a.r = b.r GROUP BY a.c, b.c""")
+def q_wide_correlation(spark, sf):
+    """All pairs of the 64 components of the embeddings."""
+    from tixprep.operators.wide import wide_correlation
+    e = read_table(spark, sf, "embeddings")
+    wide = e.select(*[F.try_element_at("embedding", F.lit(i + 1)).cast("double").alias(f"e{i}") for i in range(64)])
+    return wide_correlation(wide, wide.columns).withColumn("r", F.round("r", 6))
+
+
+_PARTS_SQL = """SELECT '{c}' AS column_name, count({c})::BIGINT AS n, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, min({c})::DOUBLE AS min, max({c})::DOUBLE AS max,
+  TRUE AS quantiles_close, TRUE AS distinct_close FROM orders"""
+
+
+@query("sketched_profile", " UNION ALL ".join(_PARTS_SQL.format(c=c) for c in ("o_orderkey", "o_custkey", "o_totalprice")))
+def q_sketched_profile(spark, sf):
+    """Orders in five parts, each sketched on its own; the merged profile is held against the exact operators: quartiles
+    within 2 % of the ranks, distinct counts within 3 %."""
+    from tixprep.operators import sketches as K
+    from tixprep.sources.io import scratch_path
+    cols = ["o_orderkey", "o_custkey", "o_totalprice"]
+    orders = read_table(spark, sf, "orders").select(*cols)
+    folder = scratch_path(spark, "sketches")
+    for k in range(5):
+        K.add_part(orders.filter(F.pmod("o_custkey", F.lit(5)) == k), folder, str(k))
+    got = K.profile(spark, folder)
+    ranks = orders.join(F.broadcast(got.select("column_name", "q0", "q1", "q2")), F.lit(True)).groupBy("column_name").agg(*[  # three rows beside every order
+        F.avg((F.when(F.col("column_name") == cols[0], F.col(cols[0])).when(F.col("column_name") == cols[1], F.col(cols[1])).otherwise(F.col(cols[2])) <= F.col(f"q{i}")).cast("double")).alias(f"r{i}") for i in range(3)])
+    exact = P.unique_count(orders, cols)
+    close = F.lit(True)
+    for i, q in enumerate((0.25, 0.5, 0.75)):
+        close = close & (F.abs(F.col(f"r{i}") - q) < 0.02)
+    return got.join(ranks, "column_name").join(exact, "column_name").select(
+        "column_name", "n", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "min", "max", close.alias("quantiles_close"),
+        (F.abs(F.col("distinct") - F.col("n_unique")) <= 0.03 * F.col("n_unique")).alias("distinct_close"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tixprep.oracle import d_uniform
 from tixprep.operators import sampling as SM
 from tixprep.queries import query
@@ -65,3 +67,26 @@ def q_weighted_sample_replace(spark, sf):
     from tixprep.operators.classes import sample_weights
     w = SM.stratified_split(sample_weights(merged(spark, sf)), "category", "number_fld").filter("split = 'train'")
     return SM.weighted_sample_replace(w, "sample_weight", "number_fld")
+
+
+_COPIES = """copies AS (SELECT number_fld * 10 + i AS row_id, number_fld, category FROM merged, (SELECT unnest(range(0, 5)) AS i) WHERE i <= number_fld % 5),
+grp AS (SELECT number_fld, min(category) AS category, count(*) AS n FROM copies GROUP BY number_fld),
+cl AS (SELECT category, sum(n)::BIGINT AS n FROM grp GROUP BY category),
+t1 AS (SELECT *, sum(n) OVER () AS nn, ceil(sum(n) OVER () * 0.1)::BIGINT AS nv FROM cl),
+t2 AS (SELECT *, (nn - nv) * n // nn AS fl, ((nn - nv) * n) % nn AS rem FROM t1),
+t3 AS (SELECT *, fl + CASE WHEN row_number() OVER (ORDER BY rem DESC, category) <= (nn - nv) - sum(fl) OVER () THEN 1 ELSE 0 END AS n_train FROM t2),
+t4 AS (SELECT category, n, nv, n - n_train AS lft, sum(n - n_train) OVER () AS tl FROM t3),
+t5 AS (SELECT category, nv, nv * lft // tl AS fl2, (nv * lft) % tl AS rem2 FROM t4),
+qu AS (SELECT category, fl2 + CASE WHEN row_number() OVER (ORDER BY rem2 DESC, category) <= nv - sum(fl2) OVER () THEN 1 ELSE 0 END AS n_val FROM t5)"""
+
+
+@query("stratified_split_by_source", sql(BASE_CTE, MERGED_CTE, _COPIES, body=f"""
+WITH u AS (SELECT *, sum(n) OVER (PARTITION BY category ORDER BY {d_uniform(42, 'number_fld', 'split')}, CAST(number_fld AS VARCHAR)) AS run FROM grp)
+SELECT row_id, number_fld, copies.category, CASE WHEN u.run <= qu.n_val THEN 'val' ELSE 'train' END AS split
+FROM copies JOIN u USING (number_fld) JOIN qu ON qu.category = copies.category"""))
+def q_stratified_split_by_source(spark, sf):
+    """Tickets with up to four copies each: all copies of a ticket on one side."""
+    m = merged(spark, sf).select("number_fld", "category")
+    copies = m.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("number_fld") % 5))).select(
+        (F.col("number_fld") * 10 + F.col("_i")).alias("row_id"), "number_fld", "category")
+    return SM.stratified_split_by_source(copies, "category", "number_fld", "row_id")
