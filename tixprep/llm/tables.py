@@ -18,9 +18,9 @@ class Steps:
         self.root = f"{table_folder(self.spark)}/{uuid.uuid4().hex}"
         self.written: list[tuple[DataFrame, str]] = []
 
-    def write(self, df: DataFrame) -> DataFrame:
+    def write(self, df: DataFrame, **options) -> DataFrame:
         path = f"{self.root}/{len(self.written)}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").options(**options).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.written.append((out, path))
         return out
