@@ -118,8 +118,7 @@ class Encoder:
             self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
             self.ends[[i for w, i in self.tokenizer.get_vocab().items() if w.endswith(suffix)]] = True
             # words with the string of an added token are left to the whole tokenizer, as other odd ones are
-            added = [re.escape(t["content"]) for t in spec.get("added_tokens", [])]
-            self.added = re.compile("|".join(added) if added else "(?!)", re.IGNORECASE)
+            self.added = [t["content"].lower() for t in spec.get("added_tokens", [])]
             self.parts: dict[str, bytes] = {}
             self._forget()
 
@@ -143,8 +142,11 @@ class Encoder:
     def _ids_of(self, words: list[bytes]) -> list[bytes]:
         """The ids of each word, as bytes."""
         texts = b"\n".join(words).decode("utf-8", "replace").split("\n")  # words hold no white space
-        odd = [k for k, t in enumerate(texts) if _ODD.search(t) or self.added.search(t)]
-        split = list(map(_PARTS.findall, "\n".join(texts).lower().split("\n")))
+        low = "\n".join(texts).lower()
+        split = list(map(_PARTS.findall, low.split("\n")))
+        odd = [k for k, t in enumerate(texts) if _ODD.search(t)]
+        if any(x in low for x in self.added):
+            odd = sorted({*odd, *(k for k, t in enumerate(texts) if any(x in t.lower() for x in self.added))})
         for k in odd:
             split[k] = ()
         new = list({p: None for p in chain.from_iterable(split) if p not in self.parts})
