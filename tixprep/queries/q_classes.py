@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tixprep.operators import classes as C
 from tixprep.operators import encode as EN
 from tixprep.queries import query
-from tixprep.queries.common import BASE_CTE, MERGED_CTE, base, merged, sql, tk
+from tixprep.queries.common import BASE_CTE, MERGED_CTE, base, labels, merged, merged_labels, sql, tk
 
 TG = ["category", "subcategory", "assignment_group"]
 
@@ -190,9 +190,10 @@ FROM base b JOIN merged m USING (number_fld) LEFT JOIN cw ca ON ca.value = b.ass
 def q_weight_lookup(spark, sf):
     # weights of the merged groups, looked up by the merged label (all found) and by the label as it
     # was: groups merged away are missing from the table and get 1.0
-    m = merged(spark, sf)
+    b = labels(spark, sf)
+    m = C.merge_rare_targets(b)
     w = C.class_weights_inverse(m, "assignment_group")
-    d = base(spark, sf).select("number_fld", "assignment_group")
+    d = b.select("number_fld", "assignment_group")
     d = C.weight_lookup(d, w, "assignment_group")
     mm = C.weight_lookup(m.select("number_fld", F.col("assignment_group").alias("merged_group")), w, "merged_group", out="merged_weight", default=None)
     return d.join(mm, "number_fld").select("number_fld", "assignment_group", "merged_group", F.round("weight", 9).alias("weight"),
@@ -237,7 +238,7 @@ JOIN d dc ON dc.target = 'category' AND dc.label = m.category
 JOIN d ds ON ds.target = 'subcategory' AND ds.label = m.subcategory
 JOIN d dg ON dg.target = 'assignment_group' AND dg.label = m.assignment_group"""))
 def q_label_decode(spark, sf):
-    m = merged(spark, sf)
+    m = merged_labels(spark, sf)
     d = EN.label_dictionary(m)
     enc = EN.encode_labels(m.select("number_fld", *TG), d)
     dec = EN.label_decode(enc.select("number_fld", *[t + "_code" for t in TG]), d,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tixprep.operators import hierarchy as H
 from tixprep.operators import product as PR
 from tixprep.queries import query
-from tixprep.queries.common import BASE_CTE, base, sql
+from tixprep.queries.common import BASE_CTE, base, labels, sql
 
 TG = ["category", "subcategory", "assignment_group"]
 
@@ -159,7 +159,7 @@ UNION ALL (SELECT *, 'first' AS side FROM full_ WHERE n = 0 ORDER BY category, s
 
 @query("unseen_combos", sql(BASE_CTE, _FULL, body=_UNSEEN))
 def q_unseen_combos(spark, sf):
-    b = base(spark, sf)
+    b = labels(spark, sf)
     return PR.unseen_combos(b, k=25).withColumn("side", F.lit("last")).unionByName(PR.unseen_combos(b, k=25, last=False).withColumn("side", F.lit("first")))
 
 

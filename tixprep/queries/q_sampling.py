@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tixprep.oracle import d_uniform
 from tixprep.operators import sampling as SM
 from tixprep.queries import query
-from tixprep.queries.common import BASE_CTE, MERGED_CTE, merged, sql, tk
+from tixprep.queries.common import BASE_CTE, MERGED_CTE, merged, merged_labels, sql, tk
 
 U_SPLIT = d_uniform(42, "number_fld", "split")
 
@@ -65,7 +65,7 @@ SELECT dr.draw, iv2.key AS number_fld FROM dr JOIN iv2 ON iv2.lo <= dr.x AND dr.
 def q_weighted_sample_replace(spark, sf):
     # weights of the whole set, draws over the training part of its split
     from tixprep.operators.classes import sample_weights
-    w = SM.stratified_split(sample_weights(merged(spark, sf)), "category", "number_fld").filter("split = 'train'")
+    w = SM.stratified_split(sample_weights(merged_labels(spark, sf)), "category", "number_fld").filter("split = 'train'")
     return SM.weighted_sample_replace(w, "sample_weight", "number_fld")
 
 
@@ -86,7 +86,7 @@ SELECT row_id, number_fld, copies.category, CASE WHEN u.run <= qu.n_val THEN 'va
 FROM copies JOIN u USING (number_fld) JOIN qu ON qu.category = copies.category"""))
 def q_stratified_split_by_source(spark, sf):
     """Tickets with up to four copies each: all copies of a ticket on one side."""
-    m = merged(spark, sf).select("number_fld", "category")
+    m = merged_labels(spark, sf).select("number_fld", "category")
     copies = m.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("number_fld") % 5))).select(
         (F.col("number_fld") * 10 + F.col("_i")).alias("row_id"), "number_fld", "category")
     return SM.stratified_split_by_source(copies, "category", "number_fld", "row_id")
