@@ -36,3 +36,32 @@ def test_labels_travel_without_texts(spark, tmp_path):
     plan = t._jdf.queryExecution().optimizedPlan().toString()
     lines = [re.sub(r"regexp_extract\(text#\d+", "", x) for x in plan.splitlines() if "Relation" not in x]
     assert not any(re.search(r"\btext#", x) for x in lines), plan
+
+
+def test_columns_of_texts_travel_without_texts(spark, tmp_path):
+    folder = _tables(spark, tmp_path)
+    t = tickets(spark, folder, lambda short, desc: [F.length(short).alias("n_short"), F.length(desc).alias("n_desc")])
+    assert {(r.n_short, r.n_desc) for r in t.collect()} == {(10, 12), (5, 5)}
+    assert t.drop("n_short", "n_desc").exceptAll(tickets(spark, folder)).isEmpty()
+    t = t.groupBy("category").agg(F.avg("n_short"), F.avg("n_desc"))
+    plan = t._jdf.queryExecution().optimizedPlan().toString()
+    assert not any(re.search(r"[\[ ]text#\d+[,\]]", x) for x in plan.splitlines() if "Relation" not in x), plan
+
+
+def test_summary_statistics_moves_no_text(spark, tmp_path):
+    """Rows of 2 kB text each: what is shuffled and written stays far below the texts."""
+    import random
+
+    from tixprep.queries import QUERIES, load_all
+    load_all()
+    r = random.Random(3)
+    folder = _tables(spark, tmp_path)
+    words = ["".join(r.choices("abcdefghij", k=9)) for _ in range(2000)]
+    docs = [(k % 90, " ".join(r.choices(words, k=200)), "en", 2000) for k in range(300)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, n_chars long").write.mode("overwrite").parquet(f"{folder}/documents.parquet")
+    out = QUERIES["summary_statistics"](spark, folder)
+    assert not any("documents.parquet" in f for f in out.inputFiles())
+    t = tickets(spark, folder)
+    row, n = out.first(), t.count()
+    assert row["n_rows"] == n > 0 and row["n_categories"] == 1
+    assert row["mean_description_length"] == round(t.select(F.avg(F.length(F.lower(F.coalesce("description", F.lit("")))))).first()[0], 9)

@@ -9,7 +9,8 @@ from tixprep.oracle import d_clean_profile, d_words
 from tixprep.operators import profile as P
 from tixprep.queries import query
 from tixprep.queries.common import sql, tk
-from tixprep.sources.tables import read_table
+from tixprep.session import cut_lineage
+from tixprep.sources.tables import read_table, tickets
 
 ALL = ["number_fld", "short_description", "description", "category", "subcategory", "assignment_group", "priority",
        "contact_type", "location", "u_department", "opened_by_department", "date_opened", "total_price", "value"]
@@ -108,6 +109,13 @@ def _proc(spark, sf):
                                 clean_profile("description").alias("processed_description"))
 
 
+_LENGTH_COLS = ["short_description_length", "description_length"]
+
+
+def _processed_lengths(short, desc):
+    return [F.length(clean_profile(c)).alias(name) for c, name in zip((short, desc), _LENGTH_COLS, strict=True)]
+
+
 @query("processed_length_stats", sql(_PROC, body=" UNION ALL ".join(
     f"SELECT '{c}' AS column_name, round(avg(length({c})), 9) AS mean_chars, max(length({c}))::INTEGER AS max_chars FROM proc"
     for c in ["processed_short_description", "processed_description"])))
@@ -236,13 +244,13 @@ SELECT count(*) AS n_rows,
   round(avg(length(processed_short_description)), 9) AS mean_short_description_length
 FROM proc"""))
 def q_summary_statistics(spark, sf):
-    t = tk(spark, sf)
+    # the tickets are derived once, for labels and lengths: texts are cleaned and measured where they lie
+    t = cut_lineage(tickets(spark, sf, _processed_lengths).select("category", "subcategory", "assignment_group", *_LENGTH_COLS))
     u = P.unique_count_with_null(t, ["category", "subcategory", "assignment_group"])
     n = {c: u.filter(F.col("column_name") == c).select("n_unique").scalar() for c in ["category", "subcategory", "assignment_group"]}
-    p = _proc(spark, sf)
-    return p.agg(F.count(F.lit(1)).alias("n_rows"),
-                 F.round(F.avg(F.length("processed_description")), 9).alias("mean_description_length"),
-                 F.round(F.avg(F.length("processed_short_description")), 9).alias("mean_short_description_length")) \
+    return t.agg(F.count(F.lit(1)).alias("n_rows"),
+                 F.round(F.avg("description_length"), 9).alias("mean_description_length"),
+                 F.round(F.avg("short_description_length"), 9).alias("mean_short_description_length")) \
         .select("n_rows", n["category"].alias("n_categories"), n["subcategory"].alias("n_subcategories"),
                 n["assignment_group"].alias("n_assignment_groups"), "mean_description_length", "mean_short_description_length")
 
