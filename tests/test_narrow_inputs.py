@@ -59,3 +59,30 @@ def test_split_by_keys_from_elsewhere(spark):
     want = {r["k"]: r["split"] for r in stratified_split(df, "label", "k").collect()}
     got = {r["k"]: r["split"] for r in stratified_split(df, "label", "k", keys=df.select("label", "k")).collect()}
     assert got == want and set(want.values()) == {"train", "val"}
+
+
+def test_chain_writes_one_text_a_row(spark, written):
+    from tixprep.queries import QUERIES, load_all
+    load_all()
+    QUERIES["oversample_chain"](spark, SF)
+    texts = [columns for columns in written if {"combined_text", S.SHORT, S.DESC} & set(columns)]
+    assert [sorted(columns) for columns in texts] == [sorted([S.NUMBER, *S.TARGETS, "combined_text", "f1", "f2", "f3", "_rid"])]
+
+
+def test_label_tables_are_sent_to_the_texts(spark, monkeypatch):
+    """Beyond the planner's threshold too; a larger table is joined by sorting, with the same rows."""
+    from tixprep.operators.classes import merge_rare_targets
+    t = ticket_rows(spark)
+    plan = lambda df: df._jdf.queryExecution().sparkPlan().toString()
+    bag = lambda df: sorted(map(str, df.collect()))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sent = merge_rare_targets(t)
+        assert "BroadcastHashJoin" in plan(sent) and "SortMergeJoin" not in plan(sent)
+        monkeypatch.setattr(session, "LABEL_TABLE_MB", -1)
+        sorted_by_label = merge_rare_targets(t, counted=t.select(*S.TARGETS))
+        assert "SortMergeJoin" in plan(sorted_by_label)
+        assert bag(sent) == bag(sorted_by_label)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
