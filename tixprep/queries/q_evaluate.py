@@ -287,11 +287,11 @@ FROM z3 JOIN pl USING (category, subcategory, assignment_group)""")
 
 @query("sink_bundle_wide", _wide_sql())
 def q_sink_bundle_wide(spark, sf):
-    from tixprep.plans.prepare import prepare_training_set
+    """The dictionary follows from the labels of the copies, so the texts are written once, into the bundle."""
+    from tixprep.plans.prepare import prepare_training_set, sample_keys
     from tixprep.queries.q_augment import lexicon
-    from tixprep.session import cut_lineage
-    s = cut_lineage(prepare_training_set(tk(spark, sf), lexicon(spark, sf), field_aware=True))
-    path = IO.sink_bundle(s, EN.label_dictionary(s), None, IO.scratch_path(spark, "bundle-wide"))
+    s = prepare_training_set(tk(spark, sf), lexicon(spark, sf), field_aware=True)
+    path = IO.sink_bundle(s, EN.label_dictionary(sample_keys(tk(spark, sf))), None, IO.scratch_path(spark, "bundle-wide"))
     samples, _, _ = IO.scan_bundle(spark, path)
     return samples.withColumn("sample_weight", F.round("sample_weight", 9))
 
